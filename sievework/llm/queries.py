@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from sievework.llm.simhash import op5
 from sievework.llm.substring_dedup import OP1_SQL, op1
+from sievework.llm.suffix_dedup import op10
 
 QUERIES = {
     "op1_substring_dedup": op1,
+    "op5_simhash_near_dedup": op5,
+    "op10_suffix_array_dedup": op10,
 }
 
 #: op1 lists every window, which SQL can do on small tables alone: its SQL is used in the tests only.
