@@ -5,9 +5,11 @@ from __future__ import annotations
 from sievework.llm.simhash import op5
 from sievework.llm.substring_dedup import OP1_SQL, op1
 from sievework.llm.suffix_dedup import op10
+from sievework.llm.token_store import op4
 
 QUERIES = {
     "op1_substring_dedup": op1,
+    "op4_token_store": op4,
     "op5_simhash_near_dedup": op5,
     "op10_suffix_array_dedup": op10,
 }
