@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sievework.llm.decontaminate import OP7_SQL, op7
 from sievework.llm.simhash import op5
 from sievework.llm.substring_dedup import OP1_SQL, op1
 from sievework.llm.suffix_dedup import op10
@@ -11,10 +12,11 @@ QUERIES = {
     "op1_substring_dedup": op1,
     "op4_token_store": op4,
     "op5_simhash_near_dedup": op5,
+    "op7_decontaminate": op7,
     "op10_suffix_array_dedup": op10,
 }
 
 #: op1 lists every window, which SQL can do on small tables alone: its SQL is used in the tests only.
-SMALL_SQL = {"op1_substring_dedup": OP1_SQL}
+SMALL_SQL = {"op1_substring_dedup": OP1_SQL, "op7_decontaminate": OP7_SQL}
 
 ORACLES = {}
