@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from sievework.llm.decontaminate import OP7_SQL, op7
+from sievework.llm.mixing import OP2_SQL, op2
+from sievework.llm.quality import op3
 from sievework.llm.simhash import op5
 from sievework.llm.substring_dedup import OP1_SQL, op1
 from sievework.llm.suffix_dedup import op10
@@ -10,6 +12,8 @@ from sievework.llm.token_store import op4
 
 QUERIES = {
     "op1_substring_dedup": op1,
+    "op2_mix_sources": op2,
+    "op3_quality_classifier": op3,
     "op4_token_store": op4,
     "op5_simhash_near_dedup": op5,
     "op7_decontaminate": op7,
@@ -19,4 +23,4 @@ QUERIES = {
 #: op1 lists every window, which SQL can do on small tables alone: its SQL is used in the tests only.
 SMALL_SQL = {"op1_substring_dedup": OP1_SQL, "op7_decontaminate": OP7_SQL}
 
-ORACLES = {}
+ORACLES = {"op2_mix_sources": OP2_SQL}
