@@ -68,7 +68,7 @@ def sentence_ids(text: Column, sentences: tuple[str, ...] = SENTENCES) -> Column
 
 
 def license_scan(docs: DataFrame, text_col: str = "text", sentences: tuple[str, ...] = SENTENCES, rules: tuple[tuple[str, tuple[int, ...]], ...] = RULES) -> DataFrame:
-    """docs with sentence_ids (array of int) and licenses (array of names, in rule order, each once).
+    """docs with sentence_ids (array of int) and licenses (sorted array of names, each once).
 
     A row-wise projection: nothing is shuffled or broadcast, and no task holds more than its rows. Null or empty texts
     have neither sentences nor licences. Repeated rows give repeated results. Columns named sentence_ids, licenses are
@@ -82,7 +82,7 @@ def license_scan(docs: DataFrame, text_col: str = "text", sentences: tuple[str,
         pattern = "|" + "||".join(map(str, ids)) + "|"
         names = F.concat(names, F.when(F.contains(chain, F.lit(pattern)), F.lit(name + ",")).otherwise(F.lit("")))
         chain = F.replace(chain, F.lit(pattern), F.lit("|-|"))
-    found = F.array_distinct(F.filter(F.split(names, ","), lambda s: s != ""))
+    found = F.array_sort(F.array_distinct(F.filter(F.split(names, ","), lambda s: s != "")))
     return out.withColumn("licenses", found)
 
 
@@ -93,7 +93,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     known = ", ".join(f"('{s}', {i + 1})" for i, s in enumerate(SENTENCES))
-    chain, names, steps = "c0", [], []
+    names, steps = [], []
     for k, (name, ids) in enumerate(RULES):
         pattern = "|" + "||".join(map(str, ids)) + "|"
         steps.append(f"r{k} AS (SELECT * EXCLUDE (c), CASE WHEN contains(c, '{pattern}') THEN '{name}' END AS n{k}, replace(c, '{pattern}', '|-|') AS c FROM {'q' if not k else f'r{k - 1}'})")
@@ -105,9 +105,8 @@ x AS (SELECT uid, unnest(s) AS sentence, unnest(range(len(s))) AS i FROM d),
 y AS (SELECT uid, count(*) AS n, string_agg(id::VARCHAR, ',' ORDER BY i) AS ids, string_agg('|' || id || '|', '' ORDER BY i) AS c FROM x JOIN known k ON trim(x.sentence) = k.sentence GROUP BY uid),
 q AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(c, '|') AS c FROM d LEFT JOIN y USING (uid)),
 {", ".join(steps)}
-SELECT doc_id, n_sentences, sentence_ids, array_to_string(list_filter(list_distinct_ordered([{", ".join(names)}]), x -> x IS NOT NULL), ',') AS licenses FROM r{len(RULES) - 1}
+SELECT doc_id, n_sentences, sentence_ids, array_to_string(list_sort(list_distinct([{", ".join(names)}])), ',') AS licenses FROM r{len(RULES) - 1}
 """
 
 
-#: The names in rule order, each once: a rule's name counts if no rule before it has given it.
 OP9_SQL = _sql()

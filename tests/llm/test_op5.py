@@ -45,7 +45,7 @@ def test_same_as_brute_force(docs, rows):
 def test_blocks_join_what_all_pairs_join():
     r = random.Random(3)
     base = [r.getrandbits(64) for _ in range(40)]
-    fp = [b ^ sum(1 << r.randrange(64) for _ in range(r.randrange(4))) for b in base for _ in range(12)] + [base[0] ^ (1 << i) ^ (1 << j) for i in range(30) for j in range(i)]
+    fp = [b ^ sum({1 << r.randrange(64) for _ in range(r.randrange(4))}) for b in base for _ in range(12)] + [base[0] ^ (1 << i) ^ (1 << j) for i in range(30) for j in range(i)]
     fp = sorted(set(fp))
     a, b = block_links(np.zeros(len(fp), int), np.array(fp, np.uint64), 4)
     assert all((int(x) ^ int(y)).bit_count() <= 4 for x, y in zip(a, b))
