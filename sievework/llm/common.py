@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 
 import numpy as np
@@ -156,8 +155,21 @@ def members(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
-def executor_dir() -> str:
-    return os.environ.get("TMPDIR", "/tmp")
+_cached: dict = {}
+
+
+def worker_cache(name, make):
+    """What an operator keeps in a Python worker between tasks. Workers outlive jobs, so a worker keeps one operator's
+    cache at a time: that of another goes first."""
+    if name not in _cached:
+        _cached.clear()
+        _cached[name] = make()
+    return _cached[name]
+
+
+def drop_caches() -> None:
+    """For tasks that keep nothing themselves: free what another operator has left in this worker."""
+    _cached.clear()
 
 
 SHARED_SCHEMA = "src int, found binary"

@@ -212,6 +212,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, sent=sent):
+            C.drop_caches()
             phrases = Phrases(sent.value, window)
             for batch in batches:
                 texts = batch.column(text_col).to_pylist()

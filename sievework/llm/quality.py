@@ -154,6 +154,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     docs = docs.drop("p_doc", "p_site", "score", "keep")
 
     def run(batches):
+        C.drop_caches()
         for batch in batches:
             p = pa.array([evidence.value(t) for t in batch.column(text_col).to_pylist()], pa.float64())
             cols = [c for c in batch.schema.names if c != "p_doc"]

@@ -40,6 +40,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4)
     """(id, fp): fp as the signed long with the fingerprint's bits."""
 
     def run(batches):
+        C.drop_caches()
         for batch in batches:
             fp = np.array([fingerprint(x, shingle) for x in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp)], ["id", "fp"])

@@ -23,15 +23,13 @@ class _Words(dict):
         return h
 
 
-_seen = _Words()
-
-
 def _chunks(texts: list):
     """(first row, word hashes, row of each word's document start offsets) over bounded runs of whole documents."""
+    seen = C.worker_cache("words", _Words)
     first, ids, ends, total = 0, [], [], 0
     for row, text in enumerate(texts):
         words = (text or "").encode("utf-8", "surrogatepass").split()
-        ids.append(np.fromiter(map(_seen.__getitem__, words), np.uint64, len(words)))
+        ids.append(np.fromiter(map(seen.__getitem__, words), np.uint64, len(words)))
         total += len(words)
         ends.append(total)
         if total >= CHUNK_WORDS:

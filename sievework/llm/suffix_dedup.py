@@ -12,18 +12,18 @@ from sievework.llm import common as C
 CHUNK_BYTES = 1 << 20
 _B = 0xB5297A4D3F84D5B5  # odd, so that its powers have inverses modulo 2**64
 _INV = pow(_B, -1, 1 << 64)
-_tables: dict = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The base's powers and their inverses, kept for the largest chunk seen."""
-    if len(_tables.get("p", ())) < n:
+    tables = C.worker_cache("powers", dict)
+    if len(tables.get("p", ())) < n:
         for name, base in (("p", _B), ("i", _INV)):
             x = np.full(n, base, np.uint64)
             x[0] = 1
-            _tables[name] = np.multiply.accumulate(x)
-        _tables["t"] = C.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-    return _tables["p"], _tables["i"]
+            tables[name] = np.multiply.accumulate(x)
+        tables["t"] = C.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+    return tables["p"], tables["i"], tables["t"]
 
 
 def _sliding(x: np.ndarray, size: int, f) -> np.ndarray:
@@ -61,9 +61,9 @@ def _suffixes(buf: bytes, ends: np.ndarray, length: int, token: int):
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none.astype(np.uint64), none, none, none, none.astype(np.uint64)
-    power, inverse = _powers(n + 1)
+    power, inverse, spread = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_tables["t"][raw] * power[:n], out=sums[1:])
+    np.cumsum(spread[raw] * power[:n], out=sums[1:])
     h = C.mix((sums[token:] - sums[:-token]) * inverse[: n - token + 1])
     rank = (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     low = _sliding(rank, reach + 1, np.minimum)

@@ -24,8 +24,7 @@ BLOCK_DOCS = 2048
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
 #: A word of Latin letters, and marks after it: two matches of the byte-level pattern, wherever it stands.
-_WORD = re.compile("( [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]*)")
-_encoders: dict = {}
+_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]*)")
 
 
 class Encoder(dict):
@@ -34,7 +33,7 @@ class Encoder(dict):
     Byte-level BPE first splits a text by a pattern whose every match of a space between two other characters begins
     there, so a text cut before such spaces encodes piece by piece to the same ids. A piece goes through the tokenizer's
     own pre-tokenizer (a plain word needs none: it is one match) and its model. A text that has the string of a special
-    token is encoded whole.
+    token is encoded whole. Keys are what stands after a space; a first piece is not kept.
     """
 
     bound = 1_000_000
@@ -59,14 +58,17 @@ class Encoder(dict):
         ids = [t.id for t in tokens]
         return self.pack[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.kind).tobytes()
 
+    def encode_piece(self, piece: str) -> bytes:
+        return b"".join([self.packed_ids(self.model(x)) for x, _ in self.split(piece)])
+
     def __missing__(self, piece: str) -> bytes:
         word = _WORD.fullmatch(piece)
         if word and not word[2]:
-            ids = self.packed_ids(self.model(piece.translate(self.spelled)))
+            ids = self.packed_ids(self.model((" " + piece).translate(self.spelled)))
         elif word:
             ids = self[word[1]] + self.packed_ids(self.model(word[2]))
         else:
-            ids = b"".join([self.packed_ids(self.model(x)) for x, _ in self.split(piece)])
+            ids = self.encode_piece(" " + piece)
         if len(self) < self.bound and len(piece) < 64:
             self[piece] = ids
         return ids
@@ -79,13 +81,11 @@ class Encoder(dict):
             pieces = _LONE_SPACE.split(text)
         else:
             pieces = text.split(" ")
-        return b"".join([self[pieces[0]], *map(self.__getitem__, [" " + x for x in pieces[1:]])]) if pieces != [""] else b""
+        return b"".join([self.encode_piece(pieces[0]), *map(self.__getitem__, pieces[1:])]) if pieces != [""] else b""
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return C.worker_cache(("encoder", path), lambda: Encoder(path))
 
 
 def train_dictionary(samples: list[bytes], size: int = 64 << 10) -> bytes:

@@ -12,7 +12,6 @@ from sievework.llm import common as C
 SPACE = "▁"
 #: What a character that no piece covers costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
-_counters: dict = {}
 
 
 def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -88,9 +87,7 @@ def count_tokens(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
     docs = docs.drop("n_tokens", "token_score")
 
     def run(batches):
-        if model_path not in _counters:
-            _counters[model_path] = Counter(*vocabulary(model_path))
-        counter = _counters[model_path]
+        counter = C.worker_cache(("unigram", model_path), lambda: Counter(*vocabulary(model_path)))
         for batch in batches:
             got = [counter.count(t) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.float64())], [*batch.schema.names, "n_tokens", "token_score"])
