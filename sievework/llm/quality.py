@@ -39,6 +39,12 @@ def shape(text: str | None, split: list[bytes]) -> list[float]:
     ]
 
 
+def marks(split) -> set[bytes]:
+    """Distinct words, and their beginnings of 6 and 8 bytes, which gather the forms of one stem."""
+    known = set(split)
+    return known | {w[:6] + b"*" for w in known if len(w) >= 6} | {w[:8] + b"*" for w in known if len(w) >= 8}
+
+
 class Logistic:
     """Logistic regression on quantile bins of shape shares and on the presence of words of a fitted vocabulary."""
 
@@ -46,13 +52,13 @@ class Logistic:
         self.vocabulary, self.edges, self.weights, self.bias = vocabulary, edges, weights, bias
 
     @staticmethod
-    def features(vocabulary, edges, shares, split) -> list[int]:
+    def features(vocabulary, edges, shares, split: set[bytes]) -> list[int]:
         out = [k * (BINS + 1) + int(np.searchsorted(edges[k], x)) for k, x in enumerate(shares)]
         base = len(edges) * (BINS + 1)
-        return out + [base + vocabulary[w] for w in vocabulary.keys() & set(split)]
+        return out + [base + vocabulary[w] for w in vocabulary.keys() & split]
 
     @classmethod
-    def fit(cls, rows: list[tuple[list[float], list[bytes], int]], steps: int = 300, decay: float = 1e-3) -> Logistic:
+    def fit(cls, rows: list[tuple[list[float], set[bytes], int]], steps: int = 300, decay: float = 1e-3) -> Logistic:
         """rows: shares, distinct words, label 0 or 1. Words are those whose presence differs most between the labels."""
         if not rows:
             return cls({}, np.zeros((0, BINS)), np.zeros(0), 0.0)
@@ -94,7 +100,7 @@ class Evidence:
 
     def __call__(self, text: str | None) -> float:
         split = words(text)
-        s, known = shape(text, split), set(split)
+        s, known = shape(text, split), marks(split)
         p = self.good(s, known)
         return p * (1 - self.toxic(s, known)) if len(self.toxic.weights) else p
 
@@ -109,10 +115,11 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 
     def run(batches):
         for batch in batches:
-            out = [(shape(t, w), [bytes(x) for x in set(w)]) for t in batch.column("_text").to_pylist() for w in [words(t)]]
+            out = [(shape(t, w), list(marks(w))) for t in batch.column("_text").to_pylist() for w in [words(t)]]
             yield pa.RecordBatch.from_pydict({"id": batch.column("_fit_id"), "s": pa.array([x for x, _ in out], pa.list_(pa.float64())), "w": pa.array([x for _, x in out], pa.list_(pa.binary())), "q": batch.column("_q"), "t": batch.column("_t")})
 
     got = sorted(pairs.mapInArrow(run, "id long, s array<double>, w array<binary>, q int, t int").limit(4 * rows).toArrow().to_pylist(), key=lambda r: (r["id"], r["s"]))
+    got = [r | {"w": set(r["w"])} for r in got]
     good = Logistic.fit([(r["s"], r["w"], r["q"]) for r in got])
     toxic = Logistic.fit([(r["s"], r["w"], r["t"]) for r in got]) if any(r["t"] for r in got) else Logistic.fit([])
     return Evidence(good, toxic)

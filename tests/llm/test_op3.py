@@ -10,7 +10,7 @@ def test_held_out_accuracy(spark):
     rows = score_quality(docs, fit).join(labels.where("doc_id % 3 = 0"), "doc_id").select("keep", "quality", "toxic").collect()
     clean, bad = [r.keep for r in rows if r.quality and not r.toxic], [r.keep for r in rows if not r.quality or r.toxic]
     print(len(clean), sum(clean) / len(clean), len(bad), sum(bad) / len(bad))
-    assert sum(clean) / len(clean) > 0.95 and sum(bad) / len(bad) < 0.25
+    assert sum(clean) / len(clean) > 0.95 and sum(bad) / len(bad) < 0.12
 
 
 def test_shrinkage(spark):
@@ -30,7 +30,7 @@ def test_edges(spark, docs, no_docs):
 
 
 def test_logistic_learns():
-    rows = [([0.0] * 8, [b"bad"] if i % 4 == 0 else [b"x", b"y"], i % 4 != 0) for i in range(200)]
+    rows = [([0.0] * 8, {b"bad"} if i % 4 == 0 else {b"x", b"y"}, i % 4 != 0) for i in range(200)]
     m = Logistic.fit([(s, w, int(y)) for s, w, y in rows])
     assert m([0.0] * 8, {b"bad"}) < 0.2 < 0.8 < m([0.0] * 8, {b"x", b"y"})
     assert Logistic.fit([])([0.0] * 8, set()) == 0.5
