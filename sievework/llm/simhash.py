@@ -18,21 +18,28 @@ PIVOTS = 16
 SMALL_BLOCK = 256
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """64-bit SimHash of the text's word shingles (fewer words: the whole sequence; none: 0)."""
+def counters(text: str | None, shingle: int = 4) -> tuple[np.ndarray, int]:
+    """How many of a text's word shingles (fewer words: the whole sequence) have each bit of their hash set, and how many
+    shingles there are."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    counts = np.zeros(BITS, np.int64)
     if not words:
-        return 0
+        return counts, 0
     size = min(shingle, len(words))
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = len(words) - size + 1
     first, last, digest = starts[:n].tolist(), ends[size - 1 :].tolist(), xxhash.xxh64_intdigest
-    counts = np.zeros(BITS, np.int64)
     for i in range(0, n, 1 << 14):
         h = np.array([digest(line[x:y], 42) for x, y in zip(first[i : i + (1 << 14)], last[i : i + (1 << 14)])], np.uint64)
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return counts, n
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """64-bit SimHash of the text's word shingles (no words: 0)."""
+    counts, n = counters(text, shingle)
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
@@ -58,23 +65,28 @@ def block_scheme(nodes: int, distance: int) -> tuple[int, int]:
     return distance + agree, agree
 
 
-def pivot_table(fp: np.ndarray) -> np.ndarray:
-    """Hamming distances of each fingerprint to PIVOTS fixed reference fingerprints."""
-    pivots = C.mix(np.arange(1, PIVOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return np.bitwise_count(fp[:, None] ^ pivots[None, :]).astype(np.int8)
+def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of codes of one or more 64-bit words (last axis)."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
+
+
+def pivot_table(codes: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
+    """Hamming distances of each code to fixed reference codes."""
+    refs = C.mix(np.arange(1, pivots * codes.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(pivots, -1)
+    return np.stack([hamming(codes, r) for r in refs], axis=1)
 
 
-def block_links(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join all that the pairs within blocks (equal keys) at the distance or less would join.
+def block_links(key: np.ndarray, codes: np.ndarray, distance: int, pivots: int = PIVOTS) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of links that join all that the pairs within blocks (equal keys) at the distance or less would join.
 
     By the triangle inequality a pair is within the distance only if no pivot coordinate differs by more: pairs are
     discarded by the largest coordinate difference, then verified. Small blocks compare every pair, in the order of the
-    first coordinate; in a large one each fingerprint meets only those not reached yet, so a dense group takes one
-    pass or few, not its square.
+    first coordinate; in a large one each code meets only those not reached yet, so a dense group takes one pass or few,
+    not its square.
     """
-    table = pivot_table(fp)
+    table = pivot_table(codes, pivots)
     order = np.lexsort((table[:, 0], key))
-    key, fp, table = key[order], fp[order], table[order]
+    key, code, table = key[order], codes[order], table[order]
     starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
     sizes = np.diff(np.append(starts, len(key)))
     big = sizes > SMALL_BLOCK
@@ -87,10 +99,10 @@ def block_links(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndar
         if not len(i):
             break
         k = i
-        for c in range(1, PIVOTS):
+        for c in range(1, pivots):
             k = k[np.abs(table[k + off, c] - table[k, c]) <= distance]
-        k = k[np.bitwise_count(fp[k] ^ fp[k + off]) <= distance]
-        a.append(fp[k]), b.append(fp[k + off])
+        k = k[hamming(code[k], code[k + off]) <= distance]
+        a.append(k), b.append(k + off)
     for s, n in zip(starts[big].tolist(), sizes[big].tolist()):
         left = np.arange(s, s + n)
         while len(left):
@@ -98,13 +110,13 @@ def block_links(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndar
             while queue and len(left):
                 x = queue.pop()
                 near = (np.abs(table[left] - table[x]) <= distance).all(axis=1)
-                near[near] = np.bitwise_count(fp[left[near]] ^ fp[x]) <= distance
+                near[near] = hamming(code[left[near]], code[x]) <= distance
                 hit = left[near]
                 left = left[~near]
                 queue += hit.tolist()
-                a.append(np.full(len(hit), fp[x])), b.append(fp[hit])
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+                a.append(np.full(len(hit), x)), b.append(hit)
+    none = np.zeros(0, np.int64)
+    return order[np.concatenate([none, *a])], order[np.concatenate([none, *b])]
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,8 +158,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = blocks.select("fp", F.xxhash64("part", "bits").alias("key")).withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
     def join(t: pa.Table) -> pa.Table:
-        a, b = block_links(t.column("key").to_numpy(), t.column("fp").to_numpy().view(np.uint64), distance)
-        a, b = forest(a.view(np.int64), b.view(np.int64))
+        fp = t.column("fp").to_numpy()
+        a, b = block_links(t.column("key").to_numpy(), fp.view(np.uint64)[:, None], distance)
+        a, b = forest(fp[a], fp[b])
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     links = C.checkpointed(blocks.groupBy("bucket").applyInArrow(join, "a long, b long"))
@@ -157,12 +170,96 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return marked.join(of_node, "fp").select(C.public_id("id").alias(id_col), "fp", C.public_id("component").alias("component"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
+SKETCH = 256
+
+
+def band_scheme(nodes: int) -> tuple[int, int]:
+    """(bands, bits of a band). Longer bands as the corpus grows, so that a block of unrelated texts stays small, and more
+    of them, so that a pair at a similarity of 0.8 (which agrees on a bit at 0.85) still meets in some band 97 times in a
+    hundred or more, and oftener above."""
+    bits = 16
+    while nodes >> bits > 16:
+        bits += 2
+    return int(np.ceil(3.6 / 0.849**bits)), bits
+
+
+def planes(count: int) -> np.ndarray:
+    return np.random.default_rng(5).standard_normal((BITS, count)).astype(np.float32)
+
+
+def sketch_limit(similarity: float) -> int:
+    """Differing bits of a sketch that a pair of the Jaccard similarity has, and two standard deviations more."""
+    apart = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(SKETCH * apart + 2 * (SKETCH * apart * (1 - apart)) ** 0.5)
+
+
+def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component): groups of documents linked by a Jaccard similarity of word shingles of about similarity or more.
+
+    Sixty-four bits hardly tell 0.8 from 0.6. So the SimHash counters themselves are kept (equal counters are one node)
+    and cut by more hyperplanes: a sketch of 256 bits, which verifies a pair, and bands, which find it. Blocks of equal
+    bands discard pairs by pivot distance tables, as above. Keys travel packed, one row per task and bucket.
+    """
+    spark = docs.sparkSession
+    bands, bits = band_scheme(docs.count())
+    limit = sketch_limit(similarity)
+    buckets = max(C.partitions(spark), C.parts_of(docs, 16 << 20))
+
+    def sketches(batches):
+        C.drop_caches()
+        cut = planes(SKETCH + bands * bits)
+        for batch in batches:
+            got = [counters(x, shingle) for x in batch.column("text").to_pylist()]
+            c = np.array([2 * x - n for x, n in got], np.int64).reshape(-1, BITS)
+            node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in c], np.uint64).view(np.int64)
+            scale = np.maximum(np.abs(c).max(axis=1, initial=1), 1)[:, None]
+            side = (c / scale).astype(np.float32) @ cut > 0
+            sketch = np.packbits(side[:, :SKETCH], axis=1, bitorder="little")
+            band = np.packbits(side[:, SKETCH:].reshape(len(c), bands, bits), axis=2, bitorder="little")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(node), pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array([x.tobytes() for x in band], pa.binary())], ["id", "node", "sketch", "bands"])
+
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    marked = C.checkpointed(plain.mapInArrow(sketches, "id long, node long, sketch binary, bands binary"))
+    nodes = marked.groupBy("node").agg(F.min("id").alias("low"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
+
+    def spread(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node = batch.column("node").to_numpy()
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+            band = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint8).reshape(len(node), bands, -1)
+            wide = np.zeros((len(node), bands, 8), np.uint8)
+            wide[:, :, : band.shape[2]] = band
+            key = C.mix(wide.view(np.uint64)[:, :, 0] * np.uint64(bands) + np.arange(bands, dtype=np.uint64)).ravel()
+            who = np.repeat(np.arange(len(node)), bands)
+            home = (key % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            full, start = np.unique(home[order], return_index=True)
+            for b, x in zip(full.tolist(), np.split(order, start[1:])):
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "keys": pa.array([key[x].tobytes()], pa.binary()), "nodes": pa.array([node[who[x]].tobytes()], pa.binary()), "codes": pa.array([sketch[who[x]].tobytes()], pa.binary())})
+
+    def join(t: pa.Table) -> pa.Table:
+        key, node, code = (b"".join(t.column(c).to_pylist()) for c in ("keys", "nodes", "codes"))
+        node = np.frombuffer(node, np.int64)
+        a, b = block_links(np.frombuffer(key, np.uint64), np.frombuffer(code, np.uint64).reshape(len(node), -1), limit, 2)
+        a, b = forest(node[a], node[b])
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    packed = nodes.select("node", "sketch", "bands").mapInArrow(spread, "bucket int, keys binary, nodes binary, codes binary")
+    links = C.checkpointed(packed.groupBy("bucket").applyInArrow(join, "a long, b long"))
+    parts = connected_components(links)
+    leads = parts.join(nodes.select("node", "low"), "node").groupBy("component").agg(F.min("low").alias("lead"))
+    of_node = nodes.select("node", "low").join(parts.join(leads, "component").select("node", "lead"), "node", "left").select("node", F.coalesce("lead", "low").alias("component"))
+    return marked.select("id", "node").join(of_node, "node").select(C.public_id("id").alias(id_col), C.public_id("component").alias("component"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of docs, one of each near-duplicate group: that of the smallest id. A row without an id yields to one with
     an id; rows without ids and with one text count as repeated rows, and of repeated rows (id and text) one stays."""
     stand_in = F.lit(C.NO_ID - 1) - F.abs(F.xxhash64(text_col).bitwiseAND(F.lit((1 << 61) - 1)))
     named = docs.withColumn("_near_id", F.coalesce(F.col(id_col).cast("long"), stand_in))
-    lead = simhash_groups(named, "_near_id", text_col, shingle, distance).where("_near_id = component").select("_near_id").distinct()
+    lead = similar_groups(named, "_near_id", text_col, shingle, similarity).where("_near_id = component").select("_near_id").distinct()
     kept = named.join(lead, "_near_id", "left_semi").withColumn("_near_text", F.xxhash64(text_col))
     return kept.dropDuplicates(["_near_id", "_near_text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -4,7 +4,6 @@ import pytest
 
 import corpus_pipeline as P
 from sievework.llm.decontaminate import Phrases, shard_hits
-from sievework.llm.simhash import fingerprint
 from sievework.llm.token_store import encoder, tokenizer_path
 
 
@@ -28,17 +27,14 @@ def test_stages_against_plain_versions(spark, stages):
     assert set(after) < set(before) and len(after) > 0.6 * len(before)
 
     before, after = ([tuple(r) for r in x.collect()] for x in out[1])
-    fp = [fingerprint(r[1]) for r in before]
-    label = list(range(len(before)))
-    for _ in before:
-        new = [min(label[j] for j in range(len(fp)) if (fp[i] ^ fp[j]).bit_count() <= 4) for i in range(len(fp))]
-        if new == label:
-            break
-        label = new
-    low = {}
-    for i, r in enumerate(before):
-        low[label[i]] = min(low.get(label[i], r[0]), r[0])
-    assert {r[0] for r in after} == set(low.values()) and len(after) == len(low)
+    sets = {r[0]: {tuple(w[i : i + 5]) for w in [r[1].lower().split()] for i in range(max(1, len(w) - 4))} for r in before}
+    kept, ids = {r[0] for r in after}, sorted(sets)
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in ids for b in ids if a < b}
+    assert set(after) < set(before) and len(kept) == len(after)
+    assert not [p for p, j in like.items() if j >= 0.9 and p[0] in kept and p[1] in kept]
+    near = [p for p, j in like.items() if 0.8 <= j < 0.9]
+    assert sum(a in kept and b in kept for a, b in near) <= len(near) // 10
+    assert all(max(j for p, j in like.items() if x in p) > 0.6 for x in set(ids) - kept)
 
     before, after = ([tuple(r) for r in x.collect()] for x in out[2])
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{at}/benchmark.parquet").collect()]
