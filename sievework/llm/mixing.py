@@ -57,6 +57,7 @@ def planned_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     digits = F.col("size").cast("string")
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), *keep)
     d = d.withColumns({"class": F.length(digits) * 1000 + F.substring(digits, 1, 3).cast("int"), "slice": F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 3), 16, 10).cast("int") % SLICES, "source_key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))})
+    d = C.checkpointed(d)  # the texts are read once; what follows reads (id, source, size) rows several times
     slices = d.groupBy("source_key", "source", "class", "slice").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     classes = slices.groupBy("source_key", "source", "class").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     targets = source_targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
