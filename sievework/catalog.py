@@ -311,6 +311,28 @@ def v_chain(spark, sf):
     return pairs(spark, sf).select("doc_id", V.chain(a, b).alias("failed"))
 
 
+@query(f"SELECT doc_id, least(abs(length(source_text) - length(target_text)) / 10.0, 25)::DOUBLE > 5 AS bad FROM {PAIRS}")
+def v_metricx(spark, sf):
+    """The score check over a deterministic client: a tenth of the difference in length."""
+    from sievework.operators import services as C
+
+    d = C.score(pairs(spark, sf), lambda ps: [abs(len(a) - len(b)) / 10 for a, b in ps], "source_text", "target_text", "score")
+    return d.select("doc_id", C.max_score(F.col("score"), 5).isNotNull().alias("bad"))
+
+
+@query("SELECT doc_id, doc_id % 5 = 2 AS bad FROM documents")
+def v_languagetool(spark, sf):
+    """The language check over a deterministic client that knows one wrong word; what the source says too is no finding."""
+    from sievework.operators import services as C
+
+    def client(text):
+        at = text.find("слово")
+        return [(at, 5, "WORD", "not a word here", ["word"])] if at >= 0 else []
+
+    d = C.language_issues(pairs(spark, sf), client, "target_text", "issues")
+    return d.select("doc_id", (F.size(V.findings_filter(F.col("issues"), F.col("source_text"))) > 0).alias("bad"))
+
+
 # --- text functions --------------------------------------------------------------------------------------------------
 
 @query("SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 'cyrillic=слов' ELSE '' END AS found FROM documents")

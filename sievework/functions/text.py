@@ -25,6 +25,7 @@ SCRIPT_RANGES = {
     "cjk_punctuation": [(0x3000, 0x303F), (0xFF01, 0xFF65)],
 }
 
+# Patterns of tokens that a translation has to keep, and the marks trimmed from their ends.
 #: White space as str.isspace has it, for Java patterns.
 SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"[\p{L}\p{N}_]+"
