@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +16,25 @@ VOCABULARY = 600
 BINS = 8
 #: Up to so many sites (some 100 bytes each) the posteriors are broadcast; beyond, rows and sites are joined by key.
 BROADCAST_SITES = 50_000
-_SYMBOL = re.compile(r"[^\w\s.,;:'’\"()\-?]")
+_CAPITALS, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
+#: ASCII marks other than those of plain prose.
+_SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,;:'\"()-?_")
 
 
 def shape(text: str | None, split: list[bytes]) -> list[float]:
     """Shares that do not depend on the language: repeated words and lines, symbols, capitals, digits, lengths."""
     t = text or ""
-    n, chars = max(1, len(split)), max(1, len(t))
+    raw = t.encode("utf-8", "surrogatepass")
+    n, chars = max(1, len(split)), max(1, len(raw))
+    of = lambda which: (len(raw) - len(raw.translate(None, which))) / chars
     lines = t.split("\n")
     letters = max(1, sum(map(len, split)))
     return [
         len(set(split)) / n,
         sum(map(bytes.__eq__, split, split[1:])) / n,
-        len(_SYMBOL.findall(t)) / chars,
-        sum(map(str.isupper, t)) / chars,
-        sum(map(str.isdigit, t)) / chars,
+        of(_SYMBOLS),
+        of(_CAPITALS),
+        of(_DIGITS),
         letters / n,
         1 - len(set(lines)) / len(lines),
         float(np.log1p(len(split))),
