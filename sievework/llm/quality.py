@@ -60,7 +60,7 @@ class Logistic:
         return out + [base + vocabulary[w] for w in vocabulary.keys() & split]
 
     @classmethod
-    def fit(cls, rows: list[tuple[list[float], set[bytes], int]], steps: int = 300, decay: float = 1e-3) -> Logistic:
+    def fit(cls, rows: list[tuple[list[float], list[bytes], int]], steps: int = 300, decay: float = 1e-3) -> Logistic:
         """rows: shares, distinct words, label 0 or 1. Words are those whose presence differs most between the labels."""
         if not rows:
             return cls({}, np.zeros((0, BINS)), np.zeros(0), 0.0)
@@ -75,7 +75,7 @@ class Logistic:
         vocabulary = {w: i for i, w in enumerate(top)}
         shares = np.array([r[0] for r in rows])
         edges = np.quantile(shares, np.linspace(0, 1, BINS + 2)[1:-1], axis=0).T
-        feats = [cls.features(vocabulary, edges, r[0], r[1]) for r in rows]
+        feats = [cls.features(vocabulary, edges, r[0], set(r[1])) for r in rows]
         col = np.concatenate([np.array(f, int) for f in feats])
         row = np.repeat(np.arange(n), [len(f) for f in feats])
         weights, bias = np.zeros(len(edges) * (BINS + 1) + len(vocabulary)), float(np.log((p + 1e-3) / (1 - p + 1e-3)))
@@ -120,8 +120,11 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             out = [(shape(t, w), list(marks(w))) for t in batch.column("_text").to_pylist() for w in [words(t)]]
             yield pa.RecordBatch.from_pydict({"id": batch.column("_fit_id"), "s": pa.array([x for x, _ in out], pa.list_(pa.float64())), "w": pa.array([x for _, x in out], pa.list_(pa.binary())), "q": batch.column("_q"), "t": batch.column("_t")})
 
-    got = sorted(pairs.mapInArrow(run, "id long, s array<double>, w array<binary>, q int, t int").limit(4 * rows).toArrow().to_pylist(), key=lambda r: (r["id"], r["s"]))
-    got = [r | {"w": set(r["w"])} for r in got]
+    table = pairs.mapInArrow(run, "id long, s array<double>, w array<binary>, q int, t int").limit(4 * rows).toArrow()
+    names: dict[bytes, bytes] = {}  # one object per distinct word: the rows share most of theirs
+    got = [r | {"w": [names.setdefault(w, w) for w in r["w"]]} for part in table.to_batches(max_chunksize=32) for r in part.to_pylist()]
+    del table
+    got.sort(key=lambda r: (r["id"], r["s"]))
     good = Logistic.fit([(r["s"], r["w"], r["q"]) for r in got])
     toxic = Logistic.fit([(r["s"], r["w"], r["t"]) for r in got]) if any(r["t"] for r in got) else Logistic.fit([])
     return Evidence(good, toxic)
