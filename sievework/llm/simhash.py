@@ -1,4 +1,5 @@
-"""SimHash fingerprints and their near-duplicate groups by pivot distance tables (operator 5)."""
+"""SimHash fingerprints and their near-duplicate groups by pivot distance tables (operator 5); groups by verified shingle
+similarity (the pipeline)."""
 
 from __future__ import annotations
 
@@ -170,87 +171,171 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return marked.join(of_node, "fp").select(C.public_id("id").alias(id_col), "fp", C.public_id("component").alias("component"))
 
 
-SKETCH = 256
+#: Min-hashes of a text; BANDS of ROWS of them find candidates, one bit of each is the sketch that thins them out.
+HASHES, BANDS, ROWS = 128, 20, 6
+#: Members of one component that a block compares with those of its other components.
+SPEAKERS = 16
+SALTS = 64
 
 
-def band_scheme(nodes: int) -> tuple[int, int]:
-    """(bands, bits of a band). Longer bands as the corpus grows, so that a block of unrelated texts stays small, and more
-    of them, so that a pair at a similarity of 0.8 (which agrees on a bit at 0.85) still meets in some band 97 times in a
-    hundred or more, and oftener above."""
-    bits = 16
-    while nodes >> bits > 16:
-        bits += 2
-    return int(np.ceil(3.6 / 0.849**bits)), bits
+def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word shingles (fewer words: the whole sequence; none: empty)."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    size = min(shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    lines = {b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
+    return np.unique(np.fromiter((digest(x, 42) for x in lines), np.uint64, len(lines)))
+
+
+def min_hashes(shingles: np.ndarray) -> np.ndarray:
+    """The least value of each of HASHES hash functions over a set; two sets agree on each as often as their Jaccard."""
+    seeds = C.mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    flip, odd = seeds[:HASHES], seeds[HASHES:] | np.uint64(1)
+    out = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 1024):
+        out = np.minimum(out, ((shingles[i : i + 1024, None] ^ flip) * odd).min(axis=0))
+    return C.mix(out)
 
 
-def planes(count: int) -> np.ndarray:
-    return np.random.default_rng(5).standard_normal((BITS, count)).astype(np.float32)
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """Per row of min-hashes the keys of its bands."""
+    part = least[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), part.shape[:2]).copy()
+    for r in range(ROWS):
+        key = C.mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, :, r])
+    return key
+
+
+def sketches_of(least: np.ndarray) -> np.ndarray:
+    """Per row of min-hashes one bit of each, in 64-bit words."""
+    return np.packbits((least & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.uint64)
 
 
 def sketch_limit(similarity: float) -> int:
-    """Differing bits of a sketch that a pair of the Jaccard similarity has, and two standard deviations more."""
-    apart = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(SKETCH * apart + 2 * (SKETCH * apart * (1 - apart)) ** 0.5)
+    """Differing bits of a sketch that a pair of the Jaccard similarity has, and four standard deviations more: a candidate
+    is verified afterwards, so the limit only has to be wide."""
+    apart = (1 - similarity) / 2
+    return int(np.ceil(HASHES * apart + 4 * (HASHES * apart * (1 - apart)) ** 0.5))
+
+
+def stars(key: np.ndarray, node: np.ndarray, code: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (member, representative): each row with the one of the least node of its block (equal keys)."""
+    order = np.lexsort((node, key))
+    starts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    lead = order[np.repeat(starts, np.diff(np.append(starts, len(key))))]
+    use = (node[order] != node[lead]) & (hamming(code[order], code[lead]) <= limit)
+    return order[use], lead[use]
+
+
+def crossings(key: np.ndarray, node: np.ndarray, code: np.ndarray, comp: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs of a block that lie in different components and within the limit. A component speaks in a
+    block by at most SPEAKERS of its members, others in each block; members that no link has reached speak each."""
+    order = np.lexsort((C.mix(node.view(np.uint64) ^ key), comp, key))
+    k, c = key[order], comp[order]
+    new = np.append(True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]))
+    starts = np.flatnonzero(new)
+    rank = np.arange(len(k)) - np.repeat(starts, np.diff(np.append(starts, len(k))))
+    order = order[rank < SPEAKERS]
+    k, c, code = key[order], comp[order], code[order]
+    ends = np.searchsorted(k, k, side="right")
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x in np.flatnonzero(ends - np.arange(len(k)) > 1).tolist():
+        y = np.arange(x + 1, ends[x])
+        y = y[c[y] != c[x]]
+        y = y[hamming(code[y], code[x]) <= limit]
+        a.append(np.full(len(y), x)), b.append(y)
+    return order[np.concatenate(a)], order[np.concatenate(b)]
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets (node, shingles) have the exact Jaccard similarity or more. A set goes along once per
+    pair and not by pairs' keys alone: the pairs of one representative are dealt over SALTS parts."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    left = salted.select("a", "salt").distinct().join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
+    both = salted.join(left, ["a", "salt"]).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("left"), batch.column("right")):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
 def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component): groups of documents linked by a Jaccard similarity of word shingles of about similarity or more.
+    """(id, component): groups of documents linked by an exact Jaccard similarity of distinct word shingles.
 
-    Sixty-four bits hardly tell 0.8 from 0.6. So the SimHash counters themselves are kept (equal counters are one node)
-    and cut by more hyperplanes: a sketch of 256 bits, which verifies a pair, and bands, which find it. Blocks of equal
-    bands discard pairs by pivot distance tables, as above. Keys travel packed, one row per task and bucket.
+    Equal sets of shingles are one node. Bands of min-hashes and a sketch of one bit each only name candidates; every link
+    is verified on the shingle sets (as 64-bit hashes) before it joins anything. First each node meets the least of its
+    block, then what is still in different components of a block meets by representatives; so a dense group costs links
+    as many as its nodes, and no pair is verified whose ends are joined already. Sets travel for candidates alone.
     """
     spark = docs.sparkSession
-    bands, bits = band_scheme(docs.count())
     limit = sketch_limit(similarity)
     buckets = max(C.partitions(spark), C.parts_of(docs, 16 << 20))
 
-    def sketches(batches):
+    def signatures(batches):
         C.drop_caches()
-        cut = planes(SKETCH + bands * bits)
         for batch in batches:
-            got = [counters(x, shingle) for x in batch.column("text").to_pylist()]
-            c = np.array([2 * x - n for x, n in got], np.int64).reshape(-1, BITS)
-            node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in c], np.uint64).view(np.int64)
-            scale = np.maximum(np.abs(c).max(axis=1, initial=1), 1)[:, None]
-            side = (c / scale).astype(np.float32) @ cut > 0
-            sketch = np.packbits(side[:, :SKETCH], axis=1, bitorder="little")
-            band = np.packbits(side[:, SKETCH:].reshape(len(c), bands, bits), axis=2, bitorder="little")
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(node), pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array([x.tobytes() for x in band], pa.binary())], ["id", "node", "sketch", "bands"])
+            got = [shingle_set(x, shingle) for x in batch.column("text").to_pylist()]
+            least = np.array([min_hashes(x) for x in got], np.uint64).reshape(-1, HASHES)
+            node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in got], np.uint64).view(np.int64)
+            pack = lambda a: pa.array([x.tobytes() for x in a], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), pa.array(node), pack(sketches_of(least)), pack(band_keys(least))], ["id", "tag", "node", "sketch", "bands"])
 
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    marked = C.checkpointed(plain.mapInArrow(sketches, "id long, node long, sketch binary, bands binary"))
-    nodes = marked.groupBy("node").agg(F.min("id").alias("low"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("tag", F.xxhash64("text"))
+    marked = C.checkpointed(plain.mapInArrow(signatures, "id long, tag long, node long, sketch binary, bands binary"))
+    nodes = marked.groupBy("node").agg(F.min(F.struct("id", "tag")).alias("low"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
+    nodes = nodes.select("node", "low.id", "low.tag", "sketch", "bands")
 
     def spread(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            node = batch.column("node").to_numpy()
+            node, comp = (batch.column(c).to_numpy() for c in ("node", "comp"))
             sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-            band = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint8).reshape(len(node), bands, -1)
-            wide = np.zeros((len(node), bands, 8), np.uint8)
-            wide[:, :, : band.shape[2]] = band
-            key = C.mix(wide.view(np.uint64)[:, :, 0] * np.uint64(bands) + np.arange(bands, dtype=np.uint64)).ravel()
-            who = np.repeat(np.arange(len(node)), bands)
+            key = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
+            who = np.repeat(np.arange(len(node)), BANDS)
             home = (key % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(home, kind="stable")
             full, start = np.unique(home[order], return_index=True)
             for b, x in zip(full.tolist(), np.split(order, start[1:])):
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "keys": pa.array([key[x].tobytes()], pa.binary()), "nodes": pa.array([node[who[x]].tobytes()], pa.binary()), "codes": pa.array([sketch[who[x]].tobytes()], pa.binary())})
+                packed = {"keys": key[x], "nodes": node[who[x]], "comps": comp[who[x]], "codes": sketch[who[x]]}
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32())} | {c: pa.array([v.tobytes()], pa.binary()) for c, v in packed.items()})
 
-    def join(t: pa.Table) -> pa.Table:
-        key, node, code = (b"".join(t.column(c).to_pylist()) for c in ("keys", "nodes", "codes"))
-        node = np.frombuffer(node, np.int64)
-        a, b = block_links(np.frombuffer(key, np.uint64), np.frombuffer(code, np.uint64).reshape(len(node), -1), limit, 2)
-        a, b = forest(node[a], node[b])
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+    def candidates(found: DataFrame, first: bool) -> DataFrame:
+        def pick(t: pa.Table) -> pa.Table:
+            key, node, comp, code = (b"".join(t.column(c).to_pylist()) for c in ("keys", "nodes", "comps", "codes"))
+            key, node, comp = np.frombuffer(key, np.uint64), np.frombuffer(node, np.int64), np.frombuffer(comp, np.int64)
+            code = np.frombuffer(code, np.uint64).reshape(len(node), -1)
+            a, b = stars(key, node, code, limit) if first else crossings(key, node, code, comp, limit)
+            return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
+
+        packed = found.select("node", "comp", "sketch", "bands").mapInArrow(spread, "bucket int, keys binary, nodes binary, comps binary, codes binary")
+        return C.checkpointed(packed.groupBy("bucket").applyInArrow(pick, "a long, b long").distinct())
 
-    packed = nodes.select("node", "sketch", "bands").mapInArrow(spread, "bucket int, keys binary, nodes binary, codes binary")
-    links = C.checkpointed(packed.groupBy("bucket").applyInArrow(join, "a long, b long"))
+    def shingles(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([shingle_set(x, shingle).tobytes() for x in batch.column("text").to_pylist()], pa.binary())], ["node", "shingles"])
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "id", "tag"), "node")
+        texts = plain.withColumn("tag", F.coalesce("tag", F.lit(0))).join(wanted.withColumn("tag", F.coalesce("tag", F.lit(0))), ["id", "tag"]).dropDuplicates(["node"])
+        return verified(pairs, C.checkpointed(texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary")), similarity)
+
+    links = C.checkpointed(links_of(candidates(nodes.withColumn("comp", F.col("node")), True)))
+    parts = connected_components(links)
+    joined = nodes.join(parts, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    links = C.checkpointed(links.union(links_of(candidates(joined, False))))
     parts = connected_components(links)
-    leads = parts.join(nodes.select("node", "low"), "node").groupBy("component").agg(F.min("low").alias("lead"))
-    of_node = nodes.select("node", "low").join(parts.join(leads, "component").select("node", "lead"), "node", "left").select("node", F.coalesce("lead", "low").alias("component"))
+    leads = parts.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("lead"))
+    of_node = nodes.select("node", F.col("id").alias("low")).join(parts.join(leads, "component").select("node", "lead"), "node", "left").select("node", F.coalesce("lead", "low").alias("component"))
     return marked.select("id", "node").join(of_node, "node").select(C.public_id("id").alias(id_col), C.public_id("component").alias("component"))
 
 

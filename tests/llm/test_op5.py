@@ -97,3 +97,30 @@ def test_near_dedup(spark, docs, no_docs):
     kept = {r.doc_id for r in got.collect()}
     assert 1000 in kept or any(not (t or "").split() for t in [r.text for r in got.collect()])
     assert near_dedup(no_docs).collect() == [] and simhash_groups(no_docs).collect() == []
+
+
+def test_near_dedup_links_are_verified(spark, docs):
+    """Pairs on both sides of 0.8, a chain below it, and repeats that the counters of a SimHash would count."""
+    r = random.Random(21)
+    word = lambda: f"v{r.randrange(10**6)}"
+    texts = []
+    for i in range(240):
+        base = [word() for _ in range(300)]
+        # k changed words, far apart, change 5k of 296 shingles
+        other, k = list(base), (5, 6, 8, 10)[i % 4]
+        for j in range(k):
+            other[10 + j * (280 // k)] = word()
+        texts += [" ".join(base), " ".join(other)]
+    phrase = " ".join(word() for _ in range(10))
+    texts += [" ".join(word() for _ in range(200)) + (" " + phrase) * 100 for _ in range(2)]
+    once = " ".join(word() for _ in range(40))
+    texts += [once + " " + once + " " + once, once + " " + once]
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], docs.schema)
+    kept = {x.doc_id for x in near_dedup(df).collect()}
+    like = [jaccard(texts[i], texts[i + 1]) for i in range(0, len(texts), 2)]
+    assert {2 * i for i in range(len(like))} <= kept
+    assert all(2 * i + 1 in kept for i, j in enumerate(like) if j < 0.8)
+    assert sum(0.65 < j < 0.8 for j in like) >= 100
+    near = [2 * i + 1 in kept for i, j in enumerate(like) if j >= 0.8]
+    assert len(near) >= 120 and sum(near) <= 2
+    assert len(texts) - 1 not in kept
