@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import duckdb
 
@@ -44,3 +45,36 @@ def test_same_as_sql(spark, tmp_path):
         want = con.sql(f"SELECT doc_id, n_sentences, sentence_ids, licenses FROM ({OP9_SQL})").fetchall()
         assert sorted(map(tuple, op9(spark, at).select("doc_id", "n_sentences", "sentence_ids", "licenses").collect())) == sorted(want)
     assert sum(bool(x[3]) for x in want) > 20
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD3 = BSD2 + "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+GPL3 = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+GPL2 = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS."""
+
+
+def test_real_texts_wrapped_and_unwrapped(spark):
+    want = [(MIT, [6, 7, 8], ["MIT"]), (BSD2, [9, 10, 11], ["BSD-2-Clause"]), (BSD3, [9, 10, 11, 12], ["BSD-3-Clause"]), (GPL3, [14], ["GPL"]), (GPL2, [14], ["GPL"]), (APACHE, [2, 3, 4], ["Apache-2.0"])]
+    cases = []
+    for text, ids, names in want:
+        for width in (None, 70, 80):
+            wrapped = "\n".join(textwrap.fill(p, width, initial_indent="# ", subsequent_indent="# ") for p in text.split("\n\n")) if width else text
+            cases += [(wrapped, ids, names), ("Copyright 2020 A Person\n\n" + wrapped.replace("\n", "\r\n"), ids, names)]
+    cases += [("Not so: " + GPL3, [], []), (MIT.replace("free of charge", "at a price"), [7, 8], [])]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (list(r.sentence_ids), list(r.licenses)) for r in license_scan(df).collect()}
+    assert got == {i: (ids, names) for i, (_, ids, names) in enumerate(cases)}
