@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +26,12 @@ def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
 
 
 class Counter(dict):
-    """Pieces and score of the best split of a segment (a word with the space mark before it).
+    """Pieces and score of the best split of a segment.
 
-    No piece holds a space mark after its start, so the best split of a text is that of its segments, and each distinct
-    segment is searched once per worker, up to a bound. An Aho-Corasick automaton lists the pieces that end at each
+    With split (the pre-split of the tokenizers library) a segment is a word with the one space mark before it, and pieces
+    of several space marks never match. Without, the whole vocabulary is searched: a segment is a run of space marks and
+    the word after it, cut only where no piece can cross; a vocabulary that has pieces across is searched uncut. So the
+    best split of a text is that of its segments, and each distinct segment is searched once per worker, up to a bound. An Aho-Corasick automaton lists the pieces that end at each
     character; the dynamic program carries the best score and the number of pieces, never the path. Ties go as in the
     public tokenizers: a path is replaced by a strictly better one only, and paths are tried by their last piece's start,
     leftmost first. A character that no single-character piece covers may be an unknown piece, scored below the worst
@@ -36,8 +40,12 @@ class Counter(dict):
 
     bound = 500_000
 
-    def __init__(self, pieces: list[tuple[str, float]], unknown: int):
+    def __init__(self, pieces: list[tuple[str, float]], unknown: int, split: bool = True):
         super().__init__()
+        real = [p for i, (p, _) in enumerate(pieces) if i != unknown]
+        crossed = SPACE not in real or any(re.search(f"[^{SPACE}]{SPACE}", p) for p in real)
+        self.split = split
+        self.segments = (lambda text: [text]) if crossed else re.compile(f"{SPACE}+[^{SPACE}]*").findall
         self.automaton = ahocorasick.Automaton()
         for i, (piece, score) in enumerate(pieces):
             if i != unknown and piece:
@@ -73,21 +81,22 @@ class Counter(dict):
             return 0, 0.0
         text = text.replace(" ", SPACE)
         text = text if text.startswith(SPACE) else SPACE + text
-        got = [self[SPACE + x] for x in text.split(SPACE)[1:]]
+        got = [self[SPACE + x] for x in text.split(SPACE)[1:]] if self.split else [self[x] for x in self.segments(text)]
         return sum(n for n, _ in got), sum(s for _, s in got)
 
 
-def count_tokens(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+def count_tokens(docs: DataFrame, model_path: str, text_col: str = "text", split: bool = True) -> DataFrame:
     """docs with n_tokens and token_score (the best split's summed score) of each whole text.
 
-    A text starts with a space mark and its spaces are space marks; nothing else is normalised. Row by row, without a
+    A text starts with a space mark and its spaces are space marks; nothing else is normalised. split
+    cuts it at every space mark first (Counter); op6 does not. Row by row, without a
     shuffle; a task holds one batch and its segment cache. Null or empty texts have no tokens and score 0. Repeated rows
     count alike. Columns named n_tokens, token_score are replaced.
     """
     docs = docs.drop("n_tokens", "token_score")
 
     def run(batches):
-        counter = C.worker_cache(("unigram", model_path), lambda: Counter(*vocabulary(model_path)))
+        counter = C.worker_cache(("unigram", model_path, split), lambda: Counter(*vocabulary(model_path), split))
         for batch in batches:
             got = [counter.count(t) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.float64())], [*batch.schema.names, "n_tokens", "token_score"])
@@ -104,4 +113,4 @@ def model_path() -> str:
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text"))
-    return count_tokens(docs, model_path()).select("doc_id", "source", "n_tokens", "token_score")
+    return count_tokens(docs, model_path(), split=False).select("doc_id", "source", "n_tokens", "token_score")

@@ -2,7 +2,7 @@ import random
 
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from sievework.llm.unigram import Counter, count_tokens, model_path, vocabulary
+from sievework.llm.unigram import Counter, count_tokens, model_path, op6, vocabulary
 
 
 def reference(pieces, unk):
@@ -33,3 +33,34 @@ def test_ties():
         for _ in range(30):
             t = "".join(r.choice("abcd ") for _ in range(r.randrange(1, 20)))
             assert counter.count(t)[0] == len(ref.encode(t).ids), (pieces, t)
+
+
+def unsplit(pieces, unk):
+    t = Tokenizer(models.Unigram(pieces, unk_id=unk))
+    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    return t
+
+
+def test_whole_vocabulary_same_as_the_library_without_the_split(spark, rows):
+    pieces, unk = vocabulary(model_path())
+    ref, counter, score = unsplit(pieces, unk), Counter(pieces, unk, split=False), dict(pieces)
+    odd = ["a  b", "a ", " a", "x" + " " * 16 + "y", "x" + " " * 100, "def f():\n        return  1", "  two  spaces ", "☃☃☃  ☃a☃", "▁▁ a▁b", "日本語   x"]
+    for t in odd + [r[1] for r in rows if r[1]]:
+        assert counter.count(t)[0] == len(ref.encode(t).ids), t
+        if "☃" not in t and all(x in score for x in ref.encode(t).tokens):
+            assert abs(counter.count(t)[1] - sum(score[x] for x in ref.encode(t).tokens)) < 1e-6, t
+    assert counter.count("x" + " " * 16 + "y")[0] == 3
+    at = "/root/testdata/sf0.001"
+    got = {r.doc_id: r.n_tokens for r in op6(spark, at).collect()}
+    assert got == {r.doc_id: len(ref.encode(r.text).ids) if r.text else 0 for r in spark.read.parquet(f"{at}/documents.parquet").collect()}
+
+
+def test_whole_vocabulary_ties_and_pieces_across():
+    r = random.Random(5)
+    for k in range(40):
+        letters = "abc▁" if k % 2 else "abc"
+        pieces = [("<unk>", 0.0), ("▁", -2.0), ("▁▁", -3.0)] + [(p, float(-r.randrange(1, 4))) for p in {"".join(r.choice(letters) for _ in range(r.randrange(1, 4))) for _ in range(12)} - {"▁", "▁▁"}]
+        ref, counter = unsplit(pieces, 0), Counter(pieces, 0, split=False)
+        for _ in range(30):
+            t = "".join(r.choice("abcd  ") for _ in range(r.randrange(1, 20)))
+            assert counter.count(t)[0] == len(ref.encode(t).ids), (pieces, t)
