@@ -29,8 +29,11 @@ class MultiIndex:
     """Tables of the codes by each of their segments; the radius of a search grows until the k nearest are proven."""
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray, copies: int | None = None):
-        """copies: of each code, only so many rows of the least ids; k + 1 lose nothing in a search for k."""
+        """Repeated rows count once. copies: of each code, only so many rows of the least ids; k + 1 lose nothing in a search
+        for k."""
         order = np.lexsort((ids, codes))
+        if len(order):
+            order = order[np.append(True, (np.diff(codes[order]) != 0) | (np.diff(ids[order]) != 0))]
         if copies and len(order):
             start = np.flatnonzero(np.append(True, np.diff(codes[order]) != 0))
             order = order[np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order)))) < copies]

@@ -35,3 +35,13 @@ def test_edges(spark):
     got = sorted(map(tuple, nearest_codes(df, df.where("vec_id % 20 = 0"), k=2, shard_rows=2).collect()))
     assert got == [(0, 1, 1, 0), (0, 2, 4, 63), (20, 1, 3, 0), (20, 2, 4, 1)]
     assert nearest_codes(df.limit(0), df.limit(0)).collect() == []
+
+
+def test_repeated_rows_of_one_code_count_once(spark):
+    one, near = [1.0] * 64, [-1.0] + [1.0] * 63
+    rows = [(i, one) for i in range(20) for _ in range(3)] + [(i, near) for i in range(100, 115)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, nearest_codes(df, df.where("vec_id = 0"), k=10, shard_rows=1000).collect()))
+    assert got == [(0, i, i, 0) for i in range(1, 11)]
+    ids, codes = np.repeat(np.arange(20), 3), np.full(60, 7, np.uint64)
+    assert MultiIndex(ids, codes, 11).search(codes[:1], ids[:1], 10)[0][1].tolist() == list(range(1, 11))
