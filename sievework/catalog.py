@@ -723,5 +723,61 @@ def job_detail(spark, sf):
     return S.envelope(d).select(F.from_json("status", "state string, records long").alias("s")).select("s.state", "s.records")
 
 
+# --- whole tables: queries whose SQL is for a part of them, over all rows and whole texts (tested by brute force) ---------
+
+@query()
+def scan_jsonl_whole(spark, sf):
+    path = S.scratch(spark, "scan_jsonl_whole")
+    S.write_shards(t(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars"), path)
+    return S.scan(spark, path, schema="doc_id long, text string, lang string, source string, n_chars long")
+
+
+@query()
+def v_patterns_whole(spark, sf):
+    return pairs(spark, sf).select("doc_id", V.pattern_preservation(F.col("target_text"), F.col("source_text"), ("url", "email")).isNotNull().alias("bad"))
+
+
+@query()
+def pattern_misses_whole(spark, sf):
+    d = pairs(spark, sf).withColumn("m", X.pattern_misses(F.col("source_text"), F.col("target_text")))
+    n = lambda k: F.coalesce(F.size(F.try_element_at("m", F.lit(k))), F.lit(0))
+    return d.select("doc_id", n("url").alias("url"), n("email").alias("email"))
+
+
+def whole_issues(spark, sf):
+    """Eight words spread over the whole text, first and last among them, as issues, and three that are not in it."""
+    words = F.filter(X.space_words(F.col("text")), lambda x: F.length(x) > 0)
+    w = F.transform(F.when(F.size(words) > 0, F.sequence(F.lit(0), F.lit(7))), lambda i: F.get(words, F.floor(i * (F.size(words) - 1) / 7).cast("int")))
+    made = [(F.lit("zzqq"), "R2"), (F.lit("Zzqq"), "R2"), (F.lit(None).cast("string"), "R3")]
+    more = F.array(*[F.struct(x.alias("error_text"), F.lit(r).alias("rule_id")) for x, r in made])
+    return t(spark, sf, "documents").select("doc_id", "text", F.concat(F.transform(F.coalesce(w, F.array().cast("array<string>")), lambda x: F.struct(x.alias("error_text"), F.lit("R1").alias("rule_id"))), more).alias("issues"))
+
+
+@query()
+def suppress_verbatim_whole(spark, sf):
+    return whole_issues(spark, sf).select("doc_id", F.size("issues").cast("long").alias("n_issues"), F.size(V.suppress_verbatim(F.col("issues"), F.col("text"))).cast("long").alias("n"))
+
+
+@query()
+def lt_findings_filter_whole(spark, sf):
+    kept = V.findings_filter(F.col("issues"), F.col("text"))
+    return whole_issues(spark, sf).select("doc_id", F.array_join(F.transform(kept, lambda i: F.coalesce(i.error_text, i.rule_id)), ",").alias("left"))
+
+
+@query()
+def align_items_whole(spark, sf):
+    expected = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.explode(F.expr("sequence(1L, 4L)")).alias("item"))
+    replies = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), (F.col("l_suppkey") % 5).alias("item"), F.col("l_shipdate").cast("date").cast("string").alias("reply"))
+    return K.align_items(expected, replies, "k", "item")
+
+
+@query()
+def plan_diff_whole(spark, sf):
+    e = t(spark, sf, "events").groupBy((F.col("user_id") % 50).alias("stage"), (F.floor(F.col("user_id") / 50) % 2).alias("half")).agg(F.min("event_type").alias("sig"), F.max("event_type").alias("last"))
+    side = lambda h: F.max(F.when(F.col("half") == h, F.concat_ws(",", "sig", "last")))
+    p = e.groupBy("stage").agg(side(0).alias("old"), side(1).alias("new"))
+    return p.select("stage", (~F.col("old").eqNullSafe(F.col("new"))).alias("changed"))
+
+
 QUERIES["gated_curation"] = gated_curation
 ORACLES["gated_curation"] = FLAGSHIP_SQL
