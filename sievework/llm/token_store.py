@@ -132,11 +132,16 @@ class Block:
         return np.frombuffer(self.unpacker.decompress(self.data[a:b]), f"<u{self.width}")
 
 
+def sampled(plain: DataFrame, count: int) -> DataFrame:
+    """The rows (id, text) of the count least hashes of the id among all rows; texts come cut to what the sample reads."""
+    return plain.select("id", F.substring("text", 1, 100_000).alias("text")).orderBy(F.xxhash64("id"), "id").limit(count)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, sample_docs: int = 400) -> None:
     """Write each whole text's ids, then end_id, in ascending id order (nulls last) as blocks under path.
 
-    path/dictionary has the shared dictionary, trained on the serialized ids of a bounded sample (sample_docs documents:
-    it decides sizes, never contents); path/blocks has the blocks, numbered in order. Spark's own committer writes both,
+    path/dictionary has the shared dictionary, trained on the serialized ids of a bounded sample (the sample_docs documents
+    of least hash of the id among all rows, at most 100,000 characters of each: it decides sizes, never contents); path/blocks has the blocks, numbered in order. Spark's own committer writes both,
     so a lost executor's task is run again and leaves nothing half done. Null texts are empty: the end id alone. Rows
     of equal ids stay, next to each other. Other columns are not read.
     """
@@ -148,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"ids": pa.array([enc.ids(x[:100_000]) for x in batch.column("text").to_pylist() if x], pa.binary())})
 
-    dictionary = train_dictionary([bytes(r.ids) for r in plain.limit(sample_docs).mapInArrow(sample, "ids binary").collect()])
+    dictionary = train_dictionary([bytes(r.ids) for r in sampled(plain, sample_docs).mapInArrow(sample, "ids binary").collect()])
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").write.mode("overwrite").parquet(f"{path}/dictionary")
     parts = max(C.partitions(spark), C.parts_of(docs, 16 << 20))
 

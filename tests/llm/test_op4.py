@@ -36,3 +36,12 @@ def test_empty_and_damaged(spark, no_docs, tmp_path):
     with pytest.raises(ValueError):
         T.Block(T.write_block([1], [b"\1\0"], 2, b""), b"other")
     assert T.train_dictionary([]) == b""
+
+
+def test_sample_is_of_all_rows(spark):
+    from sievework.llm.token_store import sampled
+
+    df = spark.range(2000).selectExpr("id", "repeat('x ', 10) AS text").coalesce(1)
+    got = {r.id for r in sampled(df, 100).collect()}
+    assert len(got) == 100 and min(got) < 200 and max(got) >= 1800
+    assert got == {r.id for r in sampled(df.repartition(7), 100).collect()}
