@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Stands for a null id inside the operators: it sorts after every other id.
 NO_ID = 2**63 - 1
@@ -20,12 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where it is unset (tests) one of our own."""
+    """The folder that the cluster names in spark.checkpoint.dir. Without one there is no place that all executors see, so
+    that is an error: a machine-local folder of our own would lose rows on a cluster."""
+    context = spark.sparkContext._jsc.sc()
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        own = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = own.get() if own.isDefined() else "file://" + tempfile.mkdtemp(prefix="sievework-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not context.getCheckpointDir().isDefined():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = context.getCheckpointDir().get()
+    if not context.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(at)
     return at
 
@@ -35,37 +38,44 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bytes_in(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a frame (file sizes for a scan): no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what an operator has written to the shared folder and nobody reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def in_one(docs: DataFrame) -> DataFrame:
+    """All columns as the fields of one column, row: whatever they are called, they clash with no name of an operator."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def out_of_one(columns: list[str]) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in columns]
 
 
-def parts_of(df: DataFrame, part_bytes: int) -> int:
-    """How many parts of part_bytes a frame has by Catalyst's estimate; 1 where there is none (a frame of local rows)."""
-    size = bytes_in(df)
-    return size // part_bytes + 1 if size < 1 << 58 else 1
+def text_bytes(docs: DataFrame, text_col: str) -> int:
+    """Bytes of all texts, measured: a narrow scan, whatever the frame comes from."""
+    return int(docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")) + 16)).first()[0] or 0)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def group_count(df: DataFrame, group_bytes: int = 4 << 20) -> int:
-    """Document groups of about group_bytes of compressed input each, so that one group always fits in a worker."""
-    return max(2 * partitions(df.sparkSession), parts_of(df, group_bytes))
+def group_count(spark: SparkSession, size: int, group_bytes: int = 12 << 20) -> int:
+    """Document groups of about group_bytes of text each, so that one group always fits in a worker."""
+    return max(2 * partitions(spark), size // group_bytes + 1)
 
 
-def bucket_count(df: DataFrame, bucket_bytes: int = 32 << 20) -> int:
-    return max(partitions(df.sparkSession), parts_of(df, bucket_bytes))
+def bucket_count(spark: SparkSession, size: int, bucket_bytes: int = 64 << 20) -> int:
+    """Ranges of keys, each with those of about bucket_bytes of text."""
+    return max(partitions(spark), size // bucket_bytes + 1)
 
 
 def grouped_docs(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
-    """(src, id, text): src deals the rows evenly, whatever their source or content."""
-    return docs.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(groups)).cast("int").alias("src"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-        F.col(text_col).cast("string").alias("text"),
-    )
+    """(src, id, text): src deals the rows evenly by id and text, so null ids, or one id of many texts, are no hot group."""
+    plain = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return plain.select(F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int").alias("src"), "id", "text")
 
 
 def public_id(c: str | Column = "id") -> Column:

@@ -150,11 +150,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     marked = C.checkpointed(fingerprints(docs, id_col, text_col, shingle))
     nodes = marked.groupBy("fp").agg(F.min("id").alias("low"))
-    segments, agree = block_scheme(nodes.count(), distance)
+    found = nodes.count()
+    segments, agree = block_scheme(found, distance)
     cuts = [BITS * i // segments for i in range(segments + 1)]
     masks = [sum(((1 << (cuts[s + 1] - cuts[s])) - 1) << cuts[s] for s in chosen) for chosen in combinations(range(segments), agree)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    buckets = max(C.partitions(spark), C.parts_of(docs, 64 << 20))
+    buckets = max(C.partitions(spark), found * len(masks) // (1 << 20) + 1)
     blocks = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks])).alias("part", "bits"))
     blocks = blocks.select("fp", F.xxhash64("part", "bits").alias("key")).withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
@@ -278,7 +279,6 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
     """
     spark = docs.sparkSession
     limit = sketch_limit(similarity)
-    buckets = max(C.partitions(spark), C.parts_of(docs, 16 << 20))
 
     def signatures(batches):
         C.drop_caches()
@@ -293,6 +293,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
     marked = C.checkpointed(plain.mapInArrow(signatures, "id long, tag long, node long, sketch binary, bands binary"))
     nodes = marked.groupBy("node").agg(F.min(F.struct("id", "tag")).alias("low"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
     nodes = nodes.select("node", "low.id", "low.tag", "sketch", "bands")
+    buckets = max(C.partitions(spark), nodes.count() * BANDS // (1 << 18) + 1)
 
     def spread(batches):
         for batch in batches:

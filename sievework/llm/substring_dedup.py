@@ -87,7 +87,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null or empty text: no words, kept_text ''. Null ids sort last: such rows remove from nobody, and lose passages that
     rows with ids have. Rows with equal ids do not remove from each other. Other columns are not read.
     """
-    groups, buckets = C.group_count(docs), C.bucket_count(docs)
+    spark, size = docs.sparkSession, C.text_bytes(docs, text_col)
+    groups, buckets = C.group_count(spark, size), C.bucket_count(spark, size)
     cover = C.difference_cover(period)
     by_src = C.grouped_docs(docs, id_col, text_col, groups)
 

@@ -152,8 +152,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     input row. Null or empty text: no bytes. Null ids sort last. Rows with equal ids count as one place: equal starts of
     them do not remove each other, later starts do. Other columns are not read.
     """
-    groups, buckets = C.group_count(docs), C.bucket_count(docs)
-    ranges = 2 * C.bucket_count(docs, 8 << 20)
+    spark, size = docs.sparkSession, C.text_bytes(docs, text_col)
+    groups, buckets = C.group_count(spark, size), C.bucket_count(spark, size)
+    ranges = 2 * C.bucket_count(spark, size, 14 << 20)
     reach, width = length - token, 2 * length - token
     by_src = C.grouped_docs(docs, id_col, text_col, groups)
     splitters = _splitters(docs, text_col, length, token, ranges, sample_docs, seed)

@@ -155,7 +155,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     dictionary = train_dictionary([bytes(r.ids) for r in sampled(plain, sample_docs).mapInArrow(sample, "ids binary").collect()])
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").write.mode("overwrite").parquet(f"{path}/dictionary")
-    parts = max(C.partitions(spark), C.parts_of(docs, 16 << 20))
+    parts = max(C.partitions(spark), C.text_bytes(docs, text_col) // (28 << 20) + 1)
 
     def run(batches):
         enc = encoder(tokenizer_path)

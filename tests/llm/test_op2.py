@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.llm.mixing import OP2_SQL, mix, op2, planned_copies
 
@@ -61,3 +62,26 @@ def test_near_targets_and_same_as_sql(spark, sf):
     for r in rows:
         taken[r.target] += r.taken
     assert abs(sum(taken.values()) / sum(r.size for r in rows) - 1) < 0.1
+
+
+CLASH = ("id", "copies", "_mix_k", "size", "slice", "class", "source_key", "key_a", "m", "row", "rows", "last", "rank", "a.b", "col", "_k", "_part")
+
+
+def test_clashing_columns_and_hot_null_ids(spark, docs):
+    more = docs.withColumns({c: F.lit(c) for c in CLASH})
+    out = mix(more)
+    assert out.columns == more.columns
+    assert Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in mix(docs).collect())
+    assert {r["a.b"] for r in out.collect()} == {"a.b"}
+    lost = spark.createDataFrame([(None, f"w {i % 5}", "en", "a" if i % 2 else None, 1) for i in range(300)], docs.schema)
+    want = Counter()
+    for r in planned_copies(lost).collect():
+        want[r.id, r.source] += r.copies
+    assert Counter((r.doc_id, r.source) for r in mix(lost).collect()) == want
+
+
+def test_many_sources(spark):
+    rows = [(i, "w " * (1 + i % 11), f"s{i % 700:03d}") for i in range(3000)]
+    got = planned_copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("source", "target").distinct().collect()
+    _, want = targets([(i, t, None, s) for i, t, s in rows])
+    assert {r.source: r.target for r in got} == pytest.approx(want)
