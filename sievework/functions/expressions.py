@@ -44,13 +44,15 @@ def parse(expression: str) -> ast.expr:
 
 @dataclass
 class Value:
-    """A column and what it holds: bool int float str list map struct none missing, or mixed (its truth alone counts)."""
+    """A column and what it holds: bool int float str list map struct none missing; mixed (a list of unlike items, whose
+    truth alone counts); or choice: of two values of unlike kinds one, as a condition says."""
 
     col: Column
     kind: str
     type: T.DataType | None = None
     truth_col: Column | None = None
     literal: object = None
+    either: tuple[Column, Value, Value] | None = None
 
     @property
     def truth(self) -> Column:
@@ -83,6 +85,25 @@ def _of(col: Column, type_: T.DataType) -> Value:
     return Value(col if kind != "str" or isinstance(type_, T.StringType) else col.cast("string"), kind, type_)
 
 
+def choose(condition: Column, x, y):
+    """x where the condition holds, else y: values, or plain columns."""
+    if isinstance(x, Column):
+        return F.when(condition, x).otherwise(y)
+    truth = F.when(condition, x.truth).otherwise(y.truth)
+    if x.kind == y.kind and x.kind not in ("mixed", "missing", "none", "choice") and x.type == y.type:
+        return Value(F.when(condition, x.col).otherwise(y.col), x.kind, x.type, truth)
+    return Value(F.lit(None), "choice", truth_col=truth, either=(condition, x, y))
+
+
+def over(f, *values: Value):
+    """f of the values; of a choice it is the choice between f of either."""
+    for i, v in enumerate(values):
+        if v.kind == "choice":
+            condition, x, y = v.either
+            return choose(condition, *(over(f, *values[:i], z, *values[i + 1 :]) for z in (x, y)))
+    return f(*values)
+
+
 class Compiler:
     def __init__(self, schema: T.StructType):
         self.fields = {f.name: f.dataType for f in schema.fields}
@@ -113,7 +134,7 @@ class Compiler:
         return self.literal(ALIASES[n.id]) if n.id in ALIASES else self.missing()
 
     def on_attribute(self, n):
-        return self.field(self.visit(n.value), n.attr)
+        return over(lambda v: self.field(v, n.attr), self.visit(n.value))
 
     def field(self, v: Value, name: str) -> Value:
         if v.kind == "struct" and name in v.type.names:
@@ -125,7 +146,9 @@ class Compiler:
     def on_subscript(self, n):
         if isinstance(n.slice, ast.Slice):
             raise ExpressionError("slices are not allowed")
-        v, k = self.visit(n.value), self.visit(n.slice)
+        return over(self.item, self.visit(n.value), self.visit(n.slice))
+
+    def item(self, v: Value, k: Value) -> Value:
         if v.kind in ("struct", "map") and isinstance(k.literal, str):
             return self.field(v, k.literal)
         if v.kind in ("list", "str") and k.kind in ("int", "bool"):
@@ -146,7 +169,7 @@ class Compiler:
             return Value(F.array().cast("array<string>"), "list", T.ArrayType(T.StringType()), literal=[])
         if len(kinds) > 1 and kinds <= set(NUMERIC):
             out = Value(F.array(*[v.number.cast("double") for v in items]), "list", T.ArrayType(T.DoubleType()))
-        elif len(kinds) > 1:
+        elif len(kinds) > 1 or "choice" in kinds:
             out = Value(F.lit(True), "mixed", truth_col=F.lit(True))
         else:
             type_ = next((v.type for v in items if v.kind in kinds), T.StringType())
@@ -161,18 +184,17 @@ class Compiler:
         for x in n.values[1:]:
             a, b = out, self.visit(x)
             both = isinstance(n.op, ast.And)
-            truth = (a.truth & b.truth) if both else (a.truth | b.truth)
-            if a.kind == b.kind and a.kind not in ("mixed", "missing", "none") and a.type == b.type:
-                pick = F.when(a.truth, b.col).otherwise(a.col) if both else F.when(a.truth, a.col).otherwise(b.col)
-                out = Value(pick, a.kind, a.type, truth)
-            else:
-                out = Value(truth, "mixed", truth_col=truth)
+            out = choose(a.truth, b, a) if both else choose(a.truth, a, b)
+            out.truth_col = (a.truth & b.truth) if both else (a.truth | b.truth)
         return out
 
     def on_unaryop(self, n):
         v = self.visit(n.operand)
         if isinstance(n.op, ast.Not):
             return Value(~v.truth, "bool", T.BooleanType())
+        return over(lambda x: self.signed(n, x), v)
+
+    def signed(self, n: ast.UnaryOp, v: Value) -> Value:
         if v.kind not in NUMERIC:
             return self._type_error("unary operator")
         if isinstance(n.operand, ast.Constant):
@@ -188,8 +210,9 @@ class Compiler:
         return v.number if v.literal is not None else F.when(v.col.isNull(), F.raise_error(F.lit("arithmetic on an absent value")).cast("double" if v.kind == "float" else "long")).otherwise(v.number.cast("double" if v.kind == "float" else "long"))
 
     def on_binop(self, n):
-        a, b = self.visit(n.left), self.visit(n.right)
-        op = type(n.op)
+        return over(lambda a, b: self.arithmetic(type(n.op), a, b), self.visit(n.left), self.visit(n.right))
+
+    def arithmetic(self, op: type, a: Value, b: Value) -> Value:
         if a.kind == b.kind == "str" and op is ast.Add:
             return Value(F.concat(a.col, b.col), "str", T.StringType())
         if op is ast.Mult and {a.kind, b.kind} <= {"str", "int", "bool"} and "str" in (a.kind, b.kind) and a.kind != b.kind:
@@ -202,17 +225,20 @@ class Compiler:
         whole = "float" not in (a.kind, b.kind)
         to = "long" if whole else "double"
         x, y = self._known(a).cast(to), self._known(b).cast(to)
-        down = F.floor(x / y)
         if op is ast.Div:
             return Value(x.cast("double") / y.cast("double"), "float", T.DoubleType())
-        col = {ast.Add: lambda: x + y, ast.Sub: lambda: x - y, ast.Mult: lambda: x * y, ast.FloorDiv: lambda: down.cast(to), ast.Mod: lambda: x - y * down.cast(to)}[op]()
+        # towards minus infinity; whole numbers stay whole, so none is rounded
+        apart = (x % y != 0) & ((x < 0) != (y < 0))
+        down = lambda: F.call_function("div", x, y) - apart.cast("long") if whole else F.floor(x / y).cast(to)
+        left = lambda: F.when(apart, x % y + y).otherwise(x % y)
+        col = {ast.Add: lambda: x + y, ast.Sub: lambda: x - y, ast.Mult: lambda: x * y, ast.FloorDiv: down, ast.Mod: left}[op]()
         return Value(col, "int" if whole else "float", T.LongType() if whole else T.DoubleType())
 
     def on_compare(self, n):
         parts = [self.visit(x) for x in (n.left, *n.comparators)]
         out = None
         for a, op, b in zip(parts, n.ops, parts[1:]):
-            c = self._pair(a, op, b)
+            c = over(lambda x, y, op=op: self._pair(x, op, y), a, b)
             out = c if out is None else out & c
         return Value(out, "bool", T.BooleanType())
 
@@ -229,6 +255,8 @@ class Compiler:
         return a.col.isNull() & b.col.isNull()
 
     def _pair(self, a: Value, op: ast.cmpop, b: Value) -> Column:
+        if isinstance(op, (ast.Is, ast.IsNot)) and a.kind != b.kind and a.kind in NUMERIC and b.kind in NUMERIC:
+            return F.lit(isinstance(op, ast.IsNot))  # True is not 1, nor 1 the same as 1.0
         if isinstance(op, (ast.Eq, ast.Is)):
             return self._same(a, b)
         if isinstance(op, (ast.NotEq, ast.IsNot)):
@@ -246,7 +274,7 @@ class Compiler:
         if isinstance(b.literal, list):
             hit = F.lit(False)
             for v in b.literal:
-                hit = hit | self._same(a, v)
+                hit = hit | over(self._same, a, v)
             return turn(hit)
         if b.kind == "list":
             item = lambda y: self._same(a, _of(y, b.type.elementType))
@@ -262,8 +290,10 @@ class Compiler:
         return F.when(b.col.isNull(), F.lit(False)).otherwise(F.coalesce(turn(hit), F.lit(False)))
 
     def on_call(self, n):
-        v = self.visit(n.args[0])
-        name, c, k = n.func.id, v.col, v.kind
+        return over(lambda v: self.called(n.func.id, v), self.visit(n.args[0]))
+
+    def called(self, name: str, v: Value) -> Value:
+        c, k = v.col, v.kind
         if name == "bool":
             return Value(v.truth, "bool", T.BooleanType())
         if name == "len":

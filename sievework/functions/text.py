@@ -31,6 +31,8 @@ SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 WORD = r"[\p{L}\p{N}_]+"
 URL = rf"(?i:https?://[^{SPACE}<>\"'“”]+|www\.[^{SPACE}<>\"'“”]+)"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: The same, tried once at the beginning of a run of local characters and not at each of them.
+LOCAL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@"
 NUMBER = r"(?:\p{Nd}{1,3}(?:[ \u00A0\u202F]\p{Nd}{3})+(?:[.,]\p{Nd}+)?|\p{Nd}+(?:[.,]\p{Nd}+)*)"
 ORDINAL = r"(?i:st|nd|rd|th|s)(?![\p{L}\p{N}_])"
 TRAILING = ".,;:!?…\"')]}"
@@ -74,17 +76,20 @@ def urls(c: Column) -> Column:
 
 
 def emails(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(none_as_empty(c), F.lit(EMAIL), F.lit(0)), trim_trailing)
+    found = F.regexp_extract_all(none_as_empty(c), F.lit(LOCAL + EMAIL.partition("@")[2]), F.lit(0))
+    return F.when(F.contains(none_as_empty(c), F.lit("@")), F.transform(found, trim_trailing)).otherwise(F.array().cast("array<string>"))
 
 
 def blank_addresses(c: Column) -> Column:
     """Without URL and e-mail spans (their union, also where an address runs into a URL); two spaces hold each place."""
-    return F.regexp_replace(none_as_empty(c), rf"(?:[A-Za-z0-9._%+-]+@)?{URL}|{EMAIL}", "  ")
+    plain = none_as_empty(c)
+    some = F.contains(plain, F.lit("@")) | F.contains(plain, F.lit("//")) | plain.rlike(r"(?i)www\.")
+    return F.when(some, F.regexp_replace(plain, rf"{LOCAL}{URL}|{URL}|{LOCAL}{EMAIL.partition('@')[2]}", "  ")).otherwise(plain)
 
 
 def numbers(c: Column, drop_ordinals: bool = False) -> Column:
     """Number tokens as digits alone, in order; those with an ordinal or decade suffix left out if asked."""
-    found = F.regexp_extract_all(none_as_empty(c), F.lit(f"{NUMBER}(?:{ORDINAL})?"), F.lit(0))
+    found = F.regexp_extract_all(none_as_empty(c), F.lit(rf"(?=\p{{Nd}}){NUMBER}(?:{ORDINAL})?"), F.lit(0))
     if drop_ordinals:
         found = F.filter(found, lambda x: ~x.rlike(r"[A-Za-z]$"))
     return F.transform(found, lambda x: F.regexp_replace(x, r"[^\p{Nd}]", ""))
@@ -95,9 +100,10 @@ def count_in(a: Column, x: Column) -> Column:
 
 
 def multiset_diff(a: Column, b: Column) -> Column:
-    """Sorted elements of a, less those of b, counting repeats."""
+    """Sorted elements of a, less those of b, counting repeats: quadratic only where the two differ."""
+    if_unlike = lambda v: F.when(F.array_sort(v.a) == F.array_sort(v.b), F.slice(v.a, 1, 0)).otherwise(left(v))
     left = lambda v: F.flatten(F.transform(F.array_distinct(v.a), lambda x: F.array_repeat(x, F.greatest(F.lit(0), count_in(v.a, x) - count_in(v.b, x)))))
-    return F.array_sort(let(F.struct(a.alias("a"), b.alias("b")), left))
+    return F.array_sort(let(F.struct(a.alias("a"), b.alias("b")), if_unlike))
 
 
 def pattern_misses(source: Column, hypothesis: Column, kinds: tuple[str, ...] = KINDS, mode: str = "missing") -> Column:
@@ -117,30 +123,30 @@ def pattern_misses(source: Column, hypothesis: Column, kinds: tuple[str, ...] =
     return F.map_from_entries(F.filter(pairs, lambda e: F.size(e.v) > 0))
 
 
+#: Where characters lie that fold otherwise than they lower (but for ß): a coarse class for a quick look at a text.
+MAY_FOLD = "[\u00b5\u0149-\u1fff\uab70-\ufb17]"
+
+
 @cache
-def _folds() -> tuple[str, str, dict[str, str]]:
-    """Characters that fold otherwise than they lower: one to one as two strings, the rest as a map; from Unicode itself."""
-    ones, to, many = [], [], {}
+def _folds() -> tuple[str, str, dict[str, str], str]:
+    """Characters that fold otherwise than they lower: one to one as two strings, the rest (but for ß) as a map, and a class
+    of all of them; from Unicode itself."""
+    once, many = {}, {}
     for i in range(sys.maxunicode + 1):
         c = chr(i)
         low, fold = c.lower(), c.casefold()
         if low == fold or 0xD800 <= i < 0xE000 or len(low) != 1:
             continue
-        if len(fold) == 1:
-            ones.append(low)
-            to.append(fold)
-        else:
-            many[low] = fold
-    once = dict(zip(ones, to))
-    return "".join(once), "".join(once.values()), many
+        (once if len(fold) == 1 else many)[low] = fold
+    many.pop("ß")
+    return "".join(once), "".join(once.values()), many, "[" + "".join(sorted({*once, *many})) + "]"
 
 
 def fold(c: Column) -> Column:
-    """str.casefold: lower case, then the characters that fold further; long folds only where a text has one."""
-    ones, to, many = _folds()
-    low = F.translate(F.lower(c), ones, to)
-    long = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), many.items(), low)
-    return F.when(low.rlike("[" + "".join(many) + "]"), long).otherwise(low)
+    """str.casefold: lower case, then the characters that fold further; those other than ß only where a text has one."""
+    ones, to, many, any_ = _folds()
+    long = lambda x: reduce(lambda y, kv: F.replace(y, F.lit(kv[0]), F.lit(kv[1])), many.items(), F.translate(x, ones, to))
+    return let(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), lambda x: F.when(x.rlike(MAY_FOLD) & x.rlike(any_), long(x)).otherwise(x))
 
 
 def word_tokens(c: Column) -> Column:
@@ -175,30 +181,34 @@ def char_count(text: Column, characters: str) -> Column:
 def dice(df: DataFrame, key: str, a: str, b: str, stem: int = 5) -> DataFrame:
     """(key, dice): Dice coefficient of the two texts' multisets of word stems; 1 if neither has words.
 
-    Words are counted by key and stem before they shuffle, so a long text is rows, never one large array."""
-    side = lambda c, n: df.select(key, F.explode(F.transform(word_tokens(F.col(c)), lambda w: F.substring(w, 1, stem))).alias("w"), F.lit(n).alias("n"))
-    both = side(a, 1).unionByName(side(b, 0)).groupBy(key, "w").agg(F.sum("n").alias("x"), F.sum(1 - F.col("n")).alias("y"))
+    Stems of both sides are counted as 64-bit hashes by key before they shuffle, so a long text is narrow rows."""
+    side = lambda c, own: F.transform(word_tokens(F.col(c)), lambda w: F.struct(F.xxhash64(F.substring(w, 1, stem)).alias("w"), F.lit(own).alias("own")))
+    both = df.select(key, F.explode(F.concat(side(a, 1), side(b, 0))).alias("x")).groupBy(key, F.col("x.w").alias("w")).agg(F.sum("x.own").alias("x"), F.sum(1 - F.col("x.own")).alias("y"))
     sums = both.groupBy(key).agg((2 * F.sum(F.least("x", "y")) / F.sum(F.col("x") + F.col("y"))).alias("dice"))
     return df.select(key).distinct().join(sums, key, "left").select(key, F.coalesce("dice", F.lit(1.0)).alias("dice"))
 
 
 def repeated_ngram(df: DataFrame, key: str, text: str, reference: str | None = None, n: int = 3) -> DataFrame:
     """(key, ngram, count, excess): the word n-gram that the text repeats most beyond the reference, the first of equals;
-    (null, 0, 0) where none is in excess."""
-    def grams(c):
-        runs = lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " ")))
-        return df.select(key, F.posexplode(let(word_tokens(F.col(c)), runs)).alias("at", "g"))
-
-    own = grams(text).groupBy(key, "g").agg(F.count("*").alias("count"), F.min("at").alias("at"))
-    if reference is not None:
-        ref = grams(reference).groupBy(key, "g").agg(F.count("*").alias("ref"))
-        own = own.join(ref, [key, "g"], "left")
-    else:
-        own = own.withColumn("ref", F.lit(None).cast("long"))
-    own = own.withColumn("excess", F.col("count") - F.coalesce("ref", F.lit(0))).where("excess > 0")
-    best = own.groupBy(key).agg(F.max_by(F.struct("g", "count", "excess"), F.struct(F.col("excess"), -F.col("at"))).alias("b"))
-    out = df.select(key).distinct().join(best, key, "left")
-    return out.select(key, F.col("b.g").alias("ngram"), F.coalesce("b.count", F.lit(0)).alias("count"), F.coalesce("b.excess", F.lit(0)).alias("excess"))
+    (null, 0, 0) where none is in excess.
+
+    N-grams of both sides are counted as 64-bit hashes; only the best one of each key is looked up in its text again."""
+    hashes = lambda c: F.transform(word_tokens(F.col(c)), lambda w: F.xxhash64(w))
+    gram = lambda h, i: F.xxhash64(*[F.get(h, i + k) for k in range(n)])
+
+    def runs(c, own):
+        each = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(i.alias("at"), gram(h, i).alias("g"), F.lit(own).alias("own")))
+        none = F.array().cast("array<struct<at:int,g:bigint,own:int>>")
+        return let(hashes(c), lambda h: F.when(F.size(h) >= n, each(h)).otherwise(none))
+
+    both = runs(text, 1) if reference is None else F.concat(runs(text, 1), runs(reference, 0))
+    seen = df.select(key, F.explode(both).alias("x")).groupBy(key, "x.g").agg(F.sum("x.own").alias("count"), (2 * F.sum("x.own") - F.count("*")).alias("excess"), F.min(F.when(F.col("x.own") == 1, F.col("x.at"))).alias("at"))
+    best = seen.where("excess > 0").groupBy(key).agg(F.max_by(F.struct("g", "at", "count", "excess"), F.struct(F.col("excess"), -F.col("at"))).alias("b"))
+    words = F.slice(word_tokens(F.col(text)), F.col("b.at") + 1, F.lit(n))
+    said = df.select(key, F.col(text)).join(best, key).select(key, "b", let(words, lambda w: F.struct(F.array_join(w, " ").alias("ngram"), F.xxhash64(*[F.xxhash64(F.get(w, F.lit(k))) for k in range(n)]).alias("g"))).alias("w"))
+    said = said.where("w.g = b.g").groupBy(key).agg(F.min(F.col("w.ngram")).alias("ngram"), F.min("b").alias("b"))
+    out = df.select(key).distinct().join(said, key, "left")
+    return out.select(key, "ngram", F.coalesce("b.count", F.lit(0)).alias("count"), F.coalesce("b.excess", F.lit(0)).alias("excess"))
 
 
 def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -7,45 +7,52 @@ from pyspark.sql import functions as F
 
 from sievework.functions.text import first_by
 from sievework.operators.records import priority_rank
+from sievework.sources.shared import checkpointed
 
 
 def with_order(df: DataFrame, by: str, name: str = "_ord") -> DataFrame:
     """Consecutive numbers from 0 in the order of by, without one task for all rows: ranges number their own rows, and the
-    ranges' sizes (one row each) give where each begins."""
-    parts = df.repartitionByRange(by).withColumn("_p", F.spark_partition_id())
-    local = parts.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(by)))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    base = parts.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return local.join(base, "_p").withColumn(name, F.col("_r") - 1 + F.col("_b")).drop("_p", "_r", "_b")
+    ranges' sizes (one row each) give where each begins. The dealt rows are written to the shared folder once, range number
+    and all, so that sizes and rows come from one deal. An empty frame has no numbers; nulls come first, as in orderBy."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(df.repartitionByRange(parts, by).withColumn("_order_part", F.spark_partition_id()))
+    before = Window.orderBy("_order_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = dealt.groupBy("_order_part").agg(F.count("*").alias("_n")).select("_order_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_order_base"))
+    place = F.row_number().over(Window.partitionBy("_order_part").orderBy(by)) - 1
+    local = dealt.withColumn(name, place).join(F.broadcast(base), "_order_part")
+    return local.withColumn(name, F.col(f"`{name}`") + F.col("_order_base")).drop("_order_part", "_order_base")
 
 
 def seed_chunks(df: DataFrame, order_col: str, field: str | None = None, order: list | None = None, size: int = 20) -> DataFrame:
-    """Freeze an order: listed values of field first, then the rest; 8-digit ids and 6-digit chunks of size rows.
-
-    Ranks are counted per priority (few values), so the numbering is a sum of group sizes and a rank inside a range."""
+    """Freeze an order: listed values of field first, then the rest; 8-digit ids and 6-digit chunks of size rows. All other
+    columns stay, and every row comes out once."""
     rank = priority_rank(field, order or []) if field else F.lit(1)
-    df = df.withColumn("_rank", rank)
-    key = F.struct("_rank", order_col)
-    out = with_order(df.withColumn("_key", key), "_key", "_pos").drop("_key", "_rank")
-    return out.withColumns({"seed_id": F.lpad(F.col("_pos").cast("string"), 8, "0"), "chunk_id": F.lpad(F.floor(F.col("_pos") / size).cast("string"), 6, "0")}).drop("_pos")
+    out = with_order(df.withColumn("_seed_key", F.struct(rank.alias("rank"), F.col(order_col).alias("order"))), "_seed_key", "_seed_pos").drop("_seed_key")
+    pos = F.col("_seed_pos")
+    return out.withColumns({"seed_id": F.lpad(pos.cast("string"), 8, "0"), "chunk_id": F.lpad(F.floor(pos / size).cast("string"), 6, "0")}).drop("_seed_pos")
 
 
-def resume(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
+def resume(todo: DataFrame, done: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows not processed yet; flagged rows count as done."""
-    return todo.join(done.select(key), key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    return todo.join(done.select(*keys), keys, "left_anti")
 
 
-def ready(targets: DataFrame, done: DataFrame, stage: int, key: str = "chunk_id") -> DataFrame:
-    """Chunks of targets that the stage before has done (any, for the first) and this one has not."""
-    out = targets if stage == 0 else targets.join(done.where(F.col("stage") == stage - 1).select(key), key, "left_semi")
-    return out.join(done.where(F.col("stage") == stage).select(key), key, "left_anti")
+def ready(targets: DataFrame, done: DataFrame, stage: int, key: str | list[str] = "chunk_id") -> DataFrame:
+    """Chunks of targets that the stage before has done (any, for the first) and this one has not; key may name the job too."""
+    keys = [key] if isinstance(key, str) else key
+    at = lambda n: done.where(F.col("stage") == n).select(*keys)
+    out = targets if stage == 0 else targets.join(at(stage - 1), keys, "left_semi")
+    return out.join(at(stage), keys, "left_anti")
 
 
-def missing_chunks(chunks: DataFrame, done: DataFrame, stages: int) -> DataFrame:
-    """(stage, chunk_id): done by the stage before (all, for the first) but not by this one."""
-    all_ = chunks.select("chunk_id").distinct().withColumn("stage", F.lit(0))
-    before = all_.unionByName(done.where(F.col("stage") < stages - 1).select((F.col("stage") + 1).cast("int").alias("stage"), "chunk_id").distinct())
-    return before.join(done.select(F.col("stage").cast("int").alias("stage"), "chunk_id"), ["stage", "chunk_id"], "left_anti").select("stage", "chunk_id")
+def missing_chunks(chunks: DataFrame, done: DataFrame, stages: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(*keys, stage, chunk_id): done by the stage before (all, for the first) but not by this one; keys may name the job."""
+    at = [*keys, "stage", "chunk_id"]
+    all_ = chunks.select(*keys, "chunk_id").distinct().withColumn("stage", F.lit(0)).select(*at)
+    had = done.select(*keys, F.col("stage").cast("int").alias("stage"), "chunk_id")
+    before = all_.unionByName(had.where(F.col("stage") < stages - 1).withColumn("stage", F.col("stage") + 1).distinct().select(*at))
+    return before.join(had, at, "left_anti").select(*at)
 
 
 def align_items(expected: DataFrame, replies: DataFrame, key: str, item: str) -> DataFrame:
@@ -96,45 +103,50 @@ def outage_chunks(rows: DataFrame, ratio: float = 0.5) -> DataFrame:
     return out.where((F.col("ran") > 0) & (F.col("bad") > ratio * F.col("ran")))
 
 
-def job_status(done: DataFrame, chunk_count: int, shown: int = 8) -> DataFrame:
-    """(stage, done, missing, missing_ids): ids where at most shown are missing."""
-    n = done.groupBy("stage").agg(F.count_distinct("chunk_id").alias("done"))
-    return n.withColumn("missing", F.lit(chunk_count) - F.col("done"))
-
-
-def margin_ratio(a: DataFrame, b: DataFrame, id_col: str, vec_col: str, k: int = 4, blocks: int = 8) -> DataFrame:
+def margin_ratio(a: DataFrame, b: DataFrame, id_col: str, vec_col: str, k: int = 4, block_rows: int = 8192) -> DataFrame:
     """(a_id, b_id, cosine, margin) of the pairs that are each other's nearest, over unit vectors.
 
-    margin = cosine over the mean of both sides' mean cosine to their k nearest. b is cut into blocks; a block of it meets
-    a block of a in one task (numpy), which gives k rows per vector, so no pair is ever a row."""
+    margin = cosine over the mean of both sides' mean cosine to their k nearest, ties by smaller id. Either side is dealt
+    to blocks of about block_rows; a block of a meets a block of b in one task, which multiplies them once and gives the k
+    best of each row and of each column, so no pair is ever a row. Null ids or vectors are left out."""
     import numpy as np
     import pyarrow as pa
 
-    def nearest(x, y):
-        xs = x.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("bx")).withColumn("by", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        ys = y.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("by")).withColumn("bx", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-        def run(p: pa.Table, q: pa.Table) -> pa.Table:
-            if not p.num_rows or not q.num_rows:
-                return pa.table({"id": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "c": pa.array([], pa.float64())})
-            pv, qv = (np.array(t.column("v").to_pylist(), np.float64) for t in (p, q))
-            pi, qi = p.column("id").to_numpy(), q.column("id").to_numpy()
-            out_i, out_o, out_c = [], [], []
-            for s in range(0, len(pv), 1024):
-                c = pv[s : s + 1024] @ qv.T
-                for row, i in zip(c, pi[s : s + 1024]):
-                    top = np.lexsort((qi, -row))[:k]
-                    out_i += [i] * len(top)
-                    out_o += qi[top].tolist()
-                    out_c += row[top].tolist()
-            return pa.table({"id": pa.array(out_i, pa.int64()), "other": pa.array(out_o, pa.int64()), "c": pa.array(out_c, pa.float64())})
-
-        near = xs.groupBy("bx", "by").cogroup(ys.groupBy("bx", "by")).applyInArrow(run, "id long, other long, c double")
-        return near.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.col("c").desc(), "other"))).where(F.col("r") <= k)
-
-    ab, ba = nearest(a, b), nearest(b, a)
-    mean = lambda n, name: n.groupBy("id").agg(F.avg("c").alias(name))
-    first = ab.where("r = 1").select(F.col("id").alias("a_id"), F.col("other").alias("b_id"), F.col("c").alias("cosine"))
-    back = ba.where("r = 1").select(F.col("id").alias("b_id"), F.col("other").alias("a_id"))
-    pairs = first.join(back, ["a_id", "b_id"], "left_semi").join(mean(ab, "ma").withColumnRenamed("id", "a_id"), "a_id").join(mean(ba, "mb").withColumnRenamed("id", "b_id"), "b_id")
+    sides = [checkpointed(x.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))) for x in (a, b)]
+    counts = [x.count() // block_rows + 1 for x in sides]
+    dealt = []
+    for x, own, other, n, m in ((sides[0], "ba", "bb", *counts), (sides[1], "bb", "ba", *counts[::-1])):
+        dealt.append(x.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))))
+
+    def best(c, own, other, of_a):
+        """The k largest of each row of c, with those that tie for the last place, cut by id."""
+        top = np.argpartition(-c, min(k, c.shape[1]) - 1, axis=1)[:, : min(k, c.shape[1])]
+        last = np.take_along_axis(c, top, axis=1).min(axis=1)
+        row, col = np.nonzero(c >= last[:, None])
+        order = np.lexsort((other[col], -c[row, col], row))
+        row, col = row[order], col[order]
+        start = np.searchsorted(row, np.arange(len(own)))
+        use = np.arange(len(row)) - start[row] < k
+        row, col = row[use], col[use]
+        return {"of_a": np.full(len(row), of_a), "id": own[row], "other": other[col], "c": c[row, col]}
+
+    def run(p: pa.Table, q: pa.Table) -> pa.Table:
+        kinds = {"of_a": pa.bool_(), "id": pa.int64(), "other": pa.int64(), "c": pa.float64()}
+        if not p.num_rows or not q.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in kinds.items()})
+        pv, qv = (t.column("v").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1) for t in (p, q))
+        pi, qi = p.column("id").to_numpy(), q.column("id").to_numpy()
+        found = []
+        for s in range(0, len(pv), 1024):
+            c = pv[s : s + 1024] @ qv.T
+            found += [best(c, pi[s : s + 1024], qi, True), best(c.T, qi, pi[s : s + 1024], False)]
+        return pa.table({n: pa.array(np.concatenate([x[n] for x in found]), t) for n, t in kinds.items()})
+
+    near = dealt[0].groupBy("ba", "bb").cogroup(dealt[1].groupBy("ba", "bb")).applyInArrow(run, "of_a boolean, id long, other long, c double")
+    place = Window.partitionBy("of_a", "id").orderBy(F.col("c").desc(), "other")
+    near = checkpointed(near.withColumn("r", F.row_number().over(place)).where(F.col("r") <= k))
+    mean = lambda of_a, name, key: near.where(F.col("of_a") == of_a).groupBy(F.col("id").alias(key)).agg(F.avg("c").alias(name))
+    first = near.where("of_a and r = 1").select(F.col("id").alias("a_id"), F.col("other").alias("b_id"), F.col("c").alias("cosine"))
+    back = near.where("not of_a and r = 1").select(F.col("id").alias("b_id"), F.col("other").alias("a_id"))
+    pairs = first.join(back, ["a_id", "b_id"], "left_semi").join(mean(True, "ma", "a_id"), "a_id").join(mean(False, "mb", "b_id"), "b_id")
     return pairs.select("a_id", "b_id", "cosine", (F.col("cosine") / ((F.col("ma") + F.col("mb")) / 2)).alias("margin"))

@@ -192,9 +192,12 @@ def fix_until_stable(text: str, client: Callable, rules: tuple[str, ...] | None
     return text
 
 
-def scoring_input(source: Column, hypothesis: Column, reference: Column | None = None) -> Column:
-    base = F.concat(F.lit("source: "), source, F.lit(" candidate: "), hypothesis)
-    return base if reference is None else F.when(reference == "", base).otherwise(F.concat(base, F.lit(" reference: "), reference))
+def scoring_input(source: Column, hypothesis: Column, reference: Column | None = None, candidate_first: bool = False) -> Column:
+    """The text that is scored, in the order of either model family; a null or empty reference leaves the reference-free form."""
+    parts = [("source", source), ("candidate", hypothesis)]
+    out = [F.concat(F.lit(f"{k}: "), c) for k, c in (parts[::-1] if candidate_first else parts)]
+    base = F.concat(out[0], F.lit(" "), out[1])
+    return base if reference is None else F.when(F.coalesce(reference, F.lit("")) == "", base).otherwise(F.concat(base, F.lit(" reference: "), reference))
 
 
 def score(df: DataFrame, client: Callable, source: str, hypothesis: str, target: str, when: str | None = None) -> DataFrame:

@@ -108,8 +108,8 @@ def chain(*messages: Column) -> Column:
 def suppress_verbatim(issues: Column, reference: Column, casefold: bool = False) -> Column:
     """Issues whose span is not in the reference; those without a span stay, and an empty reference drops none."""
     f = X.fold if casefold else (lambda c: c)
-    ref = F.coalesce(reference, F.lit(""))
-    return F.filter(issues, lambda i: (ref == "") | F.coalesce(i.error_text == "", F.lit(True)) | ~F.contains(f(ref), f(i.error_text)))
+    kept = lambda ref: F.filter(issues, lambda i: (ref == "") | F.coalesce(i.error_text == "", F.lit(True)) | ~F.contains(ref, f(i.error_text)))
+    return X.let(f(F.coalesce(reference, F.lit(""))), kept)
 
 
 def findings_filter(issues: Column, reference: Column | None = None, skip_capitalized: bool = True) -> Column:

@@ -3,17 +3,11 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the session names, or in one of our own where it names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sievework-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+from sievework.sources.shared import scratch  # noqa: F401  (the scans' own scratch paths)
 
 
 def _fs(spark: SparkSession, path: str):

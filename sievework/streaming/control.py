@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sievework.operators.control import missing_chunks
+from sievework.operators.reports import count_of
+
 DUPLICATES_S, SPIKE_S, SPIKE_LEAST, COOLDOWN_S, ALIVE_S, LEASE_S = 120, 600, 25, 3600, 30, 120
 
 
@@ -20,11 +23,12 @@ def nak_delay(n: Column, base: int = 60, most: int = 900) -> Column:
     return F.least(base * F.pow(F.lit(2.0), F.greatest(n, F.lit(1)) - 1), F.lit(float(most)))
 
 
-def flag_spikes(events: DataFrame, keys: list[str], ts: str, seconds: int = SPIKE_S, least: int = SPIKE_LEAST) -> DataFrame:
-    """Events with at least so many of their key in the trailing window, themselves included."""
+def flag_spikes(events: DataFrame, keys: list[str], ts: str, seconds: int = SPIKE_S, least: int = SPIKE_LEAST, count: str | None = None) -> DataFrame:
+    """Events at which the counts of their key in the trailing window, their own included, add up to least or more. Without
+    a count column each event counts once."""
     # microseconds, so that a window ends where timestamps differ by less than a second
     w = Window.partitionBy(*keys).orderBy(micros(ts)).rangeBetween(-seconds * 1_000_000, 0)
-    return events.withColumn("n", F.count("*").over(w)).where(F.col("n") >= least)
+    return events.withColumn("n", F.sum(count_of(count)).over(w)).where(F.col("n") >= least)
 
 
 def alive(events: DataFrame, worker: str, ts: str, seconds: int = ALIVE_S) -> DataFrame:
@@ -66,23 +70,23 @@ def idle_ticks(ticks: DataFrame, key: str, tick: str, busy: str, least: int) ->
     return run.withColumn("idle", idle).where(F.col("idle") == least).select(key, tick)
 
 
-def paired_bootstrap(df: DataFrame, delta: str, draws: int = 10_000, seed: int = 0) -> DataFrame:
+def paired_bootstrap(df: DataFrame, delta: str, key: str, draws: int = 10_000, seed: int = 0) -> DataFrame:
     """(mean, low, high): 95 % interval of the mean. Each row joins each resample a Poisson(1) number of times (the
-    bootstrap of large tables), added up in the task, so only draws sums leave it."""
+    bootstrap of large tables), drawn from a stream of its own that the seed and its key start, so the result depends on no
+    batch or partition; sums are added up in the task, and only draws of them leave it. Null deltas are left out; rows of
+    one key draw alike, so keys should be the rows' ids."""
     import numpy as np
 
     def run(batches):
         sums, counts = np.zeros(draws), np.zeros(draws)
         for batch in batches:
-            x = batch.column("d").to_numpy(zero_copy_only=False)
-            for a in range(0, len(x), 4096):
-                part = np.nan_to_num(x[a : a + 4096])
-                k = np.random.default_rng([seed, int(batch.column("h")[a].as_py()) & 0x7FFFFFFF]).poisson(1, (draws, len(part)))
-                sums += k @ part
-                counts += k.sum(axis=1)
+            for x, h in zip(batch.column("d").to_pylist(), batch.column("h").to_pylist()):
+                k = np.random.Generator(np.random.SFC64([seed, h & 0xFFFFFFFF, h >> 32 & 0xFFFFFFFF])).poisson(1, draws)
+                sums += k * x
+                counts += k
         yield pa.RecordBatch.from_pydict({"draw": pa.array(range(draws), pa.int32()), "s": pa.array(sums), "n": pa.array(counts)})
 
-    rows = df.where(F.col(delta).isNotNull()).select(F.col(delta).cast("double").alias("d"), F.xxhash64(delta).alias("h"))
+    rows = df.where(F.col(delta).isNotNull()).select(F.col(delta).cast("double").alias("d"), F.xxhash64(key).alias("h"))
     means = rows.mapInArrow(run, "draw int, s double, n double").groupBy("draw").agg((F.sum("s") / F.sum("n")).alias("m"))
     return means.agg(F.avg("m").alias("mean"), F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
 
@@ -93,28 +97,68 @@ def stream_dedup(events: DataFrame, key: str, ts: str, seconds: int = DUPLICATES
     return events.withWatermark(ts, f"{seconds} seconds").dropDuplicatesWithinWatermark([key])
 
 
-def stream_flag_spike(events: DataFrame, keys: list[str], ts: str, seconds: int = SPIKE_S, slide: int = 60, least: int = SPIKE_LEAST) -> DataFrame:
+def stream_flag_spike(events: DataFrame, keys: list[str], ts: str, seconds: int = SPIKE_S, slide: int = 60, least: int = SPIKE_LEAST, count: str | None = None) -> DataFrame:
     """Sliding windows stand in for the exact trailing one of flag_spikes."""
     w = F.window(ts, f"{seconds} seconds", f"{slide} seconds")
-    return events.withWatermark(ts, f"{seconds} seconds").groupBy(w, *keys).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return events.withWatermark(ts, f"{seconds} seconds").groupBy(w, *keys).agg(F.sum(count_of(count)).alias("n")).where(F.col("n") >= least)
 
 
 def stream_cooldown(events: DataFrame, key: str, ts: str, seconds: int = COOLDOWN_S) -> DataFrame:
-    """(key, fired): alerts of a key that has been silent for so long; the state is one time per key."""
+    """(key, fired): alerts of a key that has been silent for so long, fired in microseconds. A trigger's events of a key are
+    judged in the order of time, whatever batches they come in; the state is one time a key, and goes when the watermark
+    has passed the end of its silence, after which it would change nothing."""
+    import numpy as np
 
     def step(k, frames, state: GroupState):
-        fired = state.get[0] if state.exists else None
         out = []
-        for frame in frames:
-            for s in sorted(frame["_s"]):
+        if not state.hasTimedOut:
+            fired = state.get[0] if state.exists else None
+            for s in np.sort(np.concatenate([f["_s"].to_numpy() for f in frames])).tolist():
                 if fired is None or s - fired >= seconds * 1_000_000:
                     fired = s
                     out.append(s)
-        state.update((fired,))
-        yield pd.DataFrame({"key": [k[0]] * len(out), "fired": out})
+            until = fired // 1000 + seconds * 1000 + 1
+            if until > state.getCurrentWatermarkMs():
+                state.update((fired,))
+                state.setTimeoutTimestamp(until)
+            elif state.exists:
+                state.remove()
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"key": [k[0]] * len(out), "fired": pd.Series(out, dtype="int64")})
+
+    rows = events.withWatermark(ts, f"{seconds} seconds").select(F.col(key).cast("string").alias("key"), F.col(ts), micros(ts).alias("_s"))
+    return rows.groupBy("key").applyInPandasWithState(step, "key string, fired long", "fired long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_drained(ticks: DataFrame, key: str, tick: str, busy: str, least: int, late: int = 3600) -> DataFrame:
+    """(key, tick): the stream form of idle_ticks. The state is how many idle ticks a key has had in a row; ticks of a trigger
+    are taken in order, and later triggers are expected to hold later ticks."""
+
+    def step(k, frames, state: GroupState):
+        run = state.get[0] if state.exists else 0
+        out = []
+        for t, b in sorted((t, b) for f in frames for t, b in zip(f["_s"], f["busy"])):
+            run = 0 if b > 0 else run + 1
+            if run == least:
+                out.append(t)
+        state.update((run,))
+        yield pd.DataFrame({"key": [k[0]] * len(out), "tick": pd.Series(out, dtype="int64")})
+
+    rows = ticks.select(F.col(key).cast("string").alias("key"), micros(tick).alias("_s"), F.col(busy).cast("long").alias("busy"))
+    return rows.groupBy("key").applyInPandasWithState(step, "key string, tick long", "run long", "append", GroupStateTimeout.NoTimeout)
+
+
+def reconcile_every(stream: DataFrame, path: str, checkpoint: str, chunks: DataFrame, stages: int, trigger: dict | None = None):
+    """The periodic repair: done events go to path as they come, each micro-batch to its own place; after each, the missing
+    (stage, chunk_id) of all events so far replace path/missing. Returns the running query; trigger as writeStream's."""
+    spark = stream.sparkSession
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.select("stage", "chunk_id").write.mode("overwrite").parquet(f"{path}/done/batch={number}")
+        missing_chunks(chunks, spark.read.parquet(f"{path}/done").select("stage", "chunk_id"), stages).write.mode("overwrite").parquet(f"{path}/missing")
 
-    rows = events.select(F.col(key).cast("string").alias("key"), micros(ts).alias("_s"))
-    return rows.groupBy("key").applyInPandasWithState(step, "key string, fired long", "fired long", "append", GroupStateTimeout.NoTimeout)
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def once(stream: DataFrame, path: str, checkpoint: str, write=None) -> None:

@@ -2,8 +2,8 @@ import pytest
 
 from sievework.functions.expressions import ExpressionError, compile_expression, parse
 
-SCHEMA = "a long, b double, s string, t string, f boolean, l array<long>, ls array<string>, m map<string,long>, r struct<x:long,y:struct<z:string>>, e string, nul long"
-ROW = (3, 2.5, "abc", "12", True, [1, 2, 3], ["x", "y"], {"k": 5}, (7, ("q",)), "", None)
+SCHEMA = "a long, b double, s string, t string, f boolean, l array<long>, ls array<string>, m map<string,long>, r struct<x:long,y:struct<z:string>>, e string, nul long, zero long"
+ROW = (3, 2.5, "abc", "12", True, [1, 2, 3], ["x", "y"], {"k": 5}, (7, ("q",)), "", None, 0)
 
 CASES = [
     ("a == 3", True), ("a != 3", False), ("gone == 1", False), ("gone != 1", True), ("not (gone == 1)", True), ("gone", False),
@@ -15,6 +15,8 @@ CASES = [
     ("a + 1 == 4", True), ("-7 // 2 == -4", True), ("-7 % 2 == 1", True), ("7 % -2 == -1", True), ("a / 2 == 1.5", True), ("s + 'd' == 'abcd'", True), ("s * 2 == 'abcabc'", True), ("-a == -3", True),
     ("len(s) == 3", True), ("len(l) == 3", True), ("len(gone)", False), ("abs(-2) == 2", True), ("int(t) == 12", True), ("int(s)", False), ("int(3.9) == 3", True), ("float('1.5') == b - 1", True), ("str(a) == '3'", True), ("str(f) == 'True'", True), ("bool('false')", True), ("1 == true", True), ("f == 1", True), ("'1' != 1", True), ("str(None) == 'None'", True),
     ("e", False), ("e or s", True), ("s and e", False), ("(e or 'z') == 'z'", True), ("(s and 'z') == 'z'", True), ("a and f", True), ("none == null", True), ("[] or a", True), ("false", False), ("gone == gone2", True), ("gone == None", False),
+    ("(e or a) == 3", True), ("(zero or 'x') == 'x'", True), ("(a and 'x') == 'x'", True), ("(zero and 'x') == 0", True), ("((e or a) + 1) == 4", True), ("len(zero or s) == 3", True), ("(gone or r).x == 7", True), ("(nul or s) in ['abc']", True), ("'abc' in [nul or s]", True),
+    ("9007199254740993 // 1 == 9007199254740993", True), ("-9007199254740993 % 10 == 7", True), ("7.5 // 2 == 3", True), ("-7.5 % 2 == 0.5", True), ("1 is True", False), ("f is True", True), ("a is 3", True),
 ]
 
 

@@ -31,5 +31,41 @@ def test_batch_rules(spark, events):
     assert ST.flag_spikes(df.distinct(), ["k"], "ts", seconds=1400, least=2).count() == 18
     assert [r.k for r in ST.alive(df, "k", "ts", seconds=30).collect()] == ["k1"]
     assert {r.k: r.lease for r in ST.lease_state(df, "k", "ts").collect()} == {"k1": "fresh", "k0": "expired"}
-    r = ST.paired_bootstrap(spark.createDataFrame([(float(i % 7),) for i in range(700)], "d double"), "d", 400, 3).first()
-    assert r.low < 3.0 < r.high and r.high - r.low < 0.8
+
+
+def test_bootstrap(spark):
+    rows = [(i, float(i % 4)) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, d double")
+    a, b = (ST.paired_bootstrap(x, "d", "id", 400, 3).first() for x in (df.coalesce(1), df.repartition(7)))
+    assert a.low == pytest.approx(b.low) and a.high == pytest.approx(b.high)
+    # the interval of a mean of 800 values of deviation 1.118: 1.5 +- 0.0775
+    assert a.low < 1.5 < a.high and 0.85 < (a.high - a.low) / 0.155 < 1.15
+
+
+def test_cooldown_over_batches(spark, tmp_path):
+    """One key, one trigger, many Arrow batches and out of order: as the batch form."""
+    rows = [(i, "k", 1_700_000_000 + (i * 7919) % 3000 * 11) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, k string, s long").select("id", "k", F.timestamp_seconds("s").alias("ts"))
+    df.repartition(3).write.parquet(f"{tmp_path}/in")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        ST.once(ST.stream_cooldown(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"), "k", "ts", 600), f"{tmp_path}/out", f"file://{tmp_path}/cp")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    when = {r.id: r.s for r in df.select("id", ST.micros("ts").alias("s")).collect()}
+    want = sorted(when[r.id] for r in ST.cooldown(df, "k", "ts", "id", 600).collect())
+    assert sorted(r.fired for r in spark.read.parquet(f"{tmp_path}/out").collect()) == want and len(want) > 30
+
+
+def test_drained_and_reconcile_streams(spark, tmp_path):
+    ticks = spark.createDataFrame([(f"j{j}", 1_700_000_000 + 60 * i, (i * (j + 1)) % 5 % 2) for j in range(3) for i in range(40)], "job string, s long, busy int").select("job", F.timestamp_seconds("s").alias("tick"), "busy")
+    ticks.coalesce(1).write.parquet(f"{tmp_path}/ticks")
+    ST.once(ST.stream_drained(spark.readStream.schema(ticks.schema).parquet(f"{tmp_path}/ticks"), "job", "tick", "busy", 2), f"{tmp_path}/idle", f"file://{tmp_path}/cp1")
+    want = {(r.job, r.s) for r in ST.idle_ticks(ticks, "job", "tick", "busy", 2).select("job", ST.micros("tick").alias("s")).collect()}
+    assert {(r.key, r.tick) for r in spark.read.parquet(f"{tmp_path}/idle").collect()} == want and want
+    done = spark.createDataFrame([(0, "a"), (0, "b"), (1, "a")], "stage int, chunk_id string")
+    done.write.parquet(f"{tmp_path}/events")
+    chunks = spark.createDataFrame([("a",), ("b",), ("c",)], "chunk_id string")
+    ST.reconcile_every(spark.readStream.schema(done.schema).parquet(f"{tmp_path}/events"), f"{tmp_path}/rec", f"file://{tmp_path}/cp2", chunks, 2).awaitTermination()
+    assert {tuple(r) for r in spark.read.parquet(f"{tmp_path}/rec/missing").collect()} == {(0, "c"), (1, "b")}
