@@ -8,7 +8,8 @@ import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from sievework.sources.shared import checkpointed, remove, shared_dir  # noqa: F401  (for the operators)
 
 #: Stands for a null id inside the operators: it sorts after every other id.
 NO_ID = 2**63 - 1
@@ -19,31 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Without one there is no place that all executors see, so
-    that is an error: a machine-local folder of our own would lose rows on a cluster."""
-    context = spark.sparkContext._jsc.sc()
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not context.getCheckpointDir().isDefined():
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = context.getCheckpointDir().get()
-    if not context.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
-    return at
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete what an operator has written to the shared folder and nobody reads any more."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def in_one(docs: DataFrame) -> DataFrame:
     """All columns as the fields of one column, row: whatever they are called, they clash with no name of an operator."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
