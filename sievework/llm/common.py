@@ -29,6 +29,16 @@ def out_of_one(columns: list[str]) -> list[Column]:
     return [F.col("row").getField(c).alias(c) for c in columns]
 
 
+def carried(docs: DataFrame, columns: list[str], text_col: str):
+    """(frame, texts): docs as one column, row, of the columns, for mapInArrow, which takes no names with dots; texts gives
+    a batch's texts, from the row's own field where that is a string, so that no text goes along twice."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row") if columns else F.struct(F.lit(0).alias("none")).alias("row")
+    if text_col in columns and docs.schema[text_col].dataType.simpleString() == "string":
+        at = columns.index(text_col)
+        return docs.select(row), lambda batch: batch.column("row").field(at)
+    return docs.select(row, F.col(f"`{text_col}`").cast("string").alias("text")), lambda batch: batch.column("text")
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Bytes of all texts, measured: a narrow scan, whatever the frame comes from."""
     return int(docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")) + 16)).first()[0] or 0)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.llm import common as C
 
@@ -24,21 +27,40 @@ class _Ids(dict):
         return 0
 
 
+class _Numbers(dict):
+    def __missing__(self, word):
+        n = self[word] = len(self) + 1
+        return n
+
+
 class Phrases:
-    """The windows of a block of benchmark items, as rows of word numbers (1 and up; 0 stands for any other word)."""
+    """The windows of benchmark items over one array of word numbers (1 and up; 0 stands for any other word).
+
+    sizes: per window length the places of its distinct windows in the array, and of each window the items that have it
+    (where its run of owners starts, and the owners). Equal windows are found by two 64-bit hashes; no window is an object
+    of its own, so millions of windows are some arrays."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
-        self.ids = _Ids()
-        self.sizes: dict[int, tuple[np.ndarray, list[list[int]]]] = {}
-        self.items = [k for k, _ in items]
-        found: dict[tuple, set] = {}
-        for k, (_, text) in enumerate(items):
-            w = [self.ids.setdefault(x, len(self.ids) + 1) for x in words(text)]
-            for i in range(max(1, len(w) - window + 1) if w else 0):
-                found.setdefault(tuple(w[i : i + window]), set()).add(k)
-        for size in {len(p) for p in found}:
-            some = sorted(p for p in found if len(p) == size)
-            self.sizes[size] = (np.array(some, np.int32), [sorted(found[p]) for p in some])
+        numbers = _Numbers()
+        split = [np.fromiter(map(numbers.__getitem__, w), np.int32, len(w)) for w in (words(t) for _, t in items)]
+        self.ids, self.items = _Ids(numbers), [k for k, _ in items]
+        self.seq = np.concatenate([np.zeros(0, np.int32), *split])
+        n = np.array([len(x) for x in split], np.int64)
+        first = np.cumsum(n) - n
+        mixed = C.mix(self.seq.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in sorted({min(int(x), window) for x in n if x}):
+            own = np.flatnonzero(n >= window if size == window else n == size)
+            count = n[own] - size + 1
+            owner = np.repeat(own, count)
+            start = np.repeat(first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            a, b = C.windows(mixed, size)[start], C.windows(mixed, size, 0xD6E8FEB86659FD93)[start]
+            order = np.lexsort((owner, b, a))
+            a, b, start, owner = a[order], b[order], start[order], owner[order]
+            new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            keep = new | np.append(True, owner[1:] != owner[:-1])
+            new, start, owner = new[keep], start[keep], owner[keep]
+            self.sizes[size] = start[new], np.append(np.flatnonzero(new), len(owner)), owner.astype(np.int32)
         self.shortest = min(self.sizes, default=0)
 
 
@@ -133,11 +155,16 @@ class FMIndex:
         return out
 
 
+#: Windows that are searched for at a time.
+SEARCHED = 1 << 18
+
+
 def shard_hits(texts: list, phrases: Phrases) -> tuple[list[int], list[np.ndarray], list[set]]:
     """Of each text of a shard: its words, which of them an occurrence of a window covers, the items that occur.
 
     The shard's texts, as benchmark word numbers, are indexed once. A word that no window holds is 0; what stands
-    between two zeros and is shorter than any window is left out of the index: no backward search could reach it.
+    between two zeros and is shorter than any window is left out of the index: no backward search could reach it. Windows
+    with a word that the index lacks are not searched for.
     """
     split = [np.fromiter(map(phrases.ids.__getitem__, w), np.int32, len(w)) for w in map(words, texts)]
     sizes = [len(x) for x in split]
@@ -155,20 +182,25 @@ def shard_hits(texts: list, phrases: Phrases) -> tuple[list[int], list[np.ndarra
     if not len(place):
         return sizes, hits, items
     index = FMIndex(seq[place], len(phrases.ids))
+    present = np.zeros(len(phrases.ids) + 1, bool)
+    present[seq[place]] = True
+    absent = np.concatenate([[0], np.cumsum(~present[phrases.seq])])
     depth = np.zeros(len(seq) + 1, np.int32)
-    for size, (rows, owners) in phrases.sizes.items():
-        low, high = index.search(rows)
-        live = np.flatnonzero(high > low)
-        if not len(live):
-            continue
-        count = high[live] - low[live]
-        which = np.repeat(live, count)
-        found = place[index.locate(np.repeat(low[live] - np.cumsum(count) + count, count) + np.arange(count.sum()))]
-        np.add.at(depth, found, 1)
-        np.add.at(depth, found + size, -1)
-        pairs = np.unique(np.stack([doc[found], which]), axis=1)
-        for d, w in pairs.T.tolist():
-            items[d].update(owners[w])
+    for size, (first, runs, owners) in phrases.sizes.items():
+        asked = np.flatnonzero(absent[first + size] == absent[first])
+        for some in np.split(asked, range(SEARCHED, len(asked), SEARCHED)):
+            low, high = index.search(phrases.seq[first[some][:, None] + np.arange(size)])
+            live = np.flatnonzero(high > low)
+            if not len(live):
+                continue
+            count = high[live] - low[live]
+            which = np.repeat(some[live], count)
+            found = place[index.locate(np.repeat(low[live] - np.cumsum(count) + count, count) + np.arange(count.sum()))]
+            np.add.at(depth, found, 1)
+            np.add.at(depth, found + size, -1)
+            pairs = np.unique(np.stack([doc[found], which]), axis=1)
+            for d, w in pairs.T.tolist():
+                items[d].update(owners[runs[w] : runs[w + 1]].tolist())
     covered = np.cumsum(depth)[:-1] > 0
     for k, n in enumerate(sizes):
         hits[k] = covered[start[k] : start[k] + n]
@@ -203,19 +235,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     window words; one of fewer words, but not none, is a window itself. Each shard (a run of whole documents inside a
     task) gets an FM-index; backward search finds the windows, sampled suffixes locate them, spans merge. The texts are
     read once and never shuffled; the benchmark goes out in blocks of at most about block_bytes, one pass over the
-    shard's rows each. Null or wordless texts have no words. An item id that is null counts for spans but is not listed;
+    shard's rows each. A worker makes a block's windows once, as some arrays, for all its tasks. Null or wordless texts have no words. An item id that is null counts for spans but is not listed;
     repeated items are one. Rows stay as they are; the three new columns replace columns of the same names.
     """
-    out = docs.drop("n_words", "spans", "items").withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<start:long,end:long>>"), "items": F.array().cast("array<string>")})
+    columns = [c for c in docs.columns if c not in ("n_words", "spans", "items")]
+    out, texts_of = C.carried(docs, columns, text_col)
+    out = out.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<start:long,end:long>>"), "items": F.array().cast("array<string>")})
     schema = out.schema
     for items in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        sent, name = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def run(batches, sent=sent):
-            C.drop_caches()
-            phrases = Phrases(sent.value, window)
+        def run(batches, sent=sent, name=name):
+            phrases = C.worker_cache(("phrases", name), lambda: Phrases(sent.value, window))
             for batch in batches:
-                texts = batch.column(text_col).to_pylist()
+                texts = texts_of(batch).to_pylist()
                 n, spans, found = [], [], []
                 for shard, old, had in _zip_shards(texts, batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
                     for size, hit, got, before, listed in zip(*shard_hits(shard, phrases), old, had):
@@ -229,7 +262,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                 yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
 
         out = out.mapInArrow(run, schema)
-    return out
+    return out.select(*C.out_of_one(columns), "n_words", "spans", "items")
 
 
 def _zip_shards(texts, *others):
@@ -242,9 +275,10 @@ def _zip_shards(texts, *others):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = 10, drop: bool = True) -> DataFrame:
     """The rows of docs without contaminated ones (drop), or with the covered words cut out of their texts, where words
     are then joined by single spaces and lower case. Rows without a hit keep their text unchanged."""
-    found = find_contamination(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row", F.col(text_col).alias("_text")), benchmark, "_text", window=window)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    found = find_contamination(docs.select(row, F.col(f"`{text_col}`").alias("_text")), benchmark, "_text", window=window)
     if drop:
-        return found.where(F.size("spans") == 0).select("_row.*")
+        return found.where(F.size("spans") == 0).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
     def cut(batches):
         for batch in batches:
@@ -257,8 +291,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 out.append(b" ".join(kept + w[last:]).decode("utf-8", "replace") if spans else text)
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.string())], ["_row", "_text"])
 
-    kept = found.select("_row", "_text", "spans").mapInArrow(cut, f"_row {docs.schema.simpleString()}, _text string")
-    return kept.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns])
+    kept = found.select("_row", "_text", "spans")
+    kept = kept.mapInArrow(cut, T.StructType([kept.schema["_row"], T.StructField("_text", T.StringType())]))
+    return kept.select(*[F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,14 +194,15 @@ def scored_rows(docs: DataFrame, columns: list[str], labels: DataFrame, id_col:
     """(row, p_doc, p_site, score, keep): row holds the columns of docs. Without the text among them, rows are scored once
     and kept; with it they are scored for the sums and again for the result, and no text is written."""
     evidence = docs.sparkSession.sparkContext.broadcast(fit_evidence(docs, labels, id_col, text_col, label_id, rows))
-    at = columns.index(text_col) if text_col in columns and docs.schema[text_col].dataType == T.StringType() else None
+    plain, texts = C.carried(docs, columns, text_col)
+    own = "text" not in plain.columns
     text, host, path = (F.col(f"`{c}`").cast("string").alias(k) for c, k in ((text_col, "text"), (host_col, "host"), (path_col, "path")))
 
     def run(batches):
         C.drop_caches()
         for batch in batches:
-            texts = batch.column("text") if "text" in batch.schema.names else batch.column("row").field(at)
-            p = pa.array([evidence.value(t) for t in texts.to_pylist()], pa.float64())
+            read = batch.column("text") if "text" in batch.schema.names else texts(batch)
+            p = pa.array([evidence.value(t) for t in read.to_pylist()], pa.float64())
             rest = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, rest), p], [*rest, "p"])
 
@@ -210,7 +211,7 @@ def scored_rows(docs: DataFrame, columns: list[str], labels: DataFrame, id_col:
         return plain.mapInArrow(run, T.StructType([*kept, T.StructField("p", T.DoubleType())]))
 
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
-    found = scored(docs.select(row, host, path) if at is not None else docs.select(row, text, host, path))
+    found = scored(docs.select(row, host, path) if own else docs.select(row, text, host, path))
     found = found if text_col in columns else C.checkpointed(found)
     sites, totals, count = site_sums(scored(docs.select(text, host, path)) if text_col in columns else found)
     sites = sites.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "n", "s", "hn", "hs")

@@ -219,13 +219,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Every window of every document, so quadratic in nothing but large: for small tables.
 OP1_SQL = r"""
-WITH w AS (SELECT doc_id, row_number() OVER () AS uid, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+WITH w AS (SELECT doc_id, row_number() OVER () AS uid, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 g AS (SELECT uid, doc_id, unnest(range(1, greatest(len(ws) - 12, 0) + 1)) AS i, ws FROM w),
 h AS (SELECT uid, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS t FROM g),
 m AS (SELECT t, min(doc_id) AS low FROM h GROUP BY t HAVING count(*) > 1),
 gone AS (SELECT DISTINCT uid, unnest(range(i, i + 13)) AS j FROM h JOIN m USING (t) WHERE low < doc_id),
 gl AS (SELECT uid, list(j) AS js FROM gone GROUP BY uid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE list_filter(ws, (x, k) -> NOT list_contains(js, k)) END, ' ')) AS kept_sha256
+       sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE list_filter(ws, lambda x, k: NOT list_contains(js, k)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN gl USING (uid)
 """

@@ -117,11 +117,17 @@ def _classes(order: np.ndarray, shared: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _splitters(docs: DataFrame, text_col: str, length: int, token: int, buckets: int, sample_docs: int, seed: int) -> np.ndarray:
-    """Leading tokens that cut the sampled suffixes of a bounded sample of documents into even ranges (balance only)."""
+#: Ranges of leading tokens at most (a splitter goes to every task); beyond, a range is dealt on by a hash of the token.
+MOST_RANGES = 1 << 16
+
+
+def _splitters(docs: DataFrame, text_col: str, length: int, token: int, ranges: int, sample_docs: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leading tokens that cut the sampled suffixes of a bounded sample of documents into even ranges, and the tokens that
+    would fill a range or more by themselves (both for balance only; no more than ranges of either)."""
+    none = np.zeros(0, f"S{token}")
     total = docs.count()
-    if not total or buckets < 2:
-        return np.zeros(0, f"S{token}")
+    if not total:
+        return none, none
 
     def tokens(batches):
         for batch in batches:
@@ -131,9 +137,35 @@ def _splitters(docs: DataFrame, text_col: str, length: int, token: int, buckets:
                 out += [buf[i : i + token] for i in at[:: max(1, len(at) // 2000)].tolist()]
             yield pa.RecordBatch.from_pydict({"t": pa.array(out, pa.binary())})
 
-    few = docs.select(F.col(text_col).cast("string").alias("t")).sample(False, min(1.0, sample_docs / total), seed).limit(2 * sample_docs)
-    seen = np.sort(np.array([bytes(r.t) for r in few.mapInArrow(tokens, "t binary").limit(400_000).collect()], dtype=f"S{token}"))
-    return np.unique(seen[np.linspace(0, len(seen), buckets + 1).astype(int)[1:-1]]) if len(seen) else seen
+    few = docs.select(F.col(f"`{text_col}`").cast("string").alias("t")).sample(False, min(1.0, sample_docs / total), seed).limit(2 * sample_docs)
+    seen = np.sort(np.array(few.mapInArrow(tokens, "t binary").limit(400_000).toArrow().column("t").to_pylist(), dtype=f"S{token}"))
+    if not len(seen):
+        return none, none
+    values, counts = np.unique(seen, return_counts=True)
+    return np.unique(seen[np.linspace(0, len(seen), ranges + 1).astype(int)[1:-1]]), values[counts > max(len(seen) / ranges, HOT_SEEN)]
+
+
+#: A token is hot only if the sample has it more often than this.
+HOT_SEEN = 8
+
+
+def _string_keys(text: np.ndarray, left: np.ndarray, right: np.ndarray, length: int, reach: int):
+    """Of contexts (rows of bytes round a suffix) all strings of length bytes that hold the suffix's token: row number,
+    offset (bytes before the suffix), and two 64-bit hashes of the string."""
+    none = np.zeros(0, np.uint64)
+    out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [none], [none]]
+    power, inverse, spread = _powers(text.shape[1] + 1)
+    other = C.mix(spread + np.uint64(0xD6E8FEB86659FD93))
+    for first in range(0, len(text), 2048):
+        part, l, r = text[first : first + 2048], left[first : first + 2048], right[first : first + 2048]
+        row, off = np.nonzero((l[:, None] >= np.arange(reach + 1)) & (r[:, None] >= length - np.arange(reach + 1)))
+        start = reach - off
+        for kept, table in ((out[2], spread), (out[3], other)):
+            sums = np.zeros((len(part), text.shape[1] + 1), np.uint64)
+            np.cumsum(table[part] * power[: text.shape[1]], axis=1, out=sums[:, 1:])
+            kept.append(C.mix((sums[row, start + length] - sums[row, start]) * inverse[start]))
+        out[0].append(first + row), out[1].append(off)
+    return tuple(map(np.concatenate, out))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, token: int = 32, sample_docs: int = 1000, seed: int = 13) -> DataFrame:
@@ -147,6 +179,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     orders. A splitter is a whole leading token and a string never reaches before its suffix's token is complete, so
     equal strings never lie across a boundary: the comparison there is that of the tokens alone. All offsets of a string
     round its suffix are compared byte by byte; hashes only choose the candidates and name contexts within a group.
+    A token that would fill a range by itself (one passage in very many documents, each with its own surroundings) has no
+    range: the strings round it go by 128 bits of hash to buckets of their own, one row for each distinct string and group,
+    and the least place of each decides; so no task holds the contexts of one token.
 
     Returns doc_id, n_bytes, n_removed, spans (maximal removed runs [start, end) of bytes), kept (binary), one row per
     input row. Null or empty text: no bytes. Null ids sort last. Rows with equal ids count as one place: equal starts of
@@ -155,9 +190,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark, size = docs.sparkSession, C.text_bytes(docs, text_col)
     groups, buckets = C.group_count(spark, size), C.bucket_count(spark, size)
     ranges = 2 * C.bucket_count(spark, size, 14 << 20)
+    deals = ranges // MOST_RANGES + 1
+    ranges = min(ranges, MOST_RANGES)
     reach, width = length - token, 2 * length - token
     by_src = C.grouped_docs(docs, id_col, text_col, groups)
-    splitters = _splitters(docs, text_col, length, token, ranges, sample_docs, seed)
+    splitters, hot = _splitters(docs, text_col, length, token, ranges, sample_docs, seed)
 
     def rows_of(t):
         return t.column("id").to_numpy(), [(x or "").encode("utf-8", "surrogatepass") for x in t.column("text").to_pylist()]
@@ -206,20 +243,61 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         left, right, around, doc, pos, text = map(np.concatenate, got)
         order = np.lexsort((pos, doc, around))
         order = order[np.append(True, around[order][1:] != around[order][:-1])] if len(order) else order
-        lead = np.ascontiguousarray(text[order, reach : reach + token]).view(f"S{token}").ravel()
+        lead = leads(text[order])
+        strings = hot_strings(order[np.isin(lead, hot)], text, left, right, doc, pos)
+        order, lead = order[keep := ~np.isin(lead, hot)], lead[keep]
         bucket = np.searchsorted(splitters, lead, side="right") if len(splitters) else np.zeros(len(order), int)
+        if deals > 1:
+            bucket = bucket * deals + C.mix(np.ascontiguousarray(text[order, reach : reach + 8]).view(np.uint64).ravel()).astype(np.int64) % deals
         order, bucket = order[by := np.lexsort((lead, bucket))], bucket[by]
         full, starts = np.unique(bucket, return_index=True)
         cut = [order[a:b] for a, b in zip(starts, np.append(starts[1:], len(order)))]
         text_block = lambda k: C.zstandard.ZstdCompressor(level=3).compress(text[k].tobytes())
-        return pa.table({
+        ranged = pa.table({
             "bucket": pa.array(full, pa.int32()),
             "src": pa.array(np.full(len(full), src), pa.int32()),
             **{name: pa.array([C.pack(x[k]) for k in cut], pa.binary()) for name, x in zip(names, (left, right, around, doc, pos))},
             "text": pa.array([text_block(k) for k in cut], pa.binary()),
         })
+        a, b, low_doc, low_pos = strings
+        cuts = C.bucket_cuts(a, buckets)
+        full = np.flatnonzero(np.diff(cuts))
+        some = lambda x: pa.array([C.pack(x[cuts[i] : cuts[i + 1]]) for i in full], pa.binary())
+        empty = pa.array([b""] * len(full), pa.binary())
+        hashed = pa.table({"bucket": pa.array(-1 - full, pa.int32()), "src": pa.array(np.full(len(full), src), pa.int32()), "left": empty, "right": empty, "around": some(a), "id": some(low_doc), "pos": some(low_pos), "text": some(b)})
+        return pa.concat_tables([ranged, hashed])
+
+    def leads(text):
+        return np.ascontiguousarray(text[:, reach : reach + token]).view(f"S{token}").ravel()
+
+    def hot_strings(k, text, left, right, doc, pos):
+        """The distinct strings of contexts k, sorted: their two hashes, and the least place of each."""
+        row, off, a, b = _string_keys(text[k], left[k].astype(np.int64), right[k].astype(np.int64), length, reach)
+        d, p = doc[k][row], pos[k][row] - off
+        order = np.lexsort((p, d, b, a))
+        a, b, d, p = a[order], b[order], d[order], p[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
+        return a[new], b[new], d[new], p[new]
+
+    def later_strings(t: pa.Table) -> pa.Table:
+        """Of a bucket's strings those whose group has them first at a later place than another group."""
+        src = t.column("src").to_numpy()
+        read = lambda name, kind: [C.unpack(x, kind) for x in t.column(name).to_pylist()]
+        keys = read("around", np.uint64)
+        sizes = [len(x) for x in keys]
+        a, b, d, p = np.concatenate(keys), *(np.concatenate(read(n, kind)) for n, kind in (("text", np.uint64), ("id", np.int64), ("pos", np.int64)))
+        order = np.lexsort((p, d, b, a))
+        new = np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1]))
+        first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        gone = np.empty(len(a), bool)
+        gone[order] = (d[order] != d[first]) | (p[order] != p[first])
+        cut = np.split(np.arange(len(a)), np.cumsum(sizes)[:-1])
+        kept = [(s, x[gone[x]]) for s, x in zip(src, cut) if gone[x].any()]
+        return pa.table({"src": pa.array([s for s, _ in kept], pa.int32()), "hot": pa.array([True] * len(kept), pa.bool_()), "around": pa.array([C.pack(a[x]) for _, x in kept], pa.binary()), "bits": pa.array([C.pack(b[x]) for _, x in kept], pa.binary())})
 
     def compare(t: pa.Table) -> pa.Table:
+        if t.column("bucket")[0].as_py() < 0:
+            return later_strings(t)
         src = t.column("src").to_numpy()
         read = lambda name, kind: [C.unpack(x, kind) for x in t.column(name).to_pylist()]
         arounds = read("around", np.uint64)
@@ -250,10 +328,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out_key.append(C.pack(around[k]))
                 out_bits.append(C.zstandard.ZstdCompressor(level=1).compress(np.packbits(flags[start + k], axis=1).tobytes()))
             start += n
-        return pa.table({"src": pa.array(out_src, pa.int32()), "around": pa.array(out_key, pa.binary()), "bits": pa.array(out_bits, pa.binary())})
+        return pa.table({"src": pa.array(out_src, pa.int32()), "hot": pa.array([False] * len(out_src), pa.bool_()), "around": pa.array(out_key, pa.binary()), "bits": pa.array(out_bits, pa.binary())})
 
     def finish(docs_t: pa.Table, gone_t: pa.Table) -> pa.Table:
         ids, raws = rows_of(docs_t) if docs_t.num_rows else (np.zeros(0, np.int64), [])
+        is_hot = gone_t.column("hot").to_numpy(zero_copy_only=False).astype(bool) if gone_t.num_rows else np.zeros(0, bool)
+        hot_t, gone_t = gone_t.filter(pa.array(is_hot, pa.bool_())), gone_t.filter(pa.array(~is_hot, pa.bool_()))
         key = np.concatenate([np.zeros(0, np.uint64), *(C.unpack(x) for x in gone_t.column("around").to_pylist())])
         bits = np.frombuffer(b"".join(C.zstandard.ZstdDecompressor().decompress(x) for x in gone_t.column("bits").to_pylist()), np.uint8).reshape(len(key), -1 if len(key) else 1)
         by = np.argsort(key)
@@ -268,8 +348,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         head = by[np.flatnonzero(new)][np.cumsum(new) - 1] if len(by) else by
         later = np.zeros(len(by), bool)  # not the first place of its context in this group
         later[by] = (every[0][by] != every[0][head]) | (every[1][by] != every[1][head])
+        strings = removed_strings(parts, raws, later, hot_t)
         n_bytes, n_removed, spans, kept, seen = [], [], [], [], 0
-        for first, n, ends, at, _, _, left, right, around in parts:
+        for number, (first, n, ends, at, _, _, left, right, around) in enumerate(parts):
             whole = later[seen : seen + len(at)]
             seen += len(at)
             depth = np.zeros(n + 1, np.int32)
@@ -283,6 +364,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 which, a = np.nonzero(own)
                 np.add.at(depth, at[k][which] - a, 1)
                 np.add.at(depth, at[k][which] - a + length, -1)
+            if len(strings[number]):
+                np.add.at(depth, strings[number], 1)
+                np.add.at(depth, strings[number] + length, -1)
             removed = np.cumsum(depth)[:n] > 0
             start = 0
             for i, end in enumerate(ends.tolist()):
@@ -297,9 +381,39 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"id": pa.array(ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
+    def removed_strings(parts, raws, later, hot_t) -> list[np.ndarray]:
+        """By part the starts of strings round hot tokens that begin earlier: in this group, or by what came back."""
+        out = [np.zeros(0, np.int64) for _ in parts]
+        if not len(hot):
+            return out
+        got, seen = [], 0
+        for number, (first, n, ends, at, doc, pos, left, right, _) in enumerate(parts):
+            k = np.flatnonzero(~later[seen : seen + len(at)])
+            seen += len(at)
+            buf = np.frombuffer(b"".join(raws[first : first + len(ends)]), np.uint8)
+            raw = np.concatenate([np.zeros(reach, np.uint8), buf, np.zeros(length, np.uint8)])
+            lead = np.ascontiguousarray(raw[at[k][:, None] + reach + np.arange(token)]).view(f"S{token}").ravel()
+            k = k[np.isin(lead, hot)]
+            row, off, a, b = _string_keys(raw[at[k][:, None] + np.arange(width)], left[k], right[k], length, reach)
+            got.append((np.full(len(row), number), at[k][row] - off, doc[k][row], pos[k][row] - off, a, b))
+        number, start, doc, pos, a, b = (np.concatenate(x) for x in zip(*got)) if got else [np.zeros(0, np.int64)] * 6
+        if not len(a):
+            return out
+        order = np.lexsort((pos, doc, b, a))
+        new = np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1]))
+        head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        gone = np.empty(len(a), bool)
+        gone[order] = (doc[order] != doc[head]) | (pos[order] != pos[head])
+        pairs = [np.concatenate([np.zeros(0, np.uint64), *(C.unpack(x) for x in hot_t.column(c).to_pylist())]) for c in ("around", "bits")]
+        known = np.rec.fromarrays(pairs, names="a,b")
+        gone |= np.isin(np.rec.fromarrays([a, b], names="a,b").view([("", np.uint64)] * 2), known.view([("", np.uint64)] * 2)) if len(known) else False
+        for i in range(len(parts)):
+            out[i] = start[gone & (number == i)]
+        return out
+
     found = by_src.groupBy("src").applyInArrow(tokens, "bucket int, src int, keys binary, many binary").groupBy("bucket").applyInArrow(C.find_shared, C.SHARED_SCHEMA)
     near = by_src.groupBy("src").cogroup(found.groupBy("src")).applyInArrow(contexts, "bucket int, src int, left binary, right binary, around binary, id binary, pos binary, text binary")
-    gone = near.groupBy("bucket").applyInArrow(compare, "src int, around binary, bits binary")
+    gone = near.groupBy("bucket").applyInArrow(compare, "src int, hot boolean, around binary, bits binary")
     out = by_src.groupBy("src").cogroup(gone.groupBy("src")).applyInArrow(finish, "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
     return out.withColumn("id", C.public_id()).withColumnRenamed("id", id_col)
 

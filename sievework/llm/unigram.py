@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.llm import common as C
 
@@ -16,13 +18,24 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
 
-def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
-    """Pieces with their scores, and the number of the unknown piece, of a sentencepiece model file."""
+def vocabulary(path: str) -> tuple[list[tuple[str, float]], int, bool]:
+    """Pieces with log probabilities, the number of the unknown piece, and whether bytes stand in for unknown characters, of
+    a sentencepiece model file.
+
+    A unigram model's scores are log probabilities already. A merge model's are minus the rank of a merge (and a placeholder
+    for pieces that no merge makes), sums of which mean nothing; there a piece has the probability that Zipf's law gives
+    its place in the vocabulary: 1 / place, over the sum of all. Nothing is estimated from texts.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = [(model.id_to_piece(i), float(model.get_score(i))) for i in range(model.get_piece_size())]
-    return [p for i, p in enumerate(pieces) if not (model.is_control(i) or model.is_byte(i))], 0
+    n = model.get_piece_size()
+    real = [i for i in range(n) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))]
+    scores = {i: float(model.get_score(i)) for i in real}
+    if sum(s == int(s) for s in scores.values()) > len(real) // 2:
+        whole = math.log(math.fsum(1 / k for k in range(1, len(real) + 1)))
+        scores = {i: -math.log(k) - whole for k, i in enumerate(real, 1)}
+    return [("<unk>", 0.0)] + [(model.id_to_piece(i), scores[i]) for i in real], 0, any(model.is_byte(i) for i in range(n))
 
 
 class Counter(dict):
@@ -35,13 +48,15 @@ class Counter(dict):
     character; the dynamic program carries the best score and the number of pieces, never the path. Ties go as in the
     public tokenizers: a path is replaced by a strictly better one only, and paths are tried by their last piece's start,
     leftmost first. A character that no single-character piece covers may be an unknown piece, scored below the worst
-    piece by a fixed penalty; neighbouring unknown pieces are one token.
+    piece by a fixed penalty; it counts as its UTF-8 bytes where the vocabulary has bytes to fall back on, else
+    neighbouring unknown pieces are one token.
     """
 
     bound = 500_000
 
-    def __init__(self, pieces: list[tuple[str, float]], unknown: int, split: bool = True):
+    def __init__(self, pieces: list[tuple[str, float]], unknown: int, split: bool = True, byte_fallback: bool = False):
         super().__init__()
+        self.bytes = byte_fallback
         real = [p for i, (p, _) in enumerate(pieces) if i != unknown]
         crossed = SPACE not in real or any(re.search(f"[^{SPACE}]{SPACE}", p) for p in real)
         self.split = split
@@ -51,7 +66,7 @@ class Counter(dict):
             if i != unknown and piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
+        self.unknown = min((s for i, (_, s) in enumerate(pieces) if i != unknown), default=0.0) - UNKNOWN_PENALTY
 
     def __missing__(self, segment: str) -> tuple[int, float]:
         n = len(segment)
@@ -69,7 +84,8 @@ class Counter(dict):
             if not single:
                 total, count, open_ = best[end - 1]
                 if found is None or total + self.unknown > found[0]:
-                    found = (total + self.unknown, count + (not open_), True)
+                    more = len(segment[end - 1].encode("utf-8", "surrogatepass")) if self.bytes else not open_
+                    found = (total + self.unknown, count + more, True)
             best[end] = found
         out = (best[n][1], best[n][0])
         if len(self) < self.bound and n < 64:
@@ -93,16 +109,21 @@ def count_tokens(docs: DataFrame, model_path: str, text_col: str = "text", split
     shuffle; a task holds one batch and its segment cache. Null or empty texts have no tokens and score 0. Repeated rows
     count alike. Columns named n_tokens, token_score are replaced.
     """
-    docs = docs.drop("n_tokens", "token_score")
+    columns = [c for c in docs.columns if c not in ("n_tokens", "token_score")]
+    plain, texts = C.carried(docs, columns, text_col)
 
     def run(batches):
-        counter = C.worker_cache(("unigram", model_path, split), lambda: Counter(*vocabulary(model_path), split))
+        def load():
+            pieces, unknown, bytes_ = vocabulary(model_path)
+            return Counter(pieces, unknown, split, bytes_)
+
+        counter = C.worker_cache(("unigram", model_path, split), load)
         for batch in batches:
-            got = [counter.count(t) for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.float64())], [*batch.schema.names, "n_tokens", "token_score"])
+            got = [counter.count(t) for t in texts(batch).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.float64())], ["row", "n_tokens", "token_score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, n_tokens long, token_score double")
+    out = plain.mapInArrow(run, T.StructType([plain.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("token_score", T.DoubleType())]))
+    return out.select(*C.out_of_one(columns), "n_tokens", "token_score")
 
 
 def model_path() -> str:

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from sievework.llm import suffix_dedup as S
 from sievework.llm.suffix_dedup import multikey_sort, suffix_dedup
 
 
@@ -52,3 +53,33 @@ def test_multikey_sort():
     t = [s[i] for i in order]
     assert t == sorted(s)
     assert all(a[:k] == b[:k] and (k == 21 or a[k] != b[k]) for a, b, k in zip(t, t[1:], shared[1:].tolist()))
+
+
+def test_hot_tokens(spark, docs, rows, monkeypatch):
+    """Every token hot, or every third, and ranges dealt on by hash: the same result."""
+    plain = S._splitters
+    for step in (1, 3):
+
+        def all_hot(docs, text_col, length, token, ranges, sample_docs, seed, step=step):
+            splitters, _ = plain(docs, text_col, length, token, ranges, sample_docs, seed)
+            seen = {(r.text or "").encode()[i : i + token] for r in docs.select("text").collect() for i in range(len((r.text or "").encode()) - token + 1)}
+            return splitters, np.unique(np.array(sorted(seen)[::step], dtype=f"S{token}"))
+
+        monkeypatch.setattr(S, "_splitters", all_hot)
+        some = docs.where("doc_id < 50 or doc_id > 1003 or doc_id is null")
+        assert got(suffix_dedup(some)) == brute([r for r in rows if r[0] is None or r[0] < 50 or r[0] > 1003])
+    monkeypatch.setattr(S, "_splitters", plain)
+    monkeypatch.setattr(S, "MOST_RANGES", 3)
+    assert got(suffix_dedup(docs)) == brute(rows)
+
+
+def test_one_passage_in_many_documents(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(7))
+    passage = " ".join(word() for _ in range(40))
+    rows = [(i, " ".join(word() for _ in range(12)) + " " + passage + " " + " ".join(word() for _ in range(12))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    splitters, hot = S._splitters(df, "text", 100, 32, 64, 1000, 13)
+    assert len(hot)
+    out = got(suffix_dedup(df))
+    assert out == brute(rows) and sum(x[2] > 200 for x in out) == 299

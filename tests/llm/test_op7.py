@@ -1,9 +1,11 @@
 import random
 import re
 
+import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
-from sievework.llm.decontaminate import FMIndex, decontaminate, find_contamination
+from sievework.llm.decontaminate import OP7_SQL, FMIndex, decontaminate, find_contamination, op7
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -56,6 +58,27 @@ def test_same_as_brute_force(spark, docs, rows, no_docs):
     assert flat(find_contamination(docs, bench.limit(0))) == brute(rows, [])
 
 
+def test_clashing_columns_and_repeated_rows(spark, docs, rows):
+    bench = spark.createDataFrame(items_of(rows), "item_id long, text string")
+    more = docs.union(docs).withColumns({c: F.lit(c) for c in ("_row", "_text", "row", "items", "a.b")})
+    found = find_contamination(more, bench)
+    assert flat(found) == sorted([*brute(rows, items_of(rows))] * 2, key=str) and {r["a.b"] for r in found.collect()} == {"a.b"}
+    for drop in (True, False):
+        out = decontaminate(more, bench, drop=drop)
+        assert out.columns == more.columns and {r["items"] for r in out.collect()} == {"items"}
+        assert out.count() == 2 * decontaminate(docs, bench, drop=drop).count()
+
+
+def test_same_as_sql(spark):
+    at = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for n in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {n} AS SELECT * FROM '{at}/{n}.parquet'")
+    cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    got = sorted(tuple(r[c] for c in cols) for r in op7(spark, at).collect())
+    assert got == sorted(con.sql(f"SELECT {', '.join(cols)} FROM ({OP7_SQL})").fetchall()) and any(r[-1] for r in got)
+
+
 def test_index_finds_all_occurrences():
     r = np.random.default_rng(2)
     for n, s in ((1, 3), (50, 2), (3000, 4), (2000, 300)):
