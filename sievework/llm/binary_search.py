@@ -18,10 +18,12 @@ EXPAND = 1 << 21
 
 
 def binary_codes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, code): bit i of the code is set where element i of the first 64 is above zero. Null vectors give no code."""
+    """(id, code): bit i of the code is set where element i is above zero. Null vectors give no code; vectors of fewer than 64
+    elements leave the other bits 0, and one of more is an error: none of its elements may be passed over."""
     signed = lambda i: (1 << i) - (1 << 64 if i == 63 else 0)
     bits = [F.when(F.get(vector_col, F.lit(i)) > 0, F.lit(signed(i)).cast("long")).otherwise(F.lit(0).cast("long")) for i in range(BITS)]
     code = reduce(lambda a, b: a.bitwiseOR(b), bits)
+    code = F.when(F.size(vector_col) > BITS, F.raise_error(F.lit(f"a vector has more than {BITS} elements")).cast("long")).otherwise(code)
     return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), code.alias("code"))
 
 
@@ -87,59 +89,131 @@ class MultiIndex:
         return [(d[d <= BITS], i[d <= BITS]) for d, i in zip(best_d, best_i)]
 
     def _merge(self, best_d, best_i, q, which, row, queries, own, k):
-        d = np.bitwise_count(self.codes[row] ^ queries[q[which]]).astype(np.int16)
-        ids = self.ids[row]
-        worst = best_d[q[which], k - 1]
-        use = (d <= worst) & (ids != own[q[which]])
-        which, d, ids = which[use], d[use], ids[use]
-        if not len(which):
-            return
-        hit = np.unique(which)
-        which = np.concatenate([which, np.repeat(hit, k)])
-        d = np.concatenate([d, best_d[q[hit]].ravel()])
-        ids = np.concatenate([ids, best_i[q[hit]].ravel()])
-        order = np.lexsort((ids, d, which))
-        which, d, ids = which[order], d[order], ids[order]
-        new = np.append(True, (which[1:] != which[:-1]) | (ids[1:] != ids[:-1]) | (d[1:] != d[:-1])) | (d > BITS)
-        which, d, ids = which[new], d[new], ids[new]
-        start = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
-        rank = np.arange(len(which)) - np.repeat(start, np.diff(np.append(start, len(which))))
-        top = rank < k
-        best_d[q[which[top]], rank[top]] = d[top]
-        best_i[q[which[top]], rank[top]] = ids[top]
-
-
-def nearest_codes(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, shard_rows: int = 200_000) -> DataFrame:
+        merge(self.codes, self.ids, best_d, best_i, q, which, row, queries, own, k)
+
+
+def merge(codes, ids, best_d, best_i, q, which, row, queries, own, k, bound=None):
+    """Put candidates (row of codes for number which of q) among the best of their queries, but for the query's own row and
+    those beyond its bound."""
+    d = np.bitwise_count(codes[row] ^ queries[q[which]]).astype(np.int16)
+    ids = ids[row]
+    use = (d <= best_d[q[which], k - 1]) & (ids != own[q[which]])
+    use = use if bound is None else use & (d <= bound[q[which]])
+    which, d, ids = which[use], d[use], ids[use]
+    if not len(which):
+        return
+    hit = np.unique(which)
+    which = np.concatenate([which, np.repeat(hit, k)])
+    d = np.concatenate([d, best_d[q[hit]].ravel()])
+    ids = np.concatenate([ids, best_i[q[hit]].ravel()])
+    order = np.lexsort((ids, d, which))
+    which, d, ids = which[order], d[order], ids[order]
+    new = np.append(True, (which[1:] != which[:-1]) | (ids[1:] != ids[:-1]) | (d[1:] != d[:-1])) | (d > BITS)
+    which, d, ids = which[new], d[new], ids[new]
+    start = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+    rank = np.arange(len(which)) - np.repeat(start, np.diff(np.append(start, len(which))))
+    top = rank < k
+    best_d[q[which[top]], rank[top]] = d[top]
+    best_i[q[which[top]], rank[top]] = ids[top]
+
+
+def part_search(codes, ids, shift: int, low_bits: int, queries, own, far, bound, radii, k: int):
+    """In one part of one segment's table: per query the best (distances, ids) among the rows whose segment value differs
+    from the query's in one of radii bits. far: bits by which the part's own leading bits differ from the query's; the
+    rest of a radius is sought in the segment's other bits."""
+    part = lambda x: ((x >> np.uint64(shift)) & np.uint64((1 << low_bits) - 1)).astype(np.int64)
+    low = part(codes)
+    by = np.argsort(low, kind="stable")
+    starts = np.searchsorted(low[by], np.arange((1 << low_bits) + 1))
+    best_d = np.full((len(queries), k), BITS + 1, np.int16)
+    best_i = np.full((len(queries), k), np.iinfo(np.int64).max, np.int64)
+    for radius in radii:
+        for f in np.unique(far).tolist():
+            live = np.flatnonzero(far == f)
+            if not 0 <= radius - f <= low_bits:
+                continue
+            masks = np.array([sum(1 << b for b in c) for c in combinations(range(low_bits), radius - f)], np.int64)
+            step, at = max(1, EXPAND // (4 * len(masks))), 0
+            while at < len(live):
+                q = live[at : at + step]
+                probe = part(queries[q])[:, None] ^ masks[None, :]
+                sizes = starts[probe + 1] - starts[probe]
+                fit = max(1, int(np.searchsorted(np.cumsum(sizes.sum(axis=1)), EXPAND, side="right")))
+                q, probe, sizes = q[:fit], probe[:fit].ravel(), sizes[:fit].ravel()
+                at += fit
+                which = np.repeat(np.repeat(np.arange(len(q)), len(masks)), sizes)
+                row = by[np.repeat(starts[probe] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+                merge(codes, ids, best_d, best_i, q, which, row, queries, own, k, bound)
+    return best_d, best_i
+
+
+#: Rows of a part of a table; the leading bits of a segment tell parts apart.
+PART_ROWS = 200_000
+#: The search radii of a segment, as many at a time as one round covers.
+ROUNDS = ((0, 1), (2, 3), (4, 5), (6, 16))
+
+
+def nearest_codes(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, part_rows: int = PART_ROWS) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): the k rows of vectors nearest to each row of queries by Hamming distance of
     their sign codes, ties by smaller id; a row is not its own neighbour. Exact, whatever the codes.
 
-    Rows are dealt to shards by their id's hash. A shard indexes its rows once, and the queries pass it in blocks; so a
-    query costs k rows a shard, which are ranked per query. Of equal codes in a shard
-    only the k + 1 least ids can be among any k nearest, so a large group of copies costs no more. Null ids or vectors are neither rows nor queries; of repeated rows
-    (equal id and code) one counts; an empty table gives no rows. Other columns are not read.
+    Each code stands in one table a segment (about log2 of the rows wide, 16 bits at most). A table is cut to parts by the
+    leading bits of its segment, and a query goes only to the parts that its radius reaches: those whose leading bits
+    differ from its own in no more bits. Radii grow by rounds; a code that no table has shown within a radius differs by
+    more in every segment, so a query whose k-th distance is below that sum is proven and leaves, and later rounds carry
+    the others with their k-th distance as a bound. Of equal codes only the k + 1 least ids can be among any k nearest, so
+    a large group of copies costs no more. Null ids or vectors are neither rows nor queries; of repeated rows (equal id
+    and code) one counts; an empty table gives no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
-    rows = C.checkpointed(binary_codes(vectors, id_col, vector_col))
-    shards = max(2, rows.count() // shard_rows + 1)
-    asked = binary_codes(queries, id_col, vector_col).distinct()
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("shard", "id", "code")
-    # a shard's queries, split over as many blocks as give every core work
-    blocks = max(1, C.partitions(spark) // shards)
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
-    held = rows.select(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), "id", "code")
-    held = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def run(table: pa.Table, ask: pa.Table) -> pa.Table:
-        column = lambda t, c: t.column(c).to_numpy() if t.num_rows else np.zeros(0, np.int64)
-        q, own = column(ask, "code").view(np.uint64), column(ask, "id")
-        got = MultiIndex(column(table, "id"), column(table, "code").view(np.uint64), k + 1).search(q, own, k) if len(q) and table.num_rows else []
-        sizes = [len(d) for d, _ in got]
-        flat = lambda i: np.concatenate([np.zeros(0, np.int64), *(g[i] for g in got)]).astype(np.int64)
-        return pa.table({"query_id": pa.array(np.repeat(own, sizes) if got else np.zeros(0, np.int64)), "neighbor_id": pa.array(flat(1)), "distance": pa.array(flat(0))})
-
-    near = held.groupBy("shard", "block").cogroup(asked.withColumn("block", block).groupBy("shard", "block")).applyInArrow(run, "query_id long, neighbor_id long, distance long")
-    place = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return near.distinct().withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("long").alias("rank"), "neighbor_id", "distance")
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("distance", "neighbor_id"))
+    first = F.row_number().over(Window.partitionBy("code").orderBy("id"))
+    rows = C.checkpointed(binary_codes(vectors, id_col, vector_col).distinct().withColumn("r", first).where(F.col("r") <= k + 1).select("id", "code"))
+    asked = C.checkpointed(binary_codes(queries, id_col, vector_col).distinct().select(F.col("id").alias("query_id"), "code"))
+    n = rows.count()
+    width = int(np.clip(np.log2(max(2, n)), 4, 16))
+    count = -(-BITS // width)
+    cuts = [BITS * i // count for i in range(count + 1)]
+    widths = [b - a for a, b in zip(cuts, cuts[1:])]
+    lead = min(*widths, max(0, int(np.ceil(np.log2(max(n, 1) / part_rows)))))
+    top = lambda j: F.shiftrightunsigned("code", cuts[j + 1] - lead).bitwiseAND((1 << lead) - 1).cast("int") if lead else F.lit(0)
+    tops = F.posexplode(F.array(*map(top, range(count)))).alias("segment", "top")
+    # a part's queries, split over as many blocks as give every core work
+    blocks = max(1, C.partitions(spark) // (count << lead))
+    tables = rows.select("id", "code", tops).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    keys = ["segment", "top", "block"]
+
+    def search(radii):
+        def run(t: pa.Table, ask: pa.Table) -> pa.Table:
+            kinds = {"query_id": pa.int64(), "code": pa.int64(), "neighbor_id": pa.int64(), "distance": pa.int64()}
+            if not t.num_rows or not ask.num_rows:
+                return pa.table({c: pa.array([], kind) for c, kind in kinds.items()})
+            read = lambda x, c: x.column(c).to_numpy()
+            j, own, code = ask.column("segment")[0].as_py(), read(ask, "query_id"), read(ask, "code")
+            d, i = part_search(read(t, "code").view(np.uint64), read(t, "id"), cuts[j], widths[j] - lead, code.view(np.uint64), own, read(ask, "far"), read(ask, "bound"), radii, k)
+            q, r = np.nonzero(d <= BITS)
+            return pa.table({c: pa.array(v, kinds[c]) for c, v in {"query_id": own[q], "code": code[q], "neighbor_id": i[q, r], "distance": d[q, r].astype(np.int64)}.items()})
+
+        return run
+
+    best, live = None, asked.withColumn("bound", F.lit(BITS + 1).cast("long"))
+    for low, high in ROUNDS:
+        high = min(high, max(widths))
+        to = F.explode(F.sequence(F.lit(0), F.lit((1 << lead) - 1))).alias("to")
+        visits = live.select("query_id", "code", "bound", tops).select("*", to).withColumn("far", F.bit_count(F.col("to").bitwiseXOR(F.col("top"))))
+        visits = visits.where(F.col("far") <= high).drop("top").withColumnRenamed("to", "top").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        found = tables.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(search(range(low, high + 1)), "query_id long, code long, neighbor_id long, distance long")
+        found = (found if best is None else best.unionByName(found)).distinct()
+        best = C.checkpointed(found.withColumn("r", place("query_id", "code")).where(F.col("r") <= k).drop("r"))
+        if high == max(widths):
+            break
+        kth = best.groupBy("query_id", "code").agg(F.count("*").alias("n"), F.max("distance").alias("d"))
+        rest = asked.join(kth, ["query_id", "code"], "left").where(F.col("n").isNull() | (F.col("n") < k) | (F.col("d") > count * (high + 1) - 1))
+        live = C.checkpointed(rest.select("query_id", "code", F.when(F.col("n") == k, F.col("d")).otherwise(F.lit(BITS + 1)).cast("long").alias("bound")))
+        if not live.head(1):
+            break
+    out = best.select("query_id", "neighbor_id", "distance").distinct().withColumn("rank", place("query_id").cast("long")).where(F.col("rank") <= k)
+    return out.select("query_id", "rank", "neighbor_id", "distance")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,17 +168,45 @@ def drop_caches() -> None:
     _cached.clear()
 
 
+BLOCK_SCHEMA = "bucket int, src int, keys binary, many binary"
 SHARED_SCHEMA = "src int, found binary"
+#: Key blocks up to which each group sends one to each bucket; beyond, they go by way of groups of groups.
+MOST_BLOCKS = 1 << 22
 
 
-def find_shared(table):
-    """Of a bucket's key blocks (src, keys, many): per src the keys that another src, or another place of it, has too."""
+def key_blocks(keys: np.ndarray, many: np.ndarray, src: int, buckets: int):
+    """Sorted keys of a src, cut to buckets; many: which of them the src knows to be shared already."""
     import pyarrow as pa
 
-    src = table.column("src").to_numpy()
+    cuts = bucket_cuts(keys, buckets)
+    full = np.flatnonzero(np.diff(cuts))
+    return pa.table({
+        "bucket": pa.array(full, pa.int32()),
+        "src": pa.array(np.full(len(full), src), pa.int32()),
+        "keys": pa.array([pack48(keys[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
+        "many": pa.array([np.packbits(many[cuts[b] : cuts[b + 1]]).tobytes() for b in full], pa.binary()),
+    })
+
+
+def _unpacked(table):
     blocks = [unpack48(x) for x in table.column("keys").to_pylist()]
     many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool) for x, k in zip(table.column("many").to_pylist(), blocks)]
-    keys = np.concatenate(blocks) if blocks else np.zeros(0, np.uint64)
+    return table.column("src").to_numpy(), blocks, many
+
+
+def _found(src, blocks, wanted):
+    import pyarrow as pa
+
+    out = [pack48(k[w]) for k, w in zip(blocks, wanted)]
+    keep = [i for i, x in enumerate(out) if x]
+    return pa.table({"src": pa.array(np.asarray(src)[keep], pa.int32()), "found": pa.array([out[i] for i in keep], pa.binary())})
+
+
+def find_shared(table):
+    """Of a bucket's key blocks (src, keys, many): per src the keys that another src has too and it does not know to be
+    shared."""
+    src, blocks, many = _unpacked(table)
+    keys = np.concatenate([np.zeros(0, np.uint64), *blocks])
     order = np.argsort(keys, kind="stable")
     s = keys[order]
     same = s[1:] == s[:-1]
@@ -187,9 +215,48 @@ def find_shared(table):
     twin[:-1] |= same
     shared = np.empty(len(s), bool)
     shared[order] = twin
-    out, start = [], 0
-    for k, m in zip(blocks, many):
-        out.append(pack48(k[shared[start : start + len(k)] & ~m]))
-        start += len(k)
-    keep = [i for i, x in enumerate(out) if x]
-    return pa.table({"src": pa.array(src[keep], pa.int32()), "found": pa.array([out[i] for i in keep], pa.binary())})
+    cut = np.split(shared, np.cumsum([len(k) for k in blocks])[:-1]) if blocks else []
+    return _found(src, blocks, [x & ~m for x, m in zip(cut, many)])
+
+
+def _combined(blocks, many) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of several blocks, and whether two have a key or one knows it to be shared."""
+    keys, known = np.concatenate([np.zeros(0, np.uint64), *blocks]), np.concatenate([np.zeros(0, bool), *many])
+    order = np.argsort(keys, kind="stable")
+    s, k = keys[order], known[order]
+    first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, int)
+    if not len(first):
+        return s, k
+    return s[first], np.logical_or.reduceat(k, first) | (np.diff(np.append(first, len(s))) > 1)
+
+
+def shared_keys(blocks_of, groups: int, buckets: int) -> DataFrame:
+    """(src, found): of each src the keys that others have too. blocks_of(n) gives its key blocks for n buckets.
+
+    With one block from each group to each bucket, blocks grow as the square of the corpus and end up with a key each. So
+    beyond MOST_BLOCKS a group sends blocks to about the square root of the buckets; the blocks of as many groups meet in
+    one task a coarse bucket, which sends their distinct keys on to the fine buckets as one source, and deals out what
+    comes back. Blocks then grow with the power of one and a half, and each key moves twice.
+    """
+    if groups * buckets <= MOST_BLOCKS:
+        return blocks_of(buckets).groupBy("bucket").applyInArrow(find_shared, SHARED_SCHEMA)
+    coarse = math.isqrt(buckets - 1) + 1
+    fine = coarse * -(-buckets // coarse)
+    rows = blocks_of(coarse).withColumn("task", (F.floor(F.col("src") / coarse) * coarse + F.col("bucket")).cast("int"))
+
+    def gather(t):
+        _, blocks, many = _unpacked(t)
+        return key_blocks(*_combined(blocks, many), t.column("task")[0].as_py(), fine)
+
+    def deal(t, back):
+        import pyarrow as pa
+
+        if not t.num_rows:
+            return pa.table({"src": pa.array([], pa.int32()), "found": pa.array([], pa.binary())})
+        src, blocks, many = _unpacked(t)
+        keys, known = _combined(blocks, many)
+        shared = np.sort(np.concatenate([keys[known], *(unpack48(x) for x in back.column("found").to_pylist())]))
+        return _found(src, blocks, [members(k, shared) & ~m for k, m in zip(blocks, many)])
+
+    back = rows.groupBy("task").applyInArrow(gather, BLOCK_SCHEMA).groupBy("bucket").applyInArrow(find_shared, SHARED_SCHEMA)
+    return rows.groupBy("task").cogroup(back.groupBy("src")).applyInArrow(deal, SHARED_SCHEMA)

@@ -100,17 +100,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             ds.append(ids[first + doc])
         return _by_hash(np.concatenate(hs or [np.zeros(0, np.uint64)]), np.concatenate(ds or [np.zeros(0, np.int64)]))
 
-    def anchors(t: pa.Table) -> pa.Table:
-        src = t.column("src")[0].as_py()
-        keys, _, many = group_anchors(*_rows_of(t))
-        cuts = C.bucket_cuts(keys, buckets)
-        full = np.flatnonzero(np.diff(cuts))
-        return pa.table({
-            "bucket": pa.array(full, pa.int32()),
-            "src": pa.array(np.full(len(full), src), pa.int32()),
-            "keys": pa.array([C.pack48(keys[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
-            "many": pa.array([np.packbits(many[cuts[b] : cuts[b + 1]]).tobytes() for b in full], pa.binary()),
-        })
+    def anchors(n: int):
+        def run(t: pa.Table) -> pa.Table:
+            keys, _, many = group_anchors(*_rows_of(t))
+            return C.key_blocks(keys, many, t.column("src")[0].as_py(), n)
+
+        return by_src.groupBy("src").applyInArrow(run, C.BLOCK_SCHEMA)
 
     def candidates(docs_t: pa.Table, found_t: pa.Table) -> pa.Table:
         if not docs_t.num_rows:
@@ -205,7 +200,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"id": pa.array(ids, pa.int64()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "spans": pa.array(spans, span), "kept_text": pa.array(kept, pa.string())})
 
-    found = by_src.groupBy("src").applyInArrow(anchors, "bucket int, src int, keys binary, many binary").groupBy("bucket").applyInArrow(C.find_shared, C.SHARED_SCHEMA)
+    found = C.shared_keys(anchors, groups, buckets)
     near = by_src.groupBy("src").cogroup(found.groupBy("src")).applyInArrow(candidates, "bucket int, src int, a binary, b binary, low binary")
     gone = near.groupBy("bucket").applyInArrow(later, C.SHARED_SCHEMA)
     out = by_src.groupBy("src").cogroup(gone.groupBy("src")).applyInArrow(finish, "id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string")

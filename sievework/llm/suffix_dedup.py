@@ -204,17 +204,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, int)
         return s[first], np.diff(np.append(first, len(s))) > 1
 
-    def tokens(t: pa.Table) -> pa.Table:
-        src = t.column("src")[0].as_py()
-        keys, many = token_counts([_suffixes(buf, ends, length, token)[1] for _, buf, ends in _chunks(rows_of(t)[1])])
-        cuts = C.bucket_cuts(keys, buckets)
-        full = np.flatnonzero(np.diff(cuts))
-        return pa.table({
-            "bucket": pa.array(full, pa.int32()),
-            "src": pa.array(np.full(len(full), src), pa.int32()),
-            "keys": pa.array([C.pack48(keys[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
-            "many": pa.array([np.packbits(many[cuts[b] : cuts[b + 1]]).tobytes() for b in full], pa.binary()),
-        })
+    def tokens(n: int):
+        def run(t: pa.Table) -> pa.Table:
+            keys, many = token_counts([_suffixes(buf, ends, length, token)[1] for _, buf, ends in _chunks(rows_of(t)[1])])
+            return C.key_blocks(keys, many, t.column("src")[0].as_py(), n)
+
+        return by_src.groupBy("src").applyInArrow(run, C.BLOCK_SCHEMA)
 
     def contexts(docs_t: pa.Table, found_t: pa.Table) -> pa.Table:
         names = ("left", "right", "around", "id", "pos", "text")
@@ -411,7 +406,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out[i] = start[gone & (number == i)]
         return out
 
-    found = by_src.groupBy("src").applyInArrow(tokens, "bucket int, src int, keys binary, many binary").groupBy("bucket").applyInArrow(C.find_shared, C.SHARED_SCHEMA)
+    found = C.shared_keys(tokens, groups, buckets)
     near = by_src.groupBy("src").cogroup(found.groupBy("src")).applyInArrow(contexts, "bucket int, src int, left binary, right binary, around binary, id binary, pos binary, text binary")
     gone = near.groupBy("bucket").applyInArrow(compare, "src int, hot boolean, around binary, bits binary")
     out = by_src.groupBy("src").cogroup(gone.groupBy("src")).applyInArrow(finish, "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")

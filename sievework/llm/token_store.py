@@ -89,11 +89,12 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(samples: list[bytes], size: int = 64 << 10) -> bytes:
-    """A zstandard dictionary of serialized id arrays; empty where there is too little to train on."""
+    """A zstandard dictionary of serialized id arrays. What is too little to train on is one as it is (the library takes
+    plain content too); no samples give none."""
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes() if len(samples) >= 8 else b""
-    except zstandard.ZstdError:
-        return b""
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(samples)[-size:]
 
 
 def _dictionary(data: bytes):
@@ -133,25 +134,26 @@ class Block:
 
 
 def sampled(plain: DataFrame, count: int) -> DataFrame:
-    """The rows (id, text) of the count least hashes of the id among all rows; texts come cut to what the sample reads."""
-    return plain.select("id", F.substring("text", 1, 100_000).alias("text")).orderBy(F.xxhash64("id"), "id").limit(count)
+    """The rows (id, text) of the count least hashes of id and text among all rows, whole."""
+    return plain.orderBy(F.xxhash64("id", "text"), "id").limit(count)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, sample_docs: int = 400) -> None:
     """Write each whole text's ids, then end_id, in ascending id order (nulls last) as blocks under path.
 
     path/dictionary has the shared dictionary, trained on the serialized ids of a bounded sample (the sample_docs documents
-    of least hash of the id among all rows, at most 100,000 characters of each: it decides sizes, never contents); path/blocks has the blocks, numbered in order. Spark's own committer writes both,
-    so a lost executor's task is run again and leaves nothing half done. Null texts are empty: the end id alone. Rows
-    of equal ids stay, next to each other. Other columns are not read.
+    of least hash of id and text among all rows: it decides sizes, never contents); path/blocks has the blocks, numbered in
+    order. Spark's own committer writes both, so a lost executor's task is run again and leaves nothing half done. Null
+    texts are empty: the end id alone. Rows of equal or no ids stay, next to each other, by a hash of the text, which
+    deals them out as well. Other columns are not read. An empty table gives no blocks.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    plain = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def sample(batches):
         enc = encoder(tokenizer_path)
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([enc.ids(x[:100_000]) for x in batch.column("text").to_pylist() if x], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"ids": pa.array([enc.ids(x) for x in batch.column("text").to_pylist() if x], pa.binary())})
 
     dictionary = train_dictionary([bytes(r.ids) for r in sampled(plain, sample_docs).mapInArrow(sample, "ids binary").collect()])
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").write.mode("overwrite").parquet(f"{path}/dictionary")
@@ -180,7 +182,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         if ids:
             yield block()
 
-    ordered = plain.repartitionByRange(parts, "id").sortWithinPartitions("id").select(F.spark_partition_id().alias("part"), "id", "text")
+    ordered = plain.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie").select(F.spark_partition_id().alias("part"), "id", "text")
     ordered.mapInArrow(run, "part int, number int, n_docs int, n_tokens long, block binary").write.mode("overwrite").parquet(f"{path}/blocks")
 
 

@@ -1,6 +1,10 @@
 import hashlib
 
-from sievework.llm.substring_dedup import substring_dedup
+import duckdb
+import pytest
+
+from sievework.llm import common as C
+from sievework.llm.substring_dedup import OP1_SQL, op1, substring_dedup
 
 
 def brute(rows, w=13):
@@ -43,3 +47,26 @@ def test_other_window(docs, rows):
 
 def test_empty(no_docs):
     assert substring_dedup(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("groups", [12, 40])
+def test_groups_of_groups(docs, rows, monkeypatch, groups):
+    monkeypatch.setattr(C, "MOST_BLOCKS", 0)
+    monkeypatch.setattr(C, "group_count", lambda *a: groups)
+    monkeypatch.setattr(C, "bucket_count", lambda *a: 7)
+    assert got(substring_dedup(docs)) == brute(rows)
+
+
+def test_null_ids_are_dealt_out(spark, docs):
+    lost = spark.createDataFrame([(None, f"text {i}", "en", "a", 1) for i in range(400)], docs.schema)
+    sizes = [r["count"] for r in C.grouped_docs(lost, "doc_id", "text", 8).groupBy("src").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 90
+
+
+def test_same_as_sql(spark):
+    at = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{at}/documents.parquet'")
+    cols = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    rows = sorted(tuple(r[c] for c in cols) for r in op1(spark, at).collect())
+    assert rows == sorted(con.sql(f"SELECT {', '.join(cols)} FROM ({OP1_SQL})").fetchall()) and any(r[2] for r in rows)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from sievework.llm import common as C
 from sievework.llm import suffix_dedup as S
 from sievework.llm.suffix_dedup import multikey_sort, suffix_dedup
 
@@ -83,3 +84,10 @@ def test_one_passage_in_many_documents(spark):
     assert len(hot)
     out = got(suffix_dedup(df))
     assert out == brute(rows) and sum(x[2] > 200 for x in out) == 299
+
+
+def test_groups_of_groups(docs, rows, monkeypatch):
+    monkeypatch.setattr(C, "MOST_BLOCKS", 0)
+    monkeypatch.setattr(C, "group_count", lambda *a: 30)
+    monkeypatch.setattr(C, "bucket_count", lambda *a: 5)
+    assert got(suffix_dedup(docs)) == brute(rows)

@@ -32,7 +32,7 @@ def test_same_as_sql(spark):
 def test_edges(spark):
     rows = [(0, [1.0] * 64, "a"), (1, [1.0] * 64, "b"), (1, [1.0] * 64, "b"), (2, None, "c"), (None, [1.0] * 64, "d"), (20, [-1.0] * 64, "e"), (3, [], "f"), (4, [None, 1.0], "g")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
-    got = sorted(map(tuple, nearest_codes(df, df.where("vec_id % 20 = 0"), k=2, shard_rows=2).collect()))
+    got = sorted(map(tuple, nearest_codes(df, df.where("vec_id % 20 = 0"), k=2, part_rows=2).collect()))
     assert got == [(0, 1, 1, 0), (0, 2, 4, 63), (20, 1, 3, 0), (20, 2, 4, 1)]
     assert nearest_codes(df.limit(0), df.limit(0)).collect() == []
 
@@ -41,7 +41,28 @@ def test_repeated_rows_of_one_code_count_once(spark):
     one, near = [1.0] * 64, [-1.0] + [1.0] * 63
     rows = [(i, one) for i in range(20) for _ in range(3)] + [(i, near) for i in range(100, 115)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = sorted(map(tuple, nearest_codes(df, df.where("vec_id = 0"), k=10, shard_rows=1000).collect()))
+    got = sorted(map(tuple, nearest_codes(df, df.where("vec_id = 0"), k=10, part_rows=1000).collect()))
     assert got == [(0, i, i, 0) for i in range(1, 11)]
     ids, codes = np.repeat(np.arange(20), 3), np.full(60, 7, np.uint64)
     assert MultiIndex(ids, codes, 11).search(codes[:1], ids[:1], 10)[0][1].tolist() == list(range(1, 11))
+
+
+@pytest.mark.parametrize("part_rows", [5000, 100, 20])
+def test_routed_search_is_exact(spark, part_rows):
+    r = random.Random(part_rows)
+    base = [r.getrandbits(64) for _ in range(150)]
+    codes = [r.choice(base) ^ sum({1 << r.randrange(64) for _ in range(r.randrange(6))}) for _ in range(900)] + [r.getrandbits(64) for _ in range(60)] + [base[0]] * 40
+    vector = lambda c: [1.0 if c >> i & 1 else -1.0 for i in range(64)]
+    df = spark.createDataFrame([(i, vector(c)) for i, c in enumerate(codes)], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, nearest_codes(df, df.where("vec_id % 10 = 0"), k=5, part_rows=part_rows).collect()))
+    want = []
+    for q in range(0, len(codes), 10):
+        near = sorted(((codes[q] ^ c).bit_count(), i) for i, c in enumerate(codes) if i != q)[:5]
+        want += [(q, n + 1, i, d) for n, (d, i) in enumerate(near)]
+    assert got == sorted(want)
+
+
+def test_long_vectors_are_refused(spark):
+    df = spark.createDataFrame([(0, [1.0] * 65)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="more than 64"):
+        nearest_codes(df, df).collect()

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from sievework.llm.decontaminate import Phrases, shard_hits
@@ -53,3 +54,23 @@ def test_stages_against_plain_versions(spark, stages):
 def test_run_repeats(spark, stages):
     a, b = (sorted(map(tuple, P.run(spark, stages[0]).collect())) for _ in range(2))
     assert a == b == sorted(map(tuple, stages[1][-1][1].collect()))
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_stage_on_odd_tables(spark, docs, no_docs, k):
+    """Empty tables, repeated rows, nulls in every column and further columns of clashing names: no stage fails, and each
+    gives the columns that it got."""
+    at, (name, f) = "/root/testdata/sf0.001", P.STAGES[k]
+    assert f(spark, no_docs, at).collect() == []
+    odd = docs.union(docs).union(spark.createDataFrame([(None, None, None, None, None)] * 2, docs.schema))
+    odd = odd.withColumns({c: F.lit(c) for c in ("row", "id", "copies", "_mix_k", "p_doc", "keep", "spans", "_text", "near_id", "a.b")})
+    out = f(spark, odd, at)
+    got, ids = out.collect(), {r.doc_id for r in odd.collect()}
+    assert out.columns == odd.columns and got and {r.doc_id for r in got} <= ids and {r["a.b"] for r in got} == {"a.b"}
+
+
+def test_tokens_of_odd_tables(spark, docs, no_docs):
+    at = "/root/testdata/sf0.001"
+    assert P.tokens(spark, no_docs, at).collect() == []
+    odd = docs.union(docs).withColumns({c: F.lit(c) for c in ("part", "number", "start", "a.b")})
+    assert P.tokens(spark, odd, at).count() == odd.count()
