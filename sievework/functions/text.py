@@ -188,27 +188,43 @@ def dice(df: DataFrame, key: str, a: str, b: str, stem: int = 5) -> DataFrame:
     return df.select(key).distinct().join(sums, key, "left").select(key, F.coalesce("dice", F.lit(1.0)).alias("dice"))
 
 
-def repeated_ngram(df: DataFrame, key: str, text: str, reference: str | None = None, n: int = 3) -> DataFrame:
-    """(key, ngram, count, excess): the word n-gram that the text repeats most beyond the reference, the first of equals;
-    (null, 0, 0) where none is in excess.
-
-    N-grams of both sides are counted as 64-bit hashes; only the best one of each key is looked up in its text again."""
-    hashes = lambda c: F.transform(word_tokens(F.col(c)), lambda w: F.xxhash64(w))
+def most_repeated(words: Column, reference: Column, n: int = 3) -> Column:
+    """struct<ngram,count,excess>: the n-gram of words that occurs most beyond the reference's words, the first of equals;
+    null where none does. N-grams are 64-bit hashes in one sorted array, and one pass over it closes a run of equal ones
+    at a time; so a text of any length costs its own sort, and nothing is shuffled."""
     gram = lambda h, i: F.xxhash64(*[F.get(h, i + k) for k in range(n)])
 
-    def runs(c, own):
-        each = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(i.alias("at"), gram(h, i).alias("g"), F.lit(own).alias("own")))
-        none = F.array().cast("array<struct<at:int,g:bigint,own:int>>")
-        return let(hashes(c), lambda h: F.when(F.size(h) >= n, each(h)).otherwise(none))
-
-    both = runs(text, 1) if reference is None else F.concat(runs(text, 1), runs(reference, 0))
-    seen = df.select(key, F.explode(both).alias("x")).groupBy(key, "x.g").agg(F.sum("x.own").alias("count"), (2 * F.sum("x.own") - F.count("*")).alias("excess"), F.min(F.when(F.col("x.own") == 1, F.col("x.at"))).alias("at"))
-    best = seen.where("excess > 0").groupBy(key).agg(F.max_by(F.struct("g", "at", "count", "excess"), F.struct(F.col("excess"), -F.col("at"))).alias("b"))
-    words = F.slice(word_tokens(F.col(text)), F.col("b.at") + 1, F.lit(n))
-    said = df.select(key, F.col(text)).join(best, key).select(key, "b", let(words, lambda w: F.struct(F.array_join(w, " ").alias("ngram"), F.xxhash64(*[F.xxhash64(F.get(w, F.lit(k))) for k in range(n)]).alias("g"))).alias("w"))
-    said = said.where("w.g = b.g").groupBy(key).agg(F.min(F.col("w.ngram")).alias("ngram"), F.min("b").alias("b"))
-    out = df.select(key).distinct().join(said, key, "left")
-    return out.select(key, "ngram", F.coalesce("b.count", F.lit(0)).alias("count"), F.coalesce("b.excess", F.lit(0)).alias("excess"))
+    def grams(w: Column, own: int) -> Column:
+        each = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(gram(h, i).alias("g"), i.alias("at"), F.lit(own).alias("own")))
+        none = F.array().cast("array<struct<g:bigint,at:int,own:int>>")
+        return let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.when(F.size(h) >= n, each(h)).otherwise(none))
+
+    def closed(acc: Column) -> Column:
+        more = acc.own - acc.ref
+        better = (more > acc.best.excess) | ((more == acc.best.excess) & (more > 0) & (acc["at"] < acc.best["at"]))
+        return F.when(better, F.struct(acc["at"].alias("at"), acc.own.alias("count"), more.alias("excess"))).otherwise(acc.best)
+
+    def step(acc: Column, x: Column) -> Column:
+        same = acc.g.eqNullSafe(x.g)
+        here = F.when(x.own == 1, x["at"])
+        new = F.struct(x.g.alias("g"), x.own.alias("own"), (1 - x.own).alias("ref"), here.alias("at"), closed(acc).alias("best"))
+        run = F.struct(acc.g.alias("g"), (acc.own + x.own).alias("own"), (acc.ref + 1 - x.own).alias("ref"), F.coalesce(acc["at"], here).alias("at"), acc.best.alias("best"))
+        return F.when(same, run).otherwise(new)
+
+    zero = F.lit(0)
+    start = F.struct(F.lit(None).cast("bigint").alias("g"), zero.alias("own"), zero.alias("ref"), F.lit(None).cast("int").alias("at"), F.struct(F.lit(None).cast("int").alias("at"), zero.alias("count"), zero.alias("excess")).alias("best"))
+    best = lambda w: F.aggregate(F.array_sort(F.concat(grams(w, 1), grams(reference, 0))), start, step, closed)
+    named = lambda w: let(best(w), lambda b: F.when(b.excess > 0, F.struct(F.array_join(F.slice(w, b["at"] + 1, F.lit(n)), " ").alias("ngram"), b["count"].cast("long").alias("count"), b.excess.cast("long").alias("excess"))))
+    return let(words, named)
+
+
+def repeated_ngram(df: DataFrame, key: str, text: str, reference: str | None = None, n: int = 3) -> DataFrame:
+    """(key, ngram, count, excess): the word n-gram that the text repeats most beyond the reference, the first of equals;
+    (null, 0, 0) where none is in excess. Of several rows of a key that with the largest excess counts."""
+    ref = word_tokens(F.col(reference)) if reference is not None else F.array().cast("array<string>")
+    found = df.select(key, most_repeated(word_tokens(F.col(text)), ref, n).alias("b"))
+    best = found.groupBy(key).agg(F.max_by("b", F.struct(F.coalesce("b.excess", F.lit(0)), F.coalesce("b.ngram", F.lit("")))).alias("b"))
+    return best.select(key, F.col("b.ngram").alias("ngram"), F.coalesce("b.count", F.lit(0).cast("long")).alias("count"), F.coalesce("b.excess", F.lit(0).cast("long")).alias("excess"))
 
 
 def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
