@@ -40,6 +40,10 @@ KINDS = ("number", "url", "email")
 MODES = ("missing", "both")
 
 
+#: Where the guarded scripts lie, coarsely: a quick look at a text, which most texts fail.
+MAY_BE_GUARDED = r"[\x{370}-\x{1FFF}\x{2DE0}-\x{FFFF}\x{20000}-\x{2A6DF}]"
+
+
 def _class(script: str) -> str:
     return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in SCRIPT_RANGES[script]) + "]"
 
@@ -63,8 +67,17 @@ def foreign_scripts(source: Column, hypothesis: Column, allow: tuple[str, ...] =
         sample = F.concat(F.array_join(F.slice(chars, 1, 8), ""), F.when(F.size(chars) > 8, F.lit("…")).otherwise(F.lit("")))
         found = none_as_empty(hypothesis).rlike(_class(script)) & ~none_as_empty(source).rlike(_class(script))
         entries.append(F.struct(F.lit(script).alias("k"), F.when(found, sample).alias("v")))
-    kept = F.filter(F.array(*entries), lambda e: e.v.isNotNull()) if entries else F.array().cast("array<struct<k:string,v:string>>")
-    return F.map_from_entries(kept)
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    kept = F.filter(F.array(*entries), lambda e: e.v.isNotNull()) if entries else none
+    return F.map_from_entries(F.when(none_as_empty(hypothesis).rlike(MAY_BE_GUARDED), kept).otherwise(none))
+
+
+def script_of(c: Column) -> Column:
+    """The name of the guarded script of a text's first character; null for others."""
+    first, out = F.substring(c, 1, 1), F.lit(None).cast("string")
+    for script in SCRIPT_RANGES:
+        out = F.coalesce(out, F.when(first.rlike(_class(script)), script))
+    return out
 
 
 def trim_trailing(c: Column) -> Column:

@@ -6,14 +6,12 @@ goes to rows that are well and not skipped; others pass through unchanged. fold_
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions.expressions import compile_expression
-from sievework.functions.text import let
+from sievework.functions.text import KINDS, foreign_scripts, let, pattern_misses
 
 ERR = "struct<type:string,message:string>"
 
@@ -44,6 +42,31 @@ def write(df: DataFrame, target: str, value: Column, failure: Column | None = No
     return df.withColumns({target: F.when(live() & failed.isNull(), value).otherwise(old), "_err": F.when(live(), failed).otherwise(F.col("_err"))})
 
 
+def add_field(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A new column; one that is there already is an error."""
+    if name in df.columns:
+        raise KeyError(f"field exists: {name}")
+    return write(df, name, value)
+
+
+def replace_field(df: DataFrame, name: str, value: Column, old: str | None = None) -> DataFrame:
+    """A new value for a column that has to be there; old names a column for what it was."""
+    if name not in df.columns:
+        raise KeyError(f"no such field: {name}")
+    df = write(df, old, F.col(f"`{name}`")) if old else df
+    return write(df, name, value)
+
+
+def set_field(df: DataFrame, name: str, value: Column) -> DataFrame:
+    return write(df, name, value)
+
+
+def require_list(df: DataFrame, source: str) -> None:
+    """A plan over a field that is no list is refused before anything runs; a string is none."""
+    if source not in df.columns or not isinstance(df.schema[source].dataType, T.ArrayType):
+        raise TypeError(f"{source} is not a list")
+
+
 def fail_when(df: DataFrame, condition: Column, kind: str, message: str | Column) -> DataFrame:
     df = with_state(df)
     return df.withColumn("_err", F.when(live() & F.coalesce(condition, F.lit(False)), error(kind, message)).otherwise(F.col("_err")))
@@ -196,8 +219,10 @@ def candidates(df: DataFrame, target: str, sources: list[str], prefix: str = "",
     return write(df, target, items, failure)
 
 
-def select_by_id(df: DataFrame, id_source: str, candidates: str, target: str, required: bool = True) -> DataFrame:
+def select_by_id(df: DataFrame, id_source: str, candidates: str, target: str, required: bool = True, exists_ok: bool = True) -> DataFrame:
     """The text of the first candidate with the id; an id that no candidate has is always an error."""
+    if target in df.columns and not exists_ok:
+        raise KeyError(f"field exists: {target}")
     wanted, items = get_path(df.schema, id_source), get_path(df.schema, candidates)
     if wanted is None or items is None:
         return fail_when(df, F.lit(required), "KeyError", f"{id_source} or {candidates} missing")
@@ -209,9 +234,14 @@ def select_by_id(df: DataFrame, id_source: str, candidates: str, target: str, re
     return write(df, target, F.when(absent, old).otherwise(F.try_element_at(hit, F.lit(1)).text), failure)
 
 
-def coalesce_fields(df: DataFrame, target: str, sources: list[str], required: bool = True) -> DataFrame:
-    """The first source that is neither null nor ''; 0, False and [] count."""
+def coalesce_fields(df: DataFrame, target: str, sources: list[str], required: bool = True, exists_ok: bool = True) -> DataFrame:
+    """The first source that is neither null nor ''; 0, False and [] count. Sources of unlike types become text."""
+    if target in df.columns and not exists_ok:
+        raise KeyError(f"field exists: {target}")
     cols = [c for c in (get_path(df.schema, s) for s in sources) if c is not None]
+    kinds = [df.select(c).schema[0].dataType for c in cols]
+    if len(set(kinds)) > 1:
+        cols = [F.to_json(c) if isinstance(k, (T.ArrayType, T.StructType, T.MapType)) else c.cast("string") for c, k in zip(cols, kinds)]
     value = F.coalesce(*[F.when(c.cast("string") != "", c) for c in cols]) if cols else F.lit(None)
     return write(df, target, value, F.when(value.isNull(), error("KeyError", f"{target}: no usable source")) if required else None)
 
@@ -236,26 +266,30 @@ def apply_edits(df: DataFrame, edits: str, segments: str, target: str, text_key:
     return write(df, target, state.t, failure)
 
 
-def derive_verdict(df: DataFrame, source: str = "gate_answer", severities: tuple[str, ...] = ("major", "serious"), mismatch_key: str = "model_verdict") -> DataFrame:
+def derive_verdict(df: DataFrame, source: str = "gate_answer", severities: tuple[str, ...] = ("major", "serious"), mismatch_key: str = "model_verdict", required: bool = False) -> DataFrame:
     """verdict needs_edit if any issue's severity is listed, else publishable; the model's own verdict is kept where it differs."""
     c, kind = F.col(source), df.schema[source].dataType
     verdict = F.when(F.exists(F.coalesce(c.issues, F.array().cast(kind["issues"].dataType)), lambda i: F.coalesce(i.severity.isin(*severities), F.lit(False))), "needs_edit").otherwise("publishable")
     was = c.verdict if "verdict" in kind.names else F.lit(None).cast("string")
     fields = [c.getField(f).alias(f) for f in kind.names if f not in ("verdict", mismatch_key)]
     new = F.struct(*fields, F.when(live(), verdict).otherwise(was).alias("verdict"), F.when(live() & (was != verdict), was).alias(mismatch_key))
-    return with_state(df).withColumn(source, F.when(c.isNotNull(), new))
+    df = with_state(df).withColumn(source, F.when(c.isNotNull(), new))
+    return fail_when(df, F.col(source).isNull(), "KeyError", f"{source} missing") if required else df
 
 
 def list_dedup(df: DataFrame, source: str, key: str | None = None) -> DataFrame:
     """Keep the first of equal items (or of items with one key); items without the key stay."""
+    require_list(df, source)
     c = F.col(source)
     if key is None:
         return write(df, source, F.array_distinct(c))
     k = lambda x: x[key] if "." not in key else x.getField(key)
-    return write(df, source, F.filter(c, lambda x, i: k(x).isNull() | ~F.exists(F.slice(c, 1, i), lambda y: k(y) == k(x))))
+    first = lambda keys: F.filter(c, lambda x, i: k(x).isNull() | (F.array_position(keys, k(x)) == i + 1))
+    return write(df, source, let(F.transform(c, k), first))
 
 
 def list_limit(df: DataFrame, source: str, limit: int, overflow: str | None = None) -> DataFrame:
+    require_list(df, source)
     over = F.greatest(F.lit(0), F.size(source) - limit)
     df = write(df, overflow, over) if overflow else df
     return write(df, source, F.slice(source, 1, limit) if limit else F.filter(source, lambda x: F.lit(False)))
@@ -263,6 +297,7 @@ def list_limit(df: DataFrame, source: str, limit: int, overflow: str | None = No
 
 def list_pick(df: DataFrame, source: str, count: int = 1, preserve_order: bool = True, unwrap: bool = False, seed: int = 0) -> DataFrame:
     """count items at random, without replacement; with unwrap the one item itself, and an empty list is an error."""
+    require_list(df, source)
     c = F.col(source)
     at = F.slice(F.shuffle(F.when(F.size(c) > 0, F.sequence(F.lit(0), F.size(c) - 1)).otherwise(F.array().cast("array<int>")), F.lit(seed)), 1, count)
     picked = F.transform(F.array_sort(at) if preserve_order else at, lambda i: F.get(c, i))
@@ -271,6 +306,14 @@ def list_pick(df: DataFrame, source: str, count: int = 1, preserve_order: bool =
     return write(df, source, picked)
 
 
-def parse_json_literal(v) -> Column:
-    """A literal of any JSON value, as VARIANT."""
-    return F.parse_json(F.lit(json.dumps(v)))
+def transfer_check(df: DataFrame, check: str, target: str, source_field: str, hypothesis_field: str, allow_scripts: tuple[str, ...] = (), kinds: tuple[str, ...] = KINDS, mode: str = "missing") -> DataFrame:
+    """What a hypothesis adds to or loses from its source: check "script" writes a map of scripts to their characters,
+    "patterns" a map of kinds to counts. Where either text is empty or absent the column stays null."""
+    a, b = get_path(df.schema, source_field), get_path(df.schema, hypothesis_field)
+    if check not in ("script", "patterns"):
+        raise ValueError(f"check is script or patterns, not {check!r}")
+    if a is None or b is None:
+        return write(df, target, F.lit(None).cast("map<string,string>" if check == "script" else "map<string,int>"))
+    found = foreign_scripts(a, b, allow_scripts) if check == "script" else F.transform_values(pattern_misses(a, b, kinds, mode), lambda k, v: F.size(v))
+    some = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
+    return write(df, target, F.when(some, found))

@@ -7,6 +7,7 @@ filter is not pushed through such a node), and every row comes back, with its an
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable
 from string import Formatter
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.operators import records as R
+from sievework.operators import validators as V
 
 
 class ServiceDown(ConnectionError):
@@ -33,10 +35,46 @@ def fields_of(template: str) -> set[str]:
     return {name.split(".")[0].split("[")[0] for _, name, _, _ in Formatter().parse(template) if name}
 
 
+LOOPED = 6
+
+
+def looped_trigram(text: str, least: int = LOOPED) -> str | None:
+    """The word trigram that a text repeats most, if it does so least times or more."""
+    w = text.split()
+    seen = Counter(zip(w, w[1:], w[2:]))
+    gram, n = max(seen.items(), key=lambda kv: kv[1], default=((), 0))
+    return " ".join(gram) if n >= least else None
+
+
 def clip_turn(answer: str, limit: int = 2000) -> str:
     return answer if len(answer) <= limit else answer[:limit] + "…"
 
 
+def cut_off_feedback(answer: str) -> str:
+    """The correction for an answer that was cut off: it names the loop that filled it, where there is one."""
+    loop = looped_trigram(answer)
+    return f"your answer was cut off: it repeats {loop!r} over and over. Answer again without it." if loop else "your answer was cut off. Answer again, shorter."
+
+
+def typed(fields: dict[str, type | tuple[type, ...]]) -> Callable:
+    """A parse function for JSON objects that have these fields with values of these types; others are refused, with a text
+    that says what is wrong."""
+
+    def parse(raw: str) -> dict:
+        try:
+            value = json.loads(raw)
+        except ValueError as e:
+            raise Rejected(f"not JSON: {e}", cut_off_feedback(raw) if not raw.rstrip().endswith("}") else "answer with one JSON object") from e
+        if not isinstance(value, dict):
+            raise Rejected("not a JSON object", "answer with one JSON object")
+        wrong = sorted(k for k, t in fields.items() if not isinstance(value.get(k), t) or isinstance(value.get(k), bool) and t is not bool)
+        if wrong:
+            raise Rejected(f"fields missing or of the wrong type: {wrong}", f"these fields are missing or of the wrong type: {', '.join(wrong)}")
+        return value
+
+    return parse
+
+
 def ask(client: Callable, messages: list[dict], parse: Callable, checks: list[Callable], row: dict, retries: int = 3, reprompts: int = 0) -> tuple[object, int]:
     """Ask until the answer parses and passes: a failure with feedback adds a turn, any other is tried again as it was.
     The budget is retries for each of the first prompt and its corrections. Returns the answer and the corrections used."""
@@ -106,27 +144,52 @@ def llm_stage(df: DataFrame, client: Callable, template: str, output: str, parse
     return got.unionByName(df.where(~R.live()), allowMissingColumns=True)
 
 
-def batched_llm(df: DataFrame, client: Callable, key: str, text: str, output: str, chunk: str = "chunk_id", size: int = 5, retries: int = 2) -> DataFrame:
+def batched_llm(df: DataFrame, client: Callable, key: str, text: str, output: str, chunk: str = "chunk_id", size: int = 5, retries: int = 2, checks: tuple[Callable, ...] = (), single: Callable | None = None) -> DataFrame:
     """Several records a request, cut in order inside a chunk and never across chunks. Replies echo item ids; an id that
-    comes back exactly once is answered, and only the others are sent again."""
+    comes back exactly once, and passes the checks, is answered, and only the others are sent again, with what was wrong
+    with them: client(items, feedback) takes {id: text} and {id: message}. What is left then is asked for one by one by
+    single(text), if that is given; else it becomes the row's error. A chunk is one task's frame: chunks are small."""
+    df = R.with_state(df)
+
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(key)
-        got: dict = {}
-        for a in range(0, len(f), size):
-            part = {str(k): t for k, t in zip(f[key][a : a + size], f[text][a : a + size])}
+        got, why = {}, {}
+
+        def accept(k: str, answer) -> None:
+            try:
+                for check in checks:
+                    check(answer, k)
+                got[k] = answer
+            except ValueError as e:
+                why[k] = str(e)
+
+        live = f[f["_ask"]]
+        for a in range(0, len(live), size):
+            part = {str(k): t for k, t in zip(live[key][a : a + size], live[text][a : a + size])}
             for _ in range(retries):
                 todo = {k: t for k, t in part.items() if k not in got}
                 if not todo:
                     break
                 seen: dict = {}
-                for item, reply in client(todo):
+                for item, reply in client(todo, {k: why[k] for k in todo if k in why}):
                     seen.setdefault(str(item), []).append(reply)
-                got |= {k: v[0] for k, v in seen.items() if k in todo and len(v) == 1}
-        out = f.assign(**{output: [got.get(str(k)) for k in f[key]]})
-        return out.assign(_failed=out[output].isna())
+                for k in todo:
+                    if len(seen.get(k, [])) == 1:
+                        accept(k, seen[k][0])
+                    else:
+                        why[k] = "no answer" if k not in seen else "more than one answer"
+            for k in [k for k in part if single is not None and k not in got]:
+                try:
+                    accept(k, single(part[k]))
+                except ValueError as e:
+                    why[k] = str(e)
+        return f.assign(_got=[got.get(str(k)) for k in f[key]], _why=[why.get(str(k)) if str(k) not in got else None for k in f[key]])
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema) + f", {output} string, _failed boolean"
-    return df.groupBy(chunk).applyInPandas(run, schema)
+    plain = df.withColumn("_ask", R.live())
+    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in plain.schema) + ", _got string, _why string"
+    out = plain.groupBy(chunk).applyInPandas(run, schema)
+    failure = F.when(F.col("_got").isNull(), R.error("ValueError", F.concat(F.lit("batch: "), F.coalesce("_why", F.lit("no answer")))))
+    return R.write(out, output, F.col("_got"), failure).drop("_ask", "_got", "_why")
 
 
 def translate(df: DataFrame, client: Callable, source: str, target: str, keep_original: bool = False, retries: int = 3) -> DataFrame:
@@ -160,14 +223,22 @@ def translate(df: DataFrame, client: Callable, source: str, target: str, keep_or
 ISSUE = "struct<message:string,rule_id:string,suggestions:array<string>,error_text:string,context:string>"
 
 
-def language_issues(df: DataFrame, client: Callable, text: str, target: str, margin: int = 40) -> DataFrame:
-    """target: issues of a text. client(text) gives (start, length, rule, message, suggestions)."""
+def language_issues(df: DataFrame, client: Callable, text: str, target: str, margin: int = 40, suppress_source: str | None = None, allow: tuple[str, ...] = (), deny: tuple[str, ...] = ()) -> DataFrame:
+    """target: issues of a text. client(text) gives (start, length, rule, message, suggestions). Where the client fails on a
+    text other than by its connection, an issue without rule or span says so. allow and deny are prefixes of rules; with
+    suppress_source, issues whose span stands in that field are left out."""
     def run(frames):
         for f in frames:
             out = []
             for t in f["_in"]:
                 found = []
-                for start, size, rule, message, hints in client(t) if t else []:
+                try:
+                    spans = client(t) if t else []
+                except ConnectionError:
+                    raise  # a text is never passed by a check that did not run
+                except Exception as e:  # the service answered, but could not do this text
+                    spans, found = [], [{"message": f"processing failed: {e}", "rule_id": None, "suggestions": [], "error_text": None, "context": None}]
+                for start, size, rule, message, hints in spans:
                     a = max(0, start - margin)
                     found.append({"message": message, "rule_id": rule, "suggestions": list(hints), "error_text": t[start : start + size], "context": f"{t[a:start]}«{t[start:start + size]}»{t[start + size:start + size + margin]}"})
                 out.append(found)
@@ -176,7 +247,9 @@ def language_issues(df: DataFrame, client: Callable, text: str, target: str, mar
     df = R.with_state(df)
     schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema) + f", _in string, _issues array<{ISSUE}>"
     got = df.withColumn("_in", F.when(R.live(), F.col(text))).mapInPandas(run, schema)
-    return R.write(got, target, F.col("_issues")).drop("_in", "_issues")
+    found = F.filter("_issues", lambda i: i.rule_id.isNull() | F.lit(not (allow or deny)) | (F.size(V.rule_filter(F.array(i), allow, deny)) > 0))
+    found = V.suppress_verbatim(found, F.col(suppress_source), True) if suppress_source else found
+    return R.write(got, target, found).drop("_in", "_issues")
 
 
 def fix_until_stable(text: str, client: Callable, rules: tuple[str, ...] | None = None, max_passes: int = 3) -> str:
@@ -192,6 +265,21 @@ def fix_until_stable(text: str, client: Callable, rules: tuple[str, ...] | None
     return text
 
 
+def language_fix(df: DataFrame, client: Callable, fields: list[str], rules: tuple[str, ...] | None = None, max_passes: int = 3) -> DataFrame:
+    """Each field of live rows with the first suggestions of the rules' issues applied until nothing changes: the repair of a
+    stage's output (rules: those alone), or the fixing form of the language check (None: all)."""
+    df = R.with_state(df)
+    for field in fields:
+
+        def run(frames):
+            for f in frames:
+                yield f.assign(_out=[fix_until_stable(t, client, rules, max_passes) if t else t for t in f["_in"]])
+
+        schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema) + ", _in string, _out string"
+        df = R.write(df.withColumn("_in", F.when(R.live(), F.col(field))).mapInPandas(run, schema), field, F.col("_out")).drop("_in", "_out")
+    return df
+
+
 def scoring_input(source: Column, hypothesis: Column, reference: Column | None = None, candidate_first: bool = False) -> Column:
     """The text that is scored, in the order of either model family; a null or empty reference leaves the reference-free form."""
     parts = [("source", source), ("candidate", hypothesis)]

@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from importlib import metadata
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,47 @@ def check(plan: Plan) -> list[Stage]:
     return [s for s in plan.stages if s.enabled]
 
 
+def resolve_version(version: str | None = None) -> str:
+    """The version that signatures carry: as given, else that of the package, else dev."""
+    if version:
+        return version
+    try:
+        return metadata.version("sievework")
+    except metadata.PackageNotFoundError:
+        return "dev"
+
+
+def inline_prompts(plan: Plan, read: Callable[[str], str]) -> Plan:
+    """The plan with the texts of prompt files in their places: an option named x_file becomes x, so a plan needs no file
+    and a changed prompt changes the signature."""
+
+    def walk(v):
+        if isinstance(v, dict):
+            clash = [k for k in v if k.endswith("_file") and k.removesuffix("_file") in v]
+            if clash:
+                raise PlanError(f"text and file of one prompt: {clash}")
+            return {k.removesuffix("_file") if k.endswith("_file") else k: read(x) if k.endswith("_file") else walk(x) for k, x in v.items()}
+        return [walk(x) for x in v] if isinstance(v, (list, tuple)) else v
+
+    return replace(plan, stages=tuple(replace(s, options=walk(s.options)) for s in plan.stages))
+
+
+def render(plan: Plan) -> Plan:
+    """A plan fit to be stored: null bindings go, others are refused."""
+    clean = lambda v: {k: clean(x) for k, x in v.items() if not (k in BINDING_KEYS and x is None)} if isinstance(v, dict) else [clean(x) for x in v] if isinstance(v, (list, tuple)) else v
+    plan = replace(plan, stages=tuple(replace(s, options=clean(s.options)) for s in plan.stages))
+    check(plan)
+    return plan
+
+
+def bound(stage: Stage, bindings: dict[str, dict]) -> Stage:
+    """The stage with the bindings of its operator, for the moment of running alone: never stored, never signed."""
+    extra = bindings.get(stage.op, {})
+    if unknown := set(extra) - {*BINDING_KEYS, *SERVING_KEYS}:
+        raise PlanError(f"{stage.op}: not bindings: {sorted(unknown)}")
+    return replace(stage, options=stage.options | extra)
+
+
 def signatures(plan: Plan) -> list[str]:
     """Each stage's signature covers the version and all stages before it, so a change redoes that stage and those after."""
     out, before = [], "input"

@@ -29,6 +29,38 @@ def delete(spark: SparkSession, paths: list[str]) -> int:
     return n
 
 
+def keys(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, sorted; none is no error."""
+    p, fs = _fs(spark, pattern)
+    return sorted(str(s.getPath()) for s in (fs.globStatus(p) or []))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (a record, a status), replaced as a whole: written beside its place and renamed."""
+    p, fs = _fs(spark, path)
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    fs.rename(beside, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.option("wholetext", True).text(path).first().value
+
+
+def scan_shards(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """Stage folders of JSON lines shards as one frame; a folder that is not there has no rows. Rows know their shard
+    (input_file_name), whose names give the order."""
+    out = spark.createDataFrame([], schema)
+    for path in paths:
+        out = out.unionByName(scan(spark, f"{path}/*.json*", schema, missing_ok=True))
+    return out
+
+
 def resolve(spark: SparkSession, spec: str | list[str]) -> list[str]:
     """Files, globs or a list of them, each once, sorted; nothing at all is an error."""
     out = set()

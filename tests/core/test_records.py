@@ -214,12 +214,12 @@ def test_llm_stage(spark):
 
 
 def test_batches_align(spark):
-    def client(todo):
+    def client(todo, feedback):
         out = [(k, t.upper()) for k, t in todo.items()]
         return [x for x in out if x[1] != "LOST"] + [x for x in out if x[1] == "TWICE"]
 
     df = spark.createDataFrame([(i, "c" + str(i // 7), t) for i, t in enumerate(["a", "b", "lost", "c", "twice", "d", "e", "f"])], "id long, chunk_id string, t string")
-    got = {r.id: (r.o, r._failed) for r in S.batched_llm(df, client, "id", "t", "o", size=3).collect()}
+    got = {r.id: (r.o, r._err is not None) for r in S.batched_llm(df, client, "id", "t", "o", size=3).collect()}
     assert got == {0: ("A", False), 1: ("B", False), 2: (None, True), 3: ("C", False), 4: (None, True), 5: ("D", False), 6: ("E", False), 7: ("F", False)}
 
 
