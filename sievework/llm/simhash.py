@@ -17,6 +17,9 @@ from sievework.llm.components import connected_components
 BITS = 64
 PIVOTS = 16
 SMALL_BLOCK = 256
+#: Fingerprints of a block beyond which it is dealt again.
+BLOCK_ROWS = 50_000
+HOT_SHARE = 1 / 1000
 
 
 def counters(text: str | None, shingle: int = 4) -> tuple[np.ndarray, int]:
@@ -138,26 +141,37 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[k], nodes[label[k]]
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
-    """(id, fp, component): near-duplicate groups of documents whose fingerprints link at distance differing bits or fewer.
+def pivot_links(nodes: DataFrame, distance: int) -> DataFrame:
+    """(a, b): links that join all that pairs of distinct fingerprints (column fp) at the distance or less would join.
 
-    Equal fingerprints are one node (a group of exact copies costs one row), so only different fingerprints are compared.
-    Any two within the distance agree on some segments; each fingerprint goes to one block per choice of segments. Blocks
-    discard pairs by their pivot distance tables, verify the rest and return spanning links, never pairs. component is
-    the smallest id reachable. Null or wordless texts have fingerprint 0 and link like any other. Null ids sort last: a
-    group without any id has a null component. Repeated rows give repeated results. Other columns are not read.
+    Any two within the distance agree on some segments; each fingerprint goes to one block per choice of segments. A block
+    of more than BLOCK_ROWS is dealt again by further segments of the bits that its members do not agree on yet, which
+    loses no pair either; so no task holds a value that many fingerprints share. Blocks discard pairs by their pivot
+    distance tables, verify the rest and return spanning links.
     """
-    spark = docs.sparkSession
-    marked = C.checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    nodes = marked.groupBy("fp").agg(F.min("id").alias("low"))
+    spark = nodes.sparkSession
     found = nodes.count()
-    segments, agree = block_scheme(found, distance)
-    cuts = [BITS * i // segments for i in range(segments + 1)]
-    masks = [sum(((1 << (cuts[s + 1] - cuts[s])) - 1) << cuts[s] for s in chosen) for chosen in combinations(range(segments), agree)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    buckets = max(C.partitions(spark), found * len(masks) // (1 << 20) + 1)
-    blocks = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks])).alias("part", "bits"))
-    blocks = blocks.select("fp", F.xxhash64("part", "bits").alias("key")).withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
+
+    def masks(agree: int) -> list[int]:
+        segments = distance + agree
+        cuts = [BITS * i // segments for i in range(segments + 1)]
+        return [sum(((1 << (cuts[s + 1] - cuts[s])) - 1) << cuts[s] for s in chosen) for chosen in combinations(range(segments), agree)]
+
+    def dealt(rows: DataFrame, agree: int, inside: tuple[str, ...] = ()) -> DataFrame:
+        bits = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks(agree)])).alias("part", "bits")
+        return rows.select("fp", *inside, bits).select("fp", F.xxhash64(*inside, F.lit(agree), "part", "bits").alias("key"))
+
+    agree = block_scheme(found, distance)[1]
+    blocks = dealt(nodes.select("fp"), agree)
+    sizes = blocks.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS)
+    sizes = C.checkpointed(sizes)
+    if sizes.head(1):
+        # a block's members agree on a part of the bits: with two segments more, they are told apart by the others
+        large = dealt(blocks.join(F.broadcast(sizes.select(F.col("key").alias("_large"))), F.col("key") == F.col("_large")).select("fp", F.col("key").alias("of")), agree + 2, ("of",))
+        blocks = blocks.join(F.broadcast(sizes.select("key")), "key", "left_anti").select("fp", "key").unionByName(large.select("fp", "key"))
+    buckets = max(C.partitions(spark), found * len(masks(agree)) // (1 << 20) + 1)
+    blocks = blocks.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
     def join(t: pa.Table) -> pa.Table:
         fp = t.column("fp").to_numpy()
@@ -165,17 +179,34 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         a, b = forest(fp[a], fp[b])
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
-    links = C.checkpointed(blocks.groupBy("bucket").applyInArrow(join, "a long, b long"))
-    parts = connected_components(links).withColumnRenamed("node", "fp")
+    return blocks.groupBy("bucket").applyInArrow(join, "a long, b long")
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
+    """(id, fp, component): near-duplicate groups of documents whose fingerprints link at distance differing bits or fewer.
+
+    Equal fingerprints are one node (a group of exact copies costs one row), so only different fingerprints are compared,
+    by pivot_links. component is the smallest id reachable. Null or wordless texts have fingerprint 0 and link like any
+    other. Null ids sort last: a group without any id has a null component. Repeated rows give repeated results. Other
+    columns are not read. An empty table gives no rows.
+    """
+    marked = C.checkpointed(fingerprints(docs, id_col, text_col, shingle))
+    nodes = C.checkpointed(marked.groupBy("fp").agg(F.min("id").alias("low"), F.count("*").alias("n")))
+    parts = connected_components(C.checkpointed(pivot_links(nodes, distance))).withColumnRenamed("node", "fp")
     leads = parts.join(nodes, "fp").groupBy("component").agg(F.min("low").alias("lead"))
-    of_node = nodes.join(parts.join(leads, "component").select("fp", "lead"), "fp", "left").select("fp", F.coalesce("lead", "low").alias("component"))
-    return marked.join(of_node, "fp").select(C.public_id("id").alias(id_col), "fp", C.public_id("component").alias("component"))
+    of_node = nodes.join(parts.join(leads, "component").select("fp", "lead"), "fp", "left").select("fp", "n", F.coalesce("lead", "low").alias("component"))
+    # fingerprints of very many rows: at most 1 / HOT_SHARE of them, so they go along with every task
+    rows = nodes.agg(F.sum("n")).first()[0] or 0
+    hot = of_node.where(F.col("n") > max(HOT_SHARE * rows, 1000)).select("fp", "component")
+    rest = marked.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(of_node.select("fp", "component"), "fp")
+    out = rest.unionByName(marked.join(F.broadcast(hot), "fp").select(*rest.columns))
+    return out.select(C.public_id("id").alias(id_col), "fp", C.public_id("component").alias("component"))
 
 
 #: Min-hashes of a text; BANDS of ROWS of them find candidates, one bit of each is the sketch that thins them out.
 HASHES, BANDS, ROWS = 128, 20, 6
-#: Members of one component that a block compares with those of its other components.
-SPEAKERS = 16
+#: Shingles of the texts that one task compares at a time, and texts of a block up to which their sketches are compared first.
+SLICE_SHINGLES, LOOK_ROWS = 1 << 20, 4096
 SALTS = 64
 
 
@@ -190,6 +221,12 @@ def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((digest(x, 42) for x in lines), np.uint64, len(lines)))
 
 
+def set_fingerprint(shingles: np.ndarray) -> int:
+    """64-bit SimHash of a set of shingle hashes (empty: 0)."""
+    ones = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(shingles), bitorder="little").view(np.uint64)[0])
+
+
 def min_hashes(shingles: np.ndarray) -> np.ndarray:
     """The least value of each of HASHES hash functions over a set; two sets agree on each as often as their Jaccard."""
     seeds = C.mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -221,33 +258,80 @@ def sketch_limit(similarity: float) -> int:
     return int(np.ceil(HASHES * apart + 4 * (HASHES * apart * (1 - apart)) ** 0.5))
 
 
-def stars(key: np.ndarray, node: np.ndarray, code: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers (member, representative): each row with the one of the least node of its block (equal keys)."""
+def stars(key: np.ndarray, node: np.ndarray, code: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers (member, leader) of each row with its block's leader, as far as their sketches are within the limit, and
+    the leaders. The leader of a block (equal keys) is the text nearest to what most of the block's sketches have in each
+    bit: of edits of one text, that text or the one like it most."""
     order = np.lexsort((node, key))
-    starts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-    lead = order[np.repeat(starts, np.diff(np.append(starts, len(key))))]
-    use = (node[order] != node[lead]) & (hamming(code[order], code[lead]) <= limit)
-    return order[use], lead[use]
-
-
-def crossings(key: np.ndarray, node: np.ndarray, code: np.ndarray, comp: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the pairs of a block that lie in different components and within the limit. A component speaks in a
-    block by at most SPEAKERS of its members, others in each block; members that no link has reached speak each."""
-    order = np.lexsort((C.mix(node.view(np.uint64) ^ key), comp, key))
-    k, c = key[order], comp[order]
-    new = np.append(True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]))
-    starts = np.flatnonzero(new)
-    rank = np.arange(len(k)) - np.repeat(starts, np.diff(np.append(starts, len(k))))
-    order = order[rank < SPEAKERS]
+    k = key[order]
+    starts = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, int)
+    sizes = np.diff(np.append(starts, len(k)))
+    alone = order[starts[sizes == 1]]
+    order = order[np.repeat(sizes > 1, sizes)]  # most blocks are one row
+    sizes = sizes[sizes > 1]
+    if not len(sizes):
+        return order, order, alone
+    starts = np.cumsum(sizes) - sizes
+    block = np.repeat(np.arange(len(starts)), sizes)
+    code_, centre = code[order], np.empty((len(starts), code.shape[1]), np.uint64)
+    for word in range(code.shape[1]):
+        bits = np.unpackbits(np.ascontiguousarray(code_[:, word]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        most = np.add.reduceat(bits, starts, axis=0, dtype=np.int32) * 2 > sizes[:, None]
+        centre[:, word] = np.packbits(most, axis=1, bitorder="little").view(np.uint64).ravel()
+    far = hamming(code_, centre[block])
+    lead = order[np.lexsort((node[order], far, block))[starts]]
+    use = (node[order] != node[lead][block]) & (hamming(code_, code[lead][block]) <= limit)
+    return order[use], lead[block][use], np.concatenate([alone, lead])
+
+
+def open_rows(key: np.ndarray, node: np.ndarray, code: np.ndarray, comp: np.ndarray, limit: int) -> np.ndarray:
+    """Row numbers of blocks' members that may link to a member of another component: their sketches are within the limit.
+    Of a large block all rows count if it has two components."""
+    order = np.lexsort((node, comp, key))
     k, c, code = key[order], comp[order], code[order]
-    ends = np.searchsorted(k, k, side="right")
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for x in np.flatnonzero(ends - np.arange(len(k)) > 1).tolist():
-        y = np.arange(x + 1, ends[x])
-        y = y[c[y] != c[x]]
-        y = y[hamming(code[y], code[x]) <= limit]
-        a.append(np.full(len(y), x)), b.append(y)
-    return order[np.concatenate(a)], order[np.concatenate(b)]
+    starts = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, int)
+    ends = np.append(starts[1:], len(k))
+    use = np.zeros(len(k), bool)
+    for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+        if c[s] == c[e - 1]:
+            continue
+        if e - s > LOOK_ROWS:
+            use[s:e] = True
+            continue
+        for x in range(s, e):
+            near = (c[s:e] != c[x]) & (hamming(code[s:e], code[x]) <= limit)
+            use[x] |= near.any()
+    return order[use]
+
+
+def set_links(sets: list[np.ndarray], comp: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row numbers) that join all that pairs of sets of the Jaccard similarity or more would join, given what comp
+    joins already. One row meets all others at once, by the places of its shingles among theirs; rows of the largest
+    component need not be asked."""
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    values = np.concatenate([np.zeros(0, np.uint64), *sets])
+    order = np.argsort(values, kind="stable")
+    owner = np.repeat(np.arange(n), sizes)[order]
+    new = np.append(True, values[order][1:] != values[order][:-1]) if len(values) else np.zeros(0, bool)
+    starts = np.flatnonzero(new)
+    counts = np.diff(np.append(starts, len(values)))
+    group = np.empty(len(values), np.int64)
+    group[order] = np.cumsum(new) - 1
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    label = np.unique(comp, return_inverse=True)[1]
+    most = np.bincount(label).argmax()
+    a, b = [], []
+    for x in np.flatnonzero(label != most).tolist():
+        g = group[at[x] : at[x + 1]]
+        total = counts[g]
+        place = np.repeat(starts[g] - np.cumsum(total) + total, total) + np.arange(total.sum())
+        shared = np.bincount(owner[place], minlength=n)
+        near = np.flatnonzero((shared >= similarity * (sizes + sizes[x] - shared) - 1e-9) & (label != label[x]))
+        for y in near.tolist():
+            if label[y] != label[x]:
+                a.append(x), b.append(y)
+                label[label == label[y]] = label[x]
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -269,16 +353,20 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, similarity: float = 0.8, distance: int = 4) -> DataFrame:
     """(id, component): groups of documents linked by an exact Jaccard similarity of distinct word shingles.
 
-    Equal sets of shingles are one node. Bands of min-hashes and a sketch of one bit each only name candidates; every link
-    is verified on the shingle sets (as 64-bit hashes) before it joins anything. First each node meets the least of its
-    block, then what is still in different components of a block meets by representatives; so a dense group costs links
-    as many as its nodes, and no pair is verified whose ends are joined already. Sets travel for candidates alone.
+    Equal sets of shingles are one node. Fingerprints, bands and sketches only name candidates: every link is verified on
+    the shingle sets (as 64-bit hashes) before it joins anything. First the links of the SimHash operator (pivot_links over
+    fingerprints of the sets) and, for pairs whose fingerprints are farther apart, each node with the leader of its blocks
+    of equal min-hash bands, chosen in each Arrow batch before the exchange, so a block with a third of all rows is a row a
+    batch; of its leaders a node meets the two nearest, as this step only saves work for the next. Then what is still apart in a block and may be alike meets in tasks that hold the members' sets and give back
+    spanning links. A block with much text is dealt to slices: members of its main component to one each, the others to
+    all, so every pair that is still apart meets.
     """
     spark = docs.sparkSession
     limit = sketch_limit(similarity)
+    fields = "id long, tag long, node long, fp long, size int, sketch binary, bands binary"
 
     def signatures(batches):
         C.drop_caches()
@@ -286,68 +374,151 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
             got = [shingle_set(x, shingle) for x in batch.column("text").to_pylist()]
             least = np.array([min_hashes(x) for x in got], np.uint64).reshape(-1, HASHES)
             node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in got], np.uint64).view(np.int64)
+            fp = np.array([set_fingerprint(x) for x in got], np.uint64).view(np.int64)
             pack = lambda a: pa.array([x.tobytes() for x in a], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), pa.array(node), pack(sketches_of(least)), pack(band_keys(least))], ["id", "tag", "node", "sketch", "bands"])
+            size = pa.array([len(x) for x in got], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), pa.array(node), pa.array(fp), size, pack(sketches_of(least)), pack(band_keys(least))], ["id", "tag", "node", "fp", "size", "sketch", "bands"])
 
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("tag", F.xxhash64("text"))
-    marked = C.checkpointed(plain.mapInArrow(signatures, "id long, tag long, node long, sketch binary, bands binary"))
-    nodes = marked.groupBy("node").agg(F.min(F.struct("id", "tag")).alias("low"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands"))
-    nodes = nodes.select("node", "low.id", "low.tag", "sketch", "bands")
+    plain = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("tag", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
+    marked = C.checkpointed(plain.mapInArrow(signatures, fields))
+    nodes = marked.groupBy("node").agg(F.min(F.struct("id", "tag")).alias("low"), *[F.min(c).alias(c) for c in ("fp", "size", "sketch", "bands")])
+    nodes = C.checkpointed(nodes.select("node", "low.id", "low.tag", "fp", "size", "sketch", "bands"))
     buckets = max(C.partitions(spark), nodes.count() * BANDS // (1 << 18) + 1)
 
-    def spread(batches):
+    def arrays(batch):
+        node = batch.column("node").to_numpy()
+        code = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
+        key = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
+        who = np.repeat(np.arange(len(node)), BANDS)
+        return key, node, code, who
+
+    def by_bucket(key, columns):
+        """Packed rows, one a bucket."""
+        home = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        full, start = np.unique(home[order], return_index=True)
+        cut = np.split(order, start[1:]) if len(full) else []
+        return {"bucket": pa.array(full, pa.int32())} | {c: pa.array([v[x].tobytes() for x in cut], pa.binary()) for c, v in ({"keys": key} | columns).items()}
+
+    def unpacked(t):
+        join = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
+        node = join("nodes", np.int64)
+        return join("keys", np.uint64), node, join("codes", np.uint64).reshape(len(node), -1)
+
+    def nearest(a, b, node, code):
+        """Of each member the leader whose sketch is nearest: nodes a and b, and the distance."""
+        far = hamming(code[a], code[b])
+        order = np.lexsort((node[b], far, node[a]))
+        order = order[np.append(True, node[a][order][1:] != node[a][order][:-1])] if len(order) else order
+        return {"a": node[a][order], "b": node[b][order], "far": far[order].astype(np.int64)}
+
+    def meet(batches):
+        for batch in batches:
+            if batch.num_rows:
+                key, node, code, who = arrays(batch)
+                a, b, lead = stars(key, node[who], code[who], limit)
+                packed = by_bucket(key[lead], {"nodes": node[who[lead]], "codes": code[who[lead]]})
+                empty = pa.array([b""] * len(packed["bucket"]), pa.binary())
+                yield pa.RecordBatch.from_pydict(packed | {c: empty for c in ("a", "b", "far")})
+                one = {"bucket": pa.array([-1], pa.int32())} | {c: pa.array([b""]) for c in ("keys", "nodes", "codes")}
+                yield pa.RecordBatch.from_pydict(one | {c: pa.array([v.tobytes()]) for c, v in nearest(a, b, node[who], code[who]).items()})
+
+    def leaders(t: pa.Table) -> pa.Table:
+        key, node, code = unpacked(t)
+        a, b, _ = stars(key, node, code, limit)
+        return pa.table({c: pa.array(v) for c, v in nearest(a, b, node, code).items()})
+
+    def flat(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            node, comp = (batch.column(c).to_numpy() for c in ("node", "comp"))
-            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-            key = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
-            who = np.repeat(np.arange(len(node)), BANDS)
-            home = (key % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(home, kind="stable")
-            full, start = np.unique(home[order], return_index=True)
-            for b, x in zip(full.tolist(), np.split(order, start[1:])):
-                packed = {"keys": key[x], "nodes": node[who[x]], "comps": comp[who[x]], "codes": sketch[who[x]]}
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32())} | {c: pa.array([v.tobytes()], pa.binary()) for c, v in packed.items()})
-
-    def candidates(found: DataFrame, first: bool) -> DataFrame:
-        def pick(t: pa.Table) -> pa.Table:
-            key, node, comp, code = (b"".join(t.column(c).to_pylist()) for c in ("keys", "nodes", "comps", "codes"))
-            key, node, comp = np.frombuffer(key, np.uint64), np.frombuffer(node, np.int64), np.frombuffer(comp, np.int64)
-            code = np.frombuffer(code, np.uint64).reshape(len(node), -1)
-            a, b = stars(key, node, code, limit) if first else crossings(key, node, code, comp, limit)
-            return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
-
-        packed = found.select("node", "comp", "sketch", "bands").mapInArrow(spread, "bucket int, keys binary, nodes binary, comps binary, codes binary")
-        return C.checkpointed(packed.groupBy("bucket").applyInArrow(pick, "a long, b long").distinct())
+            yield pa.RecordBatch.from_pydict({c: pa.array(np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64)) for c in ("a", "b", "far")})
+
+    def first_candidates() -> DataFrame:
+        met = C.checkpointed(nodes.select("node", "sketch", "bands").mapInArrow(meet, "bucket int, keys binary, nodes binary, codes binary, a binary, b binary, far binary"))
+        best = lambda x: x.groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
+        near = best(met.where("bucket = -1").select("a", "b", "far").mapInArrow(flat, "a long, b long, far long"))
+        far = best(met.where("bucket >= 0").groupBy("bucket").applyInArrow(leaders, "a long, b long, far long"))
+        of_fp = nodes.groupBy("fp").agg(F.min("node").alias("least"))
+        same = nodes.join(of_fp, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
+        ends = [of_fp.select(F.col("fp").alias(x), F.col("least").alias(f"of_{x}")) for x in "ab"]
+        linked = pivot_links(of_fp.select("fp"), distance).join(ends[0], "a").join(ends[1], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+        every = near.unionByName(far).unionByName(same).unionByName(linked).where("a <> b")
+        return C.checkpointed(every.distinct())
 
     def shingles(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([shingle_set(x, shingle).tobytes() for x in batch.column("text").to_pylist()], pa.binary())], ["node", "shingles"])
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "id", "tag"), "node")
-        texts = plain.withColumn("tag", F.coalesce("tag", F.lit(0))).join(wanted.withColumn("tag", F.coalesce("tag", F.lit(0))), ["id", "tag"]).dropDuplicates(["node"])
-        return verified(pairs, C.checkpointed(texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary")), similarity)
-
-    links = C.checkpointed(links_of(candidates(nodes.withColumn("comp", F.col("node")), True)))
-    parts = connected_components(links)
-    joined = nodes.join(parts, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-    links = C.checkpointed(links.union(links_of(candidates(joined, False))))
-    parts = connected_components(links)
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes asked for, from one text of each; a text of many rows counts once."""
+        at = wanted.distinct().join(nodes.select("node", "id", "tag"), "node")
+        texts = plain.join(at, ["id", "tag"]).dropDuplicates(["node"])
+        return texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary")
+
+    pairs = first_candidates()
+    sets = C.checkpointed(sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
+    links = C.checkpointed(verified(pairs, sets, similarity))
+    # what the links join within two steps, from members to leaders and on to theirs: the rest is found below
+    lead = links.groupBy("a").agg(F.min("b").alias("b"))
+    lead = lead.join(lead.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left").select(F.col("a").alias("node"), F.coalesce("c", "b").alias("component"))
+    joined = nodes.join(lead, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+
+    def scatter(batches):
+        for batch in batches:
+            if batch.num_rows:
+                key, node, code, who = arrays(batch)
+                comp, size = batch.column("comp").to_numpy(), batch.column("size").to_numpy().astype(np.int64)
+                yield pa.RecordBatch.from_pydict(by_bucket(key, {"nodes": node[who], "codes": code[who], "comps": comp[who], "sizes": size[who]}))
+
+    def still_open(t: pa.Table) -> pa.Table:
+        key, node, code = unpacked(t)
+        comp, size = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.int64) for c in ("comps", "sizes"))
+        x = open_rows(key, node, code, comp, limit)
+        return pa.table({"key": pa.array(key[x].view(np.int64)), "node": pa.array(node[x]), "comp": pa.array(comp[x]), "size": pa.array(size[x])})
+
+    scattered = joined.select("node", "comp", "size", "sketch", "bands").mapInArrow(scatter, "bucket int, keys binary, nodes binary, codes binary, comps binary, sizes binary")
+    members = C.checkpointed(scattered.groupBy("bucket").applyInArrow(still_open, "key long, node long, comp long, size long"))
+    weights = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("w")).groupBy("key").agg(F.sum("w").alias("w"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
+    large = weights.where(F.col("w") > SLICE_SHINGLES).select("key", "main", (F.col("w") / SLICE_SHINGLES + 1).cast("int").alias("slices"))
+    dealt = members.join(large, "key", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    own = F.array(F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
+    slices = F.when((F.col("slices") == 1) | (F.col("comp") == F.col("main")), own).otherwise(F.sequence(F.lit(0), F.col("slices") - 1))
+    dealt = dealt.select("key", "node", "comp", F.explode(slices).alias("slice"))
+    tasks = max(C.partitions(spark), (members.agg(F.sum("size")).first()[0] or 0) // (4 * SLICE_SHINGLES) + 1)
+    dealt = dealt.join(sets_of(members.select("node")), "node").withColumn("task", F.pmod(F.xxhash64("key", "slice"), F.lit(tasks)))
+
+    def compare(t: pa.Table) -> pa.Table:
+        block = np.stack([t.column("key").to_numpy(), t.column("slice").to_numpy()], axis=1)
+        of = np.unique(block, axis=0, return_inverse=True)[1].ravel()
+        node, comp, found = t.column("node").to_numpy(), t.column("comp").to_numpy(), t.column("shingles").to_pylist()
+        order = np.argsort(of, kind="stable")
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for rows in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            x, y = set_links([np.frombuffer(found[i], np.uint64) for i in rows.tolist()], comp[rows], similarity)
+            a.append(node[rows[x]]), b.append(node[rows[y]])
+        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+
+    more = dealt.groupBy("task").applyInArrow(compare, "a long, b long")
+    parts = connected_components(C.checkpointed(links.union(more)))
     leads = parts.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("lead"))
     of_node = nodes.select("node", F.col("id").alias("low")).join(parts.join(leads, "component").select("node", "lead"), "node", "left").select("node", F.coalesce("lead", "low").alias("component"))
     return marked.select("id", "node").join(of_node, "node").select(C.public_id("id").alias(id_col), C.public_id("component").alias("component"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs, one of each near-duplicate group: that of the smallest id. A row without an id yields to one with
-    an id; rows without ids and with one text count as repeated rows, and of repeated rows (id and text) one stays."""
-    stand_in = F.lit(C.NO_ID - 1) - F.abs(F.xxhash64(text_col).bitwiseAND(F.lit((1 << 61) - 1)))
-    named = docs.withColumn("_near_id", F.coalesce(F.col(id_col).cast("long"), stand_in))
-    lead = similar_groups(named, "_near_id", text_col, shingle, similarity).where("_near_id = component").select("_near_id").distinct()
-    kept = named.join(lead, "_near_id", "left_semi").withColumn("_near_text", F.xxhash64(text_col))
-    return kept.dropDuplicates(["_near_id", "_near_text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs, one of each near-duplicate group (similar_groups): that of the smallest id. A row without an id
+    yields to one with an id; rows without ids and with one text count as repeated rows, and of repeated rows (id and text)
+    one stays. Texts without words are one group. An empty table gives no rows; columns may have any name."""
+    text = F.col(f"`{text_col}`").cast("string")
+    stand_in = F.lit(C.NO_ID - 1) - F.abs(F.xxhash64(text).bitwiseAND(F.lit((1 << 61) - 1)))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), stand_in).alias("near_id"), F.xxhash64(text).alias("near_text"))
+    lead = similar_groups(docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), stand_in).alias("near_id"), text.alias("near_body")), "near_id", "near_body", shingle, similarity)
+    kept = named.join(lead.where("near_id = component").select("near_id").distinct(), "near_id", "left_semi")
+    keys = ["near_id", "near_text"]
+    again = C.checkpointed(named.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
+    if again.head(1):
+        once, more = kept.join(again, keys, "left_anti"), kept.join(again, keys, "left_semi")
+        kept = once.unionByName(more.groupBy(*keys).agg(F.first("row").alias("row")).select(*once.columns))
+    return kept.select(*C.out_of_one(docs.columns))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

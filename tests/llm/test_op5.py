@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from sievework.llm.components import connected_components
 from sievework.llm.simhash import block_links, fingerprint, forest, near_dedup, simhash_groups
@@ -124,3 +125,61 @@ def test_near_dedup_links_are_verified(spark, docs):
     near = [2 * i + 1 in kept for i, j in enumerate(like) if j >= 0.8]
     assert len(near) >= 120 and sum(near) <= 2
     assert len(texts) - 1 not in kept
+
+
+def test_large_blocks_are_dealt_again(spark, monkeypatch):
+    """One segment value that all fingerprints share, and blocks far beyond the bound: same links."""
+    from sievework.llm import simhash as S
+
+    monkeypatch.setattr(S, "BLOCK_ROWS", 20)
+    r = random.Random(5)
+    base = [r.getrandbits(40) << 24 for _ in range(60)]
+    fp = sorted({b ^ sum({1 << r.randrange(64) for _ in range(r.randrange(4))}) for b in base for _ in range(8)})
+    signed = lambda x: x - 2**64 if x >> 63 else x
+    nodes = spark.createDataFrame([(signed(x),) for x in fp], "fp long")
+    links = [(x.a % 2**64, x.b % 2**64) for x in S.pivot_links(nodes, 4).collect()]
+    assert all((a ^ b).bit_count() <= 64 for a, b in links)
+    node, low = forest(np.array([a for a, _ in links], np.uint64), np.array([b for _, b in links], np.uint64))
+    label = dict(zip(node.tolist(), low.tolist()))
+    assert [label.get(x, x) for x in fp] == groups(fp, fp)
+
+
+def test_repeated_rows_hot_fingerprints_and_clashing_columns(spark, docs, rows):
+    from sievework.llm import simhash as S
+
+    twice = docs.union(docs).withColumns({c: F.lit(c) for c in ("fp", "id", "component", "low", "n", "node", "a.b", "row")})
+    one = {(r.doc_id, r.fp, r.component) for r in simhash_groups(docs).collect()}
+    got = [(r.doc_id, r.fp, r.component) for r in simhash_groups(twice).collect()]
+    assert set(got) == one and len(got) == 2 * len(rows)
+    many = spark.createDataFrame([(i, "one text that many rows have", "en", "a", 1) for i in range(2500)] + [(5000 + i, f"other {i} text", "en", "a", 1) for i in range(50)], docs.schema)
+    out = simhash_groups(many).where("doc_id < 5000").collect()
+    assert len(out) == 2500 and {r.component for r in out} == {0} and len({r.fp for r in out}) == 1
+    kept = near_dedup(twice)
+    assert kept.columns == twice.columns and {r["a.b"] for r in kept.collect()} == {"a.b"}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in near_dedup(docs).collect()}
+
+
+def test_near_copies_of_one_text_in_slices(spark, docs, monkeypatch):
+    """A spectrum of edits of one text, whose outer members link through others only: as by brute force, in one slice or many."""
+    from sievework.llm import simhash as S
+
+    r = random.Random(31)
+    base = [f"v{r.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.randrange(9)):
+            w[r.randrange(150)] = f"v{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], docs.schema)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    for size in (1 << 20, 3000):
+        monkeypatch.setattr(S, "SLICE_SHINGLES", size)
+        got = {x.doc_id: x.component for x in S.similar_groups(df, "doc_id", "text").collect()}
+        assert sum(got[i] != label[i] for i in got) <= 3 and len(set(label)) > 3
