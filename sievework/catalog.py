@@ -760,10 +760,10 @@ def stream_dedup(spark, sf):
     return d.where(F.col("p").isNull() | (ST.micros("ts") - ST.micros("p") > 120_000_000)).select("event_id", "job")
 
 
-@query(f"SELECT event_id, job, stage, n FROM (SELECT *, sum(10 + event_id % 3) OVER (PARTITION BY job, stage ORDER BY ts RANGE BETWEEN INTERVAL 600 SECOND PRECEDING AND CURRENT ROW)::BIGINT AS n FROM {DONE}) WHERE n >= 25")
+@query(f"SELECT event_id, job, stage, n FROM (SELECT *, sum(20 + event_id % 10) OVER (PARTITION BY job, stage ORDER BY ts RANGE BETWEEN INTERVAL 600 SECOND PRECEDING AND CURRENT ROW)::BIGINT AS n FROM {DONE}) WHERE n >= 25")
 def flag_spike(spark, sf):
     """Sums of the events' own counts over 600 s, from 25 on."""
-    d = done_events(spark, sf).withColumn("k", 10 + F.col("event_id") % 3)
+    d = done_events(spark, sf).withColumn("k", 20 + F.col("event_id") % 10)
     return ST.flag_spikes(d, ["job", "stage"], "ts", count="k").select("event_id", "job", "stage", "n")
 
 
