@@ -6,6 +6,7 @@ from sievework.llm.binary_search import OP8_SQL, op8
 from sievework.llm.decontaminate import OP7_SQL, op7
 from sievework.llm.licenses import OP9_SQL, op9
 from sievework.llm.mixing import OP2_SQL, op2
+from sievework.llm.phrases import OP12_SQL, op12
 from sievework.llm.quality import op3
 from sievework.llm.runs import op13
 from sievework.llm.sharding import OP11_SQL, op11
@@ -27,7 +28,8 @@ QUERIES = {
     "op9_license_scan": op9,
     "op10_suffix_array_dedup": op10,
     "op11_rendezvous_shards": op11,
+    "op12_phrase_collocations": op12,
     "op13_periodic_runs": op13,
 }
 
-ORACLES = {"op1_substring_dedup": OP1_SQL, "op2_mix_sources": OP2_SQL, "op7_decontaminate": OP7_SQL, "op8_topk_binary_codes": OP8_SQL, "op9_license_scan": OP9_SQL, "op11_rendezvous_shards": OP11_SQL}
+ORACLES = {"op1_substring_dedup": OP1_SQL, "op2_mix_sources": OP2_SQL, "op7_decontaminate": OP7_SQL, "op8_topk_binary_codes": OP8_SQL, "op9_license_scan": OP9_SQL, "op11_rendezvous_shards": OP11_SQL, "op12_phrase_collocations": OP12_SQL}
