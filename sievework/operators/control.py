@@ -24,12 +24,12 @@ def with_order(df: DataFrame, by: str, name: str = "_ord") -> DataFrame:
 
 
 def seed_chunks(df: DataFrame, order_col: str, field: str | None = None, order: list | None = None, size: int = 20) -> DataFrame:
-    """Freeze an order: listed values of field first, then the rest; 8-digit ids and 6-digit chunks of size rows. All other
-    columns stay, and every row comes out once."""
+    """Freeze an order: listed values of field first, then the rest; ids of 8 digits and chunks of 6 (or more, where there are
+    as many) of size rows. All other columns stay, and every row comes out once."""
     rank = priority_rank(field, order or []) if field else F.lit(1)
     out = with_order(df.withColumn("_seed_key", F.struct(rank.alias("rank"), F.col(order_col).alias("order"))), "_seed_key", "_seed_pos").drop("_seed_key")
-    pos = F.col("_seed_pos")
-    return out.withColumns({"seed_id": F.lpad(pos.cast("string"), 8, "0"), "chunk_id": F.lpad(F.floor(pos / size).cast("string"), 6, "0")}).drop("_seed_pos")
+    pos, digits = F.col("_seed_pos"), lambda c, n: F.lpad(c.cast("string"), F.greatest(F.length(c.cast("string")), F.lit(n)), "0")
+    return out.withColumns({"seed_id": digits(pos, 8), "chunk_id": digits(F.floor(pos / size), 6)}).drop("_seed_pos")
 
 
 def resume(todo: DataFrame, done: DataFrame, key: str | list[str]) -> DataFrame:

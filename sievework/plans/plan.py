@@ -139,9 +139,10 @@ def bound(stage: Stage, bindings: dict[str, dict]) -> Stage:
     return replace(stage, options=stage.options | extra)
 
 
-def signatures(plan: Plan) -> list[str]:
-    """Each stage's signature covers the version and all stages before it, so a change redoes that stage and those after."""
-    out, before = [], "input"
+def signatures(plan: Plan, source: str = "input") -> list[str]:
+    """Each stage's signature covers the source (a digest of the input, where one is known), the version and all stages before
+    it, so a change redoes that stage and those after."""
+    out, before = [], source
     for s in check(plan):
         before = hashlib.sha256(f"{plan.version}|{before}|{canonical(s)}".encode()).hexdigest()[:8]
         out.append(before)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,23 +38,72 @@ def keys(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath()) for s in (fs.globStatus(p) or []))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file (a record, a status), replaced as a whole: written beside its place and renamed."""
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a path was last changed."""
+    p, fs = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
+def _put(spark: SparkSession, path: str, text: str, overwrite: bool) -> None:
     p, fs = _fs(spark, path)
-    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
-    out = fs.create(beside, True)
+    out = fs.create(p, overwrite)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.delete(p, False)
-    fs.rename(beside, p)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (a record, a status), replaced as a whole: written beside its place and renamed over it, so a reader (or
+    one who comes after a crash) finds the old text or the new one, never none."""
+    beside = f"{path}.{uuid.uuid4().hex}.new"
+    _put(spark, beside, text, True)
+    _rename(spark, beside, path, "OVERWRITE")
+
+
+def _rename(spark: SparkSession, old: str, new: str, how: str) -> None:
+    jvm, (p, fs) = spark.sparkContext._jvm, _fs(spark, old)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, how)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(p, jvm.org.apache.hadoop.fs.Path(new), options)
+
+
+def rename_new(spark: SparkSession, old: str, new: str) -> bool:
+    """Give a finished folder its name; False if another has it, and the folder goes."""
+    if not exists(spark, new):
+        try:
+            _rename(spark, old, new, "NONE")
+            return True
+        except Py4JJavaError:
+            if not exists(spark, new):
+                raise
+    delete(spark, [old])
+    return False
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that must not be there yet; False if it is. The text is complete before the name is taken: it is written
+    beside and the name given by a rename that replaces nothing."""
+    beside = f"{path.rsplit('/', 1)[0]}/tmp-{uuid.uuid4().hex}"
+    _put(spark, beside, text, False)
+    return rename_new(spark, beside, path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.option("wholetext", True).text(path).first().value
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a file of at most a few kB, without a job."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def scan_shards(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """Stage folders of JSON lines shards as one frame; a folder that is not there has no rows. Rows know their shard
     (input_file_name), whose names give the order."""

@@ -10,34 +10,126 @@ from sievework.operators import jobs as J
 from sievework.operators import records as R
 from sievework.operators import services as C
 from sievework.plans import plan as P
+from sievework.sources import commits
 from sievework.sources import jsonl as S
+from sievework.sources.commits import Log
+
+
+def seeded(spark, root, job="j1", n=47, plan=None, size=10, **k):
+    docs = spark.createDataFrame([(i, "en" if i % 2 else "de", 100 * i) for i in range(n)], "doc_id long, lang string, n_chars long")
+    return J.seed(spark, docs, plan or P.example_plan(), root, job, "doc_id", size=size, **k)
 
 
 def test_life_of_a_job(spark, tmp_path):
     root = f"file://{tmp_path}/store"
-    docs = spark.createDataFrame([(i, "en" if i % 2 else "de", 100 * i) for i in range(47)], "doc_id long, lang string, n_chars long")
     plan = P.example_plan()
-    record = J.seed(spark, docs, plan, root, "j1", "doc_id", "lang", ["en"], size=10)
-    assert record["chunk_count"] == 5 and J.seed(spark, docs, plan, root, "j1", "doc_id", "lang", ["en"], size=10) == record
+    record = seeded(spark, root, field="lang", order=["en"])
+    assert record["chunk_count"] == 5 and seeded(spark, root, field="lang", order=["en"]) == record
     assert {r.stage: (r.done, r.missing) for r in J.status(spark, root, "j1").collect()} == {0: (0, 5), 1: (0, 5), 2: (0, 5)}
     assert J.run(spark, root, "j1", ["000001"])["state"] == J.ACTIVE
     assert {r.stage: (r.done, r.missing_ids) for r in J.status(spark, root, "j1").collect()} == dict.fromkeys(range(3), (1, "000000,000002,000003,000004"))
     assert J.run(spark, root, "j1")["state"] == J.COMPLETE
-    out = spark.read.parquet(J.stage_path(root, record["stages"][-1]))
+    out = J.output(spark, root, "j1")
     assert out.count() == 47 and {r.doc_id: r.out for r in out.collect()} == {i: "long" if i * 100 > 500 else ("en" if i % 2 else "de") for i in range(47)}
-    assert J.rerun(spark, root, "j1", ["000002"], force=True)["state"] == J.COMPLETE and spark.read.parquet(J.stage_path(root, record["stages"][-1])).count() == 47
+    assert J.rerun(spark, root, "j1", ["000002"], force=True)["state"] == J.COMPLETE and J.output(spark, root, "j1").count() == 47
+    assert J.collect_garbage(spark, root) == []
     other = P.Plan("example", (*plan.stages[:2], P.Stage("final", "coalesce", {"target": "out", "sources": ["lang"]})))
-    assert J.seed(spark, docs, other, root, "j1", "doc_id")["stages"][:2] == record["stages"][:2]
+    assert seeded(spark, root, plan=other)["stages"][:2] == record["stages"][:2]
     dead = J.collect_garbage(spark, root)
     assert len(dead) == 1 and record["stages"][2]["sig"] in dead[0] and J.collect_garbage(spark, root) == []
-    assert J.seed(spark, docs, plan, root, "canary", "doc_id", size=10, max_chunks=2)["chunk_count"] == 2
+    assert J.run(spark, root, "j1")["state"] == J.COMPLETE and {r.out for r in J.output(spark, root, "j1").collect()} == {"de", "en"}
+    assert seeded(spark, root, "canary", max_chunks=2)["chunk_count"] == 2
+    J.run(spark, root, "canary")
     J.cancel(spark, root, "canary")
     with pytest.raises(J.JobError):
         J.run(spark, root, "canary")
+    assert len(J.collect_garbage(spark, root)) == 3 and J.output(spark, root, "j1").count() == 47
     with pytest.raises(J.JobError):
         J.load(spark, root, "none")
 
 
+def test_two_jobs_of_one_plan(spark, tmp_path):
+    """Neither has what the other did, and force and garbage collection of one leave the other alone."""
+    root = f"file://{tmp_path}/store"
+    a, b = seeded(spark, root, "a", 20), seeded(spark, root, "b", 15)
+    assert not {s["sig"] for s in a["stages"]} & {s["sig"] for s in b["stages"]}
+    assert [s["sig"] for s in seeded(spark, root, "twin", 20)["stages"]] == [s["sig"] for s in a["stages"]]
+    J.run(spark, root, "a")
+    assert {(r.done, r.missing) for j in ("b", "twin") for r in J.status(spark, root, j).collect()} == {(0, 2)}
+    with pytest.raises(FileNotFoundError):
+        J.output(spark, root, "twin").count()
+    J.run(spark, root, "b")
+    assert J.output(spark, root, "b").count() == 15 and J.output(spark, root, "a").count() == 20
+    J.rerun(spark, root, "a", force=True)
+    J.cancel(spark, root, "a")
+    assert J.collect_garbage(spark, root) and J.output(spark, root, "b").count() == 15 and J.load(spark, root, "b")["state"] == J.COMPLETE
+
+
+def test_emptied_chunks_are_done(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    plan = P.Plan("p", (P.Stage("few", "constants", {"values": {"x": 1}}, filters=(("n_chars < 500", "drop"),)), P.Stage("more", "constants", {"values": {"y": 2}})))
+    record = seeded(spark, root, "j", 20, plan)
+    assert J.run(spark, root, "j")["state"] == J.COMPLETE
+    assert {(r.stage, r.chunk_id): r.records for r in J.done(spark, root, record).where("stage >= 0").collect()} == {(0, "000000"): 5, (0, "000001"): 0, (1, "000000"): 5, (1, "000001"): 0}
+    nothing = P.Plan("p", (P.Stage("none", "constants", {"values": {"x": 1}}, filters=(("n_chars < 0", "drop"),)),))
+    seeded(spark, root, "void", 20, nothing)
+    assert J.run(spark, root, "void")["state"] == J.COMPLETE and J.output(spark, root, "void").count() == 0
+
+
+def test_a_limit_counts_per_job(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    plan = P.Plan("p", (P.Stage("a", "constants", {"values": {"x": 1}}), P.Stage("b", "constants", {"values": {"y": 2}}, filters=(("n_chars > 100", "drop"),), limit=12)))
+    seeded(spark, root, "j", 40, plan)
+    assert J.run(spark, root, "j", ["000000", "000002"])["state"] == J.ACTIVE
+    assert {r.stage: r.done for r in J.status(spark, root, "j").collect()} == {0: 2, 1: 0}
+    for force in (False, True):
+        assert J.run(spark, root, "j", force=force)["state"] == J.COMPLETE
+        assert sorted(r.doc_id for r in J.output(spark, root, "j").collect()) == list(range(2, 14))
+
+
+def test_a_writer_that_dies_leaves_nothing_half_done(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/store"
+    record = seeded(spark, root, "j", 20)
+
+    def dies(self, entry):
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(Log, "append", dies)
+        with pytest.raises(OSError):
+            J.run(spark, root, "j")
+    assert {(r.done, r.missing) for r in J.status(spark, root, "j").collect()} == {(0, 2)}
+    assert J.collect_garbage(spark, root) == [] and len(J.collect_garbage(spark, root, grace=-1)) == 1
+    assert J.run(spark, root, "j")["state"] == J.COMPLETE and J.output(spark, root, "j").count() == 20
+    # one that repeats what another has done adds no row twice
+    spec, at = record["stages"][-1], J.log(spark, root, "j")
+    rows = J.output(spark, root, "j").where("chunk_id = '000001'")
+    at.commit(rows, rows, at.attempt(spec["index"], spec["sig"], J.stage_path(root, "j", spec)))
+    assert J.output(spark, root, "j").count() == 20
+
+
+def test_entries_snapshots_and_small_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "SNAPSHOT_EVERY", 3)
+    at = Log(spark, f"file://{tmp_path}/log")
+    assert at.state().collect() == [] and at.entries() == []
+    rows = spark.createDataFrame([("c1", 1), ("c1", 2), ("c2", 3)], "chunk_id string, x int")
+    covered = spark.createDataFrame([("c1",), ("c2",), ("c3",)], "chunk_id string")
+    for n in range(5):
+        assert at.commit(rows.where(f"x > {n}"), covered, at.attempt(n % 2, "s", f"file://{tmp_path}/rows")) == n
+    assert at.snapshots() == [2] and len(at.entries()) == 5
+    assert {(r.stage, r.chunk_id): r.records for r in at.state().collect()} == {(0, "c1"): 0, (0, "c2"): 0, (0, "c3"): 0, (1, "c1"): 0, (1, "c2"): 0, (1, "c3"): 0}
+    assert {(r.stage, r.chunk_id): r.records for r in at.state(1).collect()} == {(0, "c1"): 2, (0, "c2"): 1, (0, "c3"): 0, (1, "c1"): 1, (1, "c2"): 1, (1, "c3"): 0}
+    assert not S.create(spark, f"file://{tmp_path}/log/{0:012d}.json", "{}") and "attempt" in at.entries()[0]
+    # two that saw the same last number: the second takes the next
+    monkeypatch.setattr(Log, "snapshots", lambda self: [])
+    real, calls = S.keys, []
+    monkeypatch.setattr(S, "keys", lambda *a: real(*a)[: -1 if not calls.append(1) and len(calls) == 1 else None])
+    assert at.append({"stage": 0, "sig": "s", "attempt": "none", "manifest": at.entries()[0]["manifest"]}) == 5
+    for text in ("one", "two"):
+        S.write_text(spark, f"file://{tmp_path}/r.json", text)
+        assert S.read_small(spark, f"file://{tmp_path}/r.json") == text
+
+
 def test_plans_with_prompts_and_bindings():
     plan = P.Plan("p", (P.Stage("a", "constants", {"values": {"x": 1}, "system_file": "sys.txt", "host": None}),))
     text = P.render(P.inline_prompts(plan, {"sys.txt": "be brief"}.get))
