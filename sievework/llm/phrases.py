@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import math
 import string
+import zlib
 from array import array
 from collections import defaultdict
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,81 +28,237 @@ COVER = 80
 MOST = 2000
 #: Words of a chunk: texts whose words and pairs are counted together before anything is shuffled.
 CHUNK_WORDS = 4 << 20
-#: A name is its chunk's number, shifted, and its number there; chunks are numbered within their partition.
-CHUNK_BITS, LOCAL_BITS = 12, 31
+#: Bytes of text whose keys share a bucket.
+BUCKET_BYTES = 32 << 20
+#: Blocks of keys up to which each chunk sends one to each bucket; beyond, they go by way of groups of chunks.
+MOST_BLOCKS = 1 << 22
+#: Chunks are numbered within their partition.
+CHUNK_BITS = 12
 TOP_SLICES = 256
 _PLAIN = bytes.maketrans(string.ascii_uppercase.encode() + BREAKS, string.ascii_lowercase.encode() + b"." * len(BREAKS))
+#: What the bucket column says of rows that are no blocks: a chunk's places; a language's words.
+PLACES, WORDS = -1, -2
+BLOCKS = "chunk long, bucket int, base int, a binary, b binary, n binary, lang string, words long"
+FOUND = "chunk long, local binary, ids binary, id long, left long, right long, word string, a long"
+
+
+def rows_of(schema: str, rows: list[dict]) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+    return pa.table({name: pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))})
+
+
+class Words:
+    """Keys of the first level: language and word as one byte string, which holds no line end."""
+
+    @staticmethod
+    def key(lang: str, word: bytes) -> bytes:
+        return json.dumps(lang).encode() + b"\t" + word
+
+    @staticmethod
+    def pack(keys: np.ndarray) -> dict[str, bytes]:
+        return {"a": zstandard.ZstdCompressor(level=1).compress(b"\n".join(keys)), "b": b""}
+
+    @staticmethod
+    def unpack(a: bytes, b: bytes) -> np.ndarray:
+        words = zstandard.ZstdDecompressor().decompress(a).split(b"\n")
+        out = np.empty(len(words), object)
+        out[:] = words
+        return out
+
+    @staticmethod
+    def bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+        return np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % buckets
+
+    @staticmethod
+    def codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each key's place among the distinct ones, and these."""
+        found = pa.array(keys, pa.binary()).dictionary_encode()
+        different = np.empty(len(found.dictionary), object)
+        different[:] = found.dictionary.to_pylist()
+        return found.indices.to_numpy(), different
+
+    @staticmethod
+    def head(key: bytes) -> dict:
+        return {"word": key.decode()}
+
+
+class Pairs:
+    """Keys of the other levels: the names of both parents, as a row of two numbers."""
+
+    @staticmethod
+    def pack(keys: np.ndarray) -> dict[str, bytes]:
+        return {"a": C.pack(np.ascontiguousarray(keys[:, 0]).view(np.uint64)), "b": C.pack(np.ascontiguousarray(keys[:, 1]).view(np.uint64))}
+
+    @staticmethod
+    def unpack(a: bytes, b: bytes) -> np.ndarray:
+        return np.stack([C.unpack(a).view(np.int64), C.unpack(b).view(np.int64)], 1)
+
+    @staticmethod
+    def bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+        left, right = keys.astype(np.uint64).T
+        return (C.mix(C.mix(left) + right) % np.uint64(buckets)).astype(np.int64)
+
+    @staticmethod
+    def codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        s = keys[order]
+        new = np.append(True, (s[1:] != s[:-1]).any(1)) if len(s) else np.zeros(0, bool)
+        code = np.empty(len(keys), np.int64)
+        code[order] = np.cumsum(new) - 1
+        return code, s[new]
+
+    @staticmethod
+    def head(key: np.ndarray) -> dict:
+        return {"left": int(key[0]), "right": int(key[1])}
+
+
+def blocks_of(kind, chunk: int, keys: np.ndarray, counts: np.ndarray, fine: int, coarse: int):
+    """(rows, order): a row for each of the coarse buckets that has keys, which lie in it by fine bucket; order is the keys'
+    place in the rows, where key k has number k + 1 (base: numbers before the row)."""
+    bucket = kind.bucket(keys, fine)
+    order = np.argsort(bucket, kind="stable")
+    group = bucket[order] // (fine // coarse)
+    cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group)) if len(group) else np.zeros(0, int)
+    rows = [{"chunk": chunk, "bucket": int(group[i]), "base": int(i), **kind.pack(keys[order[i:j]]), "n": C.pack(counts[order[i:j]].astype(np.uint64))} for i, j in zip(cuts[:-1], cuts[1:])]
+    return rows, order
+
+
+def word_chunks(fine: int, coarse: int):
+    """Of (lang, text) batches: chunks of about CHUNK_WORDS words as blocks of words with counts, the languages' words, and
+    the texts as numbers; 0 stands between pieces."""
+
+    def run(batches):
+        C.drop_caches()
+        numbered = count(TaskContext.get().partitionId() << CHUNK_BITS)
+        langs, at, fresh = {}, array("i"), count(1)
+
+        def full():
+            chunk, places = next(numbered), np.frombuffer(at, np.int32)
+            keys = np.empty(sum(len(x) - 1 for x in langs.values()), object)
+            counts = np.bincount(places, minlength=len(keys) + 1)[1:]
+            words = {}
+            for lang, numbers in langs.items():
+                own = np.fromiter(numbers.values(), np.int64, len(numbers))[1:] - 1
+                keys[own] = [Words.key(lang, w) for w in list(numbers)[1:]]
+                words[lang] = int(counts[own].sum())
+            rows, order = blocks_of(Words, chunk, keys, counts, fine, coarse)
+            number = np.zeros(len(keys) + 1, np.int64)
+            number[order + 1] = np.arange(1, len(keys) + 1)
+            rows += [{"chunk": chunk, "bucket": WORDS, "lang": lang, "words": n} for lang, n in words.items()]
+            rows.append({"chunk": chunk, "bucket": PLACES, "a": C.pack(number[places].astype(np.uint32))})
+            return rows_of(BLOCKS, rows).to_batches()
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                if lang not in langs:
+                    langs[lang] = defaultdict(fresh.__next__, {b".": 0})
+                at.extend(map(langs[lang].__getitem__, text.translate(_PLAIN).replace(b".", b" . ").split()))
+                at.append(0)
+                if len(at) >= CHUNK_WORDS:
+                    yield from full()
+                    langs, at, fresh = {}, array("i"), count(1)
+        if langs:
+            yield from full()
+
+    return run
 
 
-def packed(at: np.ndarray) -> bytes:
-    return C.pack(at.astype(np.uint32))
-
-
-def chunk_rows(chunk: int, kinds: dict[str, pa.Array], counts: np.ndarray, at: np.ndarray | None) -> pa.RecordBatch:
-    """A row for each numbered thing of a chunk (local from 1), and one, of local 0, with its places."""
-    rows = len(counts)
-    columns = {"chunk": pa.array(np.full(rows + 1, chunk, np.int64)), "local": pa.array(np.append(np.arange(1, rows + 1), 0).astype(np.int32))}
-    columns |= {k: pa.concat_arrays([v, pa.nulls(1, v.type)]) for k, v in kinds.items()}
-    columns["n"] = pa.concat_arrays([pa.array(counts, pa.int64()), pa.nulls(1, pa.int64())])
-    columns["at"] = pa.concat_arrays([pa.nulls(rows, pa.binary()), pa.array([b"" if at is None else packed(at)], pa.binary())])
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def word_chunks(batches):
-    """Of (lang, text) batches: chunks whose words are numbered by language, with each word's count, and the texts as numbers;
-    0 stands between pieces."""
-    C.drop_caches()
-    numbered = count(TaskContext.get().partitionId() << CHUNK_BITS)
-    langs, at, fresh = {}, array("i"), count(1)
-
-    def full():
-        words = [w for numbers in langs.values() for w in list(numbers)[1:]]
-        names = [lang for lang, numbers in langs.items() for _ in range(len(numbers) - 1)]
-        order = np.array([numbers[w] for numbers in langs.values() for w in list(numbers)[1:]], np.int64) - 1
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
-        places = np.frombuffer(at, np.int32)
-        kinds = {"lang": pa.array(names, pa.string()).take(pa.array(back)), "word": pa.array(words, pa.binary()).take(pa.array(back)).cast(pa.string())}
-        return chunk_rows(next(numbered), kinds, np.bincount(places, minlength=len(words) + 1)[1:], places)
-
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-            if lang not in langs:
-                langs[lang] = defaultdict(fresh.__next__, {b".": 0})
-            at.extend(map(langs[lang].__getitem__, text.translate(_PLAIN).replace(b".", b" . ").split()))
-            at.append(0)
-            if len(at) >= CHUNK_WORDS:
-                yield full()
-                langs, at, fresh = {}, array("i"), count(1)
-    if langs:
-        yield full()
-
-
-def pair_chunks(last: bool):
-    """For cogroup: of a chunk's places and the names of what is frequent there, the chunk of pairs of neighbouring names.
+def pair_chunks(fine: int, coarse: int, last: bool):
+    """For cogroup: of a chunk's places and the names of what is frequent there, the blocks of pairs of neighbouring names.
     last: no level follows, so pairs need no places."""
 
     def run(places: pa.Table, names: pa.Table) -> pa.Table:
-        empty = np.zeros(0, np.int64)
         if not places.num_rows or not names.num_rows:
-            return pa.Table.from_batches([chunk_rows(0, {"left": pa.array(empty), "right": pa.array(empty)}, empty, None).slice(0, 0)])
-        at = C.unpack(places.column("at")[0].as_py(), np.uint32)
-        ids, m = names.column("id").to_numpy(), names.num_rows
+            return rows_of(BLOCKS, [])
+        chunk, at = places.column("chunk")[0].as_py(), C.unpack(places.column("a")[0].as_py(), np.uint32)
+        local = np.concatenate([C.unpack(x, np.uint32) for x in names.column("local").to_pylist()])
+        ids = np.concatenate([C.unpack(x) for x in names.column("ids").to_pylist()]).view(np.int64)
+        m = len(ids)
         rank = np.full(int(at.max(initial=0)) + 1, -1, np.int64)
-        rank[names.column("local").to_numpy()] = np.arange(m)
+        rank[local] = np.arange(m)
         name = rank[at]
         named = name >= 0
         name = name[named | np.append(True, named[:-1])]  # one place is enough between two stretches of names
         pair = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0))
         kinds, number, counts = np.unique(name[pair] * m + name[pair + 1], return_inverse=True, return_counts=True)
-        at = np.zeros(len(name), np.int64)
-        at[pair] = number + 1
-        sides = {"left": pa.array(ids[kinds // m], pa.int64()), "right": pa.array(ids[kinds % m], pa.int64())}
-        return pa.Table.from_batches([chunk_rows(places.column("chunk")[0].as_py(), sides, counts, None if last else at)])
+        rows, order = blocks_of(Pairs, chunk, np.stack([ids[kinds // m], ids[kinds % m]], 1), counts, fine, coarse)
+        if not last:
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(1, len(order) + 1)
+            at = np.zeros(len(name), np.int64)
+            at[pair] = place[number]
+            rows.append({"chunk": chunk, "bucket": PLACES, "a": C.pack(at.astype(np.uint32))})
+        return rows_of(BLOCKS, rows)
 
     return run
 
 
+def unpacked(kind, blocks: pa.Table):
+    """(code of each key of all blocks, the distinct keys, their summed counts, bounds of the blocks)."""
+    keys = [kind.unpack(a, b) for a, b in zip(blocks.column("a").to_pylist(), blocks.column("b").to_pylist())]
+    counts = np.concatenate([C.unpack(x) for x in blocks.column("n").to_pylist()]).astype(np.int64)
+    code, different = kind.codes(np.concatenate(keys))
+    sums = np.zeros(len(different), np.int64)
+    np.add.at(sums, code, counts)
+    return code, different, sums, np.append(0, np.cumsum([len(k) for k in keys]))
+
+
+def found_rows(blocks: pa.Table, code: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> list[dict]:
+    """For each block the numbers of its keys that have a name (ids: by code, -1 for none), and the names."""
+    out = []
+    for k, (chunk, base) in enumerate(zip(blocks.column("chunk").to_pylist(), blocks.column("base").to_pylist())):
+        got = ids[code[bounds[k] : bounds[k + 1]]]
+        if len(at := np.flatnonzero(got >= 0)):
+            out.append({"chunk": chunk, "local": C.pack((at + base + 1).astype(np.uint32)), "ids": C.pack(got[at].view(np.uint64))})
+    return out
+
+
+def names(kind, least: int):
+    """Of a bucket's blocks: the frequent keys, numbered, as rows of their own; and where each block has them."""
+
+    def run(blocks: pa.Table) -> pa.Table:
+        code, different, sums, bounds = unpacked(kind, blocks)
+        often = np.flatnonzero(sums >= least)
+        ids = np.full(len(different), -1, np.int64)
+        ids[often] = (blocks.column("bucket")[0].as_py() << 32) + np.arange(len(often))
+        heads = [{"id": int(ids[k]), "a": int(sums[k]), **kind.head(different[k])} for k in often]
+        return rows_of(FOUND, heads + found_rows(blocks, code, bounds, ids))
+
+    return run
+
+
+def named(blocks: DataFrame, kind, least: int, fine: int, coarse: int) -> DataFrame:
+    """FOUND rows of the frequent keys of all blocks.
+
+    With a block from each chunk to each bucket, blocks would grow as the square of the corpus and end up with a key each.
+    So beyond MOST_BLOCKS chunks send to about the square root of the buckets; the blocks of as many chunks meet in a task
+    a coarse bucket, which sends their distinct keys with their sums on to the fine buckets as one chunk, and deals out the
+    names that come back. Blocks then grow with the power of one and a half, and each key moves twice.
+    """
+    if coarse == fine:
+        return blocks.groupBy("bucket").applyInArrow(names(kind, least), FOUND)
+    rows = blocks.withColumn("task", F.shiftright("chunk", CHUNK_BITS).cast("long"))
+    rows = rows.withColumn("task", F.floor(F.col("task") / coarse).cast("long") * coarse + F.col("bucket"))
+
+    def gather(t: pa.Table) -> pa.Table:
+        _, different, sums, _ = unpacked(kind, t)
+        return rows_of(BLOCKS, blocks_of(kind, t.column("task")[0].as_py(), different, sums, fine, fine)[0])
+
+    def deal(t: pa.Table, back: pa.Table) -> pa.Table:
+        if not t.num_rows or not back.num_rows:
+            return rows_of(FOUND, [])
+        code, different, sums, bounds = unpacked(kind, t)
+        _, order = blocks_of(kind, 0, different, sums, fine, fine)
+        ids = np.full(len(different), -1, np.int64)
+        for local, got in zip(back.column("local").to_pylist(), back.column("ids").to_pylist()):
+            ids[order[C.unpack(local, np.uint32).astype(np.int64) - 1]] = C.unpack(got).view(np.int64)
+        return rows_of(FOUND, found_rows(t, code, bounds, ids))
+
+    met = C.checkpointed(rows.groupBy("task").applyInArrow(gather, BLOCKS).groupBy("bucket").applyInArrow(names(kind, least), FOUND))
+    dealt = rows.groupBy("task").cogroup(met.where("chunk is not null").withColumnRenamed("chunk", "task").groupBy("task")).applyInArrow(deal, FOUND)
+    return dealt.unionByName(met.where("chunk is null"))
+
+
 def wide(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(20,0)")
 
@@ -115,9 +275,9 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
     Every part of a frequent phrase is frequent. So level k pairs neighbouring names of frequent (k-1)-word phrases, counts
     the pairs and names the frequent ones; a name's two parents are its first and its last k-1 words, from which the parts'
     counts and the phrases that cover it follow. Texts become chunks of about CHUNK_WORDS words where they are read, and a
-    chunk sends each of its words or pairs once; their sums and names (that of the first chunk which has them) come from
-    one shuffle by word or pair, and go back to the chunks. So no task sees more than a chunk, a share of the pairs, or one
-    row a chunk of the commonest pair. Each level is written to the shared folder.
+    chunk sends each of its words or pairs once, in packed blocks by hash; a bucket sums and names them, and each chunk gets
+    back where its frequent ones are. So no task sees more than a chunk, or a bucket's share of the distinct keys of each
+    chunk, however common a word or a pair is. Each level is written to the shared folder.
 
     Null texts are empty, null languages are "und", repeated rows count each; empty tables, and those without a frequent
     word, give no rows; further columns may have any name.
@@ -129,27 +289,30 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
         return spark.read.parquet(f"{base}/{name}")
 
     plain = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    chunks = written(plain.mapInArrow(word_chunks, "chunk long, local int, lang string, word string, n long, at binary"), "chunks-1")
-    totals = C.checkpointed(chunks.where("local > 0").groupBy("lang").agg(F.sum("n").alias("n")))
-    own = F.shiftleft(F.col("chunk"), LOCAL_BITS).bitwiseOR(F.col("local").cast("long"))
+    size = C.text_bytes(plain, "text")
+    fine = max(C.partitions(spark), size // BUCKET_BYTES + 1)
+    coarse = fine if fine * (size // (4 * CHUNK_WORDS) + 1) <= MOST_BLOCKS else math.isqrt(fine - 1) + 1
+    fine = coarse * -(-fine // coarse)
+    chunks = written(plain.mapInArrow(word_chunks(fine, coarse), BLOCKS), "chunks-1")
+    totals = C.checkpointed(chunks.where(F.col("bucket") == WORDS).groupBy("lang").agg(F.sum("words").alias("n")))
     levels: list[DataFrame] = []
-    for size in range(1, longest + 1):
-        by = ["lang", "word"] if size == 1 else ["left", "right"]
-        all_ = Window.partitionBy(*by)
-        named = chunks.where("local > 0").select(*by, "chunk", "local", own.alias("own"), F.sum("n").over(all_).alias("a"), F.min(own).over(all_).alias("id")).where(F.col("a") >= least)
-        named = written(named, f"names-{size}")
-        heads = named.where("own = id").select("id", *by, "a")
-        if size == 1:
+    for words in range(1, longest + 1):
+        found = written(named(chunks.where("bucket >= 0").drop("lang", "words"), Words if words == 1 else Pairs, least, fine, coarse), f"names-{words}")
+        heads = found.where("chunk is null")
+        if words == 1:
+            key = F.split_part("word", F.lit("\t"), F.lit(1))
+            heads = heads.select("id", F.from_json(F.concat(F.lit('{"x":'), key, F.lit("}")), "x string")["x"].alias("lang"), F.substring_index("word", "\t", -1).alias("word"), "a")
             level = heads.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", F.array("a").alias("pre"), F.array("a").alias("suf"))
         else:
+            heads = heads.select("id", "left", "right", "a")
             first = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("start"), F.col("pre").alias("before"))
             rest = levels[-1].select(F.col("id").alias("right"), "last", F.col("suf").alias("behind"))
             level = heads.join(first, "left").join(rest, "right").select("id", "left", "right", "lang", F.concat_ws(" ", "start", "last").alias("phrase"), "last", "a", F.concat("before", F.array("a")).alias("pre"), F.concat("behind", F.array("a")).alias("suf"))
         levels.append(C.checkpointed(level))
-        if size < longest:
-            places = chunks.where("local = 0").select("chunk", "at").groupBy("chunk")
-            pairs = places.cogroup(named.select("chunk", "local", "id").groupBy("chunk")).applyInArrow(pair_chunks(size + 1 == longest), "chunk long, local int, left long, right long, n long, at binary")
-            chunks = written(pairs, f"chunks-{size + 1}")
+        if words < longest:
+            places = chunks.where(F.col("bucket") == PLACES).select("chunk", "a").groupBy("chunk")
+            pairs = places.cogroup(found.where("chunk is not null").select("chunk", "local", "ids").groupBy("chunk")).applyInArrow(pair_chunks(fine, coarse, words + 1 == longest), BLOCKS)
+            chunks = written(pairs, f"chunks-{words + 1}")
     C.remove(spark, base)
     out = [scored(level, levels[k + 1] if k + 1 < longest else None, k + 1) for k, level in enumerate(levels) if k]
     everything = out[0]

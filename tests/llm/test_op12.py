@@ -43,14 +43,15 @@ def corpus(r, n=120):
         for _ in range(r.choice([0, 1, 5, 20, 60])):
             words.append(r.choice(fixed) if r.random() < 0.3 else r.choice("a b c dd ee the of in".split()))
             words.append(r.choice([" ", " ", " ", "  ", "\t", ". ", ", ", "\n", ";", " - ", ".\x0b"]))
-        rows.append((i, "".join(words), r.choice(["en", "en", "de", None, "und", ""])))
+        rows.append((i, "".join(words), r.choice(["en", "en", "de", None, "und", "", "a\n\"b\t"])))
     return rows + [(1000, None, "en"), (1001, "", None), (1002, " .,; \n", "fr"), (1003, "one two " * 4000, "en"), (1004, "A\x00b " * 50, "en"), (None, "x y z", "de")] + rows[:9]
 
 
-@pytest.mark.parametrize("chunk,least,longest", [(1 << 22, 5, 4), (40, 5, 4), (1, 3, 3), (500, 2, 5)])
-def test_same_as_counting(spark, monkeypatch, chunk, least, longest):
+@pytest.mark.parametrize("chunk,least,longest,blocks", [(1 << 22, 5, 4, 1 << 22), (300, 5, 4, 0), (500, 2, 5, 1 << 22)])
+def test_same_as_counting(spark, monkeypatch, chunk, least, longest, blocks):
+    """One chunk or many a task; blocks straight to their buckets, or (blocks = 0) by way of groups of chunks."""
     monkeypatch.setattr(P, "CHUNK_WORDS", chunk)
-    monkeypatch.setattr(P, "CHUNK_BITS", 16)
+    monkeypatch.setattr(P, "MOST_BLOCKS", blocks)
     rows = corpus(random.Random(chunk))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
     got = phrases(df, least=least, longest=longest).collect()
