@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sievework.functions import exact as EX
 from sievework.functions import expressions as E
 from sievework.functions import text as X
 from sievework.operators import control as K
 from sievework.operators import checks as Q
+from sievework.operators import jobs as J
 from sievework.operators import records as R
 from sievework.operators import reports as RP
 from sievework.operators import validators as V
@@ -811,6 +813,78 @@ def job_detail(spark, sf):
     return S.envelope(d).select(F.from_json("status", "state string, records long").alias("s")).select("s.state", "s.records")
 
 
+# --- whole records, jobs on the store ------------------------------------------------------------------------------------
+
+def mixed_records(spark, sf):
+    """JSON records of unlike schemas: x is null, absent, a number, an object, a list, a text or a truth."""
+    d = t(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    k = F.col("doc_id") % 8
+    tail = F.concat(F.lit('"z": '), F.col("n_chars").cast("string"), F.lit("}"))
+    x = F.when(k == 0, '"x": null, ').when(k == 1, "").when(k == 2, '"x": 4, ').when(k == 3, '"x": {"y": [1, 2]}, ').when(k == 4, '"x": [{"y": 1}], ').when(k == 5, F.concat(F.lit('"x": "'), F.col("lang"), F.lit('", '))).when(k == 6, '"x": 4.0, ').otherwise('"x": true, ')
+    return d.select("doc_id", F.parse_json(F.concat(F.lit("{"), x, tail)).alias("record"))
+
+
+#: Expressions over them, and the same in SQL; j is the record, x its field, k the field's type (NULL: absent).
+EXACT = {
+    "x == None": "coalesce(k = 'NULL', false)",
+    "x == gone": "k IS NULL",
+    "x != 4": "NOT coalesce(n = 4, false)",
+    "x": "coalesce(k NOT IN ('NULL'), false)",
+    "not x or z > 500": "coalesce(k = 'NULL', true) OR z > 500",
+    "x.y[0] == 1": "coalesce((j -> '$.x.y[0]')::VARCHAR = '1', false)",
+    "x.y == gone": "coalesce(k <> 'OBJECT', true)",
+    "x[0].y == 1": "coalesce((j -> '$.x[0].y')::VARCHAR = '1', false)",
+    "x >= 4": "coalesce(n >= 4, false)",
+    "x in [4, null, 'en']": "coalesce(n = 4 OR k = 'NULL' OR x::VARCHAR = '\"en\"', false)",
+    "len(x) == 1": "coalesce(k IN ('OBJECT', 'ARRAY'), false)",
+    "x is true and z % 2 == 1": "coalesce(x::VARCHAR = 'true', false) AND z % 2 = 1",
+    "'y' in x": "coalesce(k = 'OBJECT', false)",
+}
+MIXED = """(SELECT doc_id, j, j -> '$.x' AS x, json_type(j, '$.x') AS k, CASE WHEN json_type(j, '$.x') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN (j ->> '$.x')::DOUBLE WHEN json_type(j, '$.x') = 'BOOLEAN' THEN (j ->> '$.x')::BOOLEAN::INT END AS n, (j ->> '$.z')::BIGINT AS z
+FROM (SELECT doc_id, ('{' || CASE doc_id % 8 WHEN 0 THEN '"x": null, ' WHEN 1 THEN '' WHEN 2 THEN '"x": 4, ' WHEN 3 THEN '"x": {"y": [1, 2]}, ' WHEN 4 THEN '"x": [{"y": 1}], ' WHEN 5 THEN '"x": "' || lang || '", ' WHEN 6 THEN '"x": 4.0, ' ELSE '"x": true, ' END || '"z": ' || n_chars || '}')::JSON AS j FROM documents))"""
+
+
+@query(" UNION ALL ".join(f"SELECT doc_id, '{e.replace(chr(39), chr(39) * 2)}' AS expression, {sql} AS holds FROM {MIXED}" for e, sql in EXACT.items()))
+def exact_filter(spark, sf):
+    """Every expression's truth for every record: an absent field, a null and a list in mid-path differ."""
+    d = mixed_records(spark, sf)
+    held = [F.struct(F.lit(e).alias("expression"), EX.compile_exact(e).alias("holds")) for e in EXACT]
+    return d.select("doc_id", F.explode(F.array(*held)).alias("x")).select("doc_id", "x.expression", "x.holds")
+
+
+@query(f"SELECT doc_id, (j -> '$.x.y')::VARCHAR AS y, coalesce(k = 'OBJECT', false) AS kept FROM {MIXED}")
+def exact_paths(spark, sf):
+    """A dotted path walks objects alone; a set one builds its parents, and leaves other fields as they are."""
+    d = mixed_records(spark, sf)
+    new = EX.set_path(F.col("record"), "x.new", F.lit(1).cast("variant"))
+    return d.withColumn("after", new).select("doc_id", F.to_json(EX.get_path(F.col("record"), "x.y")).alias("y"), EX.compile_exact("x.new == 1 and x.y != gone", "after").alias("kept"))
+
+
+JOB_PLAN = P.Plan("job", (P.Stage("long", "constants", {"values": {"kind": "long"}}, filters=(("n_chars > 900", "drop"),)), P.Stage("route", "set_when", {"when": "lang == 'en'", "values": {"route": "home"}}), P.Stage("first", "coalesce", {"target": "out", "sources": ["route", "lang"]}, limit=300)))
+JOB = "s AS (SELECT *, lpad(((row_number() OVER (ORDER BY doc_id) - 1) // 20)::VARCHAR, 6, '0') AS chunk_id FROM documents), k AS (SELECT * FROM s WHERE n_chars > 900), l AS (SELECT * FROM k ORDER BY doc_id LIMIT 300), c AS (SELECT DISTINCT chunk_id FROM s)"
+
+
+def finished_job(spark, sf):
+    """A job over all documents, run to its end in two goes."""
+    root = S.scratch(spark, "job")
+    J.seed(spark, t(spark, sf, "documents"), JOB_PLAN, root, "documents", "doc_id")
+    J.run(spark, root, "documents", ["000001", "000003"])
+    J.run(spark, root, "documents")
+    return root
+
+
+@query(f"WITH {JOB} SELECT stage, chunk_id, records FROM (" + " UNION ALL ".join(f"SELECT {i} AS stage, c.chunk_id, count({x}.doc_id) AS records FROM c LEFT JOIN {x} ON {x}.chunk_id = c.chunk_id GROUP BY ALL" for i, x in enumerate("kkl")) + ")")
+def job_chunks(spark, sf):
+    """What the log says of each stage and frozen chunk, those that keep no row too; the last stage's limit is the job's."""
+    root = finished_job(spark, sf)
+    return J.done(spark, root, J.load(spark, root, "documents")).where(F.col("stage") != J.SEED).select("stage", "chunk_id", "records")
+
+
+@query(f"WITH {JOB} SELECT doc_id, chunk_id, CASE WHEN lang = 'en' THEN 'home' ELSE lang END AS out, md5(text) AS text_md5 FROM l")
+def job_output(spark, sf):
+    return J.output(spark, finished_job(spark, sf), "documents").select("doc_id", "chunk_id", "out", F.md5("text").alias("text_md5"))
+
+
 # --- the same under the names that once told the whole-table forms apart ----------------------------------------------
 
 for _name in ("scan_jsonl", "v_patterns", "pattern_misses", "suppress_verbatim", "lt_findings_filter", "align_items", "plan_diff"):
