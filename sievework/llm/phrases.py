@@ -42,6 +42,12 @@ BLOCKS = "chunk long, bucket int, base int, a binary, b binary, n binary, lang s
 FOUND = "chunk long, local binary, ids binary, id long, left long, right long, word string, a long"
 
 
+def packed(places: np.ndarray) -> bytes:
+    """Places as byte planes, compressed a little harder than keys: they are most of what moves."""
+    planes = np.ascontiguousarray(places.astype(np.uint32)).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes()) if len(places) else b""
+
+
 def rows_of(schema: str, rows: list[dict]) -> pa.Table:
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
     return pa.table({name: pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))})
@@ -141,14 +147,15 @@ def word_chunks(fine: int, coarse: int):
                 own = np.fromiter(numbers.values(), np.int64, len(numbers))[1:] - 1
                 keys[own] = [Words.key(lang, w) for w in list(numbers)[1:]]
                 words[lang] = int(counts[own].sum())
+            langs.clear()
             rows, order = blocks_of(Words, chunk, keys, counts, fine, coarse)
-            number = np.zeros(len(keys) + 1, np.int64)
+            number = np.zeros(len(keys) + 1, np.uint32)
             number[order + 1] = np.arange(1, len(keys) + 1)
             rows += [{"chunk": chunk, "bucket": WORDS, "lang": lang, "words": n} for lang, n in words.items()]
-            rows.append({"chunk": chunk, "bucket": PLACES, "a": C.pack(number[places].astype(np.uint32))})
+            rows.append({"chunk": chunk, "bucket": PLACES, "a": packed(number[places])})
             return rows_of(BLOCKS, rows).to_batches()
 
-        for batch in batches:
+        for batch in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
                 if lang not in langs:
                     langs[lang] = defaultdict(fresh.__next__, {b".": 0})
@@ -174,20 +181,20 @@ def pair_chunks(fine: int, coarse: int, last: bool):
         local = np.concatenate([C.unpack(x, np.uint32) for x in names.column("local").to_pylist()])
         ids = np.concatenate([C.unpack(x) for x in names.column("ids").to_pylist()]).view(np.int64)
         m = len(ids)
-        rank = np.full(int(at.max(initial=0)) + 1, -1, np.int64)
+        rank = np.full(int(at.max(initial=0)) + 1, -1, np.int32)
         rank[local] = np.arange(m)
         name = rank[at]
         named = name >= 0
         name = name[named | np.append(True, named[:-1])]  # one place is enough between two stretches of names
         pair = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0))
-        kinds, number, counts = np.unique(name[pair] * m + name[pair + 1], return_inverse=True, return_counts=True)
+        kinds, number, counts = np.unique(name[pair].astype(np.int64) * m + name[pair + 1], return_inverse=True, return_counts=True)
         rows, order = blocks_of(Pairs, chunk, np.stack([ids[kinds // m], ids[kinds % m]], 1), counts, fine, coarse)
         if not last:
-            place = np.empty(len(order), np.int64)
+            place = np.empty(len(order), np.uint32)
             place[order] = np.arange(1, len(order) + 1)
-            at = np.zeros(len(name), np.int64)
+            at = np.zeros(len(name), np.uint32)
             at[pair] = place[number]
-            rows.append({"chunk": chunk, "bucket": PLACES, "a": C.pack(at.astype(np.uint32))})
+            rows.append({"chunk": chunk, "bucket": PLACES, "a": packed(at)})
         return rows_of(BLOCKS, rows)
 
     return run
