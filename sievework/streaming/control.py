@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from sievework.operators.control import missing_chunks
 from sievework.operators.reports import count_of
 
 DUPLICATES_S, SPIKE_S, SPIKE_LEAST, COOLDOWN_S, ALIVE_S, LEASE_S = 120, 600, 25, 3600, 30, 120
@@ -19,6 +19,10 @@ def micros(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp"))
 
 
+def micros_of(c: Column) -> Column:
+    return F.unix_micros(c.cast("timestamp"))
+
+
 def nak_delay(n: Column, base: int = 60, most: int = 900) -> Column:
     return F.least(base * F.pow(F.lit(2.0), F.greatest(n, F.lit(1)) - 1), F.lit(float(most)))
 
@@ -42,9 +46,41 @@ def lease_state(events: DataFrame, key: str, ts: str, fresh: int = 60, lease: in
     return seen.select(key, F.when(age <= fresh, "fresh").when(age <= lease, "stale").otherwise("expired").alias("lease"))
 
 
+def lease_transitions(events: DataFrame, key: str, ts: str, fresh: int = 60, lease: int = LEASE_S, until: str | None = None) -> DataFrame:
+    """(key, at, lease): when a key becomes fresh (a sign of life after none, or after it was stale), stale (none for more than
+    fresh seconds) and expired (none for more than lease seconds). until: a timestamp up to which silence is known, else the
+    last event of all. Times in microseconds; events without a time are left out."""
+    w = Window.partitionBy(key).orderBy("at")
+    rows = events.where(F.col(ts).isNotNull()).select(key, micros(ts).alias("at")).distinct()
+    end = F.broadcast(rows.agg(F.max("at").alias("end"))) if until is None else F.broadcast(events.sparkSession.range(1).select(micros_of(F.lit(until)).alias("end")))
+    rows = rows.join(end).withColumns({"gap": F.coalesce(F.lead("at").over(w), "end") - F.col("at"), "before": F.col("at") - F.lag("at").over(w)})
+    steps = F.array(
+        F.when(F.coalesce(F.col("before") > fresh * 1_000_000, F.lit(True)), F.struct(F.col("at").alias("at"), F.lit("fresh").alias("lease"))),
+        F.when(F.col("gap") > fresh * 1_000_000, F.struct((F.col("at") + fresh * 1_000_000).alias("at"), F.lit("stale").alias("lease"))),
+        F.when(F.col("gap") > lease * 1_000_000, F.struct((F.col("at") + lease * 1_000_000).alias("at"), F.lit("expired").alias("lease"))),
+    )
+    return rows.select(key, F.explode(F.array_compact(steps)).alias("x")).select(key, "x.at", "x.lease")
+
+
+def stall_digest(reports: DataFrame, key: str, ts: str, stage: str, queued: str, every: int = 3600, hold: int = 7200) -> DataFrame:
+    """(key, at, stages, queued, names): at every tick (a multiple of every seconds) at which stages of a key are stalled, one
+    row of them all. A report says how much a stage has queued that nothing can pull (0: it is not stalled); it holds for hold
+    seconds or until the stage's next. Ticks run to the last report of all. Reports without a time are left out."""
+    step, span = every * 1_000_000, hold * 1_000_000
+    rows = reports.where(F.col(ts).isNotNull()).select(key, F.coalesce(F.col(stage).cast("string"), F.lit("")).alias("stage"), micros(ts).alias("from"), F.col(queued).cast("double").alias("q"))
+    rows = rows.groupBy(key, "stage", "from").agg(F.max("q").alias("q"))
+    end = F.broadcast(rows.agg(F.max("from").alias("end")))
+    w = Window.partitionBy(key, "stage").orderBy("from")
+    rows = rows.join(end).withColumn("until", F.least(F.coalesce(F.lead("from").over(w), F.col("from") + span), F.col("from") + span, F.col("end") + 1))
+    first, last = F.ceil(F.col("from") / step) * step, F.floor((F.col("until") - 1) / step) * step
+    held = rows.where((F.col("q") > 0) & (first <= last)).select(key, "stage", "q", F.explode(F.sequence(first, last, F.lit(step))).alias("at"))
+    return held.groupBy(key, "at").agg(F.count("*").cast("int").alias("stages"), F.sum("q").cast("long").alias("queued"), F.array_join(F.array_sort(F.collect_list("stage")), ",").alias("names"))
+
+
 def cooldown(events: DataFrame, key: str, ts: str, tie: str, seconds: int = COOLDOWN_S) -> DataFrame:
     """The events that fire if a key that has fired is silent for so long. One pass over each key's events in order: a
-    partition streams through with one time in memory, however many events a key has."""
+    partition streams through with one time in memory, however many events a key has. A null key is a key of its own; events
+    without a time never fire."""
 
     def run(batches):
         now = fired = None
@@ -56,7 +92,7 @@ def cooldown(events: DataFrame, key: str, ts: str, tie: str, seconds: int = COOL
                     keep.append(i)
             yield batch.take(pa.array(keep, pa.int64())).select([key, tie])
 
-    rows = events.select(key, tie, micros(ts).alias("_s"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"))
+    rows = events.where(F.col(ts).isNotNull()).select(key, tie, micros(ts).alias("_s"), F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("null")).alias("_k"))
     ordered = rows.repartition("_k").sortWithinPartitions("_k", "_s", tie)
     kinds = dict(events.dtypes)
     return ordered.mapInArrow(run, f"{key} {kinds[key]}, {tie} {kinds[tie]}")
@@ -149,16 +185,44 @@ def stream_drained(ticks: DataFrame, key: str, tick: str, busy: str, least: int,
     return rows.groupBy("key").applyInPandasWithState(step, "key string, tick long", "run long", "append", GroupStateTimeout.NoTimeout)
 
 
-def reconcile_every(stream: DataFrame, path: str, checkpoint: str, chunks: DataFrame, stages: int, trigger: dict | None = None):
-    """The periodic repair: done events go to path as they come, each micro-batch to its own place; after each, the missing
-    (stage, chunk_id) of all events so far replace path/missing. Returns the running query; trigger as writeStream's."""
-    spark = stream.sparkSession
+class Stages(StatefulProcessor):
+    """A chunk's stages that are done: one number a stage; ttl milliseconds after the last event a chunk is forgotten."""
+
+    def __init__(self, stages: int, ttl: int | None):
+        self.stages, self.ttl = stages, ttl
+
+    def init(self, handle) -> None:
+        self.done = handle.getValueState("done", "stages array<int>", self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues):
+        had = set(self.done.get()[0]) if self.done.exists() else set()
+        done = had | {r.stage for r in rows if r.stage is not None and 0 <= r.stage < self.stages}
+        if done != had:
+            self.done.update((sorted(done),))
+            yield Row(chunk_id=key[0], missing=[s for s in range(self.stages) if s not in done and (s == 0 or s - 1 in done)])
+
+    def close(self) -> None:
+        pass
+
+
+def reconcile_every(stream: DataFrame, path: str, checkpoint: str, stages: int, trigger: dict | None = None, ttl: int | None = None):
+    """The periodic repair as a stream: each trigger writes, for the chunks that had an event and for no other, which stages
+    they lack now (done by the stage before, but not by this one); what a chunk has done is state. Micro-batches have a place
+    each, so a repeated one replaces itself, and missing_now reads a whole state at any time. ttl (milliseconds) goes with a
+    trigger that runs on, since availableNow would wait for its end. Returns the running query."""
+    lacking = stream.where("chunk_id is not null").select("chunk_id", F.col("stage").cast("int").alias("stage")).groupBy("chunk_id").transformWithState(Stages(stages, ttl), "chunk_id string, missing array<int>", "Update", "None" if ttl is None else "ProcessingTime")
 
     def sink(batch: DataFrame, number: int) -> None:
-        batch.select("stage", "chunk_id").write.mode("overwrite").parquet(f"{path}/done/batch={number}")
-        missing_chunks(chunks, spark.read.parquet(f"{path}/done").select("stage", "chunk_id"), stages).write.mode("overwrite").parquet(f"{path}/missing")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return lacking.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
 
-    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+def missing_now(spark, path: str, chunks: DataFrame) -> DataFrame:
+    """(stage, chunk_id) that chunks lack by the last thing that reconcile_every said of each; of one without an event, stage 0."""
+    said = spark.read.schema("chunk_id string, missing array<int>, batch long").parquet(path)
+    last = said.groupBy("chunk_id").agg(F.max_by("missing", "batch").alias("missing"))
+    return chunks.select("chunk_id").distinct().join(last, "chunk_id", "left").select(F.explode(F.coalesce("missing", F.array(F.lit(0)))).alias("stage"), "chunk_id")
 
 
 def once(stream: DataFrame, path: str, checkpoint: str, write=None) -> None:
