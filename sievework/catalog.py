@@ -814,21 +814,21 @@ def job_detail(spark, sf):
 
 
 
-@query(f"""WITH e AS (SELECT DISTINCT chunk_id, epoch_us(ts) AS at FROM {DONE} WHERE ts IS NOT NULL),
-g AS (SELECT chunk_id, at, coalesce(lead(at) OVER w, (SELECT max(at) FROM e)) - at AS gap, at - lag(at) OVER w AS back FROM e WINDOW w AS (PARTITION BY chunk_id ORDER BY at))
-SELECT chunk_id, at, 'fresh' AS lease FROM g WHERE coalesce(back > 60000000, true) UNION ALL SELECT chunk_id, at + 60000000, 'stale' FROM g WHERE gap > 60000000 UNION ALL SELECT chunk_id, at + 120000000, 'expired' FROM g WHERE gap > 120000000""")
+@query(f"""WITH e AS (SELECT DISTINCT chunk_id, epoch_us(ts) AS m FROM {DONE} WHERE ts IS NOT NULL),
+g AS (SELECT chunk_id, m, coalesce(lead(m) OVER w, (SELECT max(m) FROM e)) - m AS gap, m - lag(m) OVER w AS back FROM e WINDOW w AS (PARTITION BY chunk_id ORDER BY m))
+SELECT chunk_id, m AS at_us, 'fresh' AS lease FROM g WHERE coalesce(back > 60000000, true) UNION ALL SELECT chunk_id, m + 60000000, 'stale' FROM g WHERE gap > 60000000 UNION ALL SELECT chunk_id, m + 120000000, 'expired' FROM g WHERE gap > 120000000""")
 def lease_transitions(spark, sf):
-    return ST.lease_transitions(done_events(spark, sf), "chunk_id", "ts").select("chunk_id", "at", "lease")
+    return ST.lease_transitions(done_events(spark, sf), "chunk_id", "ts").select("chunk_id", F.col("at").alias("at_us"), "lease")
 
 
-@query(f"""WITH r AS (SELECT job, event_type AS stage, epoch_us(ts) AS f, max(CASE WHEN flagged THEN 0 ELSE stage END) AS q FROM {DONE} WHERE ts IS NOT NULL GROUP BY ALL),
-u AS (SELECT *, least(coalesce(lead(f) OVER (PARTITION BY job, stage ORDER BY f), f + 7200000000), f + 7200000000, (SELECT max(f) + 1 FROM r)) AS t FROM r)
-SELECT job, at, count(*)::INT AS stages, sum(q)::BIGINT AS queued, string_agg(stage, ',' ORDER BY stage) AS names
-FROM (SELECT job, stage, q, unnest(range((f + 3599999999) // 3600000000 * 3600000000, t, 3600000000)) AS at FROM u WHERE q > 0) GROUP BY job, at""")
+@query(f"""WITH r AS (SELECT job, event_type AS kind, epoch_us(ts) AS f, max(CASE WHEN flagged THEN 0 ELSE stage END) AS q FROM {DONE} WHERE ts IS NOT NULL GROUP BY ALL),
+u AS (SELECT *, least(coalesce(lead(f) OVER (PARTITION BY job, kind ORDER BY f), f + 7200000000), f + 7200000000, (SELECT max(f) + 1 FROM r)) AS t FROM r)
+SELECT job, m AS at_us, count(*)::INT AS stages, sum(q)::BIGINT AS queued, string_agg(kind, ',' ORDER BY kind) AS names
+FROM (SELECT job, kind, q, unnest(range((f + 3599999999) // 3600000000 * 3600000000, t, 3600000000)) AS m FROM u WHERE q > 0) GROUP BY job, m""")
 def stall_digest(spark, sf):
     """The hourly digest of each job's stalled stages; a report of 0 (here: an error) says that a stage is not stalled."""
     e = done_events(spark, sf).withColumn("queued", F.when(F.col("flagged"), 0).otherwise(F.col("stage")))
-    return ST.stall_digest(e, "job", "ts", "event_type", "queued").select("job", "at", "stages", "queued", "names")
+    return ST.stall_digest(e, "job", "ts", "event_type", "queued").select("job", F.col("at").alias("at_us"), "stages", "queued", "names")
 
 
 # --- whole records, jobs on the store ------------------------------------------------------------------------------------
