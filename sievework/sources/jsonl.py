@@ -32,6 +32,11 @@ def delete(spark: SparkSession, paths: list[str]) -> int:
     return n
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def keys(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob, sorted; none is no error."""
     p, fs = _fs(spark, pattern)
