@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sievework.functions import text as X
+from sievework.functions.similarity import matching_ratio
 
 
 def python_str(c: Column) -> Column:
@@ -59,12 +56,6 @@ def repetition(df: DataFrame, key: str, text: str, reference: str | None = None,
     return r.withColumn("message", F.when(F.col("excess") > max_excess, F.concat(F.lit("repeats "), F.col("ngram"))))
 
 
-@F.pandas_udf(T.DoubleType())
-def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity, which no built-in has: Arrow batches, without the junk heuristic."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b)])
-
-
 def similarity(df: DataFrame, key: str, text: str, reference: str, min_similarity: float, min_dice: float | None = None, case: bool = True, whitespace: bool = True, stem: int = 5) -> DataFrame:
     """(key, ratio, dice, message): fails only if the ratio, and the word Dice where it is asked for, are both low."""
     n = lambda c: X.normalize_text(python_str(F.col(c)), case, whitespace)
