@@ -1,19 +1,25 @@
 """Operators backed by outside services, with clients that are passed in; the ones here are deterministic and offline.
 
-A client is any picklable callable. Calls happen inside mapInPandas, after rows that need none have been split away (a
-filter is not pushed through such a node), and every row comes back, with its answer or with the reason it has none.
+A client is any picklable callable. Calls happen inside mapInArrow, a bounded window of them at a time, after rows that need
+none have been split away (a filter is not pushed through such a node), and every row comes back, with its answer or with
+the reason it has none.
 """
 
 from __future__ import annotations
 
 import json
-from collections import Counter
-from collections.abc import Callable
+from collections import Counter, deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from string import Formatter
+from threading import Lock
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sievework.operators import records as R
 from sievework.operators import validators as V
@@ -23,6 +29,10 @@ class ServiceDown(ConnectionError):
     """The service cannot be reached: never retried by asking the model again."""
 
 
+class Outage(RuntimeError):
+    """The service was down too often in a row: the task fails, no row does."""
+
+
 class Rejected(ValueError):
     """An answer that a check refused; feedback goes into the next turn."""
 
@@ -75,9 +85,71 @@ def typed(fields: dict[str, type | tuple[type, ...]]) -> Callable:
     return parse
 
 
-def ask(client: Callable, messages: list[dict], parse: Callable, checks: list[Callable], row: dict, retries: int = 3, reprompts: int = 0) -> tuple[object, int]:
+def in_order(items: Iterable, call: Callable, window: int) -> Iterator:
+    """call(item) for each, in order, with at most window of them under way. Items are drawn only as answers are taken, so a
+    slow consumer or a slow service holds up the source and not the memory; an error of a call comes up in its place."""
+    if window <= 1:
+        yield from map(call, items)
+        return
+    with ThreadPoolExecutor(window) as pool:
+        waiting: deque = deque()
+        try:
+            for item in items:
+                waiting.append(pool.submit(call, item))
+                if len(waiting) >= window:
+                    yield waiting.popleft().result()
+            while waiting:
+                yield waiting.popleft().result()
+        finally:
+            for w in waiting:
+                w.cancel()
+
+
+class Breaker:
+    """Counts calls in a row that found the service down; at most of them it fails the task, so that an outage is tried again
+    later and not written down as the rows' own errors."""
+
+    def __init__(self, most: int | None):
+        self.most, self.down, self.lock = most, 0, Lock()
+
+    def seen(self, down: bool) -> None:
+        with self.lock:
+            self.down = self.down + 1 if down else 0
+            if self.most is not None and self.down >= self.most:
+                raise Outage(f"the service was down {self.down} times in a row")
+
+
+def with_answers(df: DataFrame, args: dict[str, Column], requests: Callable[[Iterator[dict]], Iterator[list[dict]]], call: Callable[[list[dict]], list[tuple]], fields: str, window: int) -> DataFrame:
+    """df with fields. args: what a call sees of a row; requests cuts rows, which stay in order, into those of one call each;
+    call gives one tuple a row. A task holds its requests under way and the Arrow batches that their rows came in."""
+    schema = T._parse_datatype_string(fields)
+    names, kinds = schema.names, [to_arrow_type(f.dataType) for f in schema]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.struct(*[c.alias(k) for k, c in args.items()]).alias("args"))
+
+    def run(batches):
+        held: deque = deque()
+
+        def drawn():
+            for b in batches:
+                held.append(b.column("row"))
+                yield from b.column("args").to_pylist()
+
+        ready: list[tuple] = []
+        for got in in_order(requests(drawn()), call, window):
+            ready += got
+            while held and len(ready) >= len(held[0]):
+                row = held.popleft()
+                mine, ready = ready[: len(row)], ready[len(row) :]
+                yield pa.RecordBatch.from_arrays([row, *[pa.array([x[k] for x in mine], t) for k, t in enumerate(kinds)]], ["row", *names])
+
+    out = rows.mapInArrow(run, T.StructType([rows.schema["row"], *schema]))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in df.columns], *names)
+
+
+def ask(client: Callable, messages: list[dict], parse: Callable, checks: list[Callable], row: dict, retries: int = 3, reprompts: int = 0, repairs: tuple[Callable, ...] = ()) -> tuple[object, int]:
     """Ask until the answer parses and passes: a failure with feedback adds a turn, any other is tried again as it was.
-    The budget is retries for each of the first prompt and its corrections. Returns the answer and the corrections used."""
+    repairs (answer, row -> answer) mend what has been parsed before it is checked. The budget is retries for each of the
+    first prompt and its corrections. Returns the answer and the corrections used."""
     turns, used, last, kept = list(messages), 0, None, None
     for _ in range(retries * (reprompts + 1)):
         try:
@@ -86,6 +158,8 @@ def ask(client: Callable, messages: list[dict], parse: Callable, checks: list[Ca
             raise
         try:
             kept = answer = parse(raw)
+            for repair in repairs:
+                kept = answer = repair(answer, row)
             for check in checks:
                 check(answer, row)
             return answer, used
@@ -101,34 +175,32 @@ def ask(client: Callable, messages: list[dict], parse: Callable, checks: list[Ca
     raise last
 
 
-def llm_stage(df: DataFrame, client: Callable, template: str, output: str, parse: Callable = json.loads, checks: tuple[Callable, ...] = (), retries: int = 3, reprompts: int = 0, keep_rejected: bool = False, keep_on_failure: bool = False, system: str = "") -> DataFrame:
-    """output: JSON text of the answer. Template fields are checked against the schema before anything runs."""
+def llm_stage(df: DataFrame, client: Callable, template: str, output: str, parse: Callable = json.loads, checks: tuple[Callable, ...] = (), retries: int = 3, reprompts: int = 0, keep_rejected: bool = False, keep_on_failure: bool = False, system: str = "", repairs: tuple[Callable, ...] = (), concurrency: int = 8, breaker: int | None = None) -> DataFrame:
+    """output: JSON text of the answer. Template fields are checked against the schema before anything runs. A task has at
+    most concurrency calls under way (the client is called from as many threads); breaker: that many calls in a row that
+    find the service down fail the task instead of its rows."""
     if absent := fields_of(template) - set(df.columns):
         raise KeyError(f"the prompt asks for fields that are not there: {sorted(absent)}")
     df = R.with_state(df)
     asked = df.where(R.live())
     cols = sorted(fields_of(template))
+    broken = {}
 
-    def run(frames):
-        for f in frames:
-            out = {"answer": [], "rejected": [], "rounds": [], "etype": [], "emsg": []}
-            for row in f[cols].to_dict("records") if cols else [{}] * len(f):
-                answer = rejected = etype = emsg = None
-                rounds = 0
-                try:
-                    value, rounds = ask(client, [{"role": "system", "content": system}, {"role": "user", "content": template.format(**row)}], parse, list(checks), row, retries, reprompts)
-                    answer = json.dumps(value, ensure_ascii=False)
-                except Exception as e:  # the row carries it
-                    kept = getattr(e, "kept", None)
-                    etype, emsg = type(e).__name__, str(e)
-                    rejected = json.dumps(kept, ensure_ascii=False) if kept is not None else None
-                for k, v in zip(out, (answer, rejected, rounds, etype, emsg)):
-                    out[k].append(v)
-            yield f.assign(**{f"_{k}": pd.Series(v, index=f.index, dtype="object" if k != "rounds" else "int64") for k, v in out.items()})
-
-    plain = [c for c in df.columns if c not in ("_err", "_skip")]
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.select(*plain).schema) + ", _answer string, _rejected string, _rounds long, _etype string, _emsg string"
-    got = asked.select(*plain).mapInPandas(run, schema)
+    def one(rows: list[dict]) -> list[tuple]:
+        row = {c: rows[0][c] for c in cols}
+        state = broken.setdefault("state", Breaker(breaker))
+        try:
+            value, rounds = ask(client, [{"role": "system", "content": system}, {"role": "user", "content": template.format(**row)}], parse, list(checks), row, retries, reprompts, repairs)
+            state.seen(False)
+            return [(json.dumps(value, ensure_ascii=False), None, rounds, None, None)]
+        except Exception as e:  # the row carries it
+            state.seen(isinstance(e, ServiceDown))
+            kept = getattr(e, "kept", None)
+            return [(None, json.dumps(kept, ensure_ascii=False) if kept is not None else None, 0, type(e).__name__, str(e))]
+
+    plain = asked.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("_err", "_skip")])
+    args = {c: F.col(f"`{c}`") for c in cols} or {"none": F.lit(0)}
+    got = with_answers(plain, args, lambda rows: ([r] for r in rows), one, "_answer string, _rejected string, _rounds long, _etype string, _emsg string", concurrency)
     use_anyway = F.lit(keep_on_failure) & F.col("_rejected").isNotNull()
     got = got.withColumns({
         output: F.when(F.col("_etype").isNull(), F.col("_answer")).when(use_anyway, F.col("_rejected")),
@@ -144,15 +216,28 @@ def llm_stage(df: DataFrame, client: Callable, template: str, output: str, parse
     return got.unionByName(df.where(~R.live()), allowMissingColumns=True)
 
 
-def batched_llm(df: DataFrame, client: Callable, key: str, text: str, output: str, chunk: str = "chunk_id", size: int = 5, retries: int = 2, checks: tuple[Callable, ...] = (), single: Callable | None = None) -> DataFrame:
+def batched_llm(df: DataFrame, client: Callable, key: str, text: str, output: str, chunk: str = "chunk_id", size: int = 5, retries: int = 2, checks: tuple[Callable, ...] = (), single: Callable | None = None, concurrency: int = 8) -> DataFrame:
     """Several records a request, cut in order inside a chunk and never across chunks. Replies echo item ids; an id that
     comes back exactly once, and passes the checks, is answered, and only the others are sent again, with what was wrong
     with them: client(items, feedback) takes {id: text} and {id: message}. What is left then is asked for one by one by
-    single(text), if that is given; else it becomes the row's error. A chunk is one task's frame: chunks are small."""
+    single(text), if that is given; else it becomes the row's error. Chunks stream through a task, concurrency requests at a
+    time, so one may be of any size; rows of a request share nothing but their chunk."""
     df = R.with_state(df)
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(key)
+    def requests(rows: Iterator[dict]) -> Iterator[list[dict]]:
+        held: list[dict] = []
+        for row in rows:
+            if held and (row["chunk"] != held[0]["chunk"] or row["live"] and sum(r["live"] for r in held) >= size):
+                yield held
+                held = []
+            held.append(row)
+            if len(held) >= 100 * size:  # rows that ask for nothing
+                yield held
+                held = []
+        if held:
+            yield held
+
+    def one(rows: list[dict]) -> list[tuple]:
         got, why = {}, {}
 
         def accept(k: str, answer) -> None:
@@ -163,33 +248,31 @@ def batched_llm(df: DataFrame, client: Callable, key: str, text: str, output: st
             except ValueError as e:
                 why[k] = str(e)
 
-        live = f[f["_ask"]]
-        for a in range(0, len(live), size):
-            part = {str(k): t for k, t in zip(live[key][a : a + size], live[text][a : a + size])}
-            for _ in range(retries):
-                todo = {k: t for k, t in part.items() if k not in got}
-                if not todo:
-                    break
-                seen: dict = {}
-                for item, reply in client(todo, {k: why[k] for k in todo if k in why}):
-                    seen.setdefault(str(item), []).append(reply)
-                for k in todo:
-                    if len(seen.get(k, [])) == 1:
-                        accept(k, seen[k][0])
-                    else:
-                        why[k] = "no answer" if k not in seen else "more than one answer"
-            for k in [k for k in part if single is not None and k not in got]:
-                try:
-                    accept(k, single(part[k]))
-                except ValueError as e:
-                    why[k] = str(e)
-        return f.assign(_got=[got.get(str(k)) for k in f[key]], _why=[why.get(str(k)) if str(k) not in got else None for k in f[key]])
-
-    plain = df.withColumn("_ask", R.live())
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in plain.schema) + ", _got string, _why string"
-    out = plain.groupBy(chunk).applyInPandas(run, schema)
+        part = {str(r["key"]): r["text"] for r in rows if r["live"]}
+        for _ in range(retries):
+            todo = {k: t for k, t in part.items() if k not in got}
+            if not todo:
+                break
+            seen: dict = {}
+            for item, reply in client(todo, {k: why[k] for k in todo if k in why}):
+                seen.setdefault(str(item), []).append(reply)
+            for k in todo:
+                if len(seen.get(k, [])) == 1:
+                    accept(k, seen[k][0])
+                else:
+                    why[k] = "no answer" if k not in seen else "more than one answer"
+        for k in [k for k in part if single is not None and k not in got]:
+            try:
+                accept(k, single(part[k]))
+            except ValueError as e:
+                why[k] = str(e)
+        return [(got.get(str(r["key"])), None if str(r["key"]) in got else why.get(str(r["key"]))) if r["live"] else (None, None) for r in rows]
+
+    ordered = df.repartition(F.col(f"`{chunk}`")).sortWithinPartitions(F.col(f"`{chunk}`"), F.col(f"`{key}`"))
+    args = {"key": F.col(f"`{key}`"), "text": F.col(f"`{text}`"), "chunk": F.col(f"`{chunk}`"), "live": R.live()}
+    out = with_answers(ordered, args, requests, one, "_got string, _why string", concurrency)
     failure = F.when(F.col("_got").isNull(), R.error("ValueError", F.concat(F.lit("batch: "), F.coalesce("_why", F.lit("no answer")))))
-    return R.write(out, output, F.col("_got"), failure).drop("_ask", "_got", "_why")
+    return R.write(out, output, F.col("_got"), failure).drop("_got", "_why")
 
 
 def translate(df: DataFrame, client: Callable, source: str, target: str, keep_original: bool = False, retries: int = 3) -> DataFrame:
