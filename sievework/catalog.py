@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.functions import exact as EX
 from sievework.functions import expressions as E
 from sievework.functions import text as X
+from sievework.operators import answers as AN
 from sievework.operators import control as K
 from sievework.operators import checks as Q
 from sievework.operators import jobs as J
@@ -900,6 +901,33 @@ def job_output(spark, sf):
     return J.output(spark, finished_job(spark, sf), "documents").select("doc_id", "chunk_id", "out", F.md5("text").alias("text_md5"))
 
 
+# --- typed answers ---------------------------------------------------------------------------------------------------------
+
+@query("""WITH r AS (SELECT doc_id, doc_id % 8 AS k, lang FROM documents)
+SELECT doc_id, CASE k WHEN 1 THEN 'selected_id: missing' WHEN 2 THEN 'selected_id: one of C1, C2 is expected' WHEN 3 THEN CASE WHEN lang = 'en' THEN NULL ELSE 'ranking[1]: one of C1, C2 is expected' END WHEN 4 THEN 'ranking: a list is expected' WHEN 5 THEN 'not JSON' WHEN 7 THEN 'ranking[0]: a text is expected' END AS problem,
+CASE WHEN k IN (0, 6) OR k = 3 AND lang = 'en' THEN 'C1' END AS selected_id, CASE WHEN k = 0 OR k = 3 AND lang = 'en' THEN 2 WHEN k = 6 THEN 0 END::BIGINT AS ranked FROM r""")
+def answers_pick(spark, sf):
+    """A flat answer with closed lists: each way to be wrong is told by path."""
+    d, k = t(spark, sf, "documents"), F.col("doc_id") % 8
+    second = F.when(F.col("lang") == "en", "C2").otherwise("C9")
+    raw = F.when(k == 0, '{"ranking": ["C1", "C2"], "selected_id": "C1"}').when(k == 1, '{"ranking": []}').when(k == 2, '{"selected_id": "C3"}').when(k == 3, F.concat(F.lit('{"ranking": ["C1", "'), second, F.lit('"], "selected_id": "C1"}')))
+    raw = raw.when(k == 4, '{"ranking": "C1", "selected_id": "C1"}').when(k == 5, '{"ranking": ["C1"').when(k == 6, '{"selected_id": "C1", "more": [1]}').otherwise('{"ranking": [1], "selected_id": "C1"}')
+    out = AN.typed_answers(d.withColumn("raw", raw), "raw", "TranslationPickById")
+    return out.select("doc_id", "problem", "value.selected_id", F.size("value.ranking").cast("long").alias("ranked"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars % 5 = 4 THEN 'issues[0].severity: one of minor, major, serious is expected' WHEN length(text) > 240 THEN 'issues[1].explanation: more than 240 characters' END AS problem,
+CASE WHEN n_chars % 5 <> 4 AND length(text) <= 240 THEN length(text)::BIGINT END AS explained FROM documents""")
+def answers_gate(spark, sf):
+    """A nested answer whose explanations are bounded; every document's whole text is one."""
+    d = t(spark, sf, "documents")
+    issue = lambda severity, why: F.struct(F.lit("style").alias("category"), F.lit("x").alias("span_in_target"), why.alias("explanation"), severity.alias("severity"))
+    issues = F.array(issue(F.when(F.col("n_chars") % 5 == 4, "grave").otherwise("minor"), F.lit("short")), issue(F.lit("major"), F.col("text")))
+    raw = F.to_json(F.struct(issues.alias("issues"), F.lit("needs_edit").alias("verdict")))
+    out = AN.typed_answers(d.withColumn("raw", raw), "raw", "TranslationGate")
+    return out.select("doc_id", "problem", F.length(F.col("value.issues")[1]["explanation"]).cast("long").alias("explained"))
+
+
 # --- the same under the names that once told the whole-table forms apart ----------------------------------------------
 
 for _name in ("scan_jsonl", "v_patterns", "pattern_misses", "suppress_verbatim", "lt_findings_filter", "align_items", "plan_diff"):
