@@ -149,6 +149,12 @@ def status(spark: SparkSession, root: str, job_id: str, shown: int = 8) -> DataF
     return RP.job_status(had.where(F.col("stage") != SEED), had.where(F.col("stage") == SEED), stages, shown=shown)
 
 
+def metrics(spark: SparkSession, root: str, job_id: str) -> DataFrame:
+    """(stage, sig, attempt, rows, errors) of every commit in order, as the writes observed themselves; no data is read."""
+    found = [(e["version"], e["stage"], e["sig"], e["attempt"], e.get("rows"), e.get("errors")) for e in log(spark, root, job_id).entries()]
+    return spark.createDataFrame(found, "version long, stage int, sig string, attempt string, rows long, errors long")
+
+
 def rerun(spark: SparkSession, root: str, job_id: str, chunks: list[str] | None = None, force: bool = False) -> dict:
     """Run what is missing, of the chunks named if any are; with force run these again, done or not. What was there counts
     until the new rows do."""

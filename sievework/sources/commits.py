@@ -12,7 +12,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.sources import jsonl as S
@@ -79,12 +79,15 @@ class Log:
         return state.groupBy("stage", "sig", "chunk_id").agg(last).select("stage", "sig", "chunk_id", "last.attempt", "last.records")
 
     def commit(self, rows: DataFrame, covered: DataFrame, attempt: Attempt) -> int:
-        """Write rows (which have chunk_id), count them by chunk of covered (chunk_id), and make them count."""
-        rows.write.parquet(attempt.rows)
+        """Write rows (which have chunk_id), count them by chunk of covered (chunk_id), and make them count. What the write
+        observes of itself, rows and errors, goes into the entry."""
+        seen = Observation(f"attempt-{attempt.name}")
+        failed = F.coalesce("error", F.lit(False)) if dict(rows.dtypes).get("error") == "boolean" else F.lit(False)
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(failed).alias("errors")).write.parquet(attempt.rows)
         counts = self.spark.read.parquet(attempt.rows).groupBy("chunk_id").agg(F.count("*").alias("records"))
         manifest = covered.select("chunk_id").distinct().join(counts, "chunk_id", "left").select(F.lit(attempt.name).alias("attempt"), "chunk_id", F.coalesce("records", F.lit(0)).alias("records"))
         manifest.write.parquet(at := f"{self.path}/manifest-{attempt.name}")
-        return self.append({"stage": attempt.stage, "sig": attempt.sig, "attempt": attempt.name, "manifest": at})
+        return self.append({"stage": attempt.stage, "sig": attempt.sig, "attempt": attempt.name, "manifest": at, "rows": seen.get["rows"] or 0, "errors": seen.get["errors"] or 0})
 
     def attempt(self, stage: int, sig: str, folder: str) -> Attempt:
         return Attempt(uuid.uuid4().hex, stage, sig, folder)

@@ -48,6 +48,17 @@ def test_life_of_a_job(spark, tmp_path):
         J.load(spark, root, "none")
 
 
+def test_commits_observe_themselves(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    plan = P.Plan("p", (P.Stage("odd", "constants", {"values": {"x": 1}}, filters=(("n_chars % 200 == 100", "drop"),)), P.Stage("fail", "coalesce", {"target": "y", "sources": ["none"]})))
+    seeded(spark, root, "j", 20, plan)
+    J.run(spark, root, "j", ["000001"])
+    J.run(spark, root, "j")
+    got = {(r.stage, r.version): (r.rows, r.errors) for r in J.metrics(spark, root, "j").collect()}
+    assert got == {(-1, 0): (20, 0), (0, 1): (5, 0), (1, 2): (5, 5), (0, 3): (5, 0), (1, 4): (5, 5)}
+    assert J.output(spark, root, "j").where("error").count() == 10
+
+
 def test_two_jobs_of_one_plan(spark, tmp_path):
     """Neither has what the other did, and force and garbage collection of one leave the other alone."""
     root = f"file://{tmp_path}/store"

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -54,6 +55,15 @@ def test_bootstrap(spark):
     assert a.low < 1.5 < a.high and 0.85 < (a.high - a.low) / 0.155 < 1.15
 
 
+def test_bootstrap_counts():
+    """Addressed by row, draw and seed alone; Poisson(1) in mean, variance and shares; rows and draws are independent."""
+    rows = np.random.default_rng(1).integers(0, 2**63, 400).astype(np.uint64)
+    c = ST.bootstrap_counts(rows, 4001, 7)
+    assert c.shape == (400, 4001) and (ST.bootstrap_counts(rows[37:39], 50, 7) == c[37:39, :50]).all() and (ST.bootstrap_counts(rows, 50, 8) != c[:, :50]).any()
+    assert abs(c.mean() - 1) < 0.005 and abs(c.var() - 1) < 0.01 and abs((c == 0).mean() - np.exp(-1)) < 0.002
+    assert abs(np.corrcoef(c[:, :3999].ravel(), c[:, 1:4000].ravel())[0, 1]) < 0.004 and abs(np.corrcoef(c[:-1].ravel(), c[1:].ravel())[0, 1]) < 0.004
+
+
 def test_cooldown_over_batches(spark, tmp_path):
     """One key, one trigger, many Arrow batches and out of order: as the batch form."""
     rows = [(i, "k", 1_700_000_000 + (i * 7919) % 3000 * 11) for i in range(3000)]
