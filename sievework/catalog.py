@@ -694,9 +694,30 @@ def win_tie_loss(spark, sf):
     return RP.win_tie_loss(scores(spark, sf), "b", "a")
 
 
-@query()
+W64 = f"{2**64}::UHUGEINT"
+
+
+@query(f"""WITH b AS (SELECT b - a AS d, ('0x' || left(md5(doc_id::VARCHAR), 16))::UBIGINT::UHUGEINT AS h FROM {SCORES}),
+x AS (SELECT d, g, (h + (g + 1)::UHUGEINT * {0x9E3779B97F4A7C15}::UHUGEINT + 7::UHUGEINT * {0xD6E8FEB86659FD93}::UHUGEINT) % {W64} AS x FROM b, range(250) t(g)),
+y AS (SELECT d, g, xor(x, x >> 30) * {0xBF58476D1CE4E5B9}::UHUGEINT % {W64} AS x FROM x), z AS (SELECT d, g, xor(x, x >> 27) * {0x94D049BB133111EB}::UHUGEINT % {W64} AS x FROM y),
+u AS (SELECT d, g * 4 + j AS draw, ((xor(x, x >> 31) >> (16 * j)::UHUGEINT) % 65536::UHUGEINT)::INT AS u FROM z, range(4) t(j)),
+k AS (SELECT d, draw, {" + ".join(f"(u >= {int(x)})::INT" for x in ST.poisson_bounds())} AS k FROM u),
+m AS (SELECT draw, sum(k * d) / sum(k) AS m FROM k GROUP BY draw)
+SELECT round(avg(m), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM m""")
 def paired_bootstrap(spark, sf):
-    return ST.paired_bootstrap(scores(spark, sf).select("doc_id", (F.col("b") - F.col("a")).alias("d")), "d", "doc_id", draws=1000, seed=7)
+    out = ST.paired_bootstrap(scores(spark, sf).select("doc_id", (F.col("b") - F.col("a")).alias("d")), "d", "doc_id", draws=1000, seed=7)
+    return out.select(*[F.round(c, 6).alias(c) for c in ("mean", "low", "high")])
+
+
+@query(f"SELECT route, count(*) AS n, count(*) FILTER (a >= 20) AS dropped, round(avg(a), 6) AS mean, round(stddev_samp(a), 6) AS std, min(a) AS low, max(a) AS high, true AS near FROM {SCORES} GROUP BY route")
+def score_parts(spark, sf):
+    """Sketches by chunk and route, merged by route; near: whether the median's rank is right within the sketch's error."""
+    s = scores(spark, sf)
+    parts = RP.score_sketches(s.withColumn("chunk", F.col("doc_id") % 16), ["chunk", "route"], "a", 20)
+    out = RP.sketch_summary(RP.merged_sketches(parts, ["route"]))
+    ranks = s.join(out.select("route", "p50"), "route").groupBy("route").agg(F.avg((F.col("a") < F.col("p50")).cast("int")).alias("below"), F.avg((F.col("a") <= F.col("p50")).cast("int")).alias("upto"))
+    near = (F.col("below") <= 0.5 + 2 * RP.RANK_ERROR) & (F.col("upto") >= 0.5 - 2 * RP.RANK_ERROR)
+    return out.join(ranks, "route").select("route", "n", "dropped", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "low", "high", near.alias("near"))
 
 
 @query(f"SELECT job, hour, n, n - coalesce(p, 0) AS delta FROM (SELECT *, lag(n) OVER (PARTITION BY job ORDER BY hour) AS p FROM (SELECT job, date_trunc('hour', ts) AS hour, sum(count(*)) OVER (PARTITION BY job ORDER BY date_trunc('hour', ts))::BIGINT AS n FROM {DONE} GROUP BY 1, 2)) WHERE n - coalesce(p, 0) >= 3")

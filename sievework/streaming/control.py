@@ -109,10 +109,14 @@ def idle_ticks(ticks: DataFrame, key: str, tick: str, busy: str, least: int) ->
     return run.withColumn("idle", idle).where(F.col("idle") == least).select(key, tick)
 
 
+def poisson_bounds() -> np.ndarray:
+    """Of 16 random bits, from which number on one more is counted: Poisson(1), its distribution rounded to 1 / 65536."""
+    return np.round(np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)]) * 65536)
+
+
 def poisson_counts() -> np.ndarray:
-    """How often a row joins a resample, by 16 random bits: Poisson(1), its distribution rounded to 1 / 65536."""
-    upto = np.round(np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)]) * 65536)
-    return np.searchsorted(upto, np.arange(65536), side="right").astype(np.uint8)
+    """How often a row joins a resample, by 16 random bits."""
+    return np.searchsorted(poisson_bounds(), np.arange(65536), side="right").astype(np.uint8)
 
 
 def bootstrap_counts(rows: np.ndarray, draws: int, seed: int) -> np.ndarray:
@@ -136,14 +140,14 @@ def paired_bootstrap(df: DataFrame, delta: str, key: str, draws: int = 10_000, s
     def run(batches):
         sums, counts = np.zeros(draws), np.zeros(draws)
         for batch in batches:
-            d, h = batch.column("d").to_numpy(), batch.column("h").to_numpy().view(np.uint64)
+            d, h = batch.column("d").to_numpy(), np.array([int(x, 16) for x in batch.column("h").to_pylist()], np.uint64)
             for a in range(0, len(d), 256):
                 both = np.stack([d[a : a + 256], np.ones(len(d[a : a + 256]))]) @ bootstrap_counts(h[a : a + 256], draws, seed).astype(np.float64)
                 sums += both[0]
                 counts += both[1]
         yield pa.RecordBatch.from_pydict({"draw": pa.array(range(draws), pa.int32()), "s": pa.array(sums), "n": pa.array(counts)})
 
-    rows = df.where(F.col(delta).isNotNull()).select(F.col(delta).cast("double").alias("d"), F.xxhash64(key).alias("h"))
+    rows = df.where(F.col(delta).isNotNull()).select(F.col(delta).cast("double").alias("d"), F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 16).alias("h"))
     means = rows.mapInArrow(run, "draw int, s double, n double").groupBy("draw").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).where("n > 0").select((F.col("s") / F.col("n")).alias("m"))
     return means.agg(F.avg("m").alias("mean"), F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
 
