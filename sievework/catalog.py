@@ -949,10 +949,72 @@ def answers_gate(spark, sf):
     return out.select("doc_id", "problem", F.length(F.col("value.issues")[1]["explanation"]).cast("long").alias("explained"))
 
 
-# --- the same under the names that once told the whole-table forms apart ----------------------------------------------
+# --- operators, classes and runners over whole tables ----------------------------------------------------------------------
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def scan_jsonl_whole(spark, sf):
+    """Several folders of shards by a list of globs and a pattern of names."""
+    path, d = S.scratch(spark, "scan_jsonl"), t(spark, sf, "documents")
+    S.write_shards(d.where("doc_id % 2 = 0"), f"{path}/even")
+    S.write_shards(d.where("doc_id % 2 = 1"), f"{path}/odd")
+    return S.scan(spark, [f"{path}/even", f"{path}/od?"], "doc_id long, text string, lang string, source string, n_chars long", pattern="part-*.json")
+
+
+@query(f"SELECT doc_id, url + email > 0 OR number <> '' AS bad FROM {MISSES}")
+def v_patterns_whole(spark, sf):
+    """The validator itself: its failure is the row's."""
+    found = Q.validate(pairs(spark, sf), [Q.PatternPreservation(["target_text"], "source_text")])
+    return R.fold_errors(found, "check").select("doc_id", F.coalesce("error", F.lit(False)).alias("bad"))
+
+
+@query(f"SELECT doc_id, url, email, CASE WHEN number = '' THEN 0 ELSE len(string_split(number, ',')) END::BIGINT AS number FROM {MISSES}")
+def pattern_misses_whole(spark, sf):
+    """The modifier: counts by kind in a column of the record."""
+    d = R.transfer_check(pairs(spark, sf), "patterns", "lost", "source_text", "target_text")
+    return d.select("doc_id", *[F.coalesce(F.try_element_at("lost", F.lit(k)), F.lit(0)).cast("long").alias(k) for k in ("url", "email", "number")])
+
+
+@query(f"SELECT doc_id, len(list_filter(issues, lambda i: text = '' OR i.t IS NULL OR i.t = '' OR NOT contains({FOLDED.format(c='text')}, {FOLDED.format(c='i.t')})))::BIGINT AS n FROM {ISSUES}")
+def suppress_verbatim_whole(spark, sf):
+    """The form that folds case."""
+    return issues(spark, sf).select("doc_id", F.size(V.suppress_verbatim(F.col("issues"), F.col("text"), True)).cast("long").alias("n"))
+
+
+@query(f"""SELECT doc_id, array_to_string(list_transform(list_filter(issues, lambda i: NOT coalesce(regexp_matches(i.t, '^\\p{{Lu}}'), false)), lambda i: coalesce(i.t, i.r)), ',') AS "left" FROM {ISSUES}""")
+def lt_findings_filter_whole(spark, sf):
+    """Without a reference: capitals alone count."""
+    kept = V.findings_filter(F.col("issues"))
+    return issues(spark, sf).select("doc_id", F.array_join(F.transform(kept, lambda i: F.coalesce(i.error_text, i.rule_id)), ",").alias("left"))
+
+
+def echo(items, feedback):
+    """An offline client: it forgets some items at first and answers others twice."""
+    for k, text in items.items():
+        if int(k) % 10 == 3 and not feedback:
+            continue
+        for _ in range(2 if int(k) % 10 == 4 else 1):
+            yield k, text.upper()
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 10 <> 4 THEN upper(lang) END AS out, CASE WHEN doc_id % 10 = 4 THEN true END AS error, CASE WHEN doc_id % 10 = 4 THEN 'batch: more than one answer' END AS error_message FROM documents")
+def align_items_whole(spark, sf):
+    """Batches of a service: replies are aligned by the id that they echo, and only what failed is sent again."""
+    from sievework.operators import services as C
+
+    d = t(spark, sf, "documents").select("doc_id", "lang", F.floor(F.col("doc_id") / 20).alias("chunk_id"))
+    return R.fold_errors(C.batched_llm(d, echo, "doc_id", "lang", "out", size=6), "ask").select("doc_id", "out", "error", "error_message")
+
+
+@query("SELECT doc_id, CASE WHEN n_chars > 500 THEN 'long' ELSE lang END AS out, CASE WHEN n_chars > 500 THEN 'far' ELSE 'near' END AS kind FROM documents")
+def plan_diff_whole(spark, sf):
+    """The runner: a plan is run, its last stage changed, and the run taken up from there over what is stored."""
+    tag = P.Stage("tag", "constants", {"values": {"kind": "near"}})
+    route = P.Stage("route", "set_when", {"when": "n_chars > 500", "values": {"route": "long", "kind": "far"}}, service=True)
+    last = lambda sources: P.Stage("last", "coalesce", {"target": "out", "sources": sources})
+    root, d = S.scratch(spark, "plan"), t(spark, sf, "documents").withColumn("_ord", F.col("doc_id"))
+    P.run(spark, P.Plan("p", (tag, route, last(["lang"]))), d, root)
+    return P.run(spark, P.Plan("p", (tag, route, last(["route", "lang"]))), d.limit(0), root, start_from="last").select("doc_id", "out", "kind")
 
-for _name in ("scan_jsonl", "v_patterns", "pattern_misses", "suppress_verbatim", "lt_findings_filter", "align_items", "plan_diff"):
-    QUERIES[f"{_name}_whole"], ORACLES[f"{_name}_whole"] = QUERIES[_name], ORACLES[_name]
 
 QUERIES["gated_curation"] = gated_curation
 ORACLES["gated_curation"] = FLAGSHIP_SQL
