@@ -149,6 +149,8 @@ def part_search(codes, ids, shift: int, low_bits: int, queries, own, far, bound,
 
 #: Rows of a part of a table; the leading bits of a segment tell parts apart.
 PART_ROWS = 200_000
+#: Masks that are written out in a plan; a round that reaches more parts goes to nearly all.
+MASKS = 4096
 #: The search radii of a segment, as many at a time as one round covers.
 ROUNDS = ((0, 1), (2, 3), (4, 5), (6, 16))
 
@@ -199,9 +201,11 @@ def nearest_codes(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id"
     best, live = None, asked.withColumn("bound", F.lit(BITS + 1).cast("long"))
     for low, high in ROUNDS:
         high = min(high, max(widths))
-        to = F.explode(F.sequence(F.lit(0), F.lit((1 << lead) - 1))).alias("to")
-        visits = live.select("query_id", "code", "bound", tops).select("*", to).withColumn("far", F.bit_count(F.col("to").bitwiseXOR(F.col("top"))))
-        visits = visits.where(F.col("far") <= high).drop("top").withColumnRenamed("to", "top").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        # the parts in reach, by what their leading bits differ in; no other part is a row at any time
+        masks = [m for m in range(1 << lead) if m.bit_count() <= high]
+        mask = F.explode(F.array(*map(F.lit, masks)) if len(masks) <= MASKS else F.sequence(F.lit(0), F.lit((1 << lead) - 1))).alias("mask")
+        visits = live.select("query_id", "code", "bound", tops).select("*", mask).withColumns({"far": F.bit_count("mask"), "top": F.col("top").bitwiseXOR(F.col("mask"))})
+        visits = visits.where(F.col("far") <= high).drop("mask").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
         found = tables.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(search(range(low, high + 1)), "query_id long, code long, neighbor_id long, distance long")
         found = (found if best is None else best.unionByName(found)).distinct()
         best = C.checkpointed(found.withColumn("r", place("query_id", "code")).where(F.col("r") <= k).drop("r"))

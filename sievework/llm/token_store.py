@@ -134,15 +134,18 @@ class Block:
 
 
 def sampled(plain: DataFrame, count: int) -> DataFrame:
-    """The rows (id, text) of the count least hashes of id and text among all rows, whole."""
-    return plain.orderBy(F.xxhash64("id", "text"), "id").limit(count)
+    """The rows (id, text) of the count least hashes of id and text among all rows, whole, each of equal ones once. Hashes
+    alone are ordered; texts are read again for those that are not above the last of them."""
+    h = F.xxhash64("id", "text")
+    last = plain.select(h.alias("h")).orderBy("h").limit(count).agg(F.max("h").alias("h")).first().h
+    return plain.where(h <= F.lit(last if last is not None else 0)).dropDuplicates(["id", "text"])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, sample_docs: int = 400) -> None:
     """Write each whole text's ids, then end_id, in ascending id order (nulls last) as blocks under path.
 
     path/dictionary has the shared dictionary, trained on the serialized ids of a bounded sample (the sample_docs documents
-    of least hash of id and text among all rows: it decides sizes, never contents); path/blocks has the blocks, numbered in
+    of least hash of id and text among all rows, equal ones once: it decides sizes, never contents); path/blocks has the blocks, numbered in
     order. Spark's own committer writes both, so a lost executor's task is run again and leaves nothing half done. Null
     texts are empty: the end id alone. Rows of equal or no ids stay, next to each other, by a hash of the text, which
     deals them out as well. Other columns are not read. An empty table gives no blocks.
