@@ -597,6 +597,16 @@ def rejoin_segments(spark, sf):
     return RP.rejoin_segments(segments_, rows, "source_id", "kind", {"queries": "N", "others": "A"})
 
 
+@query("""SELECT o_orderkey AS source_id, coalesce(string_agg(l_linenumber || ':' || l_linestatus, ',' ORDER BY l_linenumber, l_linestatus) FILTER (l_returnflag = 'N'), '') AS queries, coalesce(string_agg(l_linenumber || ':' || l_linestatus, ',' ORDER BY l_linenumber, l_linestatus) FILTER (l_returnflag = 'A'), '') AS others
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
+def rejoin_items(spark, sf):
+    """Each order with its own lines, by kind and in order, those without any too."""
+    lines = t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "source_id")
+    out = RP.gather_segments(lines, t(spark, sf, "orders").select(F.col("o_orderkey").alias("source_id")), "source_id", "l_returnflag", {"queries": "N", "others": "A"}, "l_linenumber", ["l_linenumber", "l_linestatus"])
+    text = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["l_linenumber"].cast("string"), F.lit(":"), x["l_linestatus"])), ",")
+    return out.select("source_id", text("queries").alias("queries"), text("others").alias("others"))
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN lang WHEN doc_id % 2 = 0 THEN source ELSE '' END AS text, CASE WHEN doc_id % 3 > 0 THEN 'run' WHEN doc_id % 2 = 0 THEN 'fallback' ELSE 'none' END AS origin FROM documents")
 def fill_gaps(spark, sf):
     d = t(spark, sf, "documents")

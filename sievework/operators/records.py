@@ -284,8 +284,10 @@ def list_dedup(df: DataFrame, source: str, key: str | None = None) -> DataFrame:
     if key is None:
         return write(df, source, F.array_distinct(c))
     k = lambda x: x[key] if "." not in key else x.getField(key)
-    first = lambda keys: F.filter(c, lambda x, i: k(x).isNull() | (F.array_position(keys, k(x)) == i + 1))
-    return write(df, source, let(F.transform(c, k), first))
+    # by key, then place: the first of a key is the one whose neighbour before has another
+    new = lambda pairs: F.filter(pairs, lambda p, j: p.k.isNull() | ~F.coalesce(F.get(pairs, j - 1).k == p.k, F.lit(False)))
+    first = lambda pairs: F.transform(F.array_sort(F.transform(new(pairs), lambda p: p.i)), lambda i: F.get(c, i))
+    return write(df, source, let(F.array_sort(F.transform(c, lambda x, i: F.struct(k(x).alias("k"), i.alias("i")))), first))
 
 
 def list_limit(df: DataFrame, source: str, limit: int, overflow: str | None = None) -> DataFrame:

@@ -237,3 +237,14 @@ def rejoin_segments(segments: DataFrame, rows: DataFrame, key: str, kind: str, k
     the id they came from."""
     joined = segments.join(rows.select(key), key)
     return joined.groupBy(key).agg(*[F.count_if(F.col(kind) == v).alias(n) for n, v in kinds.items()])
+
+
+def gather_segments(segments: DataFrame, rows: DataFrame, key: str, kind: str, kinds: dict[str, str], order: str, keep: list[str]) -> DataFrame:
+    """rows, each with an array for each of kinds (name -> value of kind): its segments' columns of keep, in order. A row
+    without any has empty arrays; segments of no row, or of another kind, are left out. An array holds one record's own
+    segments, whose number the record bounds."""
+    some = segments.where(F.col(kind).isin(*kinds.values())).groupBy(key).agg(*[
+        F.transform(F.array_sort(F.collect_list(F.when(F.col(kind) == v, F.struct(order, F.struct(*keep).alias("_x"))))), lambda s: s["_x"]).alias(n) for n, v in kinds.items()
+    ])
+    empty = lambda n: F.array().cast(some.schema[n].dataType)
+    return rows.join(some, key, "left").withColumns({n: F.coalesce(n, empty(n)) for n in kinds})

@@ -178,10 +178,16 @@ def run(spark: SparkSession, plan: Plan, docs: DataFrame, root: str, start_from:
         df = compile_stage(df, stages[i], sigs[i])
         if i in done:
             df.write.mode("overwrite").parquet(done[i])
+            S.write_text(spark, f"{done[i]}.json", json.dumps({"stage": stages[i].id, "op": stages[i].op, "sig": sigs[i], "version": plan.version, "columns": df.columns}, sort_keys=True))
             df = spark.read.parquet(done[i])
     return df
 
 
+def stored(spark: SparkSession, root: str) -> list[dict]:
+    """What lies beside each written stage under root: its id, operator, signature, version and columns."""
+    return [json.loads(S.read_small(spark, p)) for p in S.keys(spark, f"{root}/stage/*/*.json")]
+
+
 def abort_unless_listed(df: DataFrame, listed: tuple[str, ...]) -> None:
     """The strict policy: an error of a type that is not listed stops the run."""
     bad = df.where(F.coalesce("error", F.lit(False)) & ~F.col("error_type").isin(*listed)).select("error_type", "error_message").head(1)

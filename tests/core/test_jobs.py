@@ -230,3 +230,17 @@ def test_stage_folders(spark, tmp_path):
     df = spark.createDataFrame([(i,) for i in range(5)], "id long")
     S.write_shards(df, f"file://{tmp_path}/a")
     assert S.scan_shards(spark, [f"file://{tmp_path}/a", f"file://{tmp_path}/none"], "id long").count() == 5
+
+
+def test_a_run_says_what_it_stored(spark, tmp_path):
+    plan = P.Plan("p", (P.Stage("tag", "constants", {"values": {"x": 1}}, service=True), P.Stage("end", "constants", {"values": {"y": 2}})), "v7")
+    P.run(spark, plan, spark.createDataFrame([(1, 0)], "id long, _ord long"), f"file://{tmp_path}")
+    (said,) = P.stored(spark, f"file://{tmp_path}")
+    assert (said["stage"], said["op"], said["sig"], said["version"]) == ("tag", "constants", P.signatures(plan)[0], "v7") and "x" in said["columns"]
+
+
+def test_first_of_each_key(spark):
+    rows = [(1, [("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5), ("b", 6)]), (2, []), (3, None), (4, [("z", i) for i in range(500)] + [("y", 500)])]
+    df = spark.createDataFrame(rows, "id int, x array<struct<k:string,v:int>>")
+    got = {r.id: None if r.x is None else [y.v for y in r.x] for r in R.list_dedup(df, "x", "k").collect()}
+    assert got == {1: [1, 2, 4, 5], 2: [], 3: None, 4: [0, 500]}
