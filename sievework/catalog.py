@@ -1026,5 +1026,13 @@ def plan_diff_whole(spark, sf):
     return P.run(spark, P.Plan("p", (tag, route, last(["route", "lang"]))), d.limit(0), root, start_from="last").select("doc_id", "out", "kind")
 
 
+@query(f"""SELECT doc_id, CASE WHEN bad THEN true END AS error, CASE WHEN bad THEN 'check' END AS error_stage, CASE WHEN bad THEN 'ResponseValidationError' END AS error_type, CASE WHEN NOT bad THEN 'kept' END AS route FROM (SELECT doc_id, url + email > 0 OR number <> '' OR length(target_text)::DOUBLE / length(source_text) NOT BETWEEN 0.9 AND 1.2 AS bad FROM {MISSES} JOIN {PAIRS} USING (doc_id))""")
+def plan_validated(spark, sf):
+    """A plan of checks: what they refuse is flagged by its stage, and later stages pass it by."""
+    checks = [{"check": "LengthRatio", "fields": ["target_text"], "reference": "source_text", "min_ratio": 0.9, "max_ratio": 1.2}, {"check": "PatternPreservation", "fields": ["target_text"], "reference": "source_text"}]
+    plan = P.Plan("checks", (P.Stage("check", "validate", {"checks": checks}), P.Stage("keep", "constants", {"values": {"route": "kept"}})))
+    return P.run(spark, plan, pairs(spark, sf).withColumn("_ord", F.col("doc_id")), S.scratch(spark, "plan")).select("doc_id", "error", "error_stage", "error_type", "route")
+
+
 QUERIES["gated_curation"] = gated_curation
 ORACLES["gated_curation"] = FLAGSHIP_SQL

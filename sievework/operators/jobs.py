@@ -110,12 +110,13 @@ def output(spark: SparkSession, root: str, job_id: str, stage: str | None = None
     return log(spark, root, job_id).rows(spec["index"], spec["sig"], stage_path(root, job_id, spec))
 
 
-def run(spark: SparkSession, root: str, job_id: str, only: list[str] | None = None, force: bool = False) -> dict:
+def run(spark: SparkSession, root: str, job_id: str, only: list[str] | None = None, force: bool = False, bindings: dict[str, dict] | None = None) -> dict:
     """Run each stage over the chunks that are due and missing (only: of these chunks; force: of these, done or not), and mark
     the job complete if nothing is missing then.
 
     The chunks of a stage are one frame and one commit. A stage with a limit takes the first rows of the whole job, so it
-    waits until the stage before has done every chunk, and is then run over all of them at once.
+    waits until the stage before has done every chunk, and is then run over all of them at once. bindings: by operator, for
+    this run alone; no record has them.
     """
     record = load(spark, root, job_id)
     if record["state"] == CANCELLED:
@@ -135,7 +136,7 @@ def run(spark: SparkSession, root: str, job_id: str, only: list[str] | None = No
             due = due if force else K.resume(due, have, "chunk_id")
         if due.head(1):
             rows = at.rows(before["index"], before["sig"], folder).join(due, "chunk_id", "left_semi")
-            at.commit(P.compile_stage(rows, stage, spec["sig"]), due, at.attempt(spec["index"], spec["sig"], stage_path(root, job_id, spec)))
+            at.commit(P.compile_stage(rows, P.bound(stage, bindings or {}), spec["sig"]), due, at.attempt(spec["index"], spec["sig"], stage_path(root, job_id, spec)))
         before, folder = spec, stage_path(root, job_id, spec)
     complete = not all_.join(chunk_ids(at.state(), before["index"], before["sig"]), "chunk_id", "left_anti").head(1)
     return save(spark, root, record | {"state": COMPLETE if complete else ACTIVE})
@@ -155,13 +156,13 @@ def metrics(spark: SparkSession, root: str, job_id: str) -> DataFrame:
     return spark.createDataFrame(found, "version long, stage int, sig string, attempt string, rows long, errors long")
 
 
-def rerun(spark: SparkSession, root: str, job_id: str, chunks: list[str] | None = None, force: bool = False) -> dict:
+def rerun(spark: SparkSession, root: str, job_id: str, chunks: list[str] | None = None, force: bool = False, bindings: dict[str, dict] | None = None) -> dict:
     """Run what is missing, of the chunks named if any are; with force run these again, done or not. What was there counts
     until the new rows do."""
     record = load(spark, root, job_id)
     if record["state"] != ACTIVE:
         save(spark, root, record | {"state": ACTIVE})
-    return run(spark, root, job_id, chunks, force)
+    return run(spark, root, job_id, chunks, force, bindings)
 
 
 def cancel(spark: SparkSession, root: str, job_id: str) -> dict:

@@ -162,8 +162,8 @@ def compile_stage(df: DataFrame, stage: Stage, sig: str) -> DataFrame:
     return R.fold_errors(df, stage.id)
 
 
-def run(spark: SparkSession, plan: Plan, docs: DataFrame, root: str, start_from: str | None = None) -> DataFrame:
-    """Compile a plan over docs (with _ord). Stages up to a service stage, and that stage itself, are written to a place
+def run(spark: SparkSession, plan: Plan, docs: DataFrame, root: str, start_from: str | None = None, bindings: dict[str, dict] | None = None) -> DataFrame:
+    """bindings: by operator, for this run alone. Compile a plan over docs (with _ord). Stages up to a service stage, and that stage itself, are written to a place
     named by their signature and read back; a place that is complete already is read, not run. Pure stages stay lazy."""
     stages, sigs = check(plan), signatures(plan)
     if start_from is not None and start_from not in [s.id for s in stages]:
@@ -175,7 +175,7 @@ def run(spark: SparkSession, plan: Plan, docs: DataFrame, root: str, start_from:
         raise PlanError(f"{start_from!r} starts from outputs that are not there")
     df = spark.read.parquet(done[resume]) if resume >= 0 else docs
     for i in range(resume + 1, len(stages)):
-        df = compile_stage(df, stages[i], sigs[i])
+        df = compile_stage(df, bound(stages[i], bindings or {}), sigs[i])
         if i in done:
             df.write.mode("overwrite").parquet(done[i])
             S.write_text(spark, f"{done[i]}.json", json.dumps({"stage": stages[i].id, "op": stages[i].op, "sig": sigs[i], "version": plan.version, "columns": df.columns}, sort_keys=True))
@@ -260,3 +260,6 @@ def signature_table(spark: SparkSession, plan: Plan) -> DataFrame:
         one = spark.range(1).select(F.lit(i).alias("index"), F.lit(stage_id).alias("stage_id"), sig.alias("sig"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+from sievework.plans import ops  # noqa: E402,F401  (registers the other operators)
