@@ -8,7 +8,7 @@ import string
 import zlib
 from array import array
 from collections import defaultdict
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +57,9 @@ class Words:
     """Keys of the first level: language and word as one byte string, which holds no line end."""
 
     @staticmethod
-    def key(lang: str, word: bytes) -> bytes:
-        return json.dumps(lang).encode() + b"\t" + word
+    def key(lang: str) -> bytes:
+        """What stands before the words of a language."""
+        return json.dumps(lang).encode() + b"\t"
 
     @staticmethod
     def pack(keys: np.ndarray) -> dict[str, bytes]:
@@ -144,8 +145,8 @@ def word_chunks(fine: int, coarse: int):
             counts = np.bincount(places, minlength=len(keys) + 1)[1:]
             words = {}
             for lang, numbers in langs.items():
-                own = np.fromiter(numbers.values(), np.int64, len(numbers))[1:] - 1
-                keys[own] = [Words.key(lang, w) for w in list(numbers)[1:]]
+                own, before = np.fromiter(numbers.values(), np.int64, len(numbers))[1:] - 1, Words.key(lang)
+                keys[own] = [before + w for w in islice(numbers, 1, None)]
                 words[lang] = int(counts[own].sum())
             langs.clear()
             rows, order = blocks_of(Words, chunk, keys, counts, fine, coarse)
@@ -170,6 +171,18 @@ def word_chunks(fine: int, coarse: int):
     return run
 
 
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, each key's place among them in 32 bits, and their counts: np.unique in less memory."""
+    order = np.argsort(key)
+    key = key[order]
+    new = np.append(True, key[1:] != key[:-1])[: len(key)]
+    place = np.empty(len(key), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    del order
+    first = np.flatnonzero(new)
+    return key[first], place, np.diff(np.append(first, len(key)))
+
+
 def pair_chunks(fine: int, coarse: int, last: bool):
     """For cogroup: of a chunk's places and the names of what is frequent there, the blocks of pairs of neighbouring names.
     last: no level follows, so pairs need no places."""
@@ -184,10 +197,11 @@ def pair_chunks(fine: int, coarse: int, last: bool):
         rank = np.full(int(at.max(initial=0)) + 1, -1, np.int32)
         rank[local] = np.arange(m)
         name = rank[at]
+        del at, rank, local
         named = name >= 0
         name = name[named | np.append(True, named[:-1])]  # one place is enough between two stretches of names
-        pair = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0))
-        kinds, number, counts = np.unique(name[pair].astype(np.int64) * m + name[pair + 1], return_inverse=True, return_counts=True)
+        pair = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0)).astype(np.int32)
+        kinds, number, counts = distinct(name[pair].astype(np.int64) * m + name[pair + 1])
         rows, order = blocks_of(Pairs, chunk, np.stack([ids[kinds // m], ids[kinds % m]], 1), counts, fine, coarse)
         if not last:
             place = np.empty(len(order), np.uint32)
