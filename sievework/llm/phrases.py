@@ -334,6 +334,8 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
             places = chunks.where(F.col("bucket") == PLACES).select("chunk", "a").groupBy("chunk")
             pairs = places.cogroup(found.where("chunk is not null").select("chunk", "local", "ids").groupBy("chunk")).applyInArrow(pair_chunks(fine, coarse, words + 1 == longest), BLOCKS)
             chunks = written(pairs, f"chunks-{words + 1}")
+            for name in (f"chunks-{words}", f"names-{words}"):  # all that a later level needs is in what was just written
+                C.remove(spark, f"{base}/{name}")
     C.remove(spark, base)
     out = [scored(level, levels[k + 1] if k + 1 < longest else None, k + 1) for k, level in enumerate(levels) if k]
     everything = out[0]
