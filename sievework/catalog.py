@@ -977,11 +977,14 @@ def v_patterns_whole(spark, sf):
     return R.fold_errors(found, "check").select("doc_id", F.coalesce("error", F.lit(False)).alias("bad"))
 
 
-@query(f"SELECT doc_id, url, email, CASE WHEN number = '' THEN 0 ELSE len(string_split(number, ',')) END::BIGINT AS number FROM {MISSES}")
+@query(f"SELECT *, CASE WHEN number = '' THEN 0 ELSE len(string_split(number, ',')) END::BIGINT AS numbers FROM {MISSES}")
 def pattern_misses_whole(spark, sf):
-    """The modifier: counts by kind in a column of the record."""
+    """The modifier: counts by kind in a column of the record; and where it counts lost numbers, those themselves."""
     d = R.transfer_check(pairs(spark, sf), "patterns", "lost", "source_text", "target_text")
-    return d.select("doc_id", *[F.coalesce(F.try_element_at("lost", F.lit(k)), F.lit(0)).cast("long").alias(k) for k in ("url", "email", "number")])
+    count = lambda k: F.coalesce(F.try_element_at("lost", F.lit(k)), F.lit(0)).cast("long")
+    d = d.select("doc_id", "source_text", "target_text", *[count(k).alias(n) for k, n in (("url", "url"), ("email", "email"), ("number", "numbers"))])
+    lost = F.try_element_at(X.pattern_misses(F.col("source_text"), F.col("target_text"), ("number",)), F.lit("number"))
+    return d.select("doc_id", "url", "email", F.when(F.col("numbers") > 0, F.array_join(lost, ",")).otherwise("").alias("number"), "numbers")
 
 
 @query(f"SELECT doc_id, len(list_filter(issues, lambda i: text = '' OR i.t IS NULL OR i.t = '' OR NOT contains({FOLDED.format(c='text')}, {FOLDED.format(c='i.t')})))::BIGINT AS n FROM {ISSUES}")

@@ -54,6 +54,12 @@ def test_issues(run):
     assert {r["doc_id"]: r["left"] for r in run("lt_findings_filter")} == left
 
 
+def test_pattern_misses_by_the_modifier(run):
+    """Every lost address and number of the plain form, the numbers themselves among them, and how many those are."""
+    want = [r | {"numbers": len(r["number"].split(",")) if r["number"] else 0} for r in run("pattern_misses")]
+    assert sorted(run("pattern_misses_whole"), key=repr) == sorted(want, key=repr) and max(r["numbers"] for r in want) > 1
+
+
 def test_align_items(run):
     replies = defaultdict(list)
     for r in rows("lineitem"):
