@@ -993,11 +993,13 @@ def suppress_verbatim_whole(spark, sf):
     return issues(spark, sf).select("doc_id", F.size(V.suppress_verbatim(F.col("issues"), F.col("text"), True)).cast("long").alias("n"))
 
 
-@query(f"""SELECT doc_id, array_to_string(list_transform(list_filter(issues, lambda i: NOT coalesce(regexp_matches(i.t, '^\\p{{Lu}}'), false)), lambda i: coalesce(i.t, i.r)), ',') AS "left" FROM {ISSUES}""")
+@query(f"""SELECT doc_id, array_to_string(list_transform(list_filter(issues, lambda i: (text = '' OR i.t IS NULL OR i.t = '' OR NOT contains({FOLDED.format(c='text')}, {FOLDED.format(c='i.t')})) AND NOT coalesce(regexp_matches(i.t, '^\\p{{Lu}}'), false)), lambda i: coalesce(i.t, i.r)), ',') AS "left",
+array_to_string(list_transform(list_filter(issues, lambda i: NOT coalesce(regexp_matches(i.t, '^\\p{{Lu}}'), false)), lambda i: coalesce(i.t, i.r)), ',') AS alone FROM {ISSUES}""")
 def lt_findings_filter_whole(spark, sf):
-    """Without a reference: capitals alone count."""
-    kept = V.findings_filter(F.col("issues"))
-    return issues(spark, sf).select("doc_id", F.array_join(F.transform(kept, lambda i: F.coalesce(i.error_text, i.rule_id)), ",").alias("left"))
+    """What both filters leave; and, without a reference, what is left where capitals alone count."""
+    names = lambda kept: F.array_join(F.transform(kept, lambda i: F.coalesce(i.error_text, i.rule_id)), ",")
+    both, alone = V.findings_filter(F.col("issues"), F.col("text")), V.findings_filter(F.col("issues"))
+    return issues(spark, sf).select("doc_id", names(both).alias("left"), names(alone).alias("alone"))
 
 
 def echo(items, feedback):

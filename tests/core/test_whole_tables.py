@@ -60,6 +60,16 @@ def test_pattern_misses_by_the_modifier(run):
     assert sorted(run("pattern_misses_whole"), key=repr) == sorted(want, key=repr) and max(r["numbers"] for r in want) > 1
 
 
+def test_findings_filter_with_and_without_reference(run):
+    """Both filters, as the plain form; and capitals alone, which leave what stands in the text."""
+    got = {r["doc_id"]: r for r in run("lt_findings_filter_whole")}
+    assert {k: r["left"] for k, r in got.items()} == {r["doc_id"]: r["left"] for r in run("lt_findings_filter")}
+    for r in rows("documents"):
+        w = r["text"].split()
+        spans = [*[w[i * (len(w) - 1) // 7] for i in range(8)], w[0].upper(), "zzqq", "R3"] if w else ["R1", "zzqq", "R3"]
+        assert got[r["doc_id"]]["alone"] == ",".join(x for i, x in enumerate(spans) if i == len(spans) - 1 or x == "R1" and not w or not x[:1].isupper())
+
+
 def test_align_items(run):
     replies = defaultdict(list)
     for r in rows("lineitem"):
