@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.sources.shared import checkpointed, remove, shared_dir  # noqa: F401  (for the operators)
+from sievework.sources.shared import checkpointed, remove, settled, shared_dir  # noqa: F401  (for the operators)
 
 #: Stands for a null id inside the operators: it sorts after every other id.
 NO_ID = 2**63 - 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import checkpointed
+from sievework.llm.common import settled
 
 
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -13,7 +13,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large and small stars: each node's least neighbour comes from a min() that combines before it shuffles,
     so a node with very many links is no hot task, and the links stay as many as the nodes. Each round is checkpointed to
-    the shared folder. Self links, doubles and nulls are ignored; no links give no rows.
+    the shared folder, and its shuffles go. Self links, doubles and nulls are ignored; no links give no rows.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     before = None
@@ -23,7 +23,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(small.where("u > v").distinct())
+        edges = settled(small.where("u > v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -165,7 +165,7 @@ def pivot_links(nodes: DataFrame, distance: int) -> DataFrame:
     agree = block_scheme(found, distance)[1]
     blocks = dealt(nodes.select("fp"), agree)
     sizes = blocks.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS)
-    sizes = C.checkpointed(sizes)
+    sizes = C.settled(sizes)
     if sizes.head(1):
         # a block's members agree on a part of the bits: with two segments more, they are told apart by the others
         large = dealt(blocks.join(F.broadcast(sizes.select(F.col("key").alias("_large"))), F.col("key") == F.col("_large")).select("fp", F.col("key").alias("of")), agree + 2, ("of",))
@@ -382,7 +382,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
     plain = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("tag", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
     marked = C.checkpointed(plain.mapInArrow(signatures, fields))
     nodes = marked.groupBy("node").agg(F.min(F.struct("id", "tag")).alias("low"), *[F.min(c).alias(c) for c in ("fp", "size", "sketch", "bands")])
-    nodes = C.checkpointed(nodes.select("node", "low.id", "low.tag", "fp", "size", "sketch", "bands"))
+    nodes = C.settled(nodes.select("node", "low.id", "low.tag", "fp", "size", "sketch", "bands"))
     buckets = max(C.partitions(spark), nodes.count() * BANDS // (1 << 18) + 1)
 
     def arrays(batch):
@@ -433,7 +433,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
             yield pa.RecordBatch.from_pydict({c: pa.array(np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64)) for c in ("a", "b", "far")})
 
     def first_candidates() -> DataFrame:
-        met = C.checkpointed(nodes.select("node", "sketch", "bands").mapInArrow(meet, "bucket int, keys binary, nodes binary, codes binary, a binary, b binary, far binary"))
+        met = C.settled(nodes.select("node", "sketch", "bands").mapInArrow(meet, "bucket int, keys binary, nodes binary, codes binary, a binary, b binary, far binary"))
         best = lambda x: x.groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
         near = best(met.where("bucket = -1").select("a", "b", "far").mapInArrow(flat, "a long, b long, far long"))
         far = best(met.where("bucket >= 0").groupBy("bucket").applyInArrow(leaders, "a long, b long, far long"))
@@ -442,7 +442,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
         ends = [of_fp.select(F.col("fp").alias(x), F.col("least").alias(f"of_{x}")) for x in "ab"]
         linked = pivot_links(of_fp.select("fp"), distance).join(ends[0], "a").join(ends[1], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
         every = near.unionByName(far).unionByName(same).unionByName(linked).where("a <> b")
-        return C.checkpointed(every.distinct())
+        return C.settled(every.distinct())
 
     def shingles(batches):
         for batch in batches:
@@ -455,8 +455,8 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
         return texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary")
 
     pairs = first_candidates()
-    sets = C.checkpointed(sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
-    links = C.checkpointed(verified(pairs, sets, similarity))
+    sets = C.settled(sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
+    links = C.settled(verified(pairs, sets, similarity))
     # what the links join within two steps, from members to leaders and on to theirs: the rest is found below
     lead = links.groupBy("a").agg(F.min("b").alias("b"))
     lead = lead.join(lead.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left").select(F.col("a").alias("node"), F.coalesce("c", "b").alias("component"))
@@ -476,7 +476,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
         return pa.table({"key": pa.array(key[x].view(np.int64)), "node": pa.array(node[x]), "comp": pa.array(comp[x]), "size": pa.array(size[x])})
 
     scattered = joined.select("node", "comp", "size", "sketch", "bands").mapInArrow(scatter, "bucket int, keys binary, nodes binary, codes binary, comps binary, sizes binary")
-    members = C.checkpointed(scattered.groupBy("bucket").applyInArrow(still_open, "key long, node long, comp long, size long"))
+    members = C.settled(scattered.groupBy("bucket").applyInArrow(still_open, "key long, node long, comp long, size long"))
     weights = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("w")).groupBy("key").agg(F.sum("w").alias("w"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
     large = weights.where(F.col("w") > SLICE_SHINGLES).select("key", "main", (F.col("w") / SLICE_SHINGLES + 1).cast("int").alias("slices"))
     dealt = members.join(large, "key", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
@@ -498,7 +498,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
         return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
     more = dealt.groupBy("task").applyInArrow(compare, "a long, b long")
-    parts = connected_components(C.checkpointed(links.union(more)))
+    parts = connected_components(C.settled(links.union(more)))
     leads = parts.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("lead"))
     of_node = nodes.select("node", F.col("id").alias("low")).join(parts.join(leads, "component").select("node", "lead"), "node", "left").select("node", F.coalesce("lead", "low").alias("component"))
     return marked.select("id", "node").join(of_node, "node").select(C.public_id("id").alias(id_col), C.public_id("component").alias("component"))
@@ -514,7 +514,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lead = similar_groups(docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), stand_in).alias("near_id"), text.alias("near_body")), "near_id", "near_body", shingle, similarity)
     kept = named.join(lead.where("near_id = component").select("near_id").distinct(), "near_id", "left_semi")
     keys = ["near_id", "near_text"]
-    again = C.checkpointed(named.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
+    again = C.settled(named.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
     if again.head(1):
         once, more = kept.join(again, keys, "left_anti"), kept.join(again, keys, "left_semi")
         kept = once.unionByName(more.groupBy(*keys).agg(F.first("row").alias("row")).select(*once.columns))

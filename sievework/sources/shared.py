@@ -36,6 +36,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """checkpointed, and what its shuffles wrote goes at once: else those files stay until the driver happens to collect its
+    garbage, and a chain of checkpoints holds the shuffles of all its steps on disk."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        return checkpointed(df.select("*"))
+    finally:
+        spark.conf.set(key, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -69,6 +71,21 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_rounds_leave_no_shuffles_behind(spark):
+    """Of the shuffles of each round only the count of what is left stays: the others' files go with its checkpoint."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    shuffles = lambda: {f.name.split("_")[1] for at in folders for f in Path(at.getPath()).rglob("shuffle_*_*")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffles(), spark.conf.get(key)
+    got = connected_components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"))
+    for _ in range(50):  # files go in the background
+        if len(new := shuffles() - before) <= 8:
+            break
+        time.sleep(0.2)
+    assert len(new) <= 8 and spark.conf.get(key) == was
+    assert {tuple(r) for r in got.collect()} == {(i, 0) for i in range(61)}
+
+
 def jaccard(a, b, n=5):
     s = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (a.lower().split(), b.lower().split())]
     return len(s[0] & s[1]) / len(s[0] | s[1])
