@@ -8,9 +8,13 @@ import re
 import struct
 import uuid
 import zlib
+from codecs import charmap_decode
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,17 +27,43 @@ HEADER = struct.Struct("<8sII16s")
 BLOCK_DOCS = 2048
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
-#: A word of Latin letters, and marks after it: two matches of the byte-level pattern, wherever it stands.
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]*)")
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+#: Letters, digits and marks (no apostrophe), for which the byte-level pattern is the short one below.
+_PLAIN = re.compile(f"\n?[!-&(-~{_LATIN}]+")
+_MATCH = re.compile(f" ?[{_LATIN}]+| ?[0-9]+| ?[!-&(-/:-@[-`{{-~]+|\n")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_BEFORE_MARKS = re.compile(f"[0-9{_LATIN}]")
+
+
+def slices(texts, most: int):
+    """Lists of texts of about most characters together, in order; a longer text is one by itself or the last of one."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text)
+        if held >= most:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
+def runs(table: np.ndarray, first: np.ndarray, size: np.ndarray) -> bytes:
+    """The stretches of table that begin at first and have size values, one after another."""
+    ends = np.cumsum(size)
+    return table[np.repeat(first - ends + size, size) + np.arange(size.sum())].tobytes()
 
 
 class Encoder(dict):
     """Packed ids of text pieces, by the tokenizers library; pieces met once are kept, up to a bound.
 
     Byte-level BPE first splits a text by a pattern whose every match of a space between two other characters begins
-    there, so a text cut before such spaces encodes piece by piece to the same ids. A piece goes through the tokenizer's
-    own pre-tokenizer (a plain word needs none: it is one match) and its model. A text that has the string of a special
-    token is encoded whole. Keys are what stands after a space; a first piece is not kept.
+    there, and a line break between two is a match by itself, so a text cut before such spaces and breaks encodes piece by
+    piece to the same ids. Keys are what stands after a space, or a break and what stands after it; the start of a text is
+    looked up as if after a break. A slice of texts looks each distinct piece up once. Of what is new, all plain pieces are
+    split into matches together, all others by the tokenizer's own pre-tokenizer, so that a piece begins with each match
+    that begins with a space or break; the matches go through the tokenizer's model. Marks after a letter or digit are a
+    match by themselves, so such a piece is put together. A text that has the string of a special token is encoded whole.
     """
 
     bound = 1_000_000
@@ -51,37 +81,103 @@ class Encoder(dict):
         self.split, self.model = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model.tokenize
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         letter = lambda c: spell.pre_tokenize_str(chr(c))[0][0]
-        self.spelled = {c: letter(c) for c in (32, *range(0xC0, 0x180))}
-        self.pack = [struct.Struct(f"<{n}{'H' if self.width == 2 else 'I'}").pack for n in range(64)]
+        #: How the library spells each byte up to those that lead U+07FF; byte 0 parts the matches.
+        self.spelled = "".join(["\0", *map(letter, range(1, 0x80)), *(letter(b)[1] for b in range(0x80, 0xC0)), "\ufffe" * 2, *(letter((b & 31) << 6)[0] for b in range(0xC2, 0xE0))])
+        self.starts = (letter(32), letter(10))
+        self.line_break = len(self.encode_piece("\n"))
+        self.marks = lru_cache(1 << 16)(lambda x: self.packed_ids([t.id for t in self.model(x)]))
 
-    def packed_ids(self, tokens) -> bytes:
-        ids = [t.id for t in tokens]
-        return self.pack[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.kind).tobytes()
+    def packed_ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
     def encode_piece(self, piece: str) -> bytes:
-        return b"".join([self.packed_ids(self.model(x)) for x, _ in self.split(piece)])
-
-    def __missing__(self, piece: str) -> bytes:
-        word = _WORD.fullmatch(piece)
-        if word and not word[2]:
-            ids = self.packed_ids(self.model((" " + piece).translate(self.spelled)))
-        elif word:
-            ids = self[word[1]] + self.packed_ids(self.model(word[2]))
+        return self.packed_ids([t.id for x, _ in self.split(piece) for t in self.model(x)])
+
+    def encode_key(self, key: str) -> bytes:
+        return self.encode_piece(key if key[0] == "\n" else " " + key)
+
+    def encode_keys(self, keys: list[str], plain: bool) -> list[bytes]:
+        """Of keys without spaces and breaks but at the start, all of them plain ones or none."""
+        text = (" " + " ".join(keys)).replace(" \n", "\n")
+        if plain:
+            matches = charmap_decode("\0".join(_MATCH.findall(text)).encode(), "strict", self.spelled)[0].split("\0")
         else:
-            ids = self.encode_piece(" " + piece)
-        if len(self) < self.bound and len(piece) < 64:
-            self[piece] = ids
-        return ids
+            matches = [x for x, _ in self.split(text)]
+        ids, cuts, model, starts = [], [], self.model, self.starts
+        for x in matches:
+            if x[0] in starts:
+                cuts.append(len(ids))
+            ids += [t.id for t in model(x)]
+        data, cuts = self.packed_ids(ids), [*(self.width * c for c in cuts), len(ids) * self.width]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def learned(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces, and of what stands before their marks; kept if short and within the bound."""
+        plain, others, marked, found = [], [], [], {}
+        for piece in new:
+            stem = piece.rstrip(_MARKS) if piece[-1] in _MARKS else piece
+            if 0 < len(piece) - len(stem) < 64 and _BEFORE_MARKS.match(stem[-1:]):
+                marked.append(piece)
+                found[piece] = stem
+                piece = stem
+                if stem in self or stem in found:
+                    continue
+            if piece not in found:
+                found[piece] = b""
+                (plain if _PLAIN.fullmatch(piece) else others).append(piece)
+        apart = {k for k in others if " " in k or "\n" in k[1:] or k[-1].isspace()}
+        found.update((k, self.encode_key(k)) for k in apart)
+        for keys, kind in ((plain, True), ([k for k in others if k not in apart], False)):
+            for part in slices(keys, 1 << 18):
+                found.update(zip(part, self.encode_keys(part, kind)))
+        for piece in marked:
+            stem = found[piece]
+            found[piece] = (self[stem] if stem in self else found[stem]) + self.marks(piece[len(stem) :])
+        self.update(islice(((k, x) for k, x in found.items() if len(k) < 64), max(0, self.bound - len(self))))
+        return found
+
+    def cut(self, text: str) -> tuple[bytes, list[str] | str]:
+        """(start, pieces): the text's ids are start and those of its pieces. Where each space and break is a cut, pieces is
+        one string, to be cut at spaces, and its first break is not the text's."""
+        if any(s in text for s in self.special):
+            return self.packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids), []
+        if not text:
+            return b"", []
+        lines = text.replace("\n", " \n")
+        wide = "  " in lines or "\n " in lines or not text.replace("\n", "").isprintable() and _WIDE.search(text)  # no other space is printable
+        if wide or text[0].isspace() or text[-1].isspace():
+            first, *pieces = _LONE_SPACE.split(text)
+            return self.encode_piece(first), pieces
+        return b"", "\n" + lines
+
+    def slice_ids(self, texts: list[str]) -> list[bytes]:
+        out = [self.cut(t) for t in texts]
+        plain = [k for k, (_, pieces) in enumerate(out) if isinstance(pieces, str)]
+        rest = [k for k, (_, pieces) in enumerate(out) if isinstance(pieces, list)]
+        lists = pc.split_pattern(pa.array([out[k][1] for k in plain], pa.large_string()), " ")
+        pieces = pa.concat_arrays([lists.flatten(), pa.array([x for k in rest for x in out[k][1]], pa.large_string())]).dictionary_encode()
+        words, at = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        found = list(map(self.get, words))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        fresh = self.learned([words[i] for i in gaps])
+        for i in gaps:
+            found[i] = fresh[words[i]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        firsts, table = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), self.kind)
+        ids = b"".join([runs(table, firsts[x], sizes[x]) for x in np.split(at, range(1 << 20, len(at), 1 << 20))])
+        ends = np.append(0, np.cumsum(sizes[at])) * self.width
+        cuts = ends[np.cumsum([0, *pc.list_value_length(lists).to_pylist(), *(len(out[k][1]) for k in rest)])].tolist()
+        skip = [self.line_break] * len(plain) + [0] * len(rest)
+        packed = {k: out[k][0] + ids[a + s : b] for k, a, b, s in zip(plain + rest, cuts, cuts[1:], skip)}
+        return [packed[k] for k in range(len(texts))]
+
+    def all_ids(self, texts):
+        """The packed ids of each text, in order, a slice of about four million characters at a time."""
+        for part in slices((t or "" for t in texts), 1 << 22):
+            yield from self.slice_ids(part)
 
     def ids(self, text: str | None) -> bytes:
-        text = text or ""
-        if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if _WIDE.search(text) or text[:1].isspace() or text[-1:].isspace():
-            pieces = _LONE_SPACE.split(text)
-        else:
-            pieces = text.split(" ")
-        return b"".join([self.encode_piece(pieces[0]), *map(self.__getitem__, pieces[1:])]) if pieces != [""] else b""
+        return self.slice_ids([text or ""])[0]
 
 
 def encoder(path: str) -> Encoder:
@@ -156,7 +252,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     def sample(batches):
         enc = encoder(tokenizer_path)
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([enc.ids(x) for x in batch.column("text").to_pylist() if x], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"ids": pa.array(list(enc.all_ids(x for x in batch.column("text").to_pylist() if x)), pa.binary())})
 
     dictionary = train_dictionary([bytes(r.ids) for r in sampled(plain, sample_docs).mapInArrow(sample, "ids binary").collect()])
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").write.mode("overwrite").parquet(f"{path}/dictionary")
@@ -175,9 +271,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         part = number = 0
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for k, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            for k, packed in zip(batch.column("id").to_pylist(), enc.all_ids(batch.column("text").to_pylist())):
                 ids.append(k)
-                arrays.append(enc.ids(text) + end)
+                arrays.append(packed + end)
                 held += len(arrays[-1])
                 if len(ids) >= BLOCK_DOCS or held > 8 << 20:
                     yield block()

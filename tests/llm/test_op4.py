@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -30,6 +31,31 @@ def test_pieces_encode_as_whole_texts(rows):
         assert np.frombuffer(enc.ids(t), enc.kind).tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_slices_of_odd_texts_encode_as_whole_texts():
+    r = random.Random(3)
+    parts = [" "] * 9 + ["\n"] * 3 + list("aZ09.,!'#(<|\t\r\0\x1c\x85\xa0\xad\u2003éß×ſƀĠĊĀ日²٣\u0301🙂") + ["'s", "don't", "  ", "\n\n", " \n", "\r\n", "the", "Über", "<|endoftext|>"]
+    texts = ["".join(r.choices(parts, k=k % 40)) for k in range(2000)] + [None, "", "a" * 70 + ".", "b " * 5000]
+    enc = T.Encoder(T.tokenizer_path())
+    want = [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for bound in (3000, 10):
+        enc.bound = bound
+        assert [np.frombuffer(x, enc.kind).tolist() for x in enc.all_ids(texts)] == want
+        assert len(enc) <= 3000
+        enc.clear()
+
+
+def test_a_word_is_encoded_once_wherever_it_stands():
+    r = random.Random(4)
+    words = ["".join(r.choices("abcdefgh", k=9)) for _ in range(40)]
+    texts = ["".join(w + r.choice([" ", " ", ", ", "\n", ".\n"]) for w in r.choices(words, k=30)) + "end" for _ in range(200)]
+    enc, calls = T.Encoder(T.tokenizer_path()), []
+    enc.model, model = lambda x: calls.append(x) or model(x), enc.model
+    for _ in range(2):
+        for t in texts:
+            assert np.frombuffer(enc.ids(t), enc.kind).tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
+    assert len(calls) <= 3 * 41 + 2  # after a space, and after a break with the break itself; two marks
+
+
 def test_empty_and_damaged(spark, no_docs, tmp_path):
     T.write_tokens(no_docs, f"file://{tmp_path}/e", T.tokenizer_path())
     assert T.read_tokens(spark, f"file://{tmp_path}/e").collect() == []
