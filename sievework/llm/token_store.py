@@ -164,7 +164,7 @@ class Encoder(dict):
             found[i] = fresh[words[i]]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
         firsts, table = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), self.kind)
-        ids = b"".join([runs(table, firsts[x], sizes[x]) for x in np.split(at, range(1 << 20, len(at), 1 << 20))])
+        ids = b"".join([runs(table, firsts[x], sizes[x]) for x in np.split(at, range(1 << 18, len(at), 1 << 18))])
         ends = np.append(0, np.cumsum(sizes[at])) * self.width
         cuts = ends[np.cumsum([0, *pc.list_value_length(lists).to_pylist(), *(len(out[k][1]) for k in rest)])].tolist()
         skip = [self.line_break] * len(plain) + [0] * len(rest)
