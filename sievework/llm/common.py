@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.sources.shared import checkpointed, remove, settled, shared_dir  # noqa: F401  (for the operators)
+from sievework.sources.shared import checkpointed, remove, settled, shared_dir, text_batches  # noqa: F401  (for the operators)
 
 #: Stands for a null id inside the operators: it sorts after every other id.
 NO_ID = 2**63 - 1
@@ -158,14 +161,32 @@ def worker_cache(name, make):
     """What an operator keeps in a Python worker between tasks. Workers outlive jobs, so a worker keeps one operator's
     cache at a time: that of another goes first."""
     if name not in _cached:
-        _cached.clear()
+        drop_caches()
         _cached[name] = make()
     return _cached[name]
 
 
 def drop_caches() -> None:
     """For tasks that keep nothing themselves: free what another operator has left in this worker."""
-    _cached.clear()
+    if _cached:
+        _cached.clear()
+        gc.collect()  # an encoder and its functions name each other
+    give_back()
+
+
+def give_back() -> None:
+    """Return what this worker has freed to the system: Arrow and the C library keep it, and an executor's other worker and
+    its JVM need it while this one idles or does something smaller."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def values(column: pa.Array, rows: int = 256):
+    """A column's values as Python's, a few rows at a time."""
+    for i in range(0, len(column), rows):
+        yield from column.slice(i, rows).to_pylist()
 
 
 BLOCK_SCHEMA = "bucket int, src int, keys binary, many binary"
@@ -176,8 +197,6 @@ MOST_BLOCKS = 1 << 22
 
 def key_blocks(keys: np.ndarray, many: np.ndarray, src: int, buckets: int):
     """Sorted keys of a src, cut to buckets; many: which of them the src knows to be shared already."""
-    import pyarrow as pa
-
     cuts = bucket_cuts(keys, buckets)
     full = np.flatnonzero(np.diff(cuts))
     return pa.table({
@@ -195,8 +214,6 @@ def _unpacked(table):
 
 
 def _found(src, blocks, wanted):
-    import pyarrow as pa
-
     out = [pack48(k[w]) for k, w in zip(blocks, wanted)]
     keep = [i for i, x in enumerate(out) if x]
     return pa.table({"src": pa.array(np.asarray(src)[keep], pa.int32()), "found": pa.array([out[i] for i in keep], pa.binary())})
@@ -249,8 +266,6 @@ def shared_keys(blocks_of, groups: int, buckets: int) -> DataFrame:
         return key_blocks(*_combined(blocks, many), t.column("task")[0].as_py(), fine)
 
     def deal(t, back):
-        import pyarrow as pa
-
         if not t.num_rows:
             return pa.table({"src": pa.array([], pa.int32()), "found": pa.array([], pa.binary())})
         src, blocks, many = _unpacked(t)

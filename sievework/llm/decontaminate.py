@@ -248,7 +248,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         def run(batches, sent=sent, name=name):
             phrases = C.worker_cache(("phrases", name), lambda: Phrases(sent.value, window))
             for batch in batches:
-                texts = texts_of(batch).to_pylist()
+                texts = C.values(texts_of(batch))
                 n, spans, found = [], [], []
                 for shard, old, had in _zip_shards(texts, batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
                     for size, hit, got, before, listed in zip(*shard_hits(shard, phrases), old, had):
@@ -260,6 +260,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                         found.append(sorted({phrases.items[k] for k in got} - {None} | set(listed)))
                 new = {"n_words": pa.array(n, pa.int64()), "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "items": pa.array(found, pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
+            C.give_back()
 
         out = out.mapInArrow(run, schema)
     return out.select(*C.out_of_one(columns), "n_words", "spans", "items")

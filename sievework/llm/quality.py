@@ -202,9 +202,10 @@ def scored_rows(docs: DataFrame, columns: list[str], labels: DataFrame, id_col:
         C.drop_caches()
         for batch in batches:
             read = batch.column("text") if "text" in batch.schema.names else texts(batch)
-            p = pa.array([evidence.value(t) for t in read.to_pylist()], pa.float64())
+            p = pa.array([evidence.value(t) for t in C.values(read)], pa.float64())
             rest = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, rest), p], [*rest, "p"])
+        C.give_back()
 
     def scored(plain: DataFrame) -> DataFrame:
         kept = [f for f in plain.schema if f.name != "text"]

@@ -378,9 +378,11 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
             pack = lambda a: pa.array([x.tobytes() for x in a], pa.binary())
             size = pa.array([len(x) for x in got], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), pa.array(node), pa.array(fp), size, pack(sketches_of(least)), pack(band_keys(least))], ["id", "tag", "node", "fp", "size", "sketch", "bands"])
+        C.give_back()
 
     plain = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(C.NO_ID)).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("tag", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
-    marked = C.checkpointed(plain.mapInArrow(signatures, fields))
+    with C.text_batches(spark):
+        marked = C.checkpointed(plain.mapInArrow(signatures, fields))
     nodes = marked.groupBy("node").agg(F.min(F.struct("id", "tag")).alias("low"), *[F.min(c).alias(c) for c in ("fp", "size", "sketch", "bands")])
     nodes = C.settled(nodes.select("node", "low.id", "low.tag", "fp", "size", "sketch", "bands"))
     buckets = max(C.partitions(spark), nodes.count() * BANDS // (1 << 18) + 1)
@@ -455,8 +457,9 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
         return texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary")
 
     pairs = first_candidates()
-    sets = C.settled(sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
-    links = C.settled(verified(pairs, sets, similarity))
+    with C.text_batches(spark):
+        sets = C.settled(sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
+        links = C.settled(verified(pairs, sets, similarity))
     # what the links join within two steps, from members to leaders and on to theirs: the rest is found below
     lead = links.groupBy("a").agg(F.min("b").alias("b"))
     lead = lead.join(lead.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left").select(F.col("a").alias("node"), F.coalesce("c", "b").alias("component"))
@@ -498,7 +501,9 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5
         return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
     more = dealt.groupBy("task").applyInArrow(compare, "a long, b long")
-    parts = connected_components(C.settled(links.union(more)))
+    with C.text_batches(spark):
+        found = C.settled(links.union(more))
+    parts = connected_components(found)
     leads = parts.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("lead"))
     of_node = nodes.select("node", F.col("id").alias("low")).join(parts.join(leads, "component").select("node", "lead"), "node", "left").select("node", F.coalesce("lead", "low").alias("component"))
     return marked.select("id", "node").join(of_node, "node").select(C.public_id("id").alias(id_col), C.public_id("component").alias("component"))

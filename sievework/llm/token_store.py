@@ -66,7 +66,7 @@ class Encoder(dict):
     match by themselves, so such a piece is put together. A text that has the string of a special token is encoded whole.
     """
 
-    bound = 1_000_000
+    bound = 1 << 19
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -252,10 +252,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     def sample(batches):
         enc = encoder(tokenizer_path)
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"ids": pa.array(list(enc.all_ids(x for x in batch.column("text").to_pylist() if x)), pa.binary())})
+            yield pa.RecordBatch.from_pydict({"ids": pa.array(list(enc.all_ids(x for x in C.values(batch.column("text")) if x)), pa.binary())})
 
     dictionary = train_dictionary([bytes(r.ids) for r in sampled(plain, sample_docs).mapInArrow(sample, "ids binary").collect()])
-    spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").write.mode("overwrite").parquet(f"{path}/dictionary")
+    spark.range(1, numPartitions=1).select(F.lit(dictionary).alias("dictionary")).write.mode("overwrite").parquet(f"{path}/dictionary")
     parts = max(C.partitions(spark), C.text_bytes(docs, text_col) // (28 << 20) + 1)
 
     def run(batches):
@@ -271,7 +271,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         part = number = 0
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for k, packed in zip(batch.column("id").to_pylist(), enc.all_ids(batch.column("text").to_pylist())):
+            for k, packed in zip(batch.column("id").to_pylist(), enc.all_ids(C.values(batch.column("text")))):
                 ids.append(k)
                 arrays.append(packed + end)
                 held += len(arrays[-1])
@@ -280,9 +280,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
                     number, ids, arrays, held = number + 1, [], [], 0
         if ids:
             yield block()
+        C.give_back()
 
     ordered = plain.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie").select(F.spark_partition_id().alias("part"), "id", "text")
-    ordered.mapInArrow(run, "part int, number int, n_docs int, n_tokens long, block binary").write.mode("overwrite").parquet(f"{path}/blocks")
+    with C.text_batches(spark):
+        ordered.mapInArrow(run, "part int, number int, n_docs int, n_tokens long, block binary").write.mode("overwrite").parquet(f"{path}/blocks")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

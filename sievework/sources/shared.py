@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,18 +37,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """checkpointed, and what its shuffles wrote goes at once: else those files stay until the driver happens to collect its
-    garbage, and a chain of checkpoints holds the shuffles of all its steps on disk."""
-    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+@contextmanager
+def set_for_now(spark: SparkSession, key: str, value: str):
+    """The session's setting, for the actions inside."""
     before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
-        return checkpointed(df.select("*"))
+        yield
     finally:
         spark.conf.set(key, before)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000):
+    """For actions that send texts to Python: batches of at most so many rows, as each is held by the executor and by its
+    worker, there also as Python's strings."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    return set_for_now(spark, key, str(min(rows, now) if now > 0 else rows))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """checkpointed, and what its shuffles wrote goes at once: else those files stay until the driver happens to collect its
+    garbage, and a chain of checkpoints holds the shuffles of all its steps on disk."""
+    with set_for_now(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return checkpointed(df.select("*"))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
