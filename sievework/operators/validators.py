@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import text as X
-from sievework.functions.similarity import matching_ratio
+from sievework.functions.similarity import closeness_of
 
 
 def python_str(c: Column) -> Column:
@@ -57,10 +57,10 @@ def repetition(df: DataFrame, key: str, text: str, reference: str | None = None,
 
 
 def similarity(df: DataFrame, key: str, text: str, reference: str, min_similarity: float, min_dice: float | None = None, case: bool = True, whitespace: bool = True, stem: int = 5) -> DataFrame:
-    """(key, ratio, dice, message): fails only if the ratio, and the word Dice where it is asked for, are both low."""
-    n = lambda c: X.normalize_text(python_str(F.col(c)), case, whitespace)
-    out = df.select(key, matching_ratio(n(text), n(reference)).alias("ratio"))
-    out = out.join(X.dice(df, key, text, reference, stem), key) if min_dice is not None else out.withColumn("dice", F.lit(None).cast("double"))
+    """(key, ratio, dice, message), a row for each: fails only if the ratio, and the word Dice where it is asked for, are both
+    low. Both are of the row's own texts, measured where the row lies."""
+    m = closeness_of(F.col(text).cast("string"), F.col(reference).cast("string"), case, whitespace, stem if min_dice is not None else None)
+    out = df.select(key, m.alias("_m")).select(key, "_m.ratio", "_m.dice")
     low = (F.col("ratio") < min_similarity) & (F.lit(True) if min_dice is None else F.col("dice") < min_dice)
     return out.withColumn("message", F.when(low, F.concat(F.lit("similarity "), F.format_number("ratio", 3))))
 
