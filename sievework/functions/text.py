@@ -33,6 +33,9 @@ URL = rf"(?i:https?://[^{SPACE}<>\"'“”]+|www\.[^{SPACE}<>\"'“”]+)"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 #: The same, tried once at the beginning of a run of local characters and not at each of them.
 LOCAL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@"
+DOMAIN = EMAIL.partition("@")[2]
+#: What every address holds.
+MARK = r"(?=[@/Ww])(?:@|//|[Ww]{3}\.)"
 NUMBER = r"(?:\p{Nd}{1,3}(?:[ \u00A0\u202F]\p{Nd}{3})+(?:[.,]\p{Nd}+)?|\p{Nd}+(?:[.,]\p{Nd}+)*)"
 ORDINAL = r"(?i:st|nd|rd|th|s)(?![\p{L}\p{N}_])"
 TRAILING = ".,;:!?…\"')]}"
@@ -88,16 +91,21 @@ def urls(c: Column) -> Column:
     return F.transform(F.regexp_extract_all(none_as_empty(c), F.lit(URL), F.lit(0)), trim_trailing)
 
 
+def word_of_first(c: Column, mark: str) -> Column:
+    """The characters before the word (between spaces) of the first place of a mark; without one, before the last word."""
+    return let(F.element_at(F.split(c, mark, 2), 1), lambda head: F.length(head) - F.length(F.substring_index(head, " ", -1)))
+
+
 def emails(c: Column) -> Column:
-    found = F.regexp_extract_all(none_as_empty(c), F.lit(LOCAL + EMAIL.partition("@")[2]), F.lit(0))
-    return F.when(F.contains(none_as_empty(c), F.lit("@")), F.transform(found, trim_trailing)).otherwise(F.array().cast("array<string>"))
+    """No address begins before the word of the first @, and the pattern is tried from there on alone."""
+    rest = lambda x: F.substr(x, word_of_first(x, "@") + 1)
+    return F.transform(F.regexp_extract_all(let(none_as_empty(c), rest), F.lit(LOCAL + DOMAIN), F.lit(0)), trim_trailing)
 
 
 def blank_addresses(c: Column) -> Column:
     """Without URL and e-mail spans (their union, also where an address runs into a URL); two spaces hold each place."""
-    plain = none_as_empty(c)
-    some = F.contains(plain, F.lit("@")) | F.contains(plain, F.lit("//")) | plain.rlike(r"(?i)www\.")
-    return F.when(some, F.regexp_replace(plain, rf"{LOCAL}{URL}|{URL}|{LOCAL}{EMAIL.partition('@')[2]}", "  ")).otherwise(plain)
+    blanked = lambda x: F.regexp_replace(x, f"{URL}|{LOCAL}(?:{URL}|{DOMAIN})", "  ")
+    return let(none_as_empty(c), lambda x: let(word_of_first(x, MARK), lambda n: F.concat(F.left(x, n), blanked(F.substr(x, n + 1)))))
 
 
 def numbers(c: Column, drop_ordinals: bool = False) -> Column:

@@ -51,10 +51,19 @@ class Check:
         """Columns that the check needs and no expression over one row can give."""
         return df
 
-    def bad(self, field: str, text: Column, reference: Column) -> tuple[Column, Column, dict[str, Column]]:
+    def measure(self, text: Column, reference: Column) -> Column | None:
+        """What bad, the message and the feedback are all made of, if it is dear: it is computed once a row, and given to bad."""
+        return None
+
+    def bad(self, field: str, text: Column, reference: Column, *measured: Column) -> tuple[Column, Column, dict[str, Column]]:
         """(does it fail, what is wrong, values of the feedback's placeholders)"""
         raise NotImplementedError
 
+    def judged(self, field: str, text: Column, reference: Column, *measured: Column) -> Column:
+        bad, wrong, values = self.bad(field, text, reference, *measured)
+        said = failure(F.concat(F.lit(f"{self.name}: {field} "), wrong), render(self.feedback_template or self.template, values | {"field": F.lit(field)}))
+        return F.when(F.coalesce(bad, F.lit(False)), said)
+
     def empty(self, text: Column) -> Column:
         return text == ""
 
@@ -65,12 +74,12 @@ class Check:
         for field in self.fields:
             at = R.get_path(schema, field)
             text = at.cast("string") if at is not None else F.lit(None).cast("string")
-            bad, wrong, values = self.bad(field, text, ref)
-            said = failure(F.concat(F.lit(f"{self.name}: {field} "), wrong), render(self.feedback_template or self.template, values | {"field": F.lit(field)}))
+            m = self.measure(text, ref)
+            said = self.judged(field, text, ref) if m is None else X.let(m, lambda v: self.judged(field, text, ref, v))  # noqa: B023
             one = F.when(text.isNull(), failure(F.lit(f"{self.name}: output field {field} is missing")))
             if self.skip_empty:
                 one = one.when(self.empty(text), F.lit(None).cast(FAILURE))
-            found.append(one.when(F.coalesce(bad, F.lit(False)), said))
+            found.append(one.otherwise(said))
         out = F.coalesce(*found)
         if self.reference is None:
             return out
@@ -133,8 +142,10 @@ class ScriptConsistency(Check):
             raise ValueError(f"no such scripts: {sorted(unknown)}")
         self.allow = tuple(allow_scripts)
 
-    def bad(self, field, text, reference):
-        leaks = F.array_join(F.transform(F.map_entries(X.foreign_scripts(reference, text, self.allow)), lambda e: F.concat(e.key, F.lit(" "), e.value)), "; ")
+    def measure(self, text, reference):
+        return F.array_join(F.transform(F.map_entries(X.foreign_scripts(reference, text, self.allow)), lambda e: F.concat(e.key, F.lit(" "), e.value)), "; ")
+
+    def bad(self, field, text, reference, leaks):
         return leaks != "", F.concat(F.lit("foreign scripts: "), leaks), {"leaks": leaks}
 
 
@@ -146,8 +157,10 @@ class PatternPreservation(Check):
         super().__init__(fields, reference, **shared)
         self.kinds, self.mode, self.most = tuple(kinds), mode, max_diff
 
-    def bad(self, field, text, reference):
-        m = X.pattern_misses(reference, text, self.kinds, self.mode)
+    def measure(self, text, reference):
+        return X.pattern_misses(reference, text, self.kinds, self.mode)
+
+    def bad(self, field, text, reference, m):
         of = lambda k: F.coalesce(F.try_element_at(m, F.lit(k)), F.array().cast("array<string>"))
         missing, extra = F.array_join(F.concat(of("url"), of("email"), of("number")), ", "), F.array_join(of("extra_number"), ", ")
         hit = (F.size(of("url")) + F.size(of("email")) > 0) | (F.size(of("number")) + F.size(of("extra_number")) > self.most)
