@@ -92,3 +92,13 @@ def test_dice_as_by_aggregation(spark):
     want = {x.doc_id: x.dice for x in X.dice(d, "doc_id", "target_text", "source_text").collect()}
     got = {x.doc_id: x.dice for x in V.similarity(d, "doc_id", "target_text", "source_text", 0.8, 0.9).collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+def test_tied_blocks_take_a_search_each(monkeypatch):
+    """Lines that differ in a number each: the bound of a range is its block's length, and was sought from 1 on each time."""
+    searches, isin = [], S.np.isin
+    monkeypatch.setattr(S.np, "isin", lambda *a: searches.append(1) or isin(*a))
+    monkeypatch.setattr(S, "WINDOWS", 0)
+    monkeypatch.setattr(S, "SMALL", 0)
+    a, b = ("\n".join("the same line again " + x for x in lines) for lines in ([str(i) for i in range(100, 300)], [""] * 200))
+    assert S.matching(a, b) == plain(a, b) and len(searches) < 800
